@@ -1,4 +1,4 @@
 """All registered queries (importing the plan modules fills the registry)."""
 
-from matchlake.plans import q_features, q_metrics  # noqa: F401
+from matchlake.plans import q_features, q_metrics, q_text  # noqa: F401
 from matchlake.plans.registry import QUERIES, SQL  # noqa: F401
