@@ -1,9 +1,9 @@
 """Preparation: scaling, imputation, data and label checks, dedup,
 correlations (M7, D18-D20, D23, G1).
 
-Column statistics are single-row aggregates used through scalar subqueries
-(``DataFrame.scalar()``); Catalyst merges the subqueries over the same input
-into one aggregate job, and no row-level join is needed to apply them.
+Column statistics are one-row aggregates (bounded by the number of columns)
+fetched with a checked bound and applied as literals: one job per statistic
+set, and no row-level join is needed to apply them.
 """
 
 from __future__ import annotations
@@ -13,18 +13,19 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.operators.small import num, one_row
+
 
 def standardize(df: DataFrame, cols: list[str], keep: list[str] | None = None,
                 suffix: str = "") -> DataFrame:
     """M7: (x - mean) / population std; a constant column gets scale 1."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                   *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    st = one_row(df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                        *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]))
     out = []
     for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        scale = F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)
-        out.append(((F.col(c) - m) / scale).alias(c + suffix))
+        m, s = st[f"m_{c}"], st[f"s_{c}"]
+        scale = 1.0 if (s is None or s == 0) else s
+        out.append(((F.col(c) - num(m)) / num(scale)).alias(c + suffix))
     return df.select(*(keep or []), *out)
 
 
@@ -35,11 +36,11 @@ def impute_median(df: DataFrame, cols: list[str], keep: list[str] | None = None)
     number of distinct values (scores have at most 1,001), not by rows.
     """
     present = [c for c in cols if c in df.columns]
-    med = df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in present]) if present else None
+    med = one_row(df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in present])) if present else None
     out = []
     for c in cols:
         if c in df.columns:
-            out.append(F.coalesce(F.col(c).cast("double"), med.select(c).scalar()).alias(c))
+            out.append(F.coalesce(F.col(c).cast("double"), num(med[c])).alias(c))
         else:
             out.append(F.lit(0.0).alias(c))
     return df.select(*(keep or []), *out)
