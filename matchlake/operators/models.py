@@ -64,7 +64,7 @@ def pipeline(kind: str, n_weighted: float | None = None, features=MODEL_FEATURES
     if kind in ("logistic", "linear_svc") and n_weighted:
         est = est.setRegParam(1.0 / n_weighted)  # S10: unaveraged C=1 penalty
     for k, v in params.items():
-        est = est.set(est.getParam(k), v)
+        est.set(est.getParam(k), v)
     return Pipeline(stages=[GapTransformer(outputCols=list(features)),
                             VectorAssembler(inputCols=list(features), outputCol="raw_features"),
                             StandardScaler(inputCol="raw_features", outputCol="features",

@@ -119,29 +119,38 @@ def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str
 
 
 def trial_search(df: DataFrame, kind: str, space: dict, n_trials: int, fold: str = "fold",
-                 seed: int = 42, warmup: int = 5) -> DataFrame:
+                 seed: int = 42, warmup: int = 5, parallelism: int = 4) -> DataFrame:
     """Seeded trials, objective = mean fold AUC; a trial whose running
-    mean trails the median of finished trials at the same fold is pruned
-    (after ``warmup`` complete trials). Returns the trial ledger (T5)."""
+    mean trails the median of the trials finished so far (at the same fold) is
+    pruned once ``warmup`` trials have completed. Trials run ``parallelism`` at
+    a time (folds within a trial stay sequential so pruning can stop early).
+    Returns the trial ledger (T5)."""
+    import threading
     rng = random.Random(seed)
     folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    draws = [sample_params(space, rng) for _ in range(n_trials)]
     finished: list[list[float]] = []
-    ledger = []
-    for t in range(n_trials):
-        p = sample_params(space, rng)
+    lock = threading.Lock()
+
+    def one(t):
+        p = draws[t]
         t0, scores, status = time.time(), [], "COMPLETE"
         for j, f in enumerate(folds):
             m = MO.fit(df.filter(F.col(fold) != f), kind, **p)
             scores.append(_auc_of(m, df.filter(F.col(fold) == f)))
-            if len(finished) >= warmup:
-                med = statistics.median(statistics.fmean(s[: j + 1]) for s in finished)
-                if statistics.fmean(scores) < med and j < len(folds) - 1:
+            with lock:
+                done = [s[: j + 1] for s in finished]
+            if len(done) >= warmup and j < len(folds) - 1:
+                if statistics.fmean(scores) < statistics.median(statistics.fmean(s) for s in done):
                     status = "PRUNED"
                     break
         if status == "COMPLETE":
-            finished.append(scores)
-        ledger.append((t, status, float(statistics.fmean(scores)), round(time.time() - t0, 3),
-                       json.dumps(p, sort_keys=True)))
+            with lock:
+                finished.append(scores)
+        return (t, status, float(statistics.fmean(scores)), round(time.time() - t0, 3),
+                json.dumps(p, sort_keys=True))
+
+    ledger = pmap(one, range(n_trials), parallelism)
     return df.sparkSession.createDataFrame(ledger, "trial int, status string, score double, time_sec double, params string")
 
 
@@ -170,12 +179,16 @@ def calibrate(cal_rows: DataFrame, method: str):
     positive-class probability (sigmoid = 1-feature logistic, isotonic)."""
     data = _margin_frame(cal_rows)
     if method == "sigmoid":
+        data = data.drop("probability", "rawPrediction", "prediction")
         return LogisticRegression(featuresCol="cal_features", labelCol="label", regParam=0.0).fit(data)
     return IsotonicRegression(featuresCol="cal_features", labelCol="label", predictionCol="cal_p").fit(data)
 
 
 def apply_calibrator(scored: DataFrame, cal, method: str) -> DataFrame:
-    out = cal.transform(_margin_frame(scored).drop("rawPrediction", "prediction"))
+    frame = _margin_frame(scored).drop("rawPrediction", "prediction")
+    if method == "sigmoid":
+        frame = frame.drop("probability")
+    out = cal.transform(frame)
     if method == "sigmoid":
         from pyspark.ml.functions import vector_to_array
         p = vector_to_array("probability")[1]
@@ -209,16 +222,25 @@ def score_calibrated(df: DataFrame, pairs, method: str, key: str = "application_
 def stacking(df: DataFrame, members: list[str], fold: str = "fold", key: str = "application_id"):
     """Out-of-fold member probabilities -> balanced logistic meta-model;
     members refit on all rows. Returns (member models, meta model)."""
+    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+
+    def one(task):
+        f, kind = task
+        m = MO.fit(df.filter(F.col(fold) != f), kind)
+        return f, kind, m
+
+    fitted = pmap(one, [(f, k) for f in folds for k in members])
     oof = None
-    for f in sorted(r[fold] for r in df.select(fold).distinct().collect()):
+    for f in folds:
         part = None
-        for kind in members:
-            m = MO.fit(df.filter(F.col(fold) != f), kind)
+        for ff, kind, m in fitted:
+            if ff != f:
+                continue
             p = MO.positive_probability(df.filter(F.col(fold) == f), m, raw_for_svc=(kind == "linear_svc")).select(
                 key, "label", F.col("probability").alias(f"p_{kind}"))
             part = p if part is None else part.join(p.drop("label"), key)
         oof = part if oof is None else oof.unionByName(part)
-    full = {kind: MO.fit(df, kind) for kind in members}
+    full = dict(zip(members, pmap(lambda k: MO.fit(df, k), members)))
     w, n = MO.with_balanced_weight(oof)
     meta_in = VectorAssembler(inputCols=[f"p_{k}" for k in members], outputCol="features").transform(w)
     meta = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",

@@ -336,3 +336,52 @@ query("b22_quality_gates", with_ctes(
        FROM ({auc_sql('scored')}) a, (SELECT {rates_sql()} FROM (SELECT {CONF_SQL} FROM scored)) b""", [SCORED_CTE]))(
     lambda s, d: ME.quality_gates(ME.binary_rates(S(s, d)).select(
         CU.roc_auc(S(s, d)).select("roc_auc").scalar().alias("roc_auc"), "accuracy")))
+
+# ------------------------------------------------------------ E1, E4, F3, F5, C8
+query("e01_fold_row_numbers", with_ctes(
+    f"SELECT application_id, label, {_rn_sql(42)} AS rn FROM scored", [SCORED_CTE]))(
+    lambda s, d: SA.exact_row_number(S(s, d).select("application_id", "label"), "application_id", 42, ["label"]))
+
+
+def _step_areas(spark, sf):
+    from pyspark.sql import Window
+    c = CU.cumulative_counts(S(spark, sf))
+    r_, p_ = F.col("tp") / F.col("P"), ME.ratio(F.col("tp"), F.col("tp") + F.col("fp"))
+    w = Window.orderBy(F.col("score").desc())
+    pts = c.select("score", r_.alias("r"), p_.alias("p"))
+    return pts.select("score", r((F.col("r") - F.lag("r", 1, 0.0).over(w))
+                                 * (F.col("p") + F.lag("p", 1, 1.0).over(w)) / 2).alias("step_area"))
+
+
+query("e04_pr_step_areas", with_ctes(
+    f"""SELECT score, round((r - coalesce(lag(r) OVER (ORDER BY score DESC), 0.0)) *
+          (p + coalesce(lag(p) OVER (ORDER BY score DESC), 1.0)) / 2, 9) AS step_area FROM (
+        SELECT score, tp / "P" AS r, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p
+        FROM ({cum_sql('scored')}))""", [SCORED_CTE]))(_step_areas)
+query("f03_first_argmax_f1_on_cost_grid", with_ctes(
+    "SELECT first(threshold ORDER BY f1 DESC, i) AS best_threshold, max(f1) AS best_f1 FROM ("
+    + sweep_sql("scored", GRID_COST) + ")", [SCORED_CTE]))(
+    lambda s, d: CU.threshold_sweep(S(s, d), GRID_COST).agg(
+        F.max_by("threshold", F.struct(F.col("f1"), -F.col("i"))).alias("best_threshold"),
+        F.max("f1").alias("best_f1")))
+query("f05_seeded_sample", with_ctes(
+    """SELECT application_id, probability, threshold, prediction AS final_prediction FROM scored
+       ORDER BY md5(CAST(application_id AS VARCHAR) || '-42'), application_id LIMIT 10""", [SCORED_CTE]))(
+    lambda s, d: S(s, d).orderBy(SA.order_hash("application_id", 42), "application_id").limit(10).select(
+        "application_id", "probability", "threshold", F.col("prediction").alias("final_prediction")))
+
+
+def _attach(spark, sf):
+    """Gaps, rule outcomes and the score attached in one projection (no join)."""
+    from matchlake.functions.rules import threshold_columns
+    m = modelling_table(spark, sf)
+    g, rl = gap_columns(m), threshold_columns(m)
+    p = F.round(sigmoid(linear_margin(g, DEFAULT_WEIGHTS)), 6)
+    return m.select("application_id", *[g[f].alias(f) for f in MODEL_FEATURES],
+                    *[rl[k].alias(k) for k in ("experience", "python", "sql")], p.alias("probability"))
+
+
+query("c08_attach_columns", with_ctes(
+    f"SELECT application_id, {', '.join(MODEL_FEATURES)}, coalesce(years_experience >= exp_required_years, false) AS experience, "
+    "coalesce(python_score >= python_required, false) AS python, coalesce(sql_score >= sql_required, false) AS sql, "
+    f"{prob_sql(DEFAULT_WEIGHTS)} AS probability FROM feat"))(_attach)

@@ -87,7 +87,7 @@ query("f07_best_model_by_cv")(_best)
 
 RF_SPACE = {"numTrees": ("choice", [20, 50, 100]), "maxDepth": ("int", 3, 10),
             "minInstancesPerNode": ("int", 1, 20)}
-GBT_SPACE = {"maxIter": ("int", 10, 40), "maxDepth": ("int", 2, 6), "stepSize": ("loguniform", 0.01, 0.3),
+GBT_SPACE = {"maxIter": ("int", 10, 30), "maxDepth": ("int", 2, 6), "stepSize": ("loguniform", 0.01, 0.3),
              "subsamplingRate": ("uniform", 0.5, 1.0), "featureSubsetStrategy": ("choice", ["all", "sqrt", "log2"])}
 SVC_SPACE = {"regParam": ("loguniform", 1e-4, 1.0)}
 

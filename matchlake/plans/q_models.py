@@ -258,3 +258,20 @@ query("d02_metrics_by_model", with_ctes(
     "SELECT model, " + ", ".join(R9(c) for c in EV.METRIC_COLS) + " FROM mm", [MULTI_CTE, LONG_CTE, MODEL_METRICS_CTE]))(
     lambda s, d: EV.binary_metrics(long_models(s, d), ["model"]).select(
         "model", *[r(F.col(c)).alias(c) for c in EV.METRIC_COLS]))
+
+
+def _expansion(spark, sf):
+    """Every row x each grid value (explode, no join), counted and
+    averaged per grid point."""
+    m = model_features(modelling_table(spark, sf))
+    g = EX.percentile_grid(m, "diff_experience", 50)
+    x = m.select(*MODEL_FEATURES, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(v).alias("v"))
+                                                      for i, v in enumerate(g)])).alias("g"))
+    cols = {f: (F.col("g.v") if f == "diff_experience" else F.col(f)) for f in MODEL_FEATURES}
+    return x.groupBy(F.col("g.i").alias("grid_index")).agg(
+        F.count(F.lit(1)).alias("n_rows"), r(F.avg(SCORER(cols)), 6).alias("mean_probability"))
+
+
+query("c05_row_grid_expansion", with_ctes(
+    f"""SELECT g.i AS grid_index, count(*) AS n_rows, round(avg({_prob_expr({'diff_experience': 'g.v'})}), 6)
+        AS mean_probability FROM feat, grid_e g GROUP BY g.i""", [_grid_cte("diff_experience", 50, "grid_e")]))(_expansion)

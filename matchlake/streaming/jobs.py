@@ -23,7 +23,10 @@ from matchlake.sources import adapter as AD
 def _stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    # A file stream source watches a directory or glob; the one-character class
+    # makes the glob match exactly this table file.
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(
+        f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
 def _run_dir(spark: SparkSession, job: str) -> str:
@@ -38,7 +41,8 @@ def _await(q) -> None:
 
 def request_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _stream(spark, sf_dir, "events")
-    return ev.select(F.col("event_id").alias("request_id"), "ts", F.col("event_type").alias("path"),
+    return ev.select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"),
+                     F.col("event_type").alias("path"),
                      F.col("value").alias("latency_s"),
                      F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status_code"))
 
