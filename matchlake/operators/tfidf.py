@@ -13,7 +13,7 @@ exactly the corpus statistics of the repeated rows without repeating work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.text import clean, token_array
@@ -47,8 +47,10 @@ def transform(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "
     ``max_features`` rows, a proven bound, so it is broadcast."""
     tc = term_counts(docs, doc, text).join(F.broadcast(vocab), "term")
     raw = tc.select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
-    return raw.join(norms, doc).select(doc, "term", (F.col("w") / F.col("_n")).alias("w"))
+    # One document's postings are bounded by its distinct terms, so the norm is
+    # a window over the already doc-partitioned postings (no second join).
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
+    return raw.select(doc, "term", (F.col("w") / norm).alias("w"))
 
 
 def pair_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
