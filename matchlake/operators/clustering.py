@@ -230,7 +230,11 @@ def kmeans_best(df: DataFrame, cols, k: int, seeds=(42,), max_iter: int = 50):
     """K1: K-Means (k-means||) per seed, keep the least training cost."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
-    data = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df).cache()
+    from matchlake.session import cut_lineage
+    # Iterative fits re-read their input many times: materialise it once in
+    # the shared checkpoint folder (disk, survives executor loss) instead of
+    # pinning it in executor memory for the rest of the session.
+    data = cut_lineage(VectorAssembler(inputCols=list(cols), outputCol="features").transform(df))
     best = None
     for s in seeds:
         m = KMeans(k=k, seed=s, initMode="k-means||", maxIter=max_iter).fit(data)

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators.curves import linspace_grid
 from matchlake.operators.scoring import linear_margin, sigmoid
 from matchlake.operators.small import num, one_row, small_rows
@@ -20,7 +21,7 @@ from matchlake.operators.small import num, one_row, small_rows
 
 def linear_scorer(weights: dict, decimals: int = 6):
     """N15 as a function of a {feature: Column} mapping."""
-    return lambda cols: F.round(sigmoid(linear_margin(cols, weights)), decimals)
+    return lambda cols: round_half_away(sigmoid(linear_margin(cols, weights)), decimals)
 
 
 def percentile_grid(df: DataFrame, feature: str, n: int, lo_q: float = 0.05, hi_q: float = 0.95) -> list[float]:
@@ -91,4 +92,4 @@ def gaussian_nb_score(df: DataFrame, model: list[dict], features: list[str], dec
     """P(class 1) for a binary model (softmax of the two joint log-likelihoods)."""
     cols = {f: F.col(f).cast("double") for f in features}
     j0, j1 = (gaussian_nb_jll(cols, features, c) for c in model[:2])
-    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1)), decimals)
+    return round_half_away(F.lit(1.0) / (F.lit(1.0) + F.exp(j0 - j1)), decimals)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions.features import gap_columns
+from matchlake.functions.numeric import round_half_away
 from matchlake.functions.rules import confidence, decide
 
 # The default stored weights (intercept + one weight per model feature).
@@ -45,7 +46,7 @@ def score_linear(df: DataFrame, weights: dict | None = None, threshold: float =
     scores), decision at ``threshold`` and confidence, from raw rows."""
     w = weights or DEFAULT_WEIGHTS
     cols = gap_columns(df)
-    prob = F.round(sigmoid(linear_margin(cols, w)), decimals)
+    prob = round_half_away(sigmoid(linear_margin(cols, w)), decimals)
     out = df.select(*(keep or df.columns), prob.alias("probability"))
     return out.select("*", decide(F.col("probability"), threshold).alias("prediction"),
                       F.lit(float(threshold)).alias("threshold"))

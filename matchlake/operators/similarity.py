@@ -3,10 +3,14 @@ histogram (H7, H10, C3/F6, J3, D27)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.functions.numeric import round_half_away
 from matchlake.functions.text import cosine
 
 
@@ -19,7 +23,7 @@ def pair_cosine(pairs: DataFrame, vectors: DataFrame, left_key: str, right_key:
     rv = vectors.select(F.col(vec_id).alias(right_key), F.col(vec).alias("_rv"))
     c = cosine(F.col("_lv"), F.col("_rv"))
     if decimals is not None:
-        c = F.round(c, decimals)
+        c = round_half_away(c, decimals)
     return pairs.join(lv, left_key, "left").join(rv, right_key, "left").select(
         *pairs.columns, c.alias(name))
 
@@ -33,7 +37,7 @@ def heatmap(left: DataFrame, right: DataFrame, key: str, vec: str, n: int = 10)
     block = rh.select(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), F.col(vec).alias("v"))))).scalar()
     return (lh.select(F.col(key).alias("left_id"), F.col(vec).alias("lv"), F.explode(block).alias("r"))
               .select("left_id", F.col("r.k").alias("right_id"),
-                      F.round(cosine(F.col("lv"), F.col("r.v")), 6).alias("similarity")))
+                      round_half_away(cosine(F.col("lv"), F.col("r.v")), 6).alias("similarity")))
 
 
 def histogram(df: DataFrame, value: str, by=(), bins: int = 30) -> DataFrame:
@@ -51,10 +55,8 @@ def encode(df: DataFrame, text_col: str, encoder_factory, dim: int, out: str = "
     """Sentence-encoder plug-in as an iterator pandas UDF: the model is
     built once per Python worker and fed Arrow batches of texts.
     ``encoder_factory()`` returns a callable ``list[str] -> array (n, dim)``."""
-    import pandas as pd
-
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _enc(batches):
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = encoder_factory()
         for s in batches:
             vecs = model(s.fillna("").tolist())

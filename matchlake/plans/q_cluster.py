@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchlake.operators import clustering as CL
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.registry import query, r
+from matchlake.session import cut_lineage
 from matchlake.sources.adapter import modelling_table
 
 FEATS = CL.CLUSTER_FEATURES
@@ -145,7 +146,7 @@ query("d28_five_number_summary", with_ctes(
 
 
 def _sweep(spark, sf, ks=range(2, 7)):
-    p = CL.prepare(modelling_table(spark, sf)).cache()
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
     rows = []
     for k in ks:
         lab = p.select(*Z, (F.col("years_experience").cast("int") % k).alias("cluster"))
@@ -189,7 +190,7 @@ query("k01_kmeans_best_of_seeds")(_kmeans)
 
 def _kmeans_sweep(spark, sf, ks=range(2, 11)):
     from pyspark.ml.evaluation import ClusteringEvaluator
-    p = CL.prepare(modelling_table(spark, sf)).cache()
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
     rows = []
     for k in ks:
         model, data = CL.kmeans_best(p, Z, k, (42,))
@@ -204,7 +205,7 @@ query("k02_kmeans_k_sweep")(_kmeans_sweep)
 
 
 def _stability(spark, sf, k=2, seeds=(42, 52, 62, 72, 82)):
-    p = CL.prepare(modelling_table(spark, sf)).cache()
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
     base_model, data = CL.kmeans_best(p, Z, k, (seeds[0],))
     base = base_model.transform(data).select(*Z, F.col("prediction").alias("base"))
     rows = []

@@ -249,3 +249,12 @@ query("d23_feature_correlations", with_ctes(
     + "], recursive := true) FROM feat)"))(
     lambda s, d: PR.correlations(FE.model_features(M(s, d)), FE.MODEL_FEATURES).select(
         "feature_a", "feature_b", r(F.col("corr")).alias("corr")))
+
+
+def _gap_transformer(spark, sf):
+    """The ML Transformer form of the gap features (used inside saved pipelines)."""
+    from matchlake.operators.models import GapTransformer
+    return GapTransformer().transform(M(spark, sf)).select("application_id", *FE.MODEL_FEATURES)
+
+
+query("j04_gap_transformer", with_ctes(f"SELECT application_id, {MODEL_FEATS} FROM feat"))(_gap_transformer)

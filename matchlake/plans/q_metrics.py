@@ -12,6 +12,7 @@ from matchlake.operators import metrics as ME
 from matchlake.operators import sampling as SA
 from matchlake.operators import slices as SL
 from matchlake.functions.features import gap_columns
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators.scoring import (DEFAULT_WEIGHTS, linear_margin, score_linear,
                                        scored_applications, sigmoid)
 from matchlake.plans.oracle_base import with_ctes
@@ -57,7 +58,7 @@ def multi(spark, sf):
     g = gap_columns(m)
     cols = []
     for name, w in MODELS.items():
-        p = F.round(sigmoid(linear_margin(g, w)), 6)
+        p = round_half_away(sigmoid(linear_margin(g, w)), 6)
         cols += [p.alias(f"p_{name}"), (p >= 0.5).cast("int").alias(f"y_{name}")]
     return m.select("application_id", F.col("is_good_match").alias("label"), "education_level", *cols)
 
@@ -376,7 +377,7 @@ def _attach(spark, sf):
     from matchlake.functions.rules import threshold_columns
     m = modelling_table(spark, sf)
     g, rl = gap_columns(m), threshold_columns(m)
-    p = F.round(sigmoid(linear_margin(g, DEFAULT_WEIGHTS)), 6)
+    p = round_half_away(sigmoid(linear_margin(g, DEFAULT_WEIGHTS)), 6)
     return m.select("application_id", *[g[f].alias(f) for f in MODEL_FEATURES],
                     *[rl[k].alias(k) for k in ("experience", "python", "sql")], p.alias("probability"))
 

@@ -239,3 +239,19 @@ def _text_classifier(spark, sf):
 
 
 query("n22_text_classifier")(_text_classifier)
+
+
+# ------------------------------------------------------------ J3 / J4
+def _encode(spark, sf):
+    """The sentence-encoder plug-in path (iterator pandas UDF over Arrow
+    batches, model built once per worker) on whole documents; the default
+    encoder is a small feature-hashing stand-in."""
+    from matchlake.operators.similarity import encode, hashed_encoder
+    from matchlake.sources.tables import table
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = encode(docs, "text", hashed_encoder(64), 64)
+    return out.select("doc_id", F.size("embedding").alias("dim"),
+                      F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("n_tokens_hashed"))
+
+
+query("j03_encoder_plugin_documents")(_encode)

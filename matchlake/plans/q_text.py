@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchlake.functions import text as TX
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators import curves as CU
 from matchlake.operators import similarity as SI
 from matchlake.operators import tfidf as TF
@@ -113,8 +114,8 @@ def apps(spark, sf):
     return AD.applications(spark, sf).select("application_id", "candidate_id", "job_id", "is_good_match")
 
 
-def tfidf_parts(spark, sf):
-    a = apps(spark, sf)
+def tfidf_parts(spark, sf, a=None):
+    a = a if a is not None else apps(spark, sf)
     weights = a.groupBy(F.col("candidate_id").alias("doc")).agg(F.count(F.lit(1)).alias("weight"))
     rdocs = resumes(spark, sf).join(weights, "doc")
     vocab = TF.fit(rdocs, weight="weight", max_features=5000)
@@ -122,14 +123,14 @@ def tfidf_parts(spark, sf):
     return a, weights, vocab, TF.transform(rdocs, vocab), TF.transform(jdocs, vocab)
 
 
-def tfidf_similarity(spark, sf):
-    a, _, _, rp, jp = tfidf_parts(spark, sf)
+def tfidf_similarity(spark, sf, a=None):
+    a, _, _, rp, jp = tfidf_parts(spark, sf, a)
     sims = TF.pair_cosine(a, rp, jp, "candidate_id", "job_id")
     return a.join(sims, ["candidate_id", "job_id"])
 
 
-def embedding_similarity(spark, sf):
-    a = apps(spark, sf)
+def embedding_similarity(spark, sf, a=None):
+    a = a if a is not None else apps(spark, sf)
     n = table(spark, sf, "embeddings").select(F.count(F.lit(1))).scalar()
     pairs = a.select("*", (F.col("candidate_id") % n).alias("_lv_id"),
                      ((F.col("job_id") * 7 + 3) % n).alias("_rv_id"))
@@ -138,8 +139,8 @@ def embedding_similarity(spark, sf):
     return s.drop("_lv_id", "_rv_id")
 
 
-def skills(spark, sf):
-    a = apps(spark, sf)
+def skills(spark, sf, a=None):
+    a = a if a is not None else apps(spark, sf)
     rs = resumes(spark, sf).select(F.col("doc").alias("candidate_id"),
                                    TX.extract_skills(F.col("text")).alias("resume_skills"))
     js = jds(spark, sf).select(F.col("doc").alias("job_id"), TX.extract_skills(F.col("text")).alias("jd_skills"))
@@ -147,14 +148,16 @@ def skills(spark, sf):
 
 
 def nlp_features(spark, sf):
-    """The NLP feature row per application."""
-    e = embedding_similarity(spark, sf)
-    t = tfidf_similarity(spark, sf).select("application_id", "tfidf_similarity")
-    s = skills(spark, sf).select("application_id", "resume_skills", "jd_skills")
+    """The NLP feature row per application. The application frame is
+    built once and shared, so identical sub-plans reuse one exchange."""
+    a = apps(spark, sf)
+    e = embedding_similarity(spark, sf, a)
+    t = tfidf_similarity(spark, sf, a).select("application_id", "tfidf_similarity")
+    s = skills(spark, sf, a).select("application_id", "resume_skills", "jd_skills")
     rs, js = F.col("resume_skills"), F.col("jd_skills")
     return (e.join(t, "application_id").join(s, "application_id")
              .select("application_id", "is_good_match", "embedding_similarity",
-                     F.round("tfidf_similarity", 6).alias("tfidf_similarity"),
+                     round_half_away(F.col("tfidf_similarity"), 6).alias("tfidf_similarity"),
                      TX.overlap_count(rs, js).alias("skill_overlap_count"),
                      TX.coverage(rs, js).alias("keyword_coverage_percentage"),
                      TX.missing_count(js, rs).alias("missing_required_skills")))
@@ -202,7 +205,7 @@ query("h08_tfidf_postings", with_ctes(
 query("h09_tfidf_similarity", with_ctes(
     "SELECT application_id, round(tfidf_similarity, 6) AS tfidf_similarity FROM apps JOIN tfsim USING (candidate_id, job_id)",
     TEXT_CTES))(
-    lambda s, d: tfidf_similarity(s, d).select("application_id", F.round("tfidf_similarity", 6).alias("tfidf_similarity")))
+    lambda s, d: tfidf_similarity(s, d).select("application_id", round_half_away(F.col("tfidf_similarity"), 6).alias("tfidf_similarity")))
 query("h10_embedding_similarity", with_ctes("SELECT application_id, embedding_similarity FROM embsim", TEXT_CTES))(
     lambda s, d: embedding_similarity(s, d).select("application_id", "embedding_similarity"))
 query("h07_cosine_dense_pairs", """SELECT a.vec_id AS left_id, b.vec_id AS right_id,

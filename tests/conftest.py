@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from matchlake.session import get_session
     s = get_session("local[*]", app="matchlake-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="matchlake-test-ckpt-")})
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="matchlake-test-ckpt-"),
+                           "spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -178,3 +178,13 @@ def test_impute_median_even_count_and_absent(spark):
     rows = [r for r in PR.impute_median(df, ["a", "missing"]).collect()]
     assert rows[-1]["a"] == 2.5 and all(r["missing"] == 0.0 for r in rows)
     assert not math.isnan(rows[0]["a"])
+
+
+def test_round_half_away_matches_duckdb(spark):
+    import duckdb
+    vals = [0.25275, 0.1234565, 0.5, 0.0000005, 0.9999995, 1e-7, 0.3333333333, 0.7071067811865476]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    from matchlake.functions.numeric import round_half_away
+    got = [r[0] for r in df.select(round_half_away(F.col("x"), 6)).collect()]
+    exp = [duckdb.sql(f"SELECT round({v!r}::DOUBLE, 6)").fetchone()[0] for v in vals]
+    assert got == exp
