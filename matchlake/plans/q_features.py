@@ -79,7 +79,7 @@ def fill_or_create(spark, sf):
 
 query("b03_fill_or_create", with_ctes(
     "SELECT application_id, " + ", ".join(
-        f"coalesce({c}, 0.0) AS {c}" if c != "javascript_required" else "0.0 AS javascript_required"
+        f"coalesce({c}, 0.0) AS {c}" if c != "javascript_required" else "0.0::DOUBLE AS javascript_required"
         for c in SCORE_COLS + REQ_COLS) + " FROM modelling"))(fill_or_create)
 
 

@@ -190,7 +190,7 @@ query("d06_brier_score", with_ctes(
     "SELECT round(avg(pow(probability - label, 2)), 9) AS brier_score FROM scored", [SCORED_CTE]))(
     lambda s, d: ME.brier(S(s, d)).select(r(F.col("brier_score")).alias("brier_score")))
 query("d13_expected_cost", with_ctes(
-    f"SELECT *, fp * 500.0 + fn * 2000.0 AS expected_cost FROM (SELECT {CONF_SQL} FROM scored)", [SCORED_CTE]))(
+    f"SELECT *, fp * 500.0::DOUBLE + fn * 2000.0::DOUBLE AS expected_cost FROM (SELECT {CONF_SQL} FROM scored)", [SCORED_CTE]))(
     lambda s, d: ME.expected_cost(S(s, d)))
 query("d29_batch_summary", with_ctes(
     "SELECT count(*) AS batch_size, CAST(coalesce(sum(prediction), 0) AS BIGINT) AS positives FROM scored",
@@ -224,9 +224,11 @@ def cum_sql(src, score="probability", by=None):
     return CUM_SQL.format(g=f"{by}, " if by else "", p=by or "NULL", score=score, src=src)
 
 
-def prauc_sql(src, score="probability", by=None, name="pr_auc"):
+def prauc_sql(src, score="probability", by=None, name="pr_auc", decimals=9):
     g = f"{by}, " if by else ""
-    return f"""SELECT {g}round(sum((r - r0) * (p + p0) / 2), 9) AS {name} FROM (
+    total = "sum((r - r0) * (p + p0) / 2)"
+    total = f"round({total}, {decimals})" if decimals is not None else total
+    return f"""SELECT {g}{total} AS {name} FROM (
     SELECT *, coalesce(lag(r) OVER (PARTITION BY {by or 'NULL'} ORDER BY score DESC), 0.0) AS r0,
               coalesce(lag(p) OVER (PARTITION BY {by or 'NULL'} ORDER BY score DESC), 1.0) AS p0
     FROM (SELECT {g}score, tp / "P" AS r, CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchlake.functions.features import MODEL_FEATURES
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators import curves as CU
 from matchlake.operators import evaluation as EV
 from matchlake.operators import explain as EX
@@ -185,7 +186,7 @@ FOLDS_CTE = ("fm", " UNION ALL ".join(
 BY = "model, k, fold"
 FOLD_METRICS_CTE = ("fold_metrics", f"""SELECT * FROM
     (SELECT {BY}, {rates_sql()} FROM (SELECT {BY}, {CONF_SQL} FROM fm GROUP BY ALL))
-    JOIN ({auc_sql('fm', by=BY)}) USING (model, k, fold) JOIN ({prauc_sql('fm', by=BY)}) USING (model, k, fold)""")
+    JOIN ({auc_sql('fm', by=BY)}) USING (model, k, fold) JOIN ({prauc_sql('fm', by=BY, decimals=None)}) USING (model, k, fold)""")
 FOLD_CTES = [MULTI_CTE, LONG_CTE, FOLDS_CTE, FOLD_METRICS_CTE]
 R9 = lambda c: f"round({c}, 9) AS {c}"
 query("g04_fold_metric_rows", with_ctes(
@@ -214,7 +215,7 @@ query("t10_generalization_report", with_ctes(
 
 # ------------------------------------------------------------ D30-D32
 MODEL_METRICS_CTE = ("mm", f"""SELECT * FROM (SELECT model, {rates_sql()} FROM (SELECT model, {CONF_SQL} FROM long_models GROUP BY 1))
-    JOIN ({auc_sql('long_models', by='model')}) USING (model) JOIN ({prauc_sql('long_models', by='model')}) USING (model)""")
+    JOIN ({auc_sql('long_models', by='model')}) USING (model) JOIN ({prauc_sql('long_models', by='model', decimals=None)}) USING (model)""")
 query("d30_lift_pp", with_ctes(
     """SELECT round((o.accuracy - b.accuracy) * 100, 9) AS lift_accuracy_pp, round((o.roc_auc - b.roc_auc) * 100, 9) AS lift_roc_auc_pp
        FROM (SELECT * FROM mm WHERE model = 'linear_a') b, (SELECT * FROM mm WHERE model = 'linear_b') o""",

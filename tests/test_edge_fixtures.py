@@ -186,5 +186,6 @@ def test_round_half_away_matches_duckdb(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     from matchlake.functions.numeric import round_half_away
     got = [r[0] for r in df.select(round_half_away(F.col("x"), 6)).collect()]
-    exp = [duckdb.sql(f"SELECT round({v!r}::DOUBLE, 6)").fetchone()[0] for v in vals]
+    con = duckdb.connect()
+    exp = [con.execute(f"SELECT round({v!r}::DOUBLE, 6)").fetchone()[0] for v in vals]
     assert got == exp
