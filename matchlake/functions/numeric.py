@@ -16,3 +16,18 @@ def round_half_away(x: Column, decimals: int) -> Column:
     fl = F.floor(y).cast("double")
     r = fl + F.when(y - fl >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(F.signum(x) * r / F.lit(s))
+
+
+def grid_mean(x: Column, decimals: int = 6) -> Column:
+    """Aggregate: exact mean of values that lie on a 10^-decimals grid (the
+    library's rounded scores). Values are summed as integers, so the result
+    does not depend on partitioning or summation order and is reproducible
+    bit for bit by any engine (``sum(floor(x*10^d + 0.5)) / count / 10^d``)."""
+    s = float(10 ** decimals)
+    units = F.floor(x * F.lit(s) + F.lit(0.5)).cast("long")
+    return F.sum(units) / F.count(x) / F.lit(s)
+
+
+def grid_mean_sql(x: str, decimals: int = 6) -> str:
+    s = f"{float(10 ** decimals)!r}::DOUBLE"
+    return f"(sum(CAST(floor({x} * {s} + 0.5) AS BIGINT)) / count({x}) / {s})"

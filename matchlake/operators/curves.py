@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchlake.functions.numeric import grid_mean
 from matchlake.operators.metrics import LABEL, PROB, ratio
 
 INF = float("inf")
@@ -148,12 +149,14 @@ def roc_points(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
 
 
 def reliability(df: DataFrame, by=(), prob: str = PROB, label: str = LABEL,
-                n_bins: int = 10) -> DataFrame:
+                n_bins: int = 10, grid_decimals: int | None = None) -> DataFrame:
     """Equal-width bins, a value on an inner edge goes to the lower bin;
-    empty bins are absent."""
+    empty bins are absent. With ``grid_decimals`` (scores already rounded) the
+    bin mean is the exact integer-sum mean."""
     b = F.least(F.greatest(F.ceil(F.col(prob) * n_bins).cast("int") - 1, F.lit(0)), F.lit(n_bins - 1))
+    mean = grid_mean(F.col(prob), grid_decimals) if grid_decimals is not None else F.avg(prob)
     return df.groupBy(*by, b.alias("bin")).agg(
-        F.avg(prob).alias("mean_predicted"), F.avg(F.col(label).cast("double")).alias("fraction_positive"),
+        mean.alias("mean_predicted"), F.avg(F.col(label).cast("double")).alias("fraction_positive"),
         F.count(F.lit(1)).alias("n"))
 
 

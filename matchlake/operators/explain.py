@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.functions.numeric import round_half_away
+from matchlake.functions.numeric import grid_mean, round_half_away
 from matchlake.operators.curves import linspace_grid
 from matchlake.operators.scoring import linear_margin, sigmoid
 from matchlake.operators.small import num, one_row, small_rows
@@ -30,18 +30,23 @@ def percentile_grid(df: DataFrame, feature: str, n: int, lo_q: float = 0.05, hi_
     return linspace_grid(lo, hi, n) if n > 1 else [lo]
 
 
+def _mean(p: Column, grid_decimals: int | None) -> Column:
+    return grid_mean(p, grid_decimals) if grid_decimals is not None else F.avg(p)
+
+
 def partial_dependence(df: DataFrame, features: list[str], scorer, feature: str,
-                       grid: list[float]) -> DataFrame:
-    """Mean score with ``feature`` set to each grid value for every row."""
+                       grid: list[float], grid_decimals: int | None = None) -> DataFrame:
+    """Mean score with ``feature`` set to each grid value for every row
+    (``grid_decimals``: scores are rounded, take the exact integer-sum mean)."""
     g = F.array(*[F.struct(F.lit(i).alias("i"), num(v).alias("v")) for i, v in enumerate(grid)])
     x = df.select(*features, F.explode(g).alias("g"))
     cols = {f: (F.col("g.v") if f == feature else F.col(f)) for f in features}
     return (x.select(F.col("g.i").alias("grid_index"), F.col("g.v").alias("grid_value"), scorer(cols).alias("p"))
-             .groupBy("grid_index", "grid_value").agg(F.avg("p").alias("mean_probability")))
+             .groupBy("grid_index", "grid_value").agg(_mean(F.col("p"), grid_decimals).alias("mean_probability")))
 
 
 def partial_dependence_2d(df: DataFrame, features: list[str], scorer, fa: str, ga: list[float],
-                          fb: str, gb: list[float]) -> DataFrame:
+                          fb: str, gb: list[float], grid_decimals: int | None = None) -> DataFrame:
     """Two-feature grid (len(ga) x len(gb) points per row)."""
     g = F.array(*[F.struct(F.lit(i).alias("i"), num(a).alias("a"), F.lit(j).alias("j"), num(b).alias("b"))
                   for i, a in enumerate(ga) for j, b in enumerate(gb)])
@@ -49,7 +54,7 @@ def partial_dependence_2d(df: DataFrame, features: list[str], scorer, fa: str, g
     cols = {f: (F.col("g.a") if f == fa else F.col("g.b") if f == fb else F.col(f)) for f in features}
     return (x.select(F.col("g.i").alias("i"), F.col("g.j").alias("j"), F.col("g.a").alias("value_a"),
                      F.col("g.b").alias("value_b"), scorer(cols).alias("p"))
-             .groupBy("i", "j", "value_a", "value_b").agg(F.avg("p").alias("mean_probability")))
+             .groupBy("i", "j", "value_a", "value_b").agg(_mean(F.col("p"), grid_decimals).alias("mean_probability")))
 
 
 def what_if(df: DataFrame, features: list[str], scorer, scenarios: list[dict], key: str,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import features as FE
 from matchlake.functions import rules as RU
+from matchlake.functions.numeric import grid_mean, grid_mean_sql
 from matchlake.operators import board as BO
 from matchlake.operators import prep as PR
 from matchlake.plans.oracle_base import edu_rank_sql, with_ctes
@@ -45,13 +46,14 @@ def title_summary(spark, sf):
              .agg(F.count(F.lit(1)).alias("n_applications"),
                   r(F.avg("is_good_match")).alias("match_rate"),
                   r(F.avg(F.col("all_pass").cast("int"))).alias("all_rules_pass_rate"),
-                  *[r(F.avg(f)).alias(f"mean_{f}") for f in FE.MODEL_FEATURES]))
+                  # gaps live on the 0.1 grid: exact integer-sum means
+                  *[grid_mean(F.col(f), 1).alias(f"mean_{f}") for f in FE.MODEL_FEATURES]))
 
 
 query("q00_title_summary", with_ctes(
     "SELECT title, count(*) AS n_applications, round(avg(is_good_match), 9) AS match_rate, "
     "round(avg(CAST(" + " AND ".join(RULE_SQL) + " AS INTEGER)), 9) AS all_rules_pass_rate, "
-    + ", ".join(f"round(avg({f}), 9) AS mean_{f}" for f in FE.MODEL_FEATURES)
+    + ", ".join(f"{grid_mean_sql(f, 1)} AS mean_{f}" for f in FE.MODEL_FEATURES)
     + " FROM rules GROUP BY title", [RULES_CTE]))(title_summary)
 
 # ------------------------------------------------------------ adapter / joins

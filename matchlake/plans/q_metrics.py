@@ -12,7 +12,7 @@ from matchlake.operators import metrics as ME
 from matchlake.operators import sampling as SA
 from matchlake.operators import slices as SL
 from matchlake.functions.features import gap_columns
-from matchlake.functions.numeric import round_half_away
+from matchlake.functions.numeric import grid_mean_sql, round_half_away
 from matchlake.operators.scoring import (DEFAULT_WEIGHTS, linear_margin, score_linear,
                                        scored_applications, sigmoid)
 from matchlake.plans.oracle_base import with_ctes
@@ -244,9 +244,9 @@ query("e02_cumulative_counts", with_ctes(
     lambda s, d: CU.cumulative_counts(S(s, d)).select("score", "pos", "neg", "tp", "fp"))
 query("d07_reliability_curve", with_ctes(
     "SELECT least(greatest(CAST(ceil(probability * 10) AS INTEGER) - 1, 0), 9) AS bin, "
-    "round(avg(probability), 9) AS mean_predicted, round(avg(CAST(label AS DOUBLE)), 9) AS fraction_positive, "
+    f"{grid_mean_sql('probability')} AS mean_predicted, round(avg(CAST(label AS DOUBLE)), 9) AS fraction_positive, "
     "count(*) AS n FROM scored GROUP BY 1", [SCORED_CTE]))(
-    lambda s, d: CU.reliability(S(s, d)).select("bin", r(F.col("mean_predicted")).alias("mean_predicted"),
+    lambda s, d: CU.reliability(S(s, d), grid_decimals=6).select("bin", "mean_predicted",
                                                 r(F.col("fraction_positive")).alias("fraction_positive"), "n"))
 query("d08_roc_curve", with_ctes(
     """SELECT score AS threshold, fp / "N" AS fpr, tp / "P" AS tpr FROM (

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchlake.functions.features import MODEL_FEATURES
-from matchlake.functions.numeric import round_half_away
+from matchlake.functions.numeric import grid_mean, grid_mean_sql, round_half_away
 from matchlake.operators import curves as CU
 from matchlake.operators import evaluation as EV
 from matchlake.operators import explain as EX
@@ -81,9 +81,8 @@ def _pd1(spark, sf):
     out = None
     for f in PD_FEATURES:
         g = EX.percentile_grid(m, f, 50)
-        pdf = EX.partial_dependence(m, MODEL_FEATURES, SCORER, f, g).select(
-            F.lit(f).alias("feature"), "grid_index", r(F.col("grid_value")).alias("grid_value"),
-            r(F.col("mean_probability"), 6).alias("mean_probability"))
+        pdf = EX.partial_dependence(m, MODEL_FEATURES, SCORER, f, g, grid_decimals=6).select(
+            F.lit(f).alias("feature"), "grid_index", r(F.col("grid_value")).alias("grid_value"), "mean_probability")
         out = pdf if out is None else out.unionByName(pdf)
     return out
 
@@ -102,7 +101,7 @@ def _prob_expr(override: dict) -> str:
 
 
 query("n18_partial_dependence_1d", with_ctes(" UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, g.i AS grid_index, round(g.v, 9) AS grid_value, round(avg({_prob_expr({f: 'g.v'})}), 6)
+    f"""SELECT '{f}' AS feature, g.i AS grid_index, round(g.v, 9) AS grid_value, {grid_mean_sql(_prob_expr({f: 'g.v'}))}
         AS mean_probability FROM feat, grid_{f} g GROUP BY g.i, g.v""" for f in PD_FEATURES),
     [_grid_cte(f, 50, f"grid_{f}") for f in PD_FEATURES]))(_pd1)
 
@@ -110,14 +109,14 @@ query("n18_partial_dependence_1d", with_ctes(" UNION ALL ".join(
 def _pd2(spark, sf):
     m = model_features(modelling_table(spark, sf))
     ga, gb = EX.percentile_grid(m, "diff_experience", 30), EX.percentile_grid(m, "diff_python", 30)
-    return EX.partial_dependence_2d(m, MODEL_FEATURES, SCORER, "diff_experience", ga, "diff_python", gb).select(
-        "i", "j", r(F.col("value_a")).alias("value_a"), r(F.col("value_b")).alias("value_b"),
-        r(F.col("mean_probability"), 6).alias("mean_probability"))
+    return EX.partial_dependence_2d(m, MODEL_FEATURES, SCORER, "diff_experience", ga, "diff_python", gb,
+                                    grid_decimals=6).select(
+        "i", "j", r(F.col("value_a")).alias("value_a"), r(F.col("value_b")).alias("value_b"), "mean_probability")
 
 
 query("n19_partial_dependence_2d", with_ctes(
     f"""SELECT a.i AS i, b.i AS j, round(a.v, 9) AS value_a, round(b.v, 9) AS value_b,
-        round(avg({_prob_expr({'diff_experience': 'a.v', 'diff_python': 'b.v'})}), 6) AS mean_probability
+        {grid_mean_sql(_prob_expr({'diff_experience': 'a.v', 'diff_python': 'b.v'}))} AS mean_probability
         FROM feat, ga a, gb b GROUP BY a.i, b.i, a.v, b.v""",
     [_grid_cte("diff_experience", 30, "ga"), _grid_cte("diff_python", 30, "gb")]))(_pd2)
 
@@ -270,9 +269,9 @@ def _expansion(spark, sf):
                                                       for i, v in enumerate(g)])).alias("g"))
     cols = {f: (F.col("g.v") if f == "diff_experience" else F.col(f)) for f in MODEL_FEATURES}
     return x.groupBy(F.col("g.i").alias("grid_index")).agg(
-        F.count(F.lit(1)).alias("n_rows"), r(F.avg(SCORER(cols)), 6).alias("mean_probability"))
+        F.count(F.lit(1)).alias("n_rows"), grid_mean(SCORER(cols), 6).alias("mean_probability"))
 
 
 query("c05_row_grid_expansion", with_ctes(
-    f"""SELECT g.i AS grid_index, count(*) AS n_rows, round(avg({_prob_expr({'diff_experience': 'g.v'})}), 6)
+    f"""SELECT g.i AS grid_index, count(*) AS n_rows, {grid_mean_sql(_prob_expr({'diff_experience': 'g.v'}))}
         AS mean_probability FROM feat, grid_e g GROUP BY g.i""", [_grid_cte("diff_experience", 50, "grid_e")]))(_expansion)
