@@ -16,6 +16,7 @@ from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.q_metrics import (CONF_SQL, LONG_CTE, MODELS, MULTI_CTE, SCORED_CTE, S, _rn_sql,
                                        auc_sql, long_models, multi, prauc_sql, rates_sql)
 from matchlake.plans.registry import query, r
+from matchlake.session import cut_lineage
 from matchlake.sources.adapter import modelling_table
 from matchlake.functions.features import model_features
 
@@ -168,15 +169,19 @@ KS = (5, 10)
 
 
 def _fold_rows(spark, sf):
-    """Per (model, k, fold) metric rows, stacked over k."""
+    """Per (model, k, fold) metric rows for every k at once: the exact
+    stratified row number is computed once, each k's fold is (rn - 1) mod k,
+    and one grouped metric pass covers all (model, k, fold) groups."""
     lm = long_models(spark, sf)
-    out = None
-    for k in KS:
-        f = SA.kfold(lm.filter(F.col("model") == list(MODELS)[0]).select("application_id", "label"),
-                     "application_id", k, 42, "label").select("application_id", "fold")
-        rows = EV.binary_metrics(lm.join(f, "application_id").withColumn("k", F.lit(k)), ["model", "k", "fold"])
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    base = lm.filter(F.col("model") == list(MODELS)[0]).select("application_id", "label")
+    rn = SA.exact_row_number(base, "application_id", 42, ["label"]).select("application_id", "rn")
+    ks = F.array(*[F.lit(k) for k in KS])
+    folds = rn.select("application_id", "rn", F.explode(ks).alias("k")).select(
+        "application_id", "k", F.pmod(F.col("rn") - 1, F.col("k")).cast("int").alias("fold"))
+    # The scored (model, k, fold) table feeds three aggregations (rates, AUC,
+    # PR-AUC): materialise it once in the shared checkpoint folder.
+    scored = cut_lineage(lm.join(folds, "application_id"))
+    return EV.binary_metrics(scored, ["model", "k", "fold"])
 
 
 FOLDS_CTE = ("fm", " UNION ALL ".join(
