@@ -22,6 +22,7 @@ def query(name: str, sql: str | None = None):
 
 
 def r(x, d: int = 9):
-    """Round a float aggregate (summation order differs between engines)."""
-    from pyspark.sql import functions as F
-    return F.round(x, d)
+    """Round a float output (summation order differs between engines) with the
+    same half-away-from-zero rule on binary doubles that the SQL twins use."""
+    from matchlake.functions.numeric import round_half_away
+    return round_half_away(x, d)
