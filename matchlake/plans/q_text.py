@@ -14,6 +14,7 @@ from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.registry import query, r
 from matchlake.sources import adapter as AD
 from matchlake.sources.adapter import REQ_COLS, SCORE_COLS
+from matchlake.session import cut_lineage
 from matchlake.sources.tables import table
 
 # ------------------------------------------------------------ SQL fragments
@@ -148,9 +149,10 @@ def skills(spark, sf, a=None):
 
 
 def nlp_features(spark, sf):
-    """The NLP feature row per application. The application frame is
-    built once and shared, so identical sub-plans reuse one exchange."""
-    a = apps(spark, sf)
+    """The NLP feature row per application. The narrow application frame
+    (4 columns, behind the two modelling joins) feeds four branches, so it is
+    materialised once in the shared checkpoint folder."""
+    a = cut_lineage(apps(spark, sf))
     e = embedding_similarity(spark, sf, a)
     t = tfidf_similarity(spark, sf, a).select("application_id", "tfidf_similarity")
     s = skills(spark, sf, a).select("application_id", "resume_skills", "jd_skills")
