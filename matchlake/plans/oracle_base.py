@@ -1,6 +1,6 @@
 """DuckDB twins of the adapter and of the gap features, as CTE text.
 
-The oracle queries in ``oracle.py`` are ``WITH <ctes> SELECT ...``; these CTEs
+The oracle queries in ``plans/q_*.py`` are ``WITH <ctes> SELECT ...``; these CTEs
 are generated from the same fixed values as ``matchlake.sources.adapter`` so
 that the two engines compute the same entities.
 """

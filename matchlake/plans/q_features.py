@@ -17,7 +17,6 @@ from matchlake.sources.postings import PUBLISHED_EPOCH_S, PUBLISHED_MULT, PUBLIS
 
 M = AD.modelling_table
 MODEL_FEATS = ", ".join(FE.MODEL_FEATURES)
-ALL_FEATS = ", ".join(FE.ALL_FEATURES)
 
 # ------------------------------------------------------------ flagship
 RULE_SQL = {

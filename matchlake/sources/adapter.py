@@ -2,7 +2,7 @@
 
 The test data has no candidates, jobs or applications, so they are derived
 with integer arithmetic that is textually the same in Spark and in the DuckDB
-oracle (see ``matchlake.plans.oracle.ADAPTER_SQL``):
+oracle (see ``matchlake.plans.oracle_base.BASE_CTES``):
 
 * candidates  <- customer x nation (nation is the 25-row TPC-H dimension)
 * jobs        <- part x nation on ``p % 25``
@@ -38,7 +38,7 @@ JOB_COLS = (["job_id", "company", "title", "location", "exp_required_years", "sa
             + REQ_COLS + ["edu_minimum"])
 
 
-def _edu(k: Column, mod: int, phd_lt: int = 1, pg_lt: int = 5) -> Column:
+def _edu(k: Column, mod: int, pg_lt: int = 5) -> Column:
     r = k % mod
     return F.when(r == 0, "PhD").when(r < pg_lt, "PG").otherwise("UG")
 
