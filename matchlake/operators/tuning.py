@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import random
 import statistics
 import time
@@ -26,7 +27,9 @@ from matchlake.operators import metrics as ME
 from matchlake.operators import models as MO
 from matchlake.operators.small import one_row
 
-PARALLELISM = 8
+# Concurrent fits from driver threads; small fits are scheduling-bound, so
+# more threads than cores keeps executors busy (override per deployment).
+PARALLELISM = int(os.environ.get("MATCHLAKE_FIT_PARALLELISM", "16"))
 
 
 def pmap(fn, items, parallelism: int = PARALLELISM):
