@@ -189,3 +189,16 @@ def test_round_half_away_matches_duckdb(spark):
     con = duckdb.connect()
     exp = [con.execute(f"SELECT round({v!r}::DOUBLE, 6)").fetchone()[0] for v in vals]
     assert got == exp
+
+
+def test_grid_mean_is_exact_and_matches_sql(spark):
+    import duckdb
+    from matchlake.functions.numeric import grid_mean, grid_mean_sql
+    vals = [0.123456, 0.5, 0.999999, 0.000001, 0.25, 0.75, 0.1, 0.3]
+    df = spark.createDataFrame([(v,) for v in vals], "p double").repartition(3)
+    got = df.agg(grid_mean(F.col("p"), 6)).first()[0]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(p DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
+    assert got == con.execute(f"SELECT {grid_mean_sql('p')} FROM t").fetchone()[0]
+    assert got == sum(round(v * 1e6) for v in vals) / len(vals) / 1e6
