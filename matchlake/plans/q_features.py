@@ -13,7 +13,8 @@ from matchlake.plans.oracle_base import edu_rank_sql, with_ctes
 from matchlake.plans.registry import query, r
 from matchlake.sources import adapter as AD
 from matchlake.sources.adapter import REQ_COLS, SCORE_COLS
-from matchlake.sources.postings import PUBLISHED_EPOCH_S, PUBLISHED_MULT, PUBLISHED_SPREAD_S, postings, request_log
+from matchlake.sources.postings import (PUBLISHED_EPOCH_S, PUBLISHED_MULT, PUBLISHED_SPREAD_S, epoch_ntz,
+                                        postings, request_log)
 
 M = AD.modelling_table
 MODEL_FEATS = ", ".join(FE.MODEL_FEATURES)
@@ -184,7 +185,7 @@ CUTOFF = PUBLISHED_EPOCH_S + PUBLISHED_SPREAD_S // 2
 def new_postings(spark, sf):
     p = postings(spark, sf).select("id", F.regexp_replace("url", r"[?#].*$", "").alias("url"),
                                    "title", "published_at")
-    existing = p.filter(F.col("published_at") < F.timestamp_seconds(F.lit(CUTOFF)))
+    existing = p.filter(F.col("published_at") < epoch_ntz(CUTOFF))
     return BO.new_postings(p, existing, key="url", order="id")
 
 

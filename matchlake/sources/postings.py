@@ -18,6 +18,13 @@ PUBLISHED_SPREAD_S = 8640000
 PUBLISHED_MULT = 2654435761
 
 
+def epoch_ntz(seconds) -> "F.Column":
+    """Seconds since the epoch as a TIMESTAMP_NTZ wall clock: independent of
+    the session time zone (like the test tables' own timestamps)."""
+    secs = seconds if not isinstance(seconds, (int, float)) else F.lit(seconds)
+    return F.timestamp_add("SECOND", secs, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The posting table. Published time is a deterministic function of the id."""
     pages = table(spark, sf_dir, "pages")
@@ -30,8 +37,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("html").alias("description"),
         F.col("url"),
         F.lit("pages").alias("source"),
-        F.timestamp_seconds(F.lit(PUBLISHED_EPOCH_S) + (pid * PUBLISHED_MULT) % PUBLISHED_SPREAD_S
-                            ).alias("published_at"),
+        epoch_ntz(F.lit(PUBLISHED_EPOCH_S) + (pid * PUBLISHED_MULT) % PUBLISHED_SPREAD_S).alias("published_at"),
     )
 
 
