@@ -37,6 +37,7 @@ ENDS[[ord(c) for c in ".!?\n"]] = True
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 MIN_DOCS, ROUNDS, RATE, PENALTY, SMALLEST = 10, 120, 0.15, 0.3, 0.05
+PER_CLASS = 2000
 
 
 def sentence_words(raw: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -89,34 +90,39 @@ def log_clean(margin: np.ndarray) -> np.ndarray:
 
 def fit(texts: pa.Array, target: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> SentenceModel:
     """Word weights and bias by Adam on the weighted bag likelihood."""
-    words, bag_of = [], []
-    for a, _, raw, offsets in slices(texts):
+    ids: dict[bytes, int] = {}
+    words, keys = [], []
+    for a, _, raw, offsets in slices(texts, 1 << 20):  # a slice's words become numbers at once
         w, starts, sentence = sentence_words(raw)
-        owner = np.searchsorted(offsets, starts, "right") - 1
+        number = np.fromiter((ids.setdefault(x, len(ids)) for x in w), np.int32, len(w))
         # a sentence does not cross texts
-        key = owner.astype(np.int64) << 32 | sentence
-        words += w
-        bag_of.append(key + (np.int64(a) << 32))
-    keys = np.concatenate(bag_of) if bag_of else np.zeros(0, np.int64)
+        key = (np.searchsorted(offsets, starts, "right") - 1 + a).astype(np.int64) << 32 | sentence
+        fresh = np.append(True, (number[1:] != number[:-1]) | (key[1:] != key[:-1]))[:len(w)]
+        words.append(number[fresh])
+        keys.append(key[fresh])
+    keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
     n_docs = len(target)
     if not len(keys) or not 0 < (weight * target).sum() < weight.sum():
         return SentenceModel({}, -30.0 if not len(target) or not target.any() else 30.0)
+    word = np.concatenate(words)
+    del words
     keys, sentence = np.unique(keys, return_inverse=True)
-    bag = (keys >> 32).astype(np.int64)
-    ids: dict[bytes, int] = {}
-    word = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
-    fresh = np.append(True, word[1:] != word[:-1])
-    word, sentence = word[fresh], sentence[fresh]
+    sentence, bag = sentence.astype(np.int32), (keys >> 32).astype(np.int32)
     named: dict[bytes, int] = {}
-    of_word = np.array([[named.setdefault(f, len(named)) for f in features(w)] for w in ids], np.int64)
-    word, sentence = of_word[word].ravel(), np.repeat(sentence, of_word.shape[1])
-    ids = named
-    pair = np.unique(word * n_docs + bag[sentence])
-    in_docs = np.bincount(pair // n_docs, minlength=len(ids))
+    of_word = np.array([[named.setdefault(f, len(named)) for f in features(w)] for w in ids], np.int32)
+    del ids
+    in_doc = np.unique(word.astype(np.int64) * n_docs + bag[sentence])
+    both = np.unique(of_word[in_doc // n_docs].astype(np.int64) * n_docs + (in_doc % n_docs)[:, None])
+    in_docs = np.bincount(both // n_docs, minlength=len(named))
+    del in_doc, both
     usual = in_docs >= MIN_DOCS
     place = np.cumsum(usual) - 1
-    keep = usual[word]
-    column, row = place[word[keep]], sentence[keep]
+    column, row = [], []
+    for f in of_word.T:  # the word itself, then its beginnings
+        keep = usual[f[word]]
+        column.append(place[f[word[keep]]].astype(np.int32))
+        row.append(sentence[keep])
+    column, row = np.concatenate(column), np.concatenate(row)
     n_words, n_sent = int(usual.sum()), len(keys)
     theta = np.zeros(n_words + 1)
     share = (weight * target).sum() / weight.sum()
@@ -134,7 +140,7 @@ def fit(texts: pa.Array, target: np.ndarray, weight: np.ndarray, rounds: int = R
         second = 0.99 * second + 0.01 * grad * grad
         theta -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-9)
         np.maximum(theta[:-1], 0.0, out=theta[:-1])  # a word can only add to the blame
-    names = np.array(list(ids), object)[usual]
+    names = np.array(list(named), object)[usual]
     kept = np.abs(theta[:-1]) >= SMALLEST
     return SentenceModel(dict(zip(names[kept].tolist(), theta[:-1][kept].tolist(), strict=True)), float(theta[-1]))
 
@@ -205,7 +211,7 @@ def offending(text: Column | str, model: SentenceModel, least: float = 0.5) -> C
 
 def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5) -> SentenceModel:
     """The model of a bounded sample of the labelled training rows."""
-    sample = labelled_sample(docs, labels, "toxic", folds)
+    sample = labelled_sample(docs, labels, "toxic", folds, PER_CLASS)
     return fit(sample["text"].combine_chunks(), sample["target"].to_numpy(), sample["weight"].to_numpy())
 
 
