@@ -181,4 +181,6 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float
     mix = fitted(written(features(docs), "mix-features"), labels, targets)
     row = F.struct(*[c for c in docs.columns if c != "rate"]).alias("_row")
     marked = features(docs.select(row), "_row", "_row.text").select("_row", *mix.posterior())
-    return marked.withColumn("rate", mix.rate()).where("rate > 0").select("_row.*", "rate")
+    # Not a filter: pushed down to the scan, it would work out features and rate once more.
+    positive = F.filter(F.array(mix.rate()), lambda r: r > 0)
+    return marked.select("_row", F.explode(positive).alias("rate")).select("_row.*", "rate")
