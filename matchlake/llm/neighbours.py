@@ -7,8 +7,10 @@ smallest Euclidean distance, in which lists are built and chosen.
 * Equal vectors are one point, which keeps its ``TOP + 1`` smallest ids: no
   answer can need more. So copies cost neither lists nor comparisons.
 * Centroids come from balanced k-means (a size penalty in the assignment) on a
-  bounded sample; their number follows the number of points up to a bound,
-  beyond which lists are dealt to several parts.
+  bounded sample; their number follows the number of points up to a bound.
+* Lists are dealt to shards. A query asks each shard that holds some of its
+  lists once, and gets the nearest of all of these lists together; beyond the
+  bound on lists, shards are dealt to several parts.
 * A point goes to its nearest list and, near a boundary, to others whose
   centroid is at most ``1 + BOUNDARY`` times as far (``REPLICAS`` lists at most).
 * A query walks a proximity graph of the centroids held in memory, best first,
@@ -39,6 +41,8 @@ LIST_SIZE, MAX_LISTS, SAMPLE = 256, 2048, 20_000
 DEGREE, FAR, ROUNDS, SEED = 16, 4, 8, 11
 BOUNDARY, REPLICAS, PRUNE, LEAST = 0.01, 8, 0.18, 8
 SALTS = 32
+#: Lists are dealt to shards, which one task answers from at a time: so many at least, and points in each at most about this.
+SHARDS, SHARD_POINTS = 16, 1 << 16
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -159,57 +163,77 @@ class Centroids:
         return [np.flatnonzero(row).tolist() for row in (dist <= np.maximum(bound, near)) & np.isfinite(dist)]
 
 
-def fitted(stored: DataFrame, list_size: int = LIST_SIZE, sample: int = SAMPLE) -> tuple[Centroids | None, int]:
-    """(centroids, parts a list is dealt to) for the table of points."""
+def fitted(stored: DataFrame, list_size: int = LIST_SIZE,
+           sample: int = SAMPLE) -> tuple[Centroids | None, int, int]:
+    """(centroids, shards, parts of a shard) for the table of points."""
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, radius2 = stored.agg(F.count(F.lit(1)), F.max(norm2)).first()
     if not n:
-        return None, 1
+        return None, 1, 1
     rate = min(1.0, sample / n)
     drawn = stored.where(F.pmod(F.xxhash64("point"), F.lit(1 << 20)) < rate * (1 << 20))
     x = matrix(drawn.select("point", "embedding").limit(2 * sample).toArrow().sort_by("point")["embedding"]
                if n > 1 else stored.select("embedding").toArrow()["embedding"])
     lists = max(1, min(MAX_LISTS, n // list_size, len(x)))
-    return Centroids.build(x, lists, float(radius2)), max(1, -(-n // (lists * 16 * list_size)))
+    shards = max(1, min(lists, max(SHARDS, n // SHARD_POINTS)))
+    return Centroids.build(x, lists, float(radius2)), shards, max(1, n // (shards * SHARD_POINTS))
 
 
-def placed(rows: DataFrame, index: Centroids, query: bool) -> DataFrame:
-    """``rows`` with a row per list: stored vectors at home, queries visiting."""
-    @arrow_udf("array<int>")
-    def lists(vectors: pa.Array) -> pa.Array:
-        out: list[list[int]] = []
+def placed(rows: DataFrame, index: Centroids, shards: int, query: bool) -> DataFrame:
+    """``rows`` once per shard with the row's lists there: stored vectors at
+    home, queries visiting."""
+    @arrow_udf("array<struct<shard:int,lists:array<int>>>")
+    def dealt(vectors: pa.Array) -> pa.Array:
+        out = []
         step = 1024
         for i in range(0, len(vectors), step):
             x = matrix(vectors.slice(i, step))
-            out += index.probes(np.column_stack([x, np.zeros(len(x))])) if query \
-                else index.homes(lifted(x, index.radius2))
-        return pa.array(out, pa.list_(pa.int32()))
+            for lists in index.probes(np.column_stack([x, np.zeros(len(x))])) if query \
+                    else index.homes(lifted(x, index.radius2)):
+                by: dict[int, list[int]] = {}
+                for k in lists:
+                    by.setdefault(k % shards, []).append(k // shards)
+                out.append([{"shard": s, "lists": v} for s, v in by.items()])
+        return pa.array(out, pa.list_(pa.struct([("shard", pa.int32()), ("lists", pa.list_(pa.int32()))])))
 
-    return rows.withColumn("list", F.explode(lists("embedding")))
+    return rows.withColumn("at", F.explode(dealt("embedding"))).select(*rows.columns, "at.*")
 
 
-def best_of_list(stored: pa.Table, asked: pa.Table, top: int) -> pa.Table:
-    """The nearest ids of every query in one list's part."""
+def membership(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """(row, list) matrix of ones from arrays of lists."""
+    lists = column.combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
+    out = np.zeros((len(lists), width), np.float32)
+    out[np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()] = 1
+    return out
+
+
+def best_of_shard(stored: pa.Table, asked: pa.Table, top: int) -> pa.Table:
+    """The nearest ids of every query among its lists in one shard's part."""
     if not len(stored) or not len(asked):
         return pa.table({"query": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()),
                          "score": pa.array([], pa.float64())})
     x, q = matrix(stored["embedding"]), matrix(asked["embedding"])
+    width = 1 + max(max(v) for side in (stored, asked) for v in side["lists"].to_pylist())
+    homes, visits = membership(stored["lists"], width).T, membership(asked["lists"], width)
     ids = stored["ids"].combine_chunks()
     ids = ids if isinstance(ids, pa.Array) else ids.chunk(0)
-    sizes = np.diff(ids.offsets.to_numpy())
-    flat, owner = ids.flatten().to_numpy(), np.repeat(np.arange(len(x)), sizes)
+    edges, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
     query, found, score = [], [], []
     names = asked["query"].to_pylist()
-    for i in range(0, len(q), 256):
-        part = q[i:i + 256]
-        rough = part @ x.T
+    step = max(1, min(256, (4 << 20) // len(x)))
+    for i in range(0, len(q), step):
+        part = q[i:i + step]
+        rough = np.where(visits[i:i + step] @ homes > 0, part @ x.T, -np.inf)
+        last = np.partition(rough, len(x) - top - 1, 1)[:, len(x) - top - 1] if len(x) > top + 1 \
+            else np.full(len(part), -np.inf)
         for k, s in enumerate(rough):
             # Chosen with room for rounding, then scored in one fixed order of additions.
-            last = np.partition(s, len(s) - top - 1)[len(s) - top - 1] if len(s) > top + 1 else -np.inf
-            near = np.flatnonzero(s >= last - 1e-9 * max(1.0, abs(last)))
+            bound = last[k] - 1e-9 * max(1.0, abs(last[k])) if np.isfinite(last[k]) else -np.finfo(float).max
+            near = np.flatnonzero(s >= bound)
             exact = (x[near] * part[k]).sum(1)
-            pick = np.isin(owner, near)
-            vec, score_of = flat[pick], exact[np.searchsorted(near, owner[pick])]
+            vec = np.concatenate([flat[edges[j]:edges[j + 1]] for j in near.tolist()] or [flat[:0]])
+            score_of = np.repeat(exact, edges[near + 1] - edges[near])
             order = np.lexsort((vec, -score_of))[:top + 1]
             query += [names[i + k]] * len(order)
             found.append(vec[order])
@@ -223,7 +247,7 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame
     ``every``, the ``top`` rows with the largest inner product found."""
     good = usable(vectors)
     stored = written(points(good, top), "points")
-    index, parts = fitted(stored)
+    index, shards, parts = fitted(stored)
     asking = good.where(F.pmod("vec_id", F.lit(every)) == 0).distinct()
     if index is None:
         return asking.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id",
@@ -231,14 +255,14 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame
     named = asking.select(F.col("vec_id").alias("query_id"), "embedding", F.hex(F.xxhash64("embedding")).alias("query"))
     # Queries with one vector are asked once. The name is the vector's hash and the join below compares vectors.
     single = named.groupBy("embedding").agg(F.first("query").alias("query"))
-    home = placed(stored, index, False).withColumn("part", F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int"))
-    visit = placed(single, index, True).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    home = placed(stored, index, shards, False).withColumn("part", F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int"))
+    visit = placed(single, index, shards, True).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def compared(left: pa.Table, right: pa.Table) -> pa.Table:
-        return best_of_list(left, right, top)
+        return best_of_shard(left, right, top)
 
-    hits = (home.select("list", "part", "embedding", "ids").groupBy("list", "part")
-            .cogroup(visit.select("list", "part", "embedding", "query").groupBy("list", "part"))
+    hits = (home.select("shard", "part", "lists", "embedding", "ids").groupBy("shard", "part")
+            .cogroup(visit.select("shard", "part", "lists", "embedding", "query").groupBy("shard", "part"))
             .applyInArrow(compared, "query string, vec_id long, score double"))
     order = [F.desc("score"), F.asc("vec_id")]
     best = hits.groupBy("query", "vec_id").agg(F.max("score").alias("score")) \
