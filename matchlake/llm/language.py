@@ -203,7 +203,8 @@ class WordScores:
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
     def rows_sum(self, words: list[str]) -> np.ndarray:
-        return self.rows[self.add(words)].sum(0)
+        places = self.add(words)  # which may replace the rows
+        return self.rows[places].sum(0)
 
 
 def parts_of(text: str, limit: int = 1 << 20) -> Iterator[str]:
