@@ -23,7 +23,7 @@ DATA_TITLE_WORDS = ["data", "ml", "ai", "machine learning", "analyst"]
 # Leakage / key columns removed before modelling (plus the recruiter
 # note, which leaks the outcome and is absent from the published modelling table).
 LEAKAGE_COLS = ["exam_time_seconds", "self_reported_confidence", "retake_count",
-                "application_id", "student_id", "job_id", "name", "application_date",
+                "application_id", "student_id", "candidate_id", "job_id", "name", "application_date",
                 "recruiter_notes_post_decision"]
 
 

@@ -49,17 +49,12 @@ def clean(text: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")).rlike(r"^\s*$"), F.lit("")).otherwise(t)
 
 
-def stop_array() -> Column:
-    return F.array(*[F.lit(w) for w in STOP_WORDS])
-
-
 def token_array(cleaned: Column, stop: bool = True) -> Column:
     """H2 tokens: alphabetic runs, stop words removed (array)."""
     toks = F.regexp_extract_all(cleaned, F.lit(WORD_RE), 0)
     if not stop:
         return toks
-    sw = stop_array()
-    return F.filter(toks, lambda x: ~F.array_contains(sw, x))
+    return F.filter(toks, lambda x: ~x.isin(*STOP_WORDS))  # a hash set in the generated code
 
 
 def tokens(cleaned: Column) -> Column:

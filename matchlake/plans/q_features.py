@@ -68,7 +68,7 @@ query("a08_jobs", with_ctes("SELECT * FROM jobs"))(AD.jobs)
 
 # ------------------------------------------------------------ B: projections
 query("b01_drop_leakage", with_ctes(
-    "SELECT * EXCLUDE (application_id, job_id, name, application_date) FROM modelling"))(
+    "SELECT * EXCLUDE (application_id, candidate_id, job_id, name, application_date) FROM modelling"))(
     lambda s, d: FE.drop_leakage(M(s, d)))
 query("b02_split_label", with_ctes("SELECT application_id, is_good_match AS label FROM modelling"))(
     lambda s, d: M(s, d).select("application_id", F.col("is_good_match").alias("label")))

@@ -9,7 +9,7 @@ nor depend on executors that may be lost.
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -205,7 +205,7 @@ query("n09_n10_stacking_vs_voting")(_stacking_table)
 def _roundtrip(spark, sf):
     b = base(spark, sf)
     m = MO.fit(b.filter(F.col("split") == "train"), "logistic")
-    path = shared_path(spark, f"models/logistic-{os.getpid()}")
+    path = shared_path(spark, f"models/logistic-{uuid.uuid4().hex[:12]}")
     return MO.round_trip_check(b.filter(F.col("split") == "test"), m, path, KEY)
 
 

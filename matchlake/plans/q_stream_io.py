@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchlake.operators import metrics as ME
 from matchlake.operators import curves as CU
 from matchlake.plans.oracle_base import with_ctes
+from matchlake.plans.q_features import POSTINGS_CTE, _viol_sql
 from matchlake.plans.q_metrics import SCORED_CTE, S
 from matchlake.plans.registry import query
 from matchlake.session import shared_path
@@ -19,15 +20,23 @@ from matchlake.sources.postings import request_log
 from matchlake.sources.tables import table
 from matchlake.streaming import jobs as ST
 
-# ------------------------------------------------------------ U1 batch twin (V) and streams (rows-only)
-query("u01_request_metrics_windowed", """SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start,
+# ------------------------------------------------------------ U1-U3 (V)
+U01_SQL = """SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start,
     time_bucket(INTERVAL 1 hour, ts) + INTERVAL 1 hour AS window_end, count(*) AS total_requests,
     count(*) FILTER (WHERE event_type = 'error') AS total_errors, coalesce(round(avg(value), 4), 0.0) AS avg_latency
-  FROM events GROUP BY 1, 2""")(lambda s, d: ST.windowed_request_metrics(request_log(s, d)))
-query("u01_request_metrics_stream")(lambda s, d: ST.run_request_metrics(s, d))
-query("u02_posting_ingest_stream")(lambda s, d: ST.run_posting_ingest(s, d))
-query("u03_continuous_scoring_stream")(lambda s, d: ST.run_continuous_scoring(s, d)[0])
-query("u03_quarantine_stream")(lambda s, d: ST.run_continuous_scoring(s, d)[1])
+  FROM events GROUP BY 1, 2"""
+query("u01_request_metrics_windowed", U01_SQL)(lambda s, d: ST.windowed_request_metrics(request_log(s, d)))
+query("u01_request_metrics_stream", U01_SQL)(lambda s, d: ST.run_request_metrics(s, d))
+query("u02_posting_ingest_stream", with_ctes("""SELECT url, id, title, published_at FROM (
+    SELECT regexp_replace(url, '[?#].*$', '') AS url, id, title, published_at,
+           row_number() OVER (PARTITION BY regexp_replace(url, '[?#].*$', '') ORDER BY id) AS rn
+    FROM postings) WHERE rn = 1""", [POSTINGS_CTE]))(lambda s, d: ST.run_posting_ingest(s, d))
+query("u03_continuous_scoring_stream", with_ctes(
+    "SELECT application_id, probability, prediction, threshold FROM scored", [SCORED_CTE]))(
+    lambda s, d: ST.run_continuous_scoring(s, d)[0])
+query("u03_quarantine_stream", with_ctes(
+    f"SELECT application_id, {_viol_sql()} AS violations FROM modelling WHERE {_viol_sql()} <> ''"))(
+    lambda s, d: ST.run_continuous_scoring(s, d)[1])
 
 # ------------------------------------------------------------ A1 / A3 round trip (V)
 CAND_SCHEMA = ("candidate_id long, name string, education_level string, years_experience int, location string, "

@@ -286,17 +286,3 @@ query("d27_similarity_histogram", with_ctes(
         count(*) AS n FROM nlp, (SELECT min(embedding_similarity) AS lo, max(embedding_similarity) AS hi FROM nlp) GROUP BY ALL""",
     TEXT_CTES))(
     lambda s, d: SI.histogram(nlp_features(s, d), "embedding_similarity", ["is_good_match"], 30))
-
-
-def _block(spark, sf):
-    """Cosine matrix between two vector sets, as a bounded block (first 20
-    x first 20 by id); the right block is a 20-element literal-free array."""
-    e = table(spark, sf, "embeddings")
-    return SI.heatmap(e, e.select("vec_id", F.reverse("embedding").alias("embedding")), "vec_id", "embedding", 20)
-
-
-query("c03_cosine_matrix_block", """SELECT a.vec_id AS left_id, b.vec_id AS right_id,
-    round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(list_reverse(b.embedding) AS DOUBLE[])) /
-      (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[]))) *
-       sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))), 6) AS similarity
-  FROM (SELECT * FROM embeddings ORDER BY vec_id LIMIT 20) a, (SELECT * FROM embeddings ORDER BY vec_id LIMIT 20) b""")(_block)

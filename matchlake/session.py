@@ -9,6 +9,7 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,10 +51,14 @@ def get_session(master: str | None = None, app: str = "matchlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) create a private folder under the system temp dir."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local master may go
+    without one: it gets a private folder under the system temp dir, which
+    executors on other machines could not see."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master: {master})")
         path = tempfile.mkdtemp(prefix="matchlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

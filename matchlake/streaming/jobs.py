@@ -1,9 +1,13 @@
 """Structured Streaming twins of the always-on behaviours.
 
 Each job reads the test tables as a file stream, runs the same operator code
-as its batch twin, writes to a durable file sink with a checkpoint under the
-shared checkpoint folder (exactly-once, restartable after executor or driver
-loss) and is run bounded with ``trigger(availableNow=True)``.
+as its batch twin and is run bounded with ``trigger(availableNow=True)``, with
+a checkpoint under the shared checkpoint folder.
+
+Sinks are folders with one ``epoch=N`` part per micro-batch. A part is
+overwritten if its batch is retried, so a batch counts once however often it
+runs. No job drops rows by event time: a bounded run over a stored table gives
+the same rows whatever the order and number of its files.
 """
 
 from __future__ import annotations
@@ -12,15 +16,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.functions import rules as RU
 from matchlake.operators import board as BO
 from matchlake.operators.scoring import score_linear
 from matchlake.session import shared_path
 from matchlake.sources import adapter as AD
+from matchlake.sources.postings import PUBLISHED_EPOCH_S, PUBLISHED_MULT, PUBLISHED_SPREAD_S, epoch_ntz
+
+
+MAX_FILES = 100
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
+def _stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = MAX_FILES) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     # A file stream source watches a directory or glob; the one-character class
@@ -39,19 +48,31 @@ def _await(q) -> None:
         raise q.exception()
 
 
+def _parts(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The epochs written so far (an empty table before the first)."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])).parquet(path)
+
+
+def _write_part(batch: DataFrame, path: str, epoch: int) -> None:
+    batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def _prepare(spark: SparkSession, path: str, schema) -> None:
+    """An empty part, so that the table can be read before the first batch."""
+    _write_part(spark.createDataFrame([], schema), path, -1)
+
+
 def request_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _stream(spark, sf_dir, "events")
-    return ev.select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"),
+    return ev.select(F.col("event_id").alias("request_id"), "ts",
                      F.col("event_type").alias("path"),
                      F.col("value").alias("latency_s"),
                      F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status_code"))
 
 
-def windowed_request_metrics(log: DataFrame, window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
-    """D33 per tumbling event-time window; late rows beyond the watermark
-    are dropped, a window is emitted once the watermark passes its end."""
-    return (log.withWatermark("ts", watermark)
-               .groupBy(F.window("ts", window).alias("w"))
+def windowed_request_metrics(log: DataFrame, window: str = "1 hour") -> DataFrame:
+    """D33 per tumbling event-time window, late rows included."""
+    return (log.groupBy(F.window("ts", window).alias("w"))
                .agg(F.count(F.lit(1)).alias("total_requests"),
                     F.count_if(F.col("status_code") >= 400).alias("total_errors"),
                     F.avg("latency_s").alias("avg_latency"))
@@ -60,41 +81,45 @@ def windowed_request_metrics(log: DataFrame, window: str = "1 hour", watermark:
                        F.coalesce(F.round("avg_latency", 4), F.lit(0.0)).alias("avg_latency")))
 
 
-def run_request_metrics(spark: SparkSession, sf_dir: str, window: str = "1 hour",
-                        watermark: str = "10 minutes") -> DataFrame:
+def run_request_metrics(spark: SparkSession, sf_dir: str, window: str = "1 hour") -> DataFrame:
+    """U1 on a stream: each batch writes the windows it changed; the table is
+    the last state of every window. State is one row per window."""
     base = _run_dir(spark, "request-metrics")
-    agg = windowed_request_metrics(request_log_stream(spark, sf_dir), window, watermark)
-    q = (agg.writeStream.outputMode("append").format("parquet")
-            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
-            .trigger(availableNow=True).start())
+    agg = windowed_request_metrics(request_log_stream(spark, sf_dir), window)
+    _prepare(spark, f"{base}/out", agg.schema)
+    q = (agg.writeStream.outputMode("update").foreachBatch(lambda batch, epoch: _write_part(batch, f"{base}/out", epoch))
+            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     _await(q)
-    return spark.read.parquet(f"{base}/out")
+    values = agg.columns[2:]
+    last = (_parts(spark, f"{base}/out", agg.schema).groupBy("window_start", "window_end")
+            .agg(F.max_by(F.struct(*values), "epoch").alias("last")))
+    return last.select("window_start", "window_end", "last.*")
 
 
-def run_posting_ingest(spark: SparkSession, sf_dir: str, watermark: str = "30 days") -> DataFrame:
-    """Postings arrive as a stream; duplicates of a URL within the
-    watermark are dropped in the stream, and each micro-batch is anti-joined
-    (C2) against the stored table before being appended to it."""
-    from matchlake.sources.postings import PUBLISHED_EPOCH_S, PUBLISHED_MULT, PUBLISHED_SPREAD_S
+def run_posting_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings arrive as a stream. Of a batch, the smallest id of each URL
+    (C2) is stored unless a smaller one is already; the table is the smallest
+    id stored per URL, so it does not depend on the order of arrival."""
     base = _run_dir(spark, "posting-ingest")
-    table_path = f"{base}/table"
     pages = _stream(spark, sf_dir, "pages")
     pid = F.col("page_id")
     posts = pages.select(
         pid.alias("id"), F.regexp_replace("url", r"[?#].*$", "").alias("url"),
         F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
-        F.timestamp_seconds(F.lit(PUBLISHED_EPOCH_S) + (pid * PUBLISHED_MULT) % PUBLISHED_SPREAD_S).alias("published_at"))
-    deduped = posts.withWatermark("published_at", watermark).dropDuplicatesWithinWatermark(["url"])
-    spark.createDataFrame([], deduped.schema).write.mode("overwrite").parquet(table_path)
+        epoch_ntz(F.lit(PUBLISHED_EPOCH_S) + (pid * PUBLISHED_MULT) % PUBLISHED_SPREAD_S).alias("published_at"))
+    _prepare(spark, f"{base}/table", posts.schema)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        existing = batch.sparkSession.read.parquet(table_path)
-        BO.new_postings(batch, existing, key="url", order="id").write.mode("append").parquet(table_path)
-
-    q = (deduped.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{base}/ckpt")
-                .trigger(availableNow=True).start())
+        stored = (_parts(batch.sparkSession, f"{base}/table", posts.schema).where(F.col("epoch") < epoch)
+                  .groupBy("url").agg(F.min("id").alias("stored_id")))
+        fresh = (BO.first_per_key(batch, "url", "id").join(stored, "url", "left")
+                 .where(F.col("stored_id").isNull() | (F.col("id") < F.col("stored_id"))).select(*posts.columns))
+        _write_part(fresh, f"{base}/table", epoch)
+
+    q = (posts.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{base}/ckpt")
+              .trigger(availableNow=True).start())
     _await(q)
-    return spark.read.parquet(table_path)
+    return BO.first_per_key(_parts(spark, f"{base}/table", posts.schema).drop("epoch"), "url", "id")
 
 
 def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -111,17 +136,22 @@ def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float =
     rows = apps.join(cand, "candidate_id", "left").join(job, "job_id", "left")
     checked = RU.validate_domain(rows)
 
+    outputs = {"scored": lambda rows: score_linear(rows.filter(F.col("status") == "valid"), threshold=threshold,
+                                                   keep=["application_id"]),
+               "quarantine": lambda rows: rows.filter(F.col("status") != "valid")
+               .select("application_id", "violations")}
+    schemas = {name: of(checked).schema for name, of in outputs.items()}
+    for name, schema in schemas.items():
+        _prepare(spark, f"{base}/{name}", schema)
+
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        valid = batch.filter(F.col("status") == "valid")
-        score_linear(valid, threshold=threshold, keep=["application_id"]).write.mode("append").parquet(f"{base}/scored")
-        batch.filter(F.col("status") != "valid").select("application_id", "violations").write.mode(
-            "append").parquet(f"{base}/quarantine")
+        for name, of in outputs.items():
+            _write_part(of(batch), f"{base}/{name}", epoch)
         batch.unpersist()
 
-    spark.createDataFrame([], "application_id long, violations string").write.mode("overwrite").parquet(
-        f"{base}/quarantine")
     q = checked.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt").trigger(
         availableNow=True).start()
     _await(q)
-    return spark.read.parquet(f"{base}/scored"), spark.read.parquet(f"{base}/quarantine")
+    scored, quarantine = (_parts(spark, f"{base}/{n}", schemas[n]).drop("epoch") for n in ("scored", "quarantine"))
+    return scored, quarantine
