@@ -2,11 +2,10 @@
 
 Scale design
 ------------
-* Nothing sorts the raw rows. Rows are first aggregated to per-distinct-score
-  counts (``score_counts``: partial aggregation, one shuffle). Scores produced
-  by the library are rounded to 6 decimals, so a group has at most
-  ~10^6 distinct scores in [0, 1] whatever the row count; the cumulative
-  windows (E2) then run over that bounded table, one task per group.
+* Nothing sorts the raw rows in one task. Rows are first aggregated to
+  per-distinct-score counts (``score_counts``: partial aggregation, one
+  shuffle); cumulative counts (E2) rank scores inside score buckets, and a
+  table with a row per bucket carries the sums above. Exact on raw scores.
 * Fixed threshold grids never join rows to thresholds: each row gets the
   number of grid points <= its score (an exact arithmetic index), rows are
   counted per index, and the per-threshold confusion counts are a wide
@@ -64,19 +63,54 @@ def score_counts(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) ->
               .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
 
 
-def _w(by, *order: Column):
-    return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+OCTAVE = 512  # score buckets per factor of two
+
+
+def score_bucket(score: Column) -> Column:
+    """A number that never falls as the score rises, from the score alone:
+    logarithmic steps away from 0 on both sides and towards 1, so crowded
+    scores near 0 and 1 still spread. At most a few hundred thousand values."""
+    def steps(x: Column) -> Column:
+        return F.least(F.floor(F.log2(x) * OCTAVE), F.lit(OCTAVE * 1024)).cast("long")
+
+    return (F.when(score.isNull(), F.lit(-10_000_000)).when(F.isnan(score), F.lit(10_000_000))
+            .when(score < 0, F.lit(-2_000_000) - steps(-score)).when(score == 0, F.lit(-1_000_000))
+            .when(score < 0.5, steps(score)).when(score < 1, -steps(1 - score))
+            .otherwise(F.lit(2_000_000) + steps(score)).cast("long"))
+
+
+def ranked_counts(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -> DataFrame:
+    """Counts per distinct score with tp / fp (counts at this score or above),
+    group totals P / N, and the counts of the next lower score (null at the
+    lowest). Exact for raw scores: rows are ranked inside score buckets only,
+    and a table with a row per bucket carries what lies above."""
+    c = score_counts(df, by, score, label).withColumn("_bucket", score_bucket(F.col("score").cast("double")))
+    order = F.col("score").desc()
+    per = c.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
+                                        F.max_by(F.struct("pos", "neg"), F.struct("score")).alias("_top"))
+    group = Window.partitionBy(*by)  # over the bucket table only
+    down = group.orderBy(F.col("_bucket").desc())
+    above = down.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*[F.col(k).alias(f"_by_{i}") for i, k in enumerate(by)], F.col("_bucket").alias("_b"),
+                     F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_above_p"),
+                     F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above_n"),
+                     F.sum("_p").over(group).alias("P"), F.sum("_n").over(group).alias("N"),
+                     F.lead("_top").over(down).alias("_below"))
+    same = F.col("_bucket") == F.col("_b")
+    for i, k in enumerate(by):
+        same = same & F.col(k).eqNullSafe(F.col(f"_by_{i}"))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    return c.join(per, same).select(
+        *by, "score", "pos", "neg", (F.col("_above_p") + F.sum("pos").over(upto)).alias("tp"),
+        (F.col("_above_n") + F.sum("neg").over(upto)).alias("fp"), "P", "N",
+        F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("_below")).alias("next"))
 
 
 def cumulative_counts(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -> DataFrame:
     """For each distinct score s (descending): tp / fp = counts with
     score >= s, plus the group totals P and N."""
-    c = score_counts(df, by, score, label)
-    w = _w(by, F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    wt = Window.partitionBy(*by) if by else Window.partitionBy()
-    return c.select(*by, "score", "pos", "neg",
-                    F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-                    F.sum("pos").over(wt).alias("P"), F.sum("neg").over(wt).alias("N"))
+    return ranked_counts(df, by, score, label).drop("next")
 
 
 def roc_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
@@ -85,11 +119,9 @@ def roc_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
 
     Numerator and denominator are integer sums, so the value is exact.
     """
-    c = score_counts(df, by, score, label)
-    below = _w(by, F.col("score").asc()).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.select("*", F.coalesce(F.sum("neg").over(below), F.lit(0)).alias("neg_below"))
+    c = cumulative_counts(df, by, score, label)
     agg = c.groupBy(*by).agg(
-        F.sum(2 * F.col("pos") * F.col("neg_below") + F.col("pos") * F.col("neg")).alias("u2"),
+        F.sum(2 * F.col("pos") * (F.col("N") - F.col("fp")) + F.col("pos") * F.col("neg")).alias("u2"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") == 0) | (F.col("N") == 0), F.lit(None).cast("double")).otherwise(
         F.col("u2").cast("double") / (F.lit(2.0) * F.col("P") * F.col("N")))
@@ -117,11 +149,10 @@ def pr_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
     """D5 + E4: trapezoid over (recall, precision) in descending-score order,
     starting from the (0, 1) anchor."""
     c = cumulative_counts(df, by, score, label)
-    r = F.col("tp") / F.col("P")
-    p = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    pts = c.select(*by, "score", r.alias("r"), p.alias("p"))
-    w = _w(by, F.col("score").desc())
-    pts = pts.select("*", F.lag("r", 1, 0.0).over(w).alias("r0"), F.lag("p", 1, 1.0).over(w).alias("p0"))
+    tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")  # at the score before
+    pts = c.select(*by, (F.col("tp") / F.col("P")).alias("r"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("p"),
+                   F.when(tp0 + fp0 == 0, F.lit(0.0)).otherwise(tp0 / F.col("P")).alias("r0"),
+                   F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(ratio(tp0, tp0 + fp0)).alias("p0"))
     return pts.groupBy(*by).agg(
         F.sum((F.col("r") - F.col("r0")) * (F.col("p") + F.col("p0")) / 2).alias(name))
 
@@ -131,14 +162,11 @@ def roc_points(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
     """(threshold, fpr, tpr) per distinct score, descending, after the
     (0, 0, +inf) origin. With ``drop_intermediate`` collinear points on
     horizontal/vertical runs are removed (second differences zero)."""
-    c = cumulative_counts(df, by, score, label)
-    w = _w(by, F.col("score").desc())
+    c = ranked_counts(df, by, score, label)
     if drop_intermediate:
-        d = lambda col: (F.lead(col, 1).over(w) - 2 * F.col(col)
-                         + F.lag(col, 1).over(w))
-        keep = (F.lead("tp", 1).over(w).isNull() | F.lag("tp", 1).over(w).isNull()
-                | (d("tp") != 0) | (d("fp") != 0))
-        c = c.select("*", keep.alias("_keep")).filter("_keep").drop("_keep")
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        c = c.filter(F.col("next").isNull() | first | (F.col("next.pos") != F.col("pos"))
+                     | (F.col("next.neg") != F.col("neg")))
     pts = c.select(*by, F.col("score").alias("threshold"),
                    F.when(F.col("N") == 0, F.lit(None).cast("double")).otherwise(F.col("fp") / F.col("N")).alias("fpr"),
                    F.when(F.col("P") == 0, F.lit(None).cast("double")).otherwise(F.col("tp") / F.col("P")).alias("tpr"))

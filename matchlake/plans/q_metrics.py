@@ -347,13 +347,11 @@ query("e01_fold_row_numbers", with_ctes(
 
 
 def _step_areas(spark, sf):
-    from pyspark.sql import Window
     c = CU.cumulative_counts(S(spark, sf))
-    r_, p_ = F.col("tp") / F.col("P"), ME.ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    w = Window.orderBy(F.col("score").desc())
-    pts = c.select("score", r_.alias("r"), p_.alias("p"))
-    return pts.select("score", r((F.col("r") - F.lag("r", 1, 0.0).over(w))
-                                 * (F.col("p") + F.lag("p", 1, 1.0).over(w)) / 2).alias("step_area"))
+    tp, fp, tp0, fp0 = (F.col(x) for x in ("tp", "fp", "tp0", "fp0"))
+    c = c.select("*", (F.col("tp") - F.col("pos")).alias("tp0"), (F.col("fp") - F.col("neg")).alias("fp0"))
+    before = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(ME.ratio(tp0, tp0 + fp0))
+    return c.select("score", r((tp / F.col("P") - tp0 / F.col("P")) * (ME.ratio(tp, tp + fp) + before) / 2).alias("step_area"))
 
 
 query("e04_pr_step_areas", with_ctes(

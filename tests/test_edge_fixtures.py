@@ -202,3 +202,24 @@ def test_grid_mean_is_exact_and_matches_sql(spark):
     con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
     assert got == con.execute(f"SELECT {grid_mean_sql('p')} FROM t").fetchone()[0]
     assert got == sum(round(v * 1e6) for v in vals) / len(vals) / 1e6
+
+
+def test_rank_metrics_of_raw_scores(spark):
+    """Unrounded scores of any sign and size, with ties, nulls in the group and infinities."""
+    import random
+
+    from matchlake.operators import curves as CU
+    rng = random.Random(5)
+    special = [0.0, -0.0, 1.0, 0.5, float("inf"), float("-inf"), -3.5, 1e-300, 1 - 2 ** -53, 7.25]
+    rows = [(g, rng.choice([rng.random(), rng.gauss(0, 5), rng.choice(special), round(rng.random(), 1)]),
+             int(rng.random() < 0.4)) for g in ("a", None) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, probability double, label int")
+    auc = {r["g"]: r["roc_auc"] for r in CU.roc_auc(df, ["g"]).collect()}
+    points = {(r["g"], r["score"] + 0.0): (r["tp"], r["fp"]) for r in CU.cumulative_counts(df, ["g"]).collect()}
+    for g in ("a", None):
+        own = [(s, y) for k, s, y in rows if k == g]
+        pos, neg = [s for s, y in own if y], [s for s, y in own if not y]
+        u = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+        assert auc[g] == u / (len(pos) * len(neg))
+        for s in {s for s, _ in own}:
+            assert points[g, s + 0.0] == (sum(p >= s for p in pos), sum(n >= s for n in neg))
