@@ -20,31 +20,29 @@ def order_hash(id_col: str, seed) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
 
 
-def exact_row_number(df: DataFrame, id_col: str, seed, by=(), name: str = "rn") -> DataFrame:
-    """Row number 1..n per ``by`` stratum in (hash, id) order, exact."""
+def exact_row_number(df: DataFrame, id_col: str, seed, by=(), name: str = "rn",
+                     size: str | None = None) -> DataFrame:
+    """Row number 1..n per ``by`` stratum in (hash, id) order, exact; with
+    ``size``, also the stratum's number of rows."""
     h = order_hash(id_col, seed)
     bucket = F.conv(F.substring(h, 1, HEX_DIGITS), 16, 10).cast("int")
     t = df.select("*", h.alias("_h"), bucket.alias("_b"))
     sizes = t.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_b")
     offsets = sizes.select(*by, "_b", F.coalesce(
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # offsets has at most (#strata x 65,536) rows: a proven bound, so broadcast.
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(*by)).alias("_size"))
+    # Join and window share their keys, so the rows are dealt out once. No broadcast hint: callers choose the strata.
     inner = Window.partitionBy(*by, "_b").orderBy("_h", id_col)
-    return (t.join(F.broadcast(offsets), [*by, "_b"])
-             .select(*df.columns, (F.col("_off") + F.row_number().over(inner)).alias(name)))
-
-
-def stratum_sizes(df: DataFrame, by) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_stratum_n"))
+    return (t.join(offsets, [*by, "_b"])
+             .select(*df.columns, (F.col("_off") + F.row_number().over(inner)).alias(name),
+                     *([F.col("_size").alias(size)] if size else [])))
 
 
 def stratified_holdout(df: DataFrame, id_col: str, label: str, frac: float = 0.15,
                        seed=42, name: str = "is_test") -> DataFrame:
     """M1: the first round(frac * n_class) rows of each class are the test set."""
-    rn = exact_row_number(df, id_col, seed, by=[label], name="_rn")
-    sizes = stratum_sizes(df, [label])  # one row per class: bounded
-    out = rn.join(F.broadcast(sizes), label)
+    out = exact_row_number(df, id_col, seed, by=[label], name="_rn", size="_stratum_n")
     return out.select(*df.columns, (F.col("_rn") <= F.round(F.lit(frac) * F.col("_stratum_n"))).alias(name))
 
 
@@ -52,11 +50,9 @@ def three_way_split(df: DataFrame, id_col: str, label: str, test_frac: float = 0
                     calib_frac: float = 0.1764, seed=42) -> DataFrame:
     """M2: 'test' first, then 'calib' cut from the rest, else 'train'."""
     first = stratified_holdout(df, id_col, label, test_frac, seed, "_t")
-    rest = first.filter(~F.col("_t")).drop("_t")
-    second = stratified_holdout(rest, id_col, label, calib_frac, f"{seed}b", "_c")
-    test = first.filter(F.col("_t")).drop("_t").withColumn("split", F.lit("test"))
-    return test.unionByName(second.select(*df.columns, F.when(F.col("_c"), "calib")
-                                          .otherwise("train").alias("split")))
+    second = exact_row_number(first, id_col, f"{seed}b", by=[label, "_t"], name="_rn", size="_stratum_n")
+    calib = F.col("_rn") <= F.round(F.lit(calib_frac) * F.col("_stratum_n"))
+    return second.select(*df.columns, F.when(F.col("_t"), "test").when(calib, "calib").otherwise("train").alias("split"))
 
 
 def kfold(df: DataFrame, id_col: str, k: int, seed=42, label: str | None = None,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from matchlake.operators import evaluation as EV
 from matchlake.operators import metrics as ME
 from matchlake.operators import models as MO
-from matchlake.operators.small import one_row
+from matchlake.operators.small import one_row, small_rows
 
 # Concurrent fits from driver threads; small fits are scheduling-bound, so
 # more threads than cores keeps executors busy (override per deployment).
@@ -44,10 +44,14 @@ def pmap(fn, items, parallelism: int = PARALLELISM):
         return list(ex.map(fn, items))
 
 
+def fold_ids(df: DataFrame, fold: str, most: int = 1000) -> list[int]:
+    return sorted(r[fold] for r in small_rows(df.select(fold).distinct(), most))
+
+
 def cv_fold_metrics(df: DataFrame, kinds: list[str], fold: str = "fold", key: str = "application_id",
                     params: dict | None = None) -> DataFrame:
     """Per (model, fold) metric rows; each model is fitted on the other folds."""
-    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    folds = fold_ids(df, fold)
 
     def one(task):
         kind, f = task
@@ -105,7 +109,7 @@ def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str
                   seed: int = 42, metric: str = "auc") -> DataFrame:
     """Sampled parameter draws scored by mean CV metric (AUC or accuracy)."""
     rng = random.Random(seed)
-    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    folds = fold_ids(df, fold)
     draws = [sample_params(space, rng) for _ in range(n_draws)]
 
     def one(task):
@@ -123,17 +127,16 @@ def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str
 
 def trial_search(df: DataFrame, kind: str, space: dict, n_trials: int, fold: str = "fold",
                  seed: int = 42, warmup: int = 5, parallelism: int = 4) -> DataFrame:
-    """Seeded trials, objective = mean fold AUC; a trial whose running
-    mean trails the median of the trials finished so far (at the same fold) is
-    pruned once ``warmup`` trials have completed. Trials run ``parallelism`` at
-    a time (folds within a trial stay sequential so pruning can stop early).
+    """Seeded trials, objective = mean fold AUC. Trials run in waves of
+    ``parallelism``; a trial whose running mean trails the median of the trials
+    completed in earlier waves (at the same fold) is pruned, once ``warmup``
+    trials have completed. So the ledger does not depend on thread timing, and
+    folds within a trial stay sequential so that pruning can stop early.
     Returns the trial ledger (T5)."""
-    import threading
     rng = random.Random(seed)
-    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    folds = fold_ids(df, fold)
     draws = [sample_params(space, rng) for _ in range(n_trials)]
     finished: list[list[float]] = []
-    lock = threading.Lock()
 
     def one(t):
         p = draws[t]
@@ -141,19 +144,18 @@ def trial_search(df: DataFrame, kind: str, space: dict, n_trials: int, fold: str
         for j, f in enumerate(folds):
             m = MO.fit(df.filter(F.col(fold) != f), kind, **p)
             scores.append(_auc_of(m, df.filter(F.col(fold) == f)))
-            with lock:
-                done = [s[: j + 1] for s in finished]
-            if len(done) >= warmup and j < len(folds) - 1:
-                if statistics.fmean(scores) < statistics.median(statistics.fmean(s) for s in done):
+            if len(finished) >= warmup and j < len(folds) - 1:
+                if statistics.fmean(scores) < statistics.median(statistics.fmean(s[: j + 1]) for s in finished):
                     status = "PRUNED"
                     break
-        if status == "COMPLETE":
-            with lock:
-                finished.append(scores)
-        return (t, status, float(statistics.fmean(scores)), round(time.time() - t0, 3),
-                json.dumps(p, sort_keys=True))
-
-    ledger = pmap(one, range(n_trials), parallelism)
+        return scores, (t, status, float(statistics.fmean(scores)), round(time.time() - t0, 3),
+                        json.dumps(p, sort_keys=True))
+
+    ledger = []
+    for first in range(0, n_trials, parallelism):
+        wave = pmap(one, range(first, min(first + parallelism, n_trials)), parallelism)
+        ledger += [row for _, row in wave]
+        finished += [scores for scores, row in wave if row[1] == "COMPLETE"]
     return df.sparkSession.createDataFrame(ledger, "trial int, status string, score double, time_sec double, params string")
 
 
@@ -161,7 +163,7 @@ def nested_cv(df: DataFrame, kind: str, space: dict, n_draws: int, outer: str =
               inner: str = "inner_fold", seed: int = 42) -> DataFrame:
     """Inner random search per outer fold, best params refit and scored
     on the outer validation fold."""
-    outs = sorted(r[outer] for r in df.select(outer).distinct().collect())
+    outs = fold_ids(df, outer)
     rows = []
     for o in outs:
         train, val = df.filter(F.col(outer) != o), df.filter(F.col(outer) == o)
@@ -203,7 +205,7 @@ def calibrated_cv(df: DataFrame, kind: str, method: str, fold: str = "cal_fold",
     """N11/N12 with cv=3: per fold, fit the base on the other folds and the
     calibrator on the held-out fold; returns the list of (model, calibrator)."""
     pairs = []
-    for f in sorted(r[fold] for r in df.select(fold).distinct().collect()):
+    for f in fold_ids(df, fold):
         base = MO.fit(df.filter(F.col(fold) != f), kind)
         held = MO.positive_probability(df.filter(F.col(fold) == f), base).select(key, "label", "probability")
         pairs.append((base, calibrate(held, method)))
@@ -225,7 +227,7 @@ def score_calibrated(df: DataFrame, pairs, method: str, key: str = "application_
 def stacking(df: DataFrame, members: list[str], fold: str = "fold", key: str = "application_id"):
     """Out-of-fold member probabilities -> balanced logistic meta-model;
     members refit on all rows. Returns (member models, meta model)."""
-    folds = sorted(r[fold] for r in df.select(fold).distinct().collect())
+    folds = fold_ids(df, fold)
 
     def one(task):
         f, kind = task

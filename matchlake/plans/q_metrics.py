@@ -65,13 +65,9 @@ def multi(spark, sf):
 
 def long_models(spark, sf):
     """Stack of per-model rows (G4): model, label, probability, prediction."""
-    w = multi(spark, sf)
-    parts = [w.select("application_id", "label", F.lit(m).alias("model"), F.col(f"p_{m}").alias("probability"),
-                      F.col(f"y_{m}").alias("prediction")) for m in MODELS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"p_{m}").alias("probability"),
+                              F.col(f"y_{m}").alias("prediction")) for m in MODELS])
+    return multi(spark, sf).select("application_id", "label", F.inline(rows))
 
 
 LONG_CTE = ("long_models", " UNION ALL ".join(
