@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.operators import prep as PR
+from matchlake.operators.quantiles import percentiles
 from matchlake.operators.small import num, one_row, small_rows
 
 # The ten segmentation features, in their published order.
@@ -185,8 +186,7 @@ def cluster_checks(df: DataFrame, cluster: str = "cluster", min_share: float = 0
 
 def five_numbers(df: DataFrame, col: str, cluster: str = "cluster") -> DataFrame:
     """Min, quartiles, max per cluster (exact, interpolated)."""
-    q = F.percentile(F.col(col), F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    return df.groupBy(cluster).agg(q.alias("q")).select(
+    return percentiles(df, col, [0.0, 0.25, 0.5, 0.75, 1.0], [cluster]).select(
         cluster, *[F.col("q")[i].alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
 
 

@@ -1,9 +1,10 @@
 """Model explanation and scenario scoring.
 
-Grid expansions never join rows to a grid table: each row explodes a
-bounded literal grid (the grid size is a parameter) and the per-grid-point
-averages are partial aggregates in the same stage, so the n x grid rows are
-never shuffled.
+A grid leaves all features but one or two as they are, so rows that agree on
+the rest score alike at every grid point. They are counted first (map-side
+combined); only their distinct rests meet the literal grid, and the grid means
+are weighted by the counts. For a linear scorer the rest is one number, so its
+distinct values do not grow with the rows.
 """
 
 from __future__ import annotations
@@ -13,48 +14,93 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.functions.numeric import grid_mean, round_half_away
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators.curves import linspace_grid
+from matchlake.operators.quantiles import percentiles
 from matchlake.operators.scoring import linear_margin, sigmoid
 from matchlake.operators.small import num, one_row, small_rows
 
 
-def linear_scorer(weights: dict, decimals: int = 6):
-    """N15 as a function of a {feature: Column} mapping."""
-    return lambda cols: round_half_away(sigmoid(linear_margin(cols, weights)), decimals)
+REST_DECIMALS = 9
+
+
+class LinearScorer:
+    """N15 as a function of a {feature: Column} mapping, which can also score
+    from the margin that the features outside a grid add up to."""
+
+    def __init__(self, weights: dict, decimals: int = 6):
+        self.weights, self.decimals = weights, decimals
+
+    def __call__(self, cols: dict[str, Column]) -> Column:
+        return self._score(linear_margin(cols, self.weights))
+
+    def _score(self, margin: Column) -> Column:
+        return round_half_away(sigmoid(margin), self.decimals)
+
+    def rest(self, cols: dict[str, Column], moved: list[str]) -> Column:
+        """The margin without the ``moved`` features. Float noise of the sum,
+        far below the score's own decimals, is rounded off so that equal rests
+        meet in one group."""
+        kept = {f: w for f, w in self.weights.items() if f not in moved}
+        return round_half_away(linear_margin(cols, kept), REST_DECIMALS)
+
+    def finish(self, rest: Column, cols: dict[str, Column]) -> Column:
+        """The score from a rest and the moved features."""
+        for f, x in cols.items():
+            if f in self.weights:
+                rest = rest + num(self.weights[f]) * x
+        return self._score(rest)
+
+
+def linear_scorer(weights: dict, decimals: int = 6) -> LinearScorer:
+    return LinearScorer(weights, decimals)
 
 
 def percentile_grid(df: DataFrame, feature: str, n: int, lo_q: float = 0.05, hi_q: float = 0.95) -> list[float]:
-    r = one_row(df.agg(F.percentile(F.col(feature), F.array(F.lit(lo_q), F.lit(hi_q))).alias("q")))
-    lo, hi = r["q"]
+    lo, hi = one_row(percentiles(df, feature, [lo_q, hi_q]))["q"]
     return linspace_grid(lo, hi, n) if n > 1 else [lo]
 
 
-def _mean(p: Column, grid_decimals: int | None) -> Column:
-    return grid_mean(p, grid_decimals) if grid_decimals is not None else F.avg(p)
+def _on_grid(df: DataFrame, features: list[str], scorer, point: dict[str, str], grid: Column,
+             grid_decimals: int | None) -> DataFrame:
+    """A row per grid point: its struct ``g``, the number of rows and the mean
+    score with the ``point`` features (feature -> field of the grid's structs)
+    set to it. Null scores are left out of the mean."""
+    cols = {f: F.col(f) for f in features}
+    if isinstance(scorer, LinearScorer):
+        rests = df.select(scorer.rest(cols, list(point)).alias("_rest")).groupBy("_rest")
+        score = scorer.finish(F.col("_rest"), {f: F.col(f"g.{v}") for f, v in point.items()})
+    else:
+        rests = df.groupBy(*[f for f in features if f not in point])
+        score = scorer({**cols, **{f: F.col(f"g.{v}") for f, v in point.items()}})
+    met = rests.agg(F.count(F.lit(1)).alias("_n")).select("*", F.explode(grid).alias("g"))
+    scored = met.select("g", "_n", score.alias("_p"))
+    known = F.sum(F.when(F.col("_p").isNotNull(), F.col("_n")))
+    if grid_decimals is None:
+        mean = F.sum(F.col("_p") * F.col("_n")) / known
+    else:
+        unit = float(10 ** grid_decimals)
+        mean = F.sum(F.floor(F.col("_p") * unit + 0.5).cast("long") * F.col("_n")) / known / F.lit(unit)
+    return scored.groupBy("g").agg(F.sum("_n").alias("n_rows"), mean.alias("mean_probability"))
 
 
 def partial_dependence(df: DataFrame, features: list[str], scorer, feature: str,
                        grid: list[float], grid_decimals: int | None = None) -> DataFrame:
-    """Mean score with ``feature`` set to each grid value for every row
+    """Mean score with ``feature`` set to each grid value for every row
     (``grid_decimals``: scores are rounded, take the exact integer-sum mean)."""
     g = F.array(*[F.struct(F.lit(i).alias("i"), num(v).alias("v")) for i, v in enumerate(grid)])
-    x = df.select(*features, F.explode(g).alias("g"))
-    cols = {f: (F.col("g.v") if f == feature else F.col(f)) for f in features}
-    return (x.select(F.col("g.i").alias("grid_index"), F.col("g.v").alias("grid_value"), scorer(cols).alias("p"))
-             .groupBy("grid_index", "grid_value").agg(_mean(F.col("p"), grid_decimals).alias("mean_probability")))
+    return _on_grid(df, features, scorer, {feature: "v"}, g, grid_decimals).select(
+        F.col("g.i").alias("grid_index"), F.col("g.v").alias("grid_value"), "n_rows", "mean_probability")
 
 
 def partial_dependence_2d(df: DataFrame, features: list[str], scorer, fa: str, ga: list[float],
                           fb: str, gb: list[float], grid_decimals: int | None = None) -> DataFrame:
-    """Two-feature grid (len(ga) x len(gb) points per row)."""
+    """Two-feature grid (len(ga) x len(gb) points)."""
     g = F.array(*[F.struct(F.lit(i).alias("i"), num(a).alias("a"), F.lit(j).alias("j"), num(b).alias("b"))
                   for i, a in enumerate(ga) for j, b in enumerate(gb)])
-    x = df.select(*features, F.explode(g).alias("g"))
-    cols = {f: (F.col("g.a") if f == fa else F.col("g.b") if f == fb else F.col(f)) for f in features}
-    return (x.select(F.col("g.i").alias("i"), F.col("g.j").alias("j"), F.col("g.a").alias("value_a"),
-                     F.col("g.b").alias("value_b"), scorer(cols).alias("p"))
-             .groupBy("i", "j", "value_a", "value_b").agg(_mean(F.col("p"), grid_decimals).alias("mean_probability")))
+    return _on_grid(df, features, scorer, {fa: "a", fb: "b"}, g, grid_decimals).select(
+        F.col("g.i").alias("i"), F.col("g.j").alias("j"), F.col("g.a").alias("value_a"),
+        F.col("g.b").alias("value_b"), "mean_probability")
 
 
 def what_if(df: DataFrame, features: list[str], scorer, scenarios: list[dict], key: str,

@@ -13,7 +13,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.small import num, one_row
+from matchlake.operators.quantiles import medians
+from matchlake.operators.small import num, one_row, small_rows
 
 
 def standardize(df: DataFrame, cols: list[str], keep: list[str] | None = None,
@@ -30,17 +31,13 @@ def standardize(df: DataFrame, cols: list[str], keep: list[str] | None = None,
 
 
 def impute_median(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
-    """Exact median per column (interpolated, like pandas); absent -> 0.0.
-
-    ``percentile`` keeps a value->count map, so its memory is bounded by the
-    number of distinct values (scores have at most 1,001), not by rows.
-    """
+    """Exact median per column (interpolated, like pandas); absent -> 0.0."""
     present = [c for c in cols if c in df.columns]
-    med = one_row(df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in present])) if present else None
+    med = {r["name"]: r["q"][0] for r in small_rows(medians(df, present), len(present))} if present else {}
     out = []
     for c in cols:
         if c in df.columns:
-            out.append(F.coalesce(F.col(c).cast("double"), num(med[c])).alias(c))
+            out.append(F.coalesce(F.col(c).cast("double"), num(med.get(c))).alias(c))
         else:
             out.append(F.lit(0.0).alias(c))
     return df.select(*(keep or []), *out)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.operators.metrics import LABEL, PRED, binary_rates, confusion_aggs, ratio
+from matchlake.operators.quantiles import percentiles
 
 
 def error_rows(df: DataFrame, label: str = LABEL, pred: str = PRED) -> DataFrame:
@@ -17,10 +18,8 @@ def error_rows(df: DataFrame, label: str = LABEL, pred: str = PRED) -> DataFrame
 
 
 def segment_by_median(df: DataFrame, col: str, label: str = LABEL, pred: str = PRED) -> DataFrame:
-    """Split at the exact median (<= is 'freshers'), metrics per side.
-    The median is a scalar subquery; ``percentile`` memory is bounded by the
-    number of distinct values of the column."""
-    med = df.select(F.percentile(F.col(col), 0.5)).scalar()
+    """Split at the exact median (<= is 'freshers'), metrics per side."""
+    med = percentiles(df, col, [0.5]).select(F.col("q")[0]).scalar()
     seg = F.when(F.col(col) <= med, "freshers").otherwise("experienced")
     return binary_rates(df.withColumn("segment", seg), ["segment"], label, pred)
 

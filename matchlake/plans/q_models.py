@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchlake.functions.features import MODEL_FEATURES
-from matchlake.functions.numeric import grid_mean, grid_mean_sql
+from matchlake.functions.numeric import grid_mean_sql
 from matchlake.operators import evaluation as EV
 from matchlake.operators import explain as EX
 from matchlake.operators import sampling as SA
+from matchlake.operators.quantiles import percentiles
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.q_metrics import (CONF_SQL, LONG_CTE, MODELS, MULTI_CTE, SCORED_CTE, S, _rn_sql,
                                        auc_sql, long_models, multi, prauc_sql, rates_sql)
@@ -148,7 +149,7 @@ query("n20_majority_baseline", with_ctes(
 def _terciles(spark, sf):
     from matchlake.sources.tables import table
     docs = table(spark, sf, "documents").select("doc_id", "n_chars")
-    q = docs.agg(F.percentile("n_chars", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("q")).select("q").scalar()
+    q = percentiles(docs, "n_chars", [1 / 3, 2 / 3]).select("q").scalar()
     lab = F.when(F.col("n_chars") <= q[0], "Easy").when(F.col("n_chars") <= q[1], "Medium").otherwise("Hard")
     return docs.select("doc_id", lab.alias("difficulty"))
 
@@ -263,15 +264,10 @@ query("d02_metrics_by_model", with_ctes(
 
 
 def _expansion(spark, sf):
-    """Every row x each grid value (explode, no join), counted and
-    averaged per grid point."""
+    """Every row x each grid value, counted and averaged per grid point."""
     m = model_features(modelling_table(spark, sf))
     g = EX.percentile_grid(m, "diff_experience", 50)
-    x = m.select(*MODEL_FEATURES, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(v).alias("v"))
-                                                      for i, v in enumerate(g)])).alias("g"))
-    cols = {f: (F.col("g.v") if f == "diff_experience" else F.col(f)) for f in MODEL_FEATURES}
-    return x.groupBy(F.col("g.i").alias("grid_index")).agg(
-        F.count(F.lit(1)).alias("n_rows"), grid_mean(SCORER(cols), 6).alias("mean_probability"))
+    return EX.partial_dependence(m, MODEL_FEATURES, SCORER, "diff_experience", g, grid_decimals=6).drop("grid_value")
 
 
 query("c05_row_grid_expansion", with_ctes(

@@ -10,6 +10,7 @@ from matchlake.functions.numeric import round_half_away
 from matchlake.operators import curves as CU
 from matchlake.operators import similarity as SI
 from matchlake.operators import tfidf as TF
+from matchlake.operators.quantiles import percentiles
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.registry import query, r
 from matchlake.sources import adapter as AD
@@ -247,7 +248,7 @@ query("d24_skill_frequency", with_ctes(
 
 def _error_analysis(spark, sf):
     f = nlp_features(spark, sf)
-    med = f.select(F.percentile("embedding_similarity", 0.5)).scalar()
+    med = percentiles(f, "embedding_similarity", [0.5]).select(F.col("q")[0]).scalar()
     pred = (F.col("embedding_similarity") > med).cast("int")
     y = F.col("is_good_match")
     return f.agg(F.first(med).alias("threshold_used"),
