@@ -89,53 +89,54 @@ def log_clean(margin: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: pa.Array, target: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> SentenceModel:
-    """Word weights and bias by Adam on the weighted bag likelihood."""
+    """Word weights and bias by Adam on the weighted bag likelihood. Memory is
+    eight bytes per word of the texts, beside what the distinct words need."""
     ids: dict[bytes, int] = {}
-    words, keys = [], []
+    parts, bags, n_sent, n_docs = [], [], 0, len(target)
     for a, _, raw, offsets in slices(texts, 1 << 20):  # a slice's words become numbers at once
         w, starts, sentence = sentence_words(raw)
         number = np.fromiter((ids.setdefault(x, len(ids)) for x in w), np.int32, len(w))
         # a sentence does not cross texts
         key = (np.searchsorted(offsets, starts, "right") - 1 + a).astype(np.int64) << 32 | sentence
-        fresh = np.append(True, (number[1:] != number[:-1]) | (key[1:] != key[:-1]))[:len(w)]
-        words.append(number[fresh])
-        keys.append(key[fresh])
-    keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-    n_docs = len(target)
-    if not len(keys) or not 0 < (weight * target).sum() < weight.sum():
+        if not len(w):
+            continue
+        opens = np.append(True, key[1:] != key[:-1])
+        fresh = opens | np.append(True, number[1:] != number[:-1])
+        parts.append((number[fresh], (np.cumsum(opens) - 1 + n_sent)[fresh].astype(np.int32)))
+        bags.append((key[opens] >> 32).astype(np.int32))
+        n_sent += len(bags[-1])
+    if not n_sent or not 0 < (weight * target).sum() < weight.sum():
         return SentenceModel({}, -30.0 if not len(target) or not target.any() else 30.0)
-    word = np.concatenate(words)
-    del words
-    keys, sentence = np.unique(keys, return_inverse=True)
-    sentence, bag = sentence.astype(np.int32), (keys >> 32).astype(np.int32)
+    bag = np.concatenate(bags)
     named: dict[bytes, int] = {}
     of_word = np.array([[named.setdefault(f, len(named)) for f in features(w)] for w in ids], np.int32)
     del ids
-    in_doc = np.unique(word.astype(np.int64) * n_docs + bag[sentence])
-    both = np.unique(of_word[in_doc // n_docs].astype(np.int64) * n_docs + (in_doc % n_docs)[:, None])
-    in_docs = np.bincount(both // n_docs, minlength=len(named))
-    del in_doc, both
+    in_docs = np.zeros(len(named), np.int64)
+    for word, sentence in parts:  # a text is in one slice
+        both = np.unique(of_word[word].astype(np.int64) * n_docs + bag[sentence][:, None])
+        in_docs += np.bincount(both // n_docs, minlength=len(named))
     usual = in_docs >= MIN_DOCS
-    place = np.cumsum(usual) - 1
-    column, row = [], []
-    for f in of_word.T:  # the word itself, then its beginnings
-        keep = usual[f[word]]
-        column.append(place[f[word[keep]]].astype(np.int32))
-        row.append(sentence[keep])
-    column, row = np.concatenate(column), np.concatenate(row)
-    n_words, n_sent = int(usual.sum()), len(keys)
+    n_words = int(usual.sum())
+    place = np.where(usual, np.cumsum(usual) - 1, n_words).astype(np.int32)[of_word]  # n_words: a rare feature
     theta = np.zeros(n_words + 1)
     share = (weight * target).sum() / weight.sum()
     theta[-1] = np.log(share / max(1.0, n_sent / n_docs))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     scale = weight / weight.sum()
     for step in range(1, rounds + 1):
-        margin = np.bincount(row, theta[column], n_sent) + theta[-1]
+        of_words = np.append(theta[:-1], 0.0)[place].sum(1)
+        margin = np.full(n_sent, theta[-1])
+        for word, sentence in parts:
+            margin[sentence[0]:sentence[-1] + 1] += np.bincount(sentence - sentence[0], of_words[word])
         clean = np.bincount(bag, log_clean(margin), n_docs)
         toxic = -np.expm1(clean)
         blame = np.where(target == 1, -np.exp(clean) / np.maximum(toxic, 1e-12), 1.0) * scale
         slope = blame[bag] * np.exp(-np.logaddexp(0.0, -margin))
-        grad = np.append(np.bincount(column, slope[row], n_words) + PENALTY / n_docs * theta[:-1], slope.sum())
+        of_words = np.zeros(len(place))
+        for word, sentence in parts:
+            of_words += np.bincount(word, slope[sentence], len(place))
+        grad = np.bincount(place.ravel(), np.repeat(of_words, place.shape[1]), n_words + 1)[:-1]
+        grad = np.append(grad + PENALTY / n_docs * theta[:-1], slope.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.99 * second + 0.01 * grad * grad
         theta -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-9)
@@ -212,7 +213,9 @@ def offending(text: Column | str, model: SentenceModel, least: float = 0.5) -> C
 def fitted(docs: DataFrame, labels: DataFrame, folds: int = 5) -> SentenceModel:
     """The model of a bounded sample of the labelled training rows."""
     sample = labelled_sample(docs, labels, "toxic", folds, PER_CLASS)
-    return fit(sample["text"].combine_chunks(), sample["target"].to_numpy(), sample["weight"].to_numpy())
+    texts, target, weight = (sample[c].combine_chunks() for c in ("text", "target", "weight"))
+    del sample  # its texts are copied already
+    return fit(texts, target.to_numpy(), weight.to_numpy())
 
 
 def frequent_words(model: SentenceModel, n: int = 20) -> list[tuple[bytes, float]]:
