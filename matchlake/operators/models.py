@@ -6,6 +6,8 @@ The gap features live inside the saved ``PipelineModel`` through a small
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
@@ -14,7 +16,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions.features import MODEL_FEATURES, gap_columns
@@ -48,28 +50,75 @@ ESTIMATORS = {
 }
 
 
-def with_balanced_weight(df: DataFrame, label: str = "label") -> tuple[DataFrame, float]:
-    """M6 weights (n / (2 n_c)) as literals from one small aggregate; returns
-    the weighted frame and the sum of weights (= n)."""
+def balanced_weight(df: DataFrame, label: str = "label") -> tuple[Column, float]:
+    """M6 weights (n / (2 n_c)) as literals from one small aggregate, and the
+    sum of weights (= n)."""
     r = one_row(df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")))
     n, pos = r["n"], r["pos"] or 0
     w1 = n / (2.0 * pos) if pos else 0.0
     w0 = n / (2.0 * (n - pos)) if n - pos else 0.0
-    return df.withColumn("weight", F.when(F.col(label) == 1, num(w1)).otherwise(num(w0))), float(n)
+    return F.when(F.col(label) == 1, num(w1)).otherwise(num(w0)), float(n)
 
 
-def pipeline(kind: str, n_weighted: float | None = None, features=MODEL_FEATURES, **params) -> Pipeline:
-    """GapTransformer -> VectorAssembler -> StandardScaler -> estimator."""
+def with_balanced_weight(df: DataFrame, label: str = "label") -> tuple[DataFrame, float]:
+    """The frame with its ``balanced_weight``, and the sum of weights."""
+    weight, n = balanced_weight(df, label)
+    return df.withColumn("weight", weight), n
+
+
+def estimator(kind: str, n_weighted: float | None = None, **params):
+    """The estimator of a kind, for scaled ``features``, ``label`` and ``weight``."""
     est = ESTIMATORS[kind]()
     if kind in ("logistic", "linear_svc") and n_weighted:
         est = est.setRegParam(1.0 / n_weighted)  # S10: unaveraged C=1 penalty
     for k, v in params.items():
         est.set(est.getParam(k), v)
+    return est
+
+
+def _scaler() -> StandardScaler:
+    return StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
+
+
+def pipeline(kind: str, n_weighted: float | None = None, features=MODEL_FEATURES, **params) -> Pipeline:
+    """GapTransformer -> VectorAssembler -> StandardScaler -> estimator."""
     return Pipeline(stages=[GapTransformer(outputCols=list(features)),
                             VectorAssembler(inputCols=list(features), outputCol="raw_features"),
-                            StandardScaler(inputCol="raw_features", outputCol="features",
-                                           withMean=True, withStd=True),
-                            est])
+                            _scaler(), estimator(kind, n_weighted, **params)])
+
+
+def assembled(df: DataFrame, keep: list[str], features=MODEL_FEATURES, label: str = "label") -> DataFrame:
+    """``keep``, the label and the vector of the gap features: all that a search reads."""
+    gaps = GapTransformer(outputCols=list(features)).transform(df)
+    x = VectorAssembler(inputCols=list(features), outputCol="raw_features").transform(gaps)
+    return x.select(*keep, F.col(label).alias("label"), "raw_features")
+
+
+@dataclass
+class FoldFrames:
+    """The rows of a fold, weighted and scaled by its training side, ready for any estimator."""
+
+    both: DataFrame  # is_val: held out
+    n: float  # sum of the training weights
+
+    @property
+    def val(self) -> DataFrame:
+        return self.both.filter("is_val").select("label", "features")
+
+    def fit(self, kind: str, **params):
+        """With a ``validationTol``, boosting stops once the held-out error falls by less."""
+        est = estimator(kind, self.n, **params)
+        if "validationTol" in params:
+            return est.setValidationIndicatorCol("is_val").fit(self.both)
+        return est.fit(self.both.filter("not is_val"))
+
+
+def fold_frames(x: DataFrame, held: Column) -> FoldFrames:
+    """Of ``assembled`` rows: those that are ``held`` out, and the others to train on."""
+    train = x.filter(~held)
+    weight, n = balanced_weight(train)
+    rows = _scaler().fit(train).transform(x)
+    return FoldFrames(rows.select("label", weight.alias("weight"), "features", held.alias("is_val")), n)
 
 
 def fit(df: DataFrame, kind: str, label: str = "label", **params) -> PipelineModel:

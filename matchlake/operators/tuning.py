@@ -19,13 +19,15 @@ import time
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.operators import evaluation as EV
-from matchlake.operators import metrics as ME
 from matchlake.operators import models as MO
+from matchlake.operators.curves import roc_auc
 from matchlake.operators.small import one_row, small_rows
+from matchlake.session import cut_lineage
 
 # Concurrent fits from driver threads; small fits are scheduling-bound, so
 # more threads than cores keeps executors busy (override per deployment).
@@ -48,28 +50,28 @@ def fold_ids(df: DataFrame, fold: str, most: int = 1000) -> list[int]:
     return sorted(r[fold] for r in small_rows(df.select(fold).distinct(), most))
 
 
-def cv_fold_metrics(df: DataFrame, kinds: list[str], fold: str = "fold", key: str = "application_id",
-                    params: dict | None = None) -> DataFrame:
+def cv_fold_metrics(df: DataFrame, kinds: list[str], fold: str = "fold", params: dict | None = None) -> DataFrame:
     """Per (model, fold) metric rows; each model is fitted on the other folds."""
-    folds = fold_ids(df, fold)
-
-    def one(task):
-        kind, f = task
-        train, val = df.filter(F.col(fold) != f), df.filter(F.col(fold) == f)
-        m = MO.fit(train, kind, **(params or {}).get(kind, {}))
-        sc = MO.positive_probability(val, m, raw_for_svc=(kind == "linear_svc")).select(
-            key, "label", "probability", F.col("prediction").cast("int").alias("prediction"))
-        r = one_row(EV.binary_metrics(sc))
-        return (kind, int(f), *[float(r[c]) if r[c] is not None else None for c in EV.METRIC_COLS])
-
-    rows = pmap(one, [(k, f) for k in kinds for f in folds])
+    x = search_frame(df, fold)
+    out = []
+    for f in fold_ids(x, fold):
+        rows = MO.fold_frames(x, F.col(fold) == f)
+
+        def one(kind):
+            m = rows.fit(kind, **(params or {}).get(kind, {}))
+            sc = MO.positive_probability(rows.val, m, raw_for_svc=(kind == "linear_svc")).select(
+                "label", "probability", F.col("prediction").cast("int").alias("prediction"))
+            r = one_row(EV.binary_metrics(sc))
+            return (kind, int(f), *[float(r[c]) if r[c] is not None else None for c in EV.METRIC_COLS])
+
+        out += pmap(one, kinds)
     return df.sparkSession.createDataFrame(
-        rows, "model string, fold int, " + ", ".join(f"{c} double" for c in EV.METRIC_COLS))
+        out, "model string, fold int, " + ", ".join(f"{c} double" for c in EV.METRIC_COLS))
 
 
 def best_by_mean(fold_rows: DataFrame, metric: str = "roc_auc", order: list[str] | None = None):
     """best model by mean CV metric; strict > so the first in ``order`` wins ties."""
-    means = {r["model"]: r["m"] for r in fold_rows.groupBy("model").agg(F.avg(metric).alias("m")).collect()}
+    means = {r["model"]: r["m"] for r in small_rows(fold_rows.groupBy("model").agg(F.avg(metric).alias("m")), 1000)}
     best, best_v = None, -math.inf
     for m in order or sorted(means):
         if means.get(m) is not None and means[m] > best_v:
@@ -77,15 +79,40 @@ def best_by_mean(fold_rows: DataFrame, metric: str = "roc_auc", order: list[str]
     return best, best_v
 
 
-def _auc_of(model, val: DataFrame, svc: bool = False) -> float:
-    sc = MO.positive_probability(val, model, raw_for_svc=svc).select("label", "probability")
-    from matchlake.operators.curves import roc_auc
-    return one_row(roc_auc(sc))["roc_auc"]
+def _margin(model, col: str):
+    """Makes the model write one output column only, and reads P(class 1) from it."""
+    model.setPredictionCol("")
+    if hasattr(model, "setProbabilityCol"):
+        model.setRawPredictionCol("").setProbabilityCol(col)
+        return vector_to_array(F.col(col))[1]
+    model.setRawPredictionCol(col)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-vector_to_array(F.col(col))[1]))
+
+
+def fold_scores(models: dict[int, object], val: DataFrame, metric: str = "auc") -> dict[int, float]:
+    """AUC or accuracy of every model of a fold, in one pass over its rows."""
+    wide, read = val, {}
+    for t, m in models.items():
+        m = m.copy()
+        if metric == "accuracy":
+            m.setPredictionCol(f"out_{t}").setRawPredictionCol("")
+            if hasattr(m, "setProbabilityCol"):
+                m.setProbabilityCol("")
+            read[t] = (F.col(f"out_{t}") == F.col("label")).cast("int")
+        else:
+            read[t] = _margin(m, f"out_{t}")
+        wide = m.transform(wide)
+    if metric == "accuracy":
+        row = one_row(wide.agg(*[F.avg(c).alias(str(t)) for t, c in read.items()]))
+        return {t: row[str(t)] for t in read}
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("draw"), c.alias("probability")) for t, c in read.items()]))
+    long = wide.select("label", each.alias("v")).select("label", "v.*")
+    return {r["draw"]: r["roc_auc"] for r in small_rows(roc_auc(long, ["draw"]), len(models))}
 
 
-def _accuracy_of(model, val: DataFrame) -> float:
-    sc = model.transform(val).select("label", F.col("prediction").cast("int").alias("prediction"))
-    return one_row(ME.binary_rates(sc))["accuracy"]
+def search_frame(df: DataFrame, *folds: str) -> DataFrame:
+    """The fold columns, label and feature vector of a search's rows, worked out once."""
+    return cut_lineage(MO.assembled(df, list(folds)))
 
 
 def sample_params(space: dict, rng: random.Random) -> dict:
@@ -105,73 +132,88 @@ def sample_params(space: dict, rng: random.Random) -> dict:
     return out
 
 
+def _search(x: DataFrame, kind: str, draws: list[dict], fold: str, metric: str) -> list[float]:
+    """Mean score over the folds of every draw; a fold's rows are prepared once
+    for all draws and scored in one pass."""
+    scores: dict[int, list[float]] = {i: [] for i in range(len(draws))}
+    for f in fold_ids(x, fold):
+        rows = MO.fold_frames(x, F.col(fold) == f)
+        models = dict(enumerate(pmap(lambda p: rows.fit(kind, **p), draws)))
+        for i, v in fold_scores(models, rows.val, metric).items():
+            scores[i].append(v)
+    return [float(statistics.fmean(v)) for v in scores.values()]
+
+
 def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str = "fold",
                   seed: int = 42, metric: str = "auc") -> DataFrame:
     """Sampled parameter draws scored by mean CV metric (AUC or accuracy)."""
     rng = random.Random(seed)
-    folds = fold_ids(df, fold)
     draws = [sample_params(space, rng) for _ in range(n_draws)]
-
-    def one(task):
-        i, f = task
-        m = MO.fit(df.filter(F.col(fold) != f), kind, **draws[i])
-        val = df.filter(F.col(fold) == f)
-        return i, (_accuracy_of(m, val) if metric == "accuracy" else _auc_of(m, val, kind == "linear_svc"))
-
-    scores: dict[int, list[float]] = {}
-    for i, v in pmap(one, [(i, f) for i in range(n_draws) for f in folds]):
-        scores.setdefault(i, []).append(v)
-    rows = [(i, json.dumps(draws[i], sort_keys=True), float(statistics.fmean(scores[i]))) for i in range(n_draws)]
+    means = _search(search_frame(df, fold), kind, draws, fold, metric)
+    rows = [(i, json.dumps(p, sort_keys=True), v) for i, (p, v) in enumerate(zip(draws, means, strict=True))]
     return df.sparkSession.createDataFrame(rows, "draw int, params string, mean_score double")
 
 
 def trial_search(df: DataFrame, kind: str, space: dict, n_trials: int, fold: str = "fold",
-                 seed: int = 42, warmup: int = 5, parallelism: int = 4) -> DataFrame:
+                 seed: int = 42, warmup: int = 5, parallelism: int = PARALLELISM) -> DataFrame:
     """Seeded trials, objective = mean fold AUC. Trials run in waves of
-    ``parallelism``; a trial whose running mean trails the median of the trials
-    completed in earlier waves (at the same fold) is pruned, once ``warmup``
-    trials have completed. So the ledger does not depend on thread timing, and
-    folds within a trial stay sequential so that pruning can stop early.
-    Returns the trial ledger (T5)."""
+    ``parallelism``; after each fold, a trial whose running mean trails the
+    median of the trials completed in earlier waves (at the same fold) is
+    pruned, once ``warmup`` trials have completed. So the ledger does not depend
+    on thread timing. Returns the trial ledger (T5): ``rounds`` is the mean
+    number of trees that a trial's boosted models kept (null for other kinds),
+    ``time_sec`` the time of its fits."""
     rng = random.Random(seed)
-    folds = fold_ids(df, fold)
+    x = search_frame(df, fold)
     draws = [sample_params(space, rng) for _ in range(n_trials)]
+    rows = [MO.fold_frames(x, F.col(fold) == f) for f in fold_ids(x, fold)]
     finished: list[list[float]] = []
-
-    def one(t):
-        p = draws[t]
-        t0, scores, status = time.time(), [], "COMPLETE"
-        for j, f in enumerate(folds):
-            m = MO.fit(df.filter(F.col(fold) != f), kind, **p)
-            scores.append(_auc_of(m, df.filter(F.col(fold) == f)))
-            if len(finished) >= warmup and j < len(folds) - 1:
-                if statistics.fmean(scores) < statistics.median(statistics.fmean(s[: j + 1]) for s in finished):
-                    status = "PRUNED"
-                    break
-        return scores, (t, status, float(statistics.fmean(scores)), round(time.time() - t0, 3),
-                        json.dumps(p, sort_keys=True))
-
     ledger = []
     for first in range(0, n_trials, parallelism):
-        wave = pmap(one, range(first, min(first + parallelism, n_trials)), parallelism)
-        ledger += [row for _, row in wave]
-        finished += [scores for scores, row in wave if row[1] == "COMPLETE"]
-    return df.sparkSession.createDataFrame(ledger, "trial int, status string, score double, time_sec double, params string")
+        wave = range(first, min(first + parallelism, n_trials))
+        scores, rounds, seconds = {t: [] for t in wave}, {t: [] for t in wave}, dict.fromkeys(wave, 0.0)
+        alive = list(wave)
+        for j, r in enumerate(rows):
+            def one(t):
+                began = time.time()
+                model = r.fit(kind, **draws[t])
+                seconds[t] += time.time() - began
+                if kind == "gbt":
+                    rounds[t].append(model.getNumTrees)
+                return model
+
+            for t, v in fold_scores(dict(zip(alive, pmap(one, alive, parallelism), strict=True)), r.val).items():
+                scores[t].append(v)
+            if len(finished) >= warmup and j < len(rows) - 1:
+                bar = statistics.median(statistics.fmean(s[: j + 1]) for s in finished)
+                alive = [t for t in alive if statistics.fmean(scores[t]) >= bar]
+            if not alive:
+                break
+        ledger += [(t, "COMPLETE" if t in alive else "PRUNED", float(statistics.fmean(scores[t])),
+                    round(statistics.fmean(rounds[t])) if rounds[t] else None, round(seconds[t], 3), json.dumps(draws[t], sort_keys=True)) for t in wave]
+        finished += [scores[t] for t in alive]
+    return df.sparkSession.createDataFrame(
+        ledger, "trial int, status string, score double, rounds int, time_sec double, params string")
 
 
 def nested_cv(df: DataFrame, kind: str, space: dict, n_draws: int, outer: str = "outer_fold",
               inner: str = "inner_fold", seed: int = 42) -> DataFrame:
-    """Inner random search per outer fold, best params refit and scored
-    on the outer validation fold."""
-    outs = fold_ids(df, outer)
+    """Inner random search per outer fold; the best draw is refitted on the
+    outer training rows and gets all six metrics on the outer validation fold."""
+    x = search_frame(df, outer, inner)
     rows = []
-    for o in outs:
-        train, val = df.filter(F.col(outer) != o), df.filter(F.col(outer) == o)
-        search = random_search(train, kind, space, n_draws, fold=inner, seed=seed + o)
-        best = search.orderBy(F.col("mean_score").desc(), F.col("draw")).first()
-        m = MO.fit(train, kind, **json.loads(best["params"]))
-        rows.append((o, best["params"], _auc_of(m, val)))
-    return df.sparkSession.createDataFrame(rows, "outer_fold int, best_params string, roc_auc double")
+    for o in fold_ids(x, outer):
+        rng = random.Random(seed + o)
+        draws = [sample_params(space, rng) for _ in range(n_draws)]
+        means = _search(x.filter(F.col(outer) != o), kind, draws, inner, "auc")
+        best = draws[max(range(n_draws), key=lambda i: (means[i], -i))]
+        held = MO.fold_frames(x, F.col(outer) == o)
+        scored = MO.positive_probability(held.val, held.fit(kind, **best), raw_for_svc=(kind == "linear_svc"))
+        r = one_row(EV.binary_metrics(scored.select(
+            "label", "probability", F.col("prediction").cast("int").alias("prediction"))))
+        rows.append((o, json.dumps(best, sort_keys=True), *[r[c] for c in EV.METRIC_COLS]))
+    return df.sparkSession.createDataFrame(
+        rows, "outer_fold int, best_params string, " + ", ".join(f"{c} double" for c in EV.METRIC_COLS))
 
 
 # ---------------------------------------------------------------- calibration
@@ -195,7 +237,6 @@ def apply_calibrator(scored: DataFrame, cal, method: str) -> DataFrame:
         frame = frame.drop("probability")
     out = cal.transform(frame)
     if method == "sigmoid":
-        from pyspark.ml.functions import vector_to_array
         p = vector_to_array("probability")[1]
         return out.drop("cal_features").withColumn("probability", p).drop("rawPrediction", "prediction")
     return out.drop("cal_features", "probability").withColumnRenamed("cal_p", "probability")
@@ -254,7 +295,6 @@ def stacking(df: DataFrame, members: list[str], fold: str = "fold", key: str = "
 
 
 def stacking_score(df: DataFrame, full: dict, meta, key: str = "application_id") -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
     part = None
     for kind, m in full.items():
         p = MO.positive_probability(df, m, raw_for_svc=(kind == "linear_svc")).select(
