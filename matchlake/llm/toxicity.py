@@ -49,6 +49,11 @@ def sentence_words(raw: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray
     return plain.split(), starts, np.searchsorted(ends, starts)
 
 
+def parted(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with a line break between them: no word reaches into the next text."""
+    return np.insert(raw, offsets[1:-1], 10), offsets + np.minimum(np.arange(len(offsets)), max(0, len(offsets) - 2))
+
+
 def features(word: bytes) -> list[bytes]:
     """The word and its beginnings (white space marks a beginning)."""
     return [word, b" " + word[:4], b" " + word[:5]]
@@ -73,13 +78,15 @@ class SentenceModel:
     weights: dict[bytes, float]
     bias: float
 
-    def word_scores(self, words: list[bytes]) -> np.ndarray:
-        """Score of each word; one that repeats the word before it has none."""
+    def word_scores(self, words: list[bytes], opens: np.ndarray) -> np.ndarray:
+        """Score of each word; one that repeats the word before it in its
+        sentence has none. ``opens``: the first word of each sentence."""
         if "known" not in self.__dict__:
             self.known = WordScores(self.weights)
         scores = np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
-        again = np.fromiter(map(bytes.__eq__, words[1:], words), bool, max(0, len(words) - 1))
-        scores[1:][again] = 0.0
+        again = np.append(False, np.fromiter(map(bytes.__eq__, words[1:], words), bool, max(0, len(words) - 1)))
+        again[opens] = False
+        scores[again] = 0.0
         return scores
 
 
@@ -94,6 +101,7 @@ def fit(texts: pa.Array, target: np.ndarray, weight: np.ndarray, rounds: int = R
     ids: dict[bytes, int] = {}
     parts, bags, n_sent, n_docs = [], [], 0, len(target)
     for a, _, raw, offsets in slices(texts, 1 << 20):  # a slice's words become numbers at once
+        raw, offsets = parted(raw, offsets)
         w, starts, sentence = sentence_words(raw)
         number = np.fromiter((ids.setdefault(x, len(ids)) for x in w), np.int32, len(w))
         # a sentence does not cross texts
@@ -164,6 +172,7 @@ def pieces(raw: np.ndarray, limit: int) -> Iterator[np.ndarray]:
 def score_texts(texts: pa.Array, model: SentenceModel, limit: int = 4 << 20) -> np.ndarray:
     out = np.zeros(len(texts))
     for a, b, raw, offsets in slices(texts, limit):
+        raw, offsets = parted(raw, offsets)
         for part in pieces(raw, limit) if b == a + 1 else [raw]:
             words, starts, sentence = sentence_words(part)
             if not words:
@@ -171,7 +180,7 @@ def score_texts(texts: pa.Array, model: SentenceModel, limit: int = 4 << 20) ->
             owner = np.searchsorted(offsets, starts, "right") - 1 if b > a + 1 else np.zeros(len(starts), np.int64)
             key = owner.astype(np.int64) << 32 | sentence
             cut = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            margin = np.add.reduceat(model.word_scores(words), cut) + model.bias
+            margin = np.add.reduceat(model.word_scores(words, cut), cut) + model.bias
             np.add.at(out, a + owner[cut], log_clean(margin))
     return -np.expm1(out)
 
@@ -197,7 +206,7 @@ def offending(text: Column | str, model: SentenceModel, least: float = 0.5) -> C
                 found = []
                 if words:
                     cut = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
-                    p = 1 / (1 + np.exp(-np.add.reduceat(model.word_scores(words), cut) - model.bias))
+                    p = 1 / (1 + np.exp(-np.add.reduceat(model.word_scores(words, cut), cut) - model.bias))
                     edges = np.concatenate([[0], np.flatnonzero(ENDS[part]) + 1, [len(part)]])
                     for k in np.flatnonzero(p >= least).tolist():
                         s = int(sentence[cut[k]])

@@ -159,6 +159,60 @@ def test_learned_scores_of_odd_tables(spark):
     assert [(o["begin"], o["sentence"]) for o in row["o"]] == [(5, "So vile!")]
 
 
+def test_toxicity_fit_follows_the_bag_likelihood():
+    """Three steps of the fit against plain loops, with texts that bring no word."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}rd{k}" for k in range(12)]
+    texts = [" " * (2 << 20), None, ""]
+    texts += [" ".join(rng.choice(vocabulary + ["vile"] * (6 * (i % 2))) + rng.choice(["", "", "."]) for _ in range(30))
+              for i in range(60)]
+    target = np.array([0, 1, 0] + [i % 2 for i in range(60)])
+    weight = np.array([rng.choice([1.0, 2.5]) for _ in texts])
+    model = toxicity.fit(pa.array(texts), target, weight, rounds=3)
+
+    bags = []
+    for text in texts:
+        sentences = []
+        for part in (text or "").split("."):
+            words = part.split()
+            words = [w for k, w in enumerate(words) if not k or words[k - 1] != w]
+            if words:
+                sentences.append([f for w in words for f in toxicity.features(w.encode())])
+        bags.append(sentences)
+    in_docs = Counter(f for bag in bags for f in {f for s in bag for f in s})
+    theta = {f: 0.0 for f, n in in_docs.items() if n >= toxicity.MIN_DOCS}
+    share = (weight * target).sum() / weight.sum()
+    bias = math.log(share / max(1.0, sum(map(len, bags)) / len(texts)))
+    moments = {f: [0.0, 0.0] for f in [*theta, None]}
+    for step in range(1, 4):
+        slope = {f: toxicity.PENALTY / len(texts) * v for f, v in theta.items()} | {None: 0.0}
+        for bag, y, w in zip(bags, target, weight / weight.sum()):
+            p = [1 / (1 + math.exp(-bias - sum(theta.get(f, 0.0) for f in s))) for s in bag]
+            clean = math.prod(1 - x for x in p)
+            blame = (-clean / max(1 - clean, 1e-12) if y else 1.0) * w
+            for s, x in zip(bag, p):
+                for f in [*(f for f in s if f in theta), None]:
+                    slope[f] += blame * x
+        for f, g in slope.items():
+            m = moments[f]
+            m[:] = 0.9 * m[0] + 0.1 * g, 0.99 * m[1] + 0.01 * g * g
+            move = toxicity.RATE * (m[0] / (1 - 0.9 ** step)) / (math.sqrt(m[1] / (1 - 0.99 ** step)) + 1e-9)
+            if f is None:
+                bias -= move
+            else:
+                theta[f] = max(0.0, theta[f] - move)
+    kept = {f: v for f, v in theta.items() if v >= toxicity.SMALLEST}
+    assert kept and model.weights == pytest.approx(kept, rel=1e-6)
+    assert model.bias == pytest.approx(bias, rel=1e-6)
+
+
+def test_toxicity_does_not_depend_on_the_neighbours_of_a_row():
+    model = toxicity.SentenceModel({b"vile": 9.0, b"end": 2.0}, -4.0)
+    texts = ["so vile", "end", "", "vile", None, "vile vile", "a. end"]
+    alone = [toxicity.score_texts(pa.array([t], pa.string()), model)[0] for t in texts]
+    assert toxicity.score_texts(pa.array(texts), model) == pytest.approx(alone, rel=1e-12)
+
+
 def test_long_texts_in_parts_score_alike():
     text = pa.array(["Some words here. And VILE things!! | " * 3000])
     model = toxicity.SentenceModel({b"vile": 3.0}, -9.0)
