@@ -147,7 +147,7 @@ query("d28_five_number_summary", with_ctes(
     lambda s, d: CL.five_numbers(prepared(s, d), "expected_salary_inr"))
 
 
-def _sweep(spark, sf, ks=range(2, 7)):
+def _sweep(spark, sf, ks=range(2, 11)):
     p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
     rows = []
     for k in ks:
@@ -158,7 +158,7 @@ def _sweep(spark, sf, ks=range(2, 7)):
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _sweep_sql(ks=range(2, 7)):
+def _sweep_sql(ks=range(2, 11)):
     parts = []
     for k in ks:
         lab = f"(SELECT *, CAST(years_experience AS INTEGER) % {k} AS c2 FROM prep)"
