@@ -5,15 +5,20 @@ of at least ``MIN_REVISIT`` bytes the record with the smallest page_id is the
 response and the others are revisit records that name it and carry no payload;
 smaller payloads are all responses. Archives are plain text files of Spark's
 own writer whose record separator is the CRLF pair that ends a WARC record, so
-they land wherever Spark can write and roll over after ``RECORDS`` records.
+they land wherever Spark can write. They roll over after ``RECORDS`` records or
+``ARCHIVE_BYTES`` bytes, whichever comes first: records of similar size share
+archives of as many records as fit (a record over the bound has its own).
 
 Reading. A task holds one archive at a time and scans it in blocks for the
-record magic. Every hit is a *candidate*: a payload may hold the magic, or a
-whole record, itself. A candidate's header gives the offset of its successor;
+record magic at the file's start or behind the CRLF pair that ends a record.
+Every hit is a *candidate*: a payload may hold the magic, or a whole record,
+itself. Its header ends at the next empty line however long it is; headers of
+different candidates do not overlap, so the scan stays linear. A candidate's
+header gives the offset of its successor;
 pointer jumping over these offsets from the start of the file keeps the
 candidates that the chain reaches and rejects the others. A chain that leads to
 no candidate ends there, so a cut-off last record is dropped and nothing is
-invented. An archive is bounded by ``RECORDS`` records when written here; one
+invented. An archive is bounded in records and bytes when written here; one
 from elsewhere must fit Spark's binary file rows (2 GB).
 
 Repeated rows: rows with the smallest page_id of their payload are all
@@ -39,6 +44,9 @@ from matchlake.session import ensure_checkpoint_dir
 
 MIN_REVISIT = 100
 RECORDS = 2000
+ARCHIVE_BYTES = 64 << 20
+#: Bytes of a record's header without its url, at most.
+HEADER_BYTES = 1024
 BLOCK = 8 << 20
 MAGIC = b"WARC/1.0\r\n"
 CRLF = "\r\n"
@@ -86,12 +94,29 @@ def record_text() -> F.Column:
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), block)
 
 
+def size_class(payload_bytes: F.Column, url: F.Column, per_file: int, file_bytes: int) -> F.Column:
+    """0 for records of which ``per_file`` fit into an archive, one more for
+    each fourfold size."""
+    bound = payload_bytes + F.coalesce(F.octet_length(url), F.lit(0)) + F.lit(HEADER_BYTES)
+    steps, fits = F.lit(0), file_bytes // per_file
+    while fits < file_bytes:
+        steps, fits = steps + (bound > F.lit(fits)).cast("int"), 4 * fits
+    return steps
+
+
 def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, per_file: int = RECORDS,
-                   compression: str = "gzip") -> None:
+                   compression: str = "gzip", file_bytes: int = ARCHIVE_BYTES) -> None:
     """Archives of all pages below ``path``."""
-    (records(pages, min_revisit).select(record_text().alias("value"))
-     .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", per_file)
-     .option("compression", compression).text(path))
+    html = F.octet_length(F.coalesce("html", F.lit(""))).cast("long")
+    found = pages.select(size_class(html, F.col("url").cast("string"), per_file, file_bytes).alias("c")).distinct()
+    classes = sorted(r["c"] for r in found.collect()) or [0]
+    every = records(pages, min_revisit)
+    for c in classes:
+        part = every if len(classes) == 1 else \
+            every.where(size_class(F.col("payload_bytes"), F.col("url"), per_file, file_bytes) == c)
+        (part.select(record_text().alias("value")).write.mode("errorifexists" if c == classes[0] else "append")
+         .option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", max(1, per_file >> 2 * c))
+         .option("compression", compression).text(path))
 
 
 def header_fields(header: bytes) -> dict[bytes, bytes]:
@@ -113,7 +138,8 @@ def block_candidates(data: bytes, begin: int, end: int) -> Iterator[tuple]:
     data[begin:end] where a whole record could start."""
     at = data.find(MAGIC, begin, end + len(MAGIC) - 1)
     while at >= 0:
-        head_end = data.find(HEADER_END, at, at + 65536)
+        starts = at == 0 or data[max(0, at - SEPARATOR):at] == HEADER_END
+        head_end = data.find(HEADER_END, at) if starts else -1
         if head_end >= 0:
             fields = header_fields(data[at:head_end])
             size = fields.get(b"content-length", b"")

@@ -121,6 +121,28 @@ def test_warc_payloads_with_records_inside(spark):
     assert warc.archive_round_trip(pages.where("false")).count() == 0
 
 
+def test_warc_long_headers():
+    def record(url, body):
+        return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(body)}"
+                f"\r\n\r\n{body}\r\n\r\n").encode()
+
+    data = record("a", "x") + record("http://x/" + "u" * 300_000, "WARC/1.0\r\n" * 3) + record("b", "z")
+    found = sorted(warc.block_candidates(data, 0, len(data)))
+    marks = warc.reachable(np.array([c[0] for c in found]), np.array([c[1] for c in found]))
+    assert [c[4] for c, m in zip(found, marks, strict=True) if m] == [1, 30, 1]
+
+
+def test_warc_long_urls_and_archives_by_bytes(spark, tmp_path):
+    rows = [(i, "http://x/" + "u" * (400_000 if i == 3 else 5) + str(i), f"{i:04d}" * (50_000 if i % 5 == 0 else 10))
+            for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path, per_file=100, compression="none", file_bytes=500_000)
+    assert all(f.stat().st_size <= 500_000 for f in (tmp_path / "warc").glob("part-*"))
+    read = {r["page_id"]: r for r in warc.read_archives(spark, path).collect()}
+    assert {i: (r["url"], r["payload_bytes"]) for i, r in read.items()} == {i: (u, len(h)) for i, u, h in rows}
+
+
 def test_pointer_jumping():
     begin, following = np.array([0, 5, 10, 12, 20]), np.array([10, 12, 20, 20, 33])
     assert warc.reachable(begin, following).tolist() == [True, False, True, False, True]
