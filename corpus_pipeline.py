@@ -26,10 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: null texts and texts without a letter."""
+    """Rejects documents without a known language: null texts, texts without a
+    letter and texts that the model of the corpus' languages finds too unlikely.
+    If no language was learned, all texts with letters stay."""
     queries.importable(spark)
     model = language.fitted(docs, queries.PIECES)
-    return docs.where(language.language("text", model)["lang_pred"] != F.lit(language.UNKNOWN))
+    return docs.where(language.language("text", model)["known"])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

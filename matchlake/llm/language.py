@@ -12,6 +12,11 @@ piece covers is a piece of its own with a small fixed probability. A text that
 is null or has no letter is ``und`` with score 0, as is every text if nothing
 was learned. Ties go to the language that sorts first.
 
+A text is *known* if the log probability a letter (word marks count) in its
+language reaches ``FLOOR``: the posterior only compares the learned languages
+and is near 1 for long texts in any other. Texts of fewer than ``EVIDENCE``
+letters, and all texts with letters if nothing was learned, pass for known.
+
 Rows are scored one by one; extra columns pass through.
 """
 
@@ -41,6 +46,8 @@ ROUNDS, ALPHA = 4, 0.05
 #: Probability of a character outside the vocabulary, and the factor per
 #: character that keeps the recursion of a part within double range.
 STRAY, LIFT = 1e-7, 100.0
+#: Least mean log probability a letter of a known text, and the letters that it takes to reject one.
+FLOOR, EVIDENCE = -3.5, 20
 CACHE = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -218,12 +225,12 @@ def parts_of(text: str, limit: int = 1 << 20) -> Iterator[str]:
     yield text[at:]
 
 
-def score_texts(texts: pa.Array, scores: WordScores) -> tuple[list[str], np.ndarray]:
-    """(language, posterior) of each text."""
+def score_texts(texts: pa.Array, scores: WordScores) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, posterior, whether the language is known) of each text."""
     names, best = scores.model.languages, []
-    posterior = np.zeros(len(texts))
+    posterior, known = np.zeros(len(texts)), np.zeros(len(texts), bool)
     for a, b, part in text_slices(texts, 1 << 20):
-        total, seen = np.zeros((b - a, len(names))), np.zeros(b - a, bool)
+        total, seen, letters = np.zeros((b - a, len(names))), np.zeros(b - a, bool), np.zeros(b - a, np.int64)
         words, owner = [], []
         for i, text in enumerate(part):
             for chunk in parts_of(text.decode("utf-8", "replace")):
@@ -234,6 +241,7 @@ def score_texts(texts: pa.Array, scores: WordScores) -> tuple[list[str], np.ndar
                     words += found
                     owner.append((i, len(found)))
                 seen[i] |= bool(found)
+                letters[i] += sum(map(len, found))
         if words and names:
             places = scores.add(words)
             counts = np.array([n for _, n in owner])
@@ -244,21 +252,23 @@ def score_texts(texts: pa.Array, scores: WordScores) -> tuple[list[str], np.ndar
             top = total.argmax(1)
             share = 1.0 / np.exp(total - total[np.arange(b - a), top][:, None]).sum(1)
             posterior[a:b] = np.where(seen, share, 0.0)
+            known[a:b] = seen & ((letters < EVIDENCE) | (total.max(1) >= FLOOR * letters))
             best += [names[k] if s else UNKNOWN for k, s in zip(top.tolist(), seen.tolist(), strict=True)]
         else:
             best += [UNKNOWN] * (b - a)
-    return best, posterior
+            known[a:b] = seen
+    return best, posterior, known
 
 
 def language(text: Column | str, model: PieceModel) -> Column:
-    """struct(lang_pred, score) of a text column."""
-    @arrow_udf("struct<lang_pred:string,score:double>")
+    """struct(lang_pred, score, known) of a text column."""
+    @arrow_udf("struct<lang_pred:string,score:double,known:boolean>")
     def identified(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scores = WordScores(model)
         for texts in batches:
-            names, posterior = score_texts(texts, scores)
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(posterior)],
-                                             ["lang_pred", "score"])
+            names, posterior, known = score_texts(texts, scores)
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(posterior), pa.array(known)],
+                                             ["lang_pred", "score", "known"])
 
     return identified(F.col(text) if isinstance(text, str) else text)
 

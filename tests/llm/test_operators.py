@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -281,6 +282,19 @@ def test_language_of_odd_tables_and_accuracy(spark, documents):
 # -- language model --------------------------------------------------------
 
 
+def test_language_stage_asks_the_model(spark, documents):
+    strange = [(-1, "Все люди рождаются свободными и равными в своем достоинстве и правах"),
+               (-2, "wxq zkjv pqzt xvbk jjqw zzxk vvqp kxwj qqzv xkcd wvut"), (-3, "123 !?"), (-4, None)]
+    odd = documents.limit(0).unionByName(spark.createDataFrame(strange, "doc_id long, text string"),
+                                         allowMissingColumns=True).select(documents.columns)
+    kept = corpus_pipeline.drop_unknown_language(spark, documents.unionByName(odd), SMALL)
+    assert {r[0] for r in kept.select("doc_id").collect()} == \
+        {r[0] for r in documents.where(F.col("text").rlike("\\p{L}")).select("doc_id").collect()}
+    unlabelled = documents.unionByName(odd).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.drop_unknown_language(spark, unlabelled, SMALL)
+    assert kept.count() == unlabelled.where(F.col("text").rlike("\\p{L}")).count() > 2
+
+
 def test_exchange_reaches_a_local_optimum():
     rng = np.random.default_rng(0)
     pairs = rng.integers(0, 6, (30, 30))
