@@ -10,7 +10,9 @@ smallest Euclidean distance, in which lists are built and chosen.
   bounded sample; their number follows the number of points up to a bound.
 * Lists are dealt to shards. A query asks each shard that holds some of its
   lists once, and gets the nearest of all of these lists together; beyond the
-  bound on lists, shards are dealt to several parts.
+  bound on lists, shards are dealt to several parts. A task holds one part at a
+  time and streams the part's queries past it in batches, so neither grows with
+  the table.
 * A point goes to its nearest list and, near a boundary, to others whose
   centroid is at most ``1 + BOUNDARY`` times as far (``REPLICAS`` lists at most).
 * A query walks a proximity graph of the centroids held in memory, best first,
@@ -26,6 +28,7 @@ precision; ties go to the smaller id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -242,6 +245,34 @@ def best_of_shard(stored: pa.Table, asked: pa.Table, top: int) -> pa.Table:
                      "score": pa.array(np.concatenate(score), pa.float64())})
 
 
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """((shard, part, asks), rows) of each run of equal keys in a batch."""
+    keys = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                            for c in ("shard", "part", "asks")])
+    edges = [0, *(1 + np.flatnonzero((keys[1:] != keys[:-1]).any(1))).tolist(), len(keys)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b > a:
+            yield tuple(keys[a].tolist()), batch.slice(a, b - a)
+
+
+def best_of_batches(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    """The nearest ids for rows sorted by shard, part and asks: each part's
+    stored vectors, then the queries that visit it."""
+    of, held = None, []
+    for batch in batches:
+        for (shard, part, asks), rows in runs(batch):
+            if (shard, part) != of:
+                of, held = (shard, part), []
+            if not asks:
+                held.append(rows)
+            elif held:
+                stored = pa.Table.from_batches(held)
+                if len(held) > 1:
+                    stored = stored.combine_chunks()
+                    held = stored.to_batches()
+                yield from best_of_shard(stored, pa.Table.from_batches([rows]).combine_chunks(), top).to_batches()
+
+
 def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by
     ``every``, the ``top`` rows with the largest inner product found."""
@@ -258,12 +289,14 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame
     home = placed(stored, index, shards, False).withColumn("part", F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int"))
     visit = placed(single, index, shards, True).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
-    def compared(left: pa.Table, right: pa.Table) -> pa.Table:
-        return best_of_shard(left, right, top)
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return best_of_batches(batches, top)
 
-    hits = (home.select("shard", "part", "lists", "embedding", "ids").groupBy("shard", "part")
-            .cogroup(visit.select("shard", "part", "lists", "embedding", "query").groupBy("shard", "part"))
-            .applyInArrow(compared, "query string, vec_id long, score double"))
+    both = (home.select("shard", "part", F.lit(0).alias("asks"), "lists", "embedding", "ids", F.lit("").alias("query"))
+            .unionByName(visit.select("shard", "part", F.lit(1).alias("asks"), "lists", "embedding",
+                                      F.lit(None).cast(home.schema["ids"].dataType).alias("ids"), "query")))
+    hits = (both.repartition("shard", "part").sortWithinPartitions("shard", "part", "asks")
+            .mapInArrow(compared, "query string, vec_id long, score double"))
     order = [F.desc("score"), F.asc("vec_id")]
     best = hits.groupBy("query", "vec_id").agg(F.max("score").alias("score")) \
         .withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("n") <= top + 1) \

@@ -400,6 +400,36 @@ def test_neighbours(spark):
 # -- SimHash ---------------------------------------------------------------
 
 
+def test_neighbour_queries_stream_past_a_part():
+    rng = np.random.default_rng(0)
+    kind = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("asks", pa.int32()), ("lists", pa.list_(pa.int32())),
+                      ("embedding", pa.list_(pa.float32())), ("ids", pa.list_(pa.int64())), ("query", pa.string())])
+    x, q = rng.normal(size=(2, 90, 4)).astype(np.float32), rng.normal(size=(500, 4)).astype(np.float32)
+    rows = []
+    for shard in range(2):
+        rows += [(shard, 0, 0, [0], v.tolist(), [100 * shard + i], "") for i, v in enumerate(x[shard])]
+        rows += [(shard, 0, 1, [0], v.tolist(), None, str(i)) for i, v in enumerate(q)]
+    rows += [(2, 0, 1, [0], q[0].tolist(), None, "0")]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kind.types, strict=True)], schema=kind)
+    taken = []
+
+    def batches():
+        for batch in table.to_batches(max_chunksize=70):
+            taken.append(len(batch))
+            yield batch
+
+    found, ahead = {}, []
+    for out in neighbours.best_of_batches(batches(), 3):
+        ahead.append(len(taken))
+        for r in out.to_pylist():
+            found.setdefault((int(r["vec_id"] >= 100), r["query"]), []).append(r["vec_id"])
+    assert ahead[0] == 2 and max(Counter(ahead).values()) <= 3
+    assert len(found) == 1000
+    for (shard, name), ids in found.items():
+        best = np.argsort(-(x[shard].astype(float) @ q[int(name)].astype(float)), kind="stable")[:4]
+        assert ids == (100 * shard + best).tolist()
+
+
 def fingerprint(text):
     words = words_of((text or "").encode())
     parts = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
