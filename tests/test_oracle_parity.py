@@ -32,7 +32,8 @@ def test_query_matches_oracle(spark, sf, con, name):
 
 def test_every_query_has_an_id_prefix():
     import re
-    for name in queries():
+    from matchlake.plans import catalog
+    for name in catalog.QUERIES:
         assert re.match(r"^[a-z]\d\d_", name), name
 
 
