@@ -7,7 +7,7 @@ import os
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import (
@@ -16,6 +16,7 @@ from matchlake.llm import (
     language,
     mixing,
     neighbours,
+    periodic,
     quality,
     simhash,
     token_counts,
@@ -196,3 +197,41 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+# -- 11 --------------------------------------------------------------------
+
+
+def repeating(doc_id: str, text: str) -> Column:
+    """The text whose word i >= a is the original word a + (i - a) % p, for the
+    tenth of the ids that the contract names (h, g, a and p are its); other
+    texts as they are. A null id reads as empty text."""
+    h = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.col(text), F.lit(f"({_WORD})"), F.lit(1))
+    parts = F.struct(words.alias("words"), F.size(words).cast("long").alias("n"), F.floor(h / 10).cast("long").alias("g"))
+
+    def turned(s):
+        a = s["g"] % F.greatest(s["n"], F.lit(1))
+        p = F.lit(1) + F.floor((s["n"] - a) / (F.lit(3) + s["g"] % 8))
+        order = F.sequence(F.lit(0).cast("long"), s["n"] - 1)
+        at = F.transform(order, lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))
+        return F.array_join(F.transform(at, lambda i: F.get(s["words"], i)), " ")
+
+    whole = F.get(F.transform(F.array(parts), lambda s: F.when(s["n"] > 0, turned(s)).otherwise(F.lit(""))), F.lit(0))
+    return F.when(h % 10 == 0, whole).otherwise(F.col(text))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeating("doc_id", "text").alias("text"))
+    found = periodic.periodic_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    best = periodic.strongest("runs")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
