@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from matchlake.llm import (
     classlm,
+    collocations,
     decontamination,
     language,
     mixing,
@@ -235,3 +236,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_runs", "best.start", "best.length", "best.period",
         F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256")
+
+
+# -- 12 --------------------------------------------------------------------
+
+
+@query("op12_phrase_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -5,10 +5,13 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from matchlake.llm import periodic, queries
+from matchlake.llm import collocations, periodic, queries
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, runs string, n long"
@@ -110,3 +113,88 @@ def test_op11_on_odd_documents(spark, table_of):
     assert long[12]["n_runs"] == 1
     empty = table_of("empty/documents", spark.createDataFrame([], DOCS)) + "/empty"
     assert queries.QUERIES["op11_periodic_runs"](spark, empty).count() == 0
+
+
+# -- phrase collocations ---------------------------------------------------
+
+
+def collocations_by_hand(rows, longest=5, least=100, top=2000):
+    """The contract over (text, lang) rows, with plain counters."""
+    counts, totals = defaultdict(Counter), Counter()
+    small = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(small)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, longest + 1):
+                counts[lang].update(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        hidden = set()
+        for p, a in often.items():
+            for i in range(len(p)):
+                for j in range(i + 2, len(p) + 1):
+                    if j - i < len(p) and a >= often.get(p[i:j], 1 << 60):
+                        hidden.add(p[i:j])
+        found = []
+        for p, a in often.items():
+            score, k = min((1000 * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            if p not in hidden:
+                found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+PHRASE_COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def test_op12_equals_counters(spark, documents):
+    rows = [(r["text"], r["lang"]) for r in documents.collect()]
+    want = collocations_by_hand(rows)
+    got = queries.QUERIES["op12_phrase_collocations"](spark, SMALL).select(*PHRASE_COLUMNS)
+    assert [t for _, t in got.dtypes] == ["string", "bigint", "string"] + ["bigint"] * 5
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert len(want) > 20
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 22, 300])
+def test_collocations_of_few_words(spark, part_bytes):
+    rng = random.Random(part_bytes)
+    texts = []
+    for i in range(120):
+        words = [rng.choice(["a", "B", "c", "\u00e9", "new", "york", "x\x1cy", "the"]) for _ in range(rng.randint(0, 60))]
+        text = "".join(w + rng.choice([" ", "  ", "\t", " ", ". ", "\n", ",", " a "]) for w in words)
+        texts.append((text + " new york city", rng.choice(["en", None, "", "de"])))
+    texts += [(None, "en"), ("", None), ("   ...", "xx"), texts[0], texts[0], ("ab " * 300, "en"), ("z", "en")]
+    assert list(collocations.pieces(b"a.bcdef.g.h", 4)) == [b"a.", b"bcdef.", b"g.h"]
+    df = spark.createDataFrame([(t, lang, "p", 1, 2) for t, lang in texts],
+                               "text string, lang string, phrase string, a long, k long").repartition(5)
+    for longest, least, top in ((5, 10, 2000), (3, 4, 7), (2, 1, 50)):
+        got = collocations.collocations(df, longest=longest, least=least, top=top,
+                                        part_bytes=part_bytes).select(*PHRASE_COLUMNS).collect()
+        assert sorted(tuple(r) for r in got) == collocations_by_hand(texts, longest, least, top)
+    assert collocations.collocations(df.limit(0)).count() == 0
+
+
+def test_bit_table_clashes_keep_counts(spark):
+    """A table with far too few bits lets more through, and changes nothing."""
+    rng = random.Random(8)
+    texts = [(" ".join(rng.choice("abcdefgh") for _ in range(200)), "en") for _ in range(10)]
+    df = spark.createDataFrame(texts, "text string, lang string")
+    got = collocations.collocations(df, least=12, bits=4).select(*PHRASE_COLUMNS).collect()
+    assert sorted(tuple(r) for r in got) == collocations_by_hand(texts, least=12)
+
+
+def test_scores_beyond_64_bits(spark):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(300):
+        n = rng.randint(10 ** 9, 10 ** 15)
+        left, right = rng.randint(10 ** 6, n // 3), rng.randint(10 ** 6, n // 3)
+        rows.append((rng.randint(1, min(left, right)), n, left, right))
+    df = spark.createDataFrame(rows, "a long, n long, l long, r long")
+    got = df.select("a", "n", "l", "r", collocations.exact_score(*map(F.col, "anlr")).alias("s")).collect()
+    assert all(r["s"] == 1000 * r["a"] * r["n"] // (r["l"] * r["r"]) for r in got)
