@@ -14,6 +14,7 @@ from matchlake.llm import (
     classlm,
     collocations,
     decontamination,
+    extraction,
     language,
     mixing,
     neighbours,
@@ -244,3 +245,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_phrase_collocations")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+# -- 13 --------------------------------------------------------------------
+
+
+@query("op13_main_text")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", extraction.main_text("html", extraction.learned(pages)).alias("text"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

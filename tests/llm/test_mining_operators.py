@@ -2,6 +2,7 @@
 and hand-made pages, and on odd tables."""
 
 import hashlib
+import html
 import random
 import re
 import zlib
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm import collocations, periodic, queries
+from matchlake.llm import collocations, extraction, periodic, queries
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, runs string, n long"
@@ -198,3 +199,108 @@ def test_scores_beyond_64_bits(spark):
     df = spark.createDataFrame(rows, "a long, n long, l long, r long")
     got = df.select("a", "n", "l", "r", collocations.exact_score(*map(F.col, "anlr")).alias("s")).collect()
     assert all(r["s"] == 1000 * r["a"] * r["n"] // (r["l"] * r["r"]) for r in got)
+
+
+# -- HTML extraction -------------------------------------------------------
+
+
+def article_of(page):
+    """The article of a page of the test tables, read by its known form."""
+    inner = re.search(r"<article>(.*?)(</article>|$)", page or "", re.S)
+    blocks = re.split(r"</?(?:p|h1)>", inner[1].replace("<br>", " ").replace("<b>", "").replace("</b>", "")) if inner else []
+    lines = [" ".join(html.unescape(b).split()) for b in blocks]
+    return "\n".join(x for x in lines if x)
+
+
+def test_op13_equals_articles(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    got = queries.QUERIES["op13_main_text"](spark, SMALL).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(pages)
+    for r in got:
+        want = article_of(pages[r["page_id"]]["html"])
+        assert (r["url"], r["text"], r["n_chars"]) == (pages[r["page_id"]]["url"], want, len(want))
+
+
+FULL = """<!doctype html><html><head><title>Shop &amp; news</title><script>if (a < b) document.write("<p>no</p>")</script>
+<style>p > b {color: red}</style></head><body class="has-sidebar comments-open"><div id=cookie-banner><p>We use cookies, as you know. Accept?</p>
+<button>OK</button></div><header><a href=/>Home</a><form><input name=q><label>Search</label></form></header>
+<div class="page-with-sidebar"><nav><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav><main>
+<article><header><h1>A&nbsp;title &lt;3</h1><p class=byline>By someone</p></header>
+<p>First   paragraph, with <a href="/x>y">a link</a> and <b>bold</b>text.<br>Next line.
+<p>Second one &mdash; caf&eacute; &#x1F600;, it's <i title=it's>fine</i>.<!-- <p>not this</p> --></p>
+<div class=ad><p>Buy this now, it is a very good thing to have, and cheap.</p></div>
+<ul><li>a point</li><li>another point</li></ul><table><tr><td>cell one<td>cell two</table>
+<pre>code  here
+  too</pre><blockquote>Quoted words.</blockquote><aside>Aside words that read like a text.</aside>
+<noscript>Turn on scripts.</noscript><p hidden>secret</p><p style="display: none">secret</p>
+<section id=comments><h2>2 comments</h2><article class=comment><p>I liked this text, it was good. Thank you.</p></article></section>
+</article></main><div class="widget sidebar"><p>Read also these fine stories, they are many.</p></div></div>
+<footer><p>All rights reserved, since long ago.</p></footer></body></html>"""
+FULL_TEXT = """A title <3
+First paragraph, with a link and boldtext. Next line.
+Second one \u2014 caf\u00e9 \U0001f600, it's fine.
+a point
+another point
+cell one
+cell two
+code here too
+Quoted words."""
+
+
+def text_of(page, odds=None):
+    return "\n".join(b.text for b, content in extraction.labelled_blocks(page, odds or {}) if content)
+
+
+def test_full_page():
+    assert text_of(FULL) == FULL_TEXT
+
+
+def test_page_without_telling_elements(spark):
+    """The learned looks and the cut find the text where no element names it."""
+    rng = random.Random(4)
+    sentence = lambda: ", ".join(" ".join("word" * rng.randint(1, 2) for _ in range(7)) for _ in range(3)) + ". And more."
+    told = "<nav><li><a href=/>Home</a></li><li><a href=/>News</a></li></nav><article>" + "".join(
+        f"<p>{sentence()}</p>" for _ in range(6)) + "</article><footer><a href=/>Imprint</a></footer>"
+    odds = extraction.learned(spark.createDataFrame([(told,)] * 20 + [(None,), ("",)], "html string"))
+    first, second = sentence(), sentence()
+    page = f"<div><div><a href=/>Home</a></div><div><a href=/>News</a></div></div><div><p>{first}</p><p>Short.</p><p>{second}</p></div>" \
+           "<div><div><a href=/>Imprint</a></div></div>"
+    assert text_of(page, odds) == f"{first}\nShort.\n{second}"
+    labels = [side for _, side in extraction.labelled_blocks(page, odds)]
+    assert labels == [False, False, True, True, True, False]
+
+
+def test_minimum_cut_equals_all_cuts():
+    rng = random.Random(6)
+    for _ in range(400):
+        n = rng.randint(1, 8)
+        capacity = [rng.randint(-6, 6) for _ in range(n)]
+        edges = [(a, b, rng.randint(0, 5)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.5]
+
+        def value(cut):
+            return sum(max(0, c) if not cut >> i & 1 else max(0, -c) for i, c in enumerate(capacity)) \
+                + sum(c for a, b, c in edges if (cut >> a & 1) != (cut >> b & 1))
+
+        best = min(range(1 << n), key=lambda cut: (value(cut), cut.bit_count()))
+        assert extraction.minimum_cut(capacity, edges) == [bool(best >> i & 1) for i in range(n)]
+
+
+def test_op13_on_odd_pages(spark, table_of):
+    article = "<article><p>Some words, and more of them.</p></article>"
+    pages = {0: (None, ""), 1: ("", ""), 2: ("   ", ""), 3: ("<", ""), 4: (article, "Some words, and more of them."),
+             5: (article[:40], "Some words, and more of them"), 6: ("<article><p>x <!-- never closed <p>y", "x"),
+             7: ("<article><script>var a = '<p>no</p>'", ""), 8: ("<article><p>a</b></p></div>b &am", "a\nb &am"),
+             9: ("<ARTICLE><P CLASS='x' ID=y>Up<BR/>per &AMP; &copy &#0; &#xD800;</ARTICLE>", "Up per & \u00a9 \ufffd \ufffd"),
+             10: ("<article>" + "<div>" * 3000 + "deep words" + "</div>" * 3000, "deep words"),
+             11: ("<article>" + "<p>a word or two</p>" * 20_000, "\n".join(["a word or two"] * 20_000)),
+             12: ("<article><p>a &lt;b&gt; <3 x<y\u3000z\u00a0q</p>", "a <b> <3 x"), 13: ("<nav>only a menu</nav>", "")}
+    data = [(i, f"u{i}", h, "text", 1, 2, 3) for i, (h, _) in pages.items()]
+    data += [data[4], (None, None, article, None, None, None, None)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string, text string, n_chars long, side int, bin int")
+    got = queries.QUERIES["op13_main_text"](spark, table_of("pages", df)).collect()
+    assert len(got) == len(data)
+    for r in got:
+        want = pages[4 if r["page_id"] is None else r["page_id"]][1]
+        assert (r["text"], r["n_chars"]) == (want, len(want)), r["page_id"]
+    empty = table_of("empty/pages", df.limit(0)) + "/empty"
+    assert queries.QUERIES["op13_main_text"](spark, empty).count() == 0
