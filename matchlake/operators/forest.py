@@ -54,6 +54,7 @@ class ForestSpec:
     trees: int = 100
     max_depth: int | None = None
     min_split: int = 2
+    min_leaf: int = 1
     held: tuple[int, ...] = ()
     seed: int = 42
     bootstrap: bool = True
@@ -110,7 +111,7 @@ def grow(x: np.ndarray, y: np.ndarray, count: np.ndarray, spec: ForestSpec, seed
         total, ones, rows = (np.bincount(node, v, n) for v in (w, wy, np.ones(len(w))))
         value.append(np.divide(ones, total, out=np.zeros(n), where=total > 0))
         may = (ones > 0) & (ones < total) & (rows >= spec.min_split) & (depth < spec.depth())
-        best, where, at_bin = best_splits(x, w, wy, node, keys, seed, m, total, ones, may)
+        best, where, at_bin = best_splits(x, w, wy, node, keys, seed, m, total, ones, may, spec.min_leaf)
         split = may & (best > -np.inf)
         rank = np.cumsum(split) - 1
         feature.append(np.where(split, where, 0))
@@ -124,7 +125,7 @@ def grow(x: np.ndarray, y: np.ndarray, count: np.ndarray, spec: ForestSpec, seed
     return Tree(*(np.concatenate(v) for v in (feature, cut, left, value)))
 
 
-def best_splits(x, w, wy, node, keys, seed, m, total, ones, may) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_splits(x, w, wy, node, keys, seed, m, total, ones, may, min_leaf=1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(purity, feature, bin) of the best split of each node that may split."""
     n = len(keys)
     best, where, at_bin = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -138,13 +139,15 @@ def best_splits(x, w, wy, node, keys, seed, m, total, ones, may) -> tuple[np.nda
     varies = np.zeros((n, x.shape[1]), bool)
     varies[present] = np.maximum.reduceat(x, starts, 0) > np.minimum.reduceat(x, starts, 0)
     chosen = drawn_features(keys, seed, varies, m)
-    base = node * BINS
+    base, stops = node * BINS, np.append(starts[1:], len(x))
     for slot in range(chosen.shape[1]):
         f = chosen[:, slot]
         key = base + x[np.arange(len(x)), f[node]]
         by = np.argsort(key, kind="stable")
         key, lw, lp = key[by], np.cumsum(w[by]), np.cumsum(wy[by])
         end = np.flatnonzero((key[1:] != key[:-1]) & (key[1:] // BINS == key[:-1] // BINS))
+        at = np.searchsorted(present, key[end] // BINS)
+        end = end[(end - starts[at] + 1 >= min_leaf) & (stops[at] - end - 1 >= min_leaf)]
         if not len(end):
             continue
         of = key[end] // BINS
@@ -195,7 +198,7 @@ def chosen_split(hist: pd.DataFrame, key: int, spec: ForestSpec, depth: int, see
     best = -np.inf
     for f in drawn_features(np.array([key], np.uint64), seed, varies[None], m)[0].tolist():
         sums = table[:, f].cumsum(1)
-        inner = np.flatnonzero((table[0, f] > 0) & (sums[0] < w))
+        inner = np.flatnonzero((table[0, f] > 0) & (sums[0] < w) & (sums[2] >= spec.min_leaf) & (c - sums[2] >= spec.min_leaf))
         if not len(inner):
             continue
         score = purity(sums[0, inner], sums[1, inner], w, p)

@@ -100,6 +100,7 @@ class FoldFrames:
 
     both: DataFrame  # is_val: held out
     n: float  # sum of the training weights
+    scaler: object = None  # fitted on the training side
 
     @property
     def val(self) -> DataFrame:
@@ -117,8 +118,9 @@ def fold_frames(x: DataFrame, held: Column) -> FoldFrames:
     """Of ``assembled`` rows: those that are ``held`` out, and the others to train on."""
     train = x.filter(~held)
     weight, n = balanced_weight(train)
-    rows = _scaler().fit(train).transform(x)
-    return FoldFrames(rows.select("label", weight.alias("weight"), "features", held.alias("is_val")), n)
+    scaler = _scaler().fit(train)
+    rows = scaler.transform(x)
+    return FoldFrames(rows.select("label", weight.alias("weight"), "features", held.alias("is_val")), n, scaler)
 
 
 def fit(df: DataFrame, kind: str, label: str = "label", **params) -> PipelineModel:

@@ -1,10 +1,9 @@
-"""Cross-validation, random/trial search, nested CV, calibration, stacking
-(T1-T9, N9-N13, F7) on MLlib.
+"""Random search over margin machines, model choice, stacking (T2, T9, N9, F7) on MLlib.
 
 All loops are over *models and parameter draws* (a handful of driver-side
 iterations); every fit and every metric is a distributed Spark job over the
 shared, persisted fold table. One fold column (M3/M4) is reused everywhere so
-out-of-fold scores are clean.
+out-of-fold scores are clean. Searches over trees are in ``forest`` and ``boosting``.
 """
 
 from __future__ import annotations
@@ -14,16 +13,13 @@ import math
 import os
 import random
 import statistics
-import time
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators import evaluation as EV
 from matchlake.operators import models as MO
 from matchlake.operators.curves import roc_auc
 from matchlake.operators.small import one_row, small_rows
@@ -50,25 +46,6 @@ def fold_ids(df: DataFrame, fold: str, most: int = 1000) -> list[int]:
     return sorted(r[fold] for r in small_rows(df.select(fold).distinct(), most))
 
 
-def cv_fold_metrics(df: DataFrame, kinds: list[str], fold: str = "fold", params: dict | None = None) -> DataFrame:
-    """Per (model, fold) metric rows; each model is fitted on the other folds."""
-    x = search_frame(df, fold)
-    out = []
-    for f in fold_ids(x, fold):
-        rows = MO.fold_frames(x, F.col(fold) == f)
-
-        def one(kind):
-            m = rows.fit(kind, **(params or {}).get(kind, {}))
-            sc = MO.positive_probability(rows.val, m, raw_for_svc=(kind == "linear_svc")).select(
-                "label", "probability", F.col("prediction").cast("int").alias("prediction"))
-            r = one_row(EV.binary_metrics(sc))
-            return (kind, int(f), *[float(r[c]) if r[c] is not None else None for c in EV.METRIC_COLS])
-
-        out += pmap(one, kinds)
-    return df.sparkSession.createDataFrame(
-        out, "model string, fold int, " + ", ".join(f"{c} double" for c in EV.METRIC_COLS))
-
-
 def best_by_mean(fold_rows: DataFrame, metric: str = "roc_auc", order: list[str] | None = None):
     """best model by mean CV metric; strict > so the first in ``order`` wins ties."""
     means = {r["model"]: r["m"] for r in small_rows(fold_rows.groupBy("model").agg(F.avg(metric).alias("m")), 1000)}
@@ -154,152 +131,12 @@ def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str
     return df.sparkSession.createDataFrame(rows, "draw int, params string, mean_score double")
 
 
-def trial_search(df: DataFrame, kind: str, space: dict, n_trials: int, fold: str = "fold",
-                 seed: int = 42, warmup: int = 5, parallelism: int = PARALLELISM) -> DataFrame:
-    """Seeded trials, objective = mean fold AUC. Trials run in waves of
-    ``parallelism``; after each fold, a trial whose running mean trails the
-    median of the trials completed in earlier waves (at the same fold) is
-    pruned, once ``warmup`` trials have completed. So the ledger does not depend
-    on thread timing. Returns the trial ledger (T5): ``rounds`` is the mean
-    number of trees that a trial's boosted models kept (null for other kinds),
-    ``time_sec`` the time of its fits."""
-    rng = random.Random(seed)
-    x = search_frame(df, fold)
-    draws = [sample_params(space, rng) for _ in range(n_trials)]
-    rows = [MO.fold_frames(x, F.col(fold) == f) for f in fold_ids(x, fold)]
-    finished: list[list[float]] = []
-    ledger = []
-    for first in range(0, n_trials, parallelism):
-        wave = range(first, min(first + parallelism, n_trials))
-        scores, rounds, seconds = {t: [] for t in wave}, {t: [] for t in wave}, dict.fromkeys(wave, 0.0)
-        alive = list(wave)
-        for j, r in enumerate(rows):
-            def one(t):
-                began = time.time()
-                model = r.fit(kind, **draws[t])
-                seconds[t] += time.time() - began
-                if kind == "gbt":
-                    rounds[t].append(model.getNumTrees)
-                return model
-
-            for t, v in fold_scores(dict(zip(alive, pmap(one, alive, parallelism), strict=True)), r.val).items():
-                scores[t].append(v)
-            if len(finished) >= warmup and j < len(rows) - 1:
-                bar = statistics.median(statistics.fmean(s[: j + 1]) for s in finished)
-                alive = [t for t in alive if statistics.fmean(scores[t]) >= bar]
-            if not alive:
-                break
-        ledger += [(t, "COMPLETE" if t in alive else "PRUNED", float(statistics.fmean(scores[t])),
-                    round(statistics.fmean(rounds[t])) if rounds[t] else None, round(seconds[t], 3), json.dumps(draws[t], sort_keys=True)) for t in wave]
-        finished += [scores[t] for t in alive]
-    return df.sparkSession.createDataFrame(
-        ledger, "trial int, status string, score double, rounds int, time_sec double, params string")
-
-
-def nested_cv(df: DataFrame, kind: str, space: dict, n_draws: int, outer: str = "outer_fold",
-              inner: str = "inner_fold", seed: int = 42) -> DataFrame:
-    """Inner random search per outer fold; the best draw is refitted on the
-    outer training rows and gets all six metrics on the outer validation fold."""
-    x = search_frame(df, outer, inner)
-    rows = []
-    for o in fold_ids(x, outer):
-        rng = random.Random(seed + o)
-        draws = [sample_params(space, rng) for _ in range(n_draws)]
-        means = _search(x.filter(F.col(outer) != o), kind, draws, inner, "auc")
-        best = draws[max(range(n_draws), key=lambda i: (means[i], -i))]
-        held = MO.fold_frames(x, F.col(outer) == o)
-        scored = MO.positive_probability(held.val, held.fit(kind, **best), raw_for_svc=(kind == "linear_svc"))
-        r = one_row(EV.binary_metrics(scored.select(
-            "label", "probability", F.col("prediction").cast("int").alias("prediction"))))
-        rows.append((o, json.dumps(best, sort_keys=True), *[r[c] for c in EV.METRIC_COLS]))
-    return df.sparkSession.createDataFrame(
-        rows, "outer_fold int, best_params string, " + ", ".join(f"{c} double" for c in EV.METRIC_COLS))
-
-
-# ---------------------------------------------------------------- calibration
-def _margin_frame(scored: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=["probability"], outputCol="cal_features").transform(scored)
-
-
-def calibrate(cal_rows: DataFrame, method: str):
-    """N11 / N12 on an already scored table: fit a calibrator of the
-    positive-class probability (sigmoid = 1-feature logistic, isotonic)."""
-    data = _margin_frame(cal_rows)
-    if method == "sigmoid":
-        data = data.drop("probability", "rawPrediction", "prediction")
-        return LogisticRegression(featuresCol="cal_features", labelCol="label", regParam=0.0).fit(data)
-    return IsotonicRegression(featuresCol="cal_features", labelCol="label", predictionCol="cal_p").fit(data)
-
-
-def apply_calibrator(scored: DataFrame, cal, method: str) -> DataFrame:
-    frame = _margin_frame(scored).drop("rawPrediction", "prediction")
-    if method == "sigmoid":
-        frame = frame.drop("probability")
-    out = cal.transform(frame)
-    if method == "sigmoid":
-        p = vector_to_array("probability")[1]
-        return out.drop("cal_features").withColumn("probability", p).drop("rawPrediction", "prediction")
-    return out.drop("cal_features", "probability").withColumnRenamed("cal_p", "probability")
-
-
-def calibrated_cv(df: DataFrame, kind: str, method: str, fold: str = "cal_fold", key: str = "application_id"):
-    """N11/N12 with cv=3: per fold, fit the base on the other folds and the
-    calibrator on the held-out fold; returns the list of (model, calibrator)."""
-    pairs = []
-    for f in fold_ids(df, fold):
-        base = MO.fit(df.filter(F.col(fold) != f), kind)
-        held = MO.positive_probability(df.filter(F.col(fold) == f), base).select(key, "label", "probability")
-        pairs.append((base, calibrate(held, method)))
-    return pairs
-
-
-def score_calibrated(df: DataFrame, pairs, method: str, key: str = "application_id") -> DataFrame:
-    """Average the probabilities of the (model, calibrator) pairs (ensemble)."""
-    out = None
-    for i, (base, cal) in enumerate(pairs):
-        p = MO.positive_probability(df, base).select(key, "label", "probability")
-        c = apply_calibrator(p, cal, method).select(key, "label", F.col("probability").alias(f"p{i}"))
-        out = c if out is None else out.join(c.drop("label"), key)
-    avg = sum(F.col(f"p{i}") for i in range(len(pairs))) / len(pairs)
-    return out.select(key, "label", avg.alias("probability"))
-
-
 # ---------------------------------------------------------------- stacking
-def stacking(df: DataFrame, members: list[str], fold: str = "fold", key: str = "application_id"):
-    """Out-of-fold member probabilities -> balanced logistic meta-model;
-    members refit on all rows. Returns (member models, meta model)."""
-    folds = fold_ids(df, fold)
-
-    def one(task):
-        f, kind = task
-        m = MO.fit(df.filter(F.col(fold) != f), kind)
-        return f, kind, m
-
-    fitted = pmap(one, [(f, k) for f in folds for k in members])
-    oof = None
-    for f in folds:
-        part = None
-        for ff, kind, m in fitted:
-            if ff != f:
-                continue
-            p = MO.positive_probability(df.filter(F.col(fold) == f), m, raw_for_svc=(kind == "linear_svc")).select(
-                key, "label", F.col("probability").alias(f"p_{kind}"))
-            part = p if part is None else part.join(p.drop("label"), key)
-        oof = part if oof is None else oof.unionByName(part)
-    full = dict(zip(members, pmap(lambda k: MO.fit(df, k), members)))
-    w, n = MO.with_balanced_weight(oof)
-    meta_in = VectorAssembler(inputCols=[f"p_{k}" for k in members], outputCol="features").transform(w)
-    meta = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                              regParam=1.0 / n, standardization=False).fit(meta_in)
-    return full, meta
-
-
-def stacking_score(df: DataFrame, full: dict, meta, key: str = "application_id") -> DataFrame:
-    part = None
-    for kind, m in full.items():
-        p = MO.positive_probability(df, m, raw_for_svc=(kind == "linear_svc")).select(
-            key, "label", F.col("probability").alias(f"p_{kind}"))
-        part = p if part is None else part.join(p.drop("label"), key)
-    x = VectorAssembler(inputCols=[f"p_{k}" for k in full], outputCol="features").transform(part)
-    return meta.transform(x).select(key, "label", vector_to_array("probability")[1].alias("probability"),
-                                    F.col("prediction").cast("int").alias("prediction"))
+def stacking_scores(out_of_fold: DataFrame, test: DataFrame, members: list[str]) -> DataFrame:
+    """A balanced logistic meta-model of the members' out-of-fold scores
+    (one column each), applied to their scores on other rows: (id, label, probability)."""
+    w, n = MO.with_balanced_weight(out_of_fold)
+    assembler = VectorAssembler(inputCols=members, outputCol="features")
+    meta = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / n,
+                              standardization=False, probabilityCol="scores").fit(assembler.transform(w))
+    return meta.transform(assembler.transform(test)).select("id", "label", vector_to_array("scores")[1].alias("probability"))

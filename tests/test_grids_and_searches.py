@@ -64,9 +64,3 @@ def test_one_pass_scores_every_model_as_alone(folds, kind):
         alone = MO.positive_probability(rows.val, m, raw_for_svc=kind == "linear_svc")
         assert auc[t] == roc_auc(alone.select("label", "probability")).first()[0]
         assert accuracy[t] == alone.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
-
-
-def test_early_stopping_keeps_fewer_rounds(folds):
-    rows = MO.fold_frames(folds, F.col("fold") == 0)
-    assert rows.fit("gbt", maxIter=30, maxDepth=2, validationTol=0.05).getNumTrees < 30
-    assert rows.both.filter("is_val").count() + rows.both.filter("not is_val").count() == folds.count()

@@ -116,12 +116,3 @@ def test_only_a_local_master_may_go_without_a_shared_folder():
 
     with pytest.raises(ValueError, match="shared folder"):
         ensure_checkpoint_dir(Session)
-
-
-def test_trial_ledger_does_not_depend_on_timing(labelled):
-    df = SA.kfold(labelled.limit(400), "application_id", 2, 42, "label").persist()
-    space = {"maxDepth": ("int", 1, 4), "minInstancesPerNode": ("int", 1, 60)}
-    runs = [[(r["trial"], r["status"], r["score"], r["params"]) for r in
-             TU.trial_search(df, "decision_tree", space, 6, warmup=2, parallelism=3).collect()] for _ in range(2)]
-    assert runs[0] == runs[1] and len(runs[0]) == 6
-    df.unpersist()
