@@ -117,11 +117,13 @@ def roc_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
             name: str = "roc_auc") -> DataFrame:
     """Mann-Whitney AUC with ties counted half; null when a class is absent.
 
-    Numerator and denominator are integer sums, so the value is exact.
+    Numerator and denominator are whole-number sums, so the value is exact; the
+    products of counts are 38-digit decimals, which billions of rows do not overflow.
     """
     c = cumulative_counts(df, by, score, label)
+    wide = lambda col: col.cast("decimal(18,0)")
     agg = c.groupBy(*by).agg(
-        F.sum(2 * F.col("pos") * (F.col("N") - F.col("fp")) + F.col("pos") * F.col("neg")).alias("u2"),
+        F.sum(wide(F.col("pos")) * wide(2 * (F.col("N") - F.col("fp")) + F.col("neg"))).alias("u2"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") == 0) | (F.col("N") == 0), F.lit(None).cast("double")).otherwise(
         F.col("u2").cast("double") / (F.lit(2.0) * F.col("P") * F.col("N")))

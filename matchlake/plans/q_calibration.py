@@ -9,6 +9,7 @@ from matchlake.operators import calibration as CA
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.q_metrics import SCORED_CTE, S
 from matchlake.plans.registry import query, r
+from matchlake.session import cut_lineage
 
 LOW = 1e-6
 NEWTON_STEPS = 14
@@ -16,8 +17,9 @@ NEWTON_STEPS = 14
 
 def stored_margins(spark, sf):
     """The scorer's log odds, of probabilities kept off 0 and 1."""
+    scored = cut_lineage(S(spark, sf).select("application_id", "label", "probability"))
     p = F.least(F.greatest(F.col("probability"), F.lit(LOW)), F.lit(1 - LOW))
-    return S(spark, sf).select("application_id", "label", F.log(p / (F.lit(1.0) - p)).alias("margin"))
+    return scored.select("application_id", "label", F.log(p / (F.lit(1.0) - p)).alias("margin"))
 
 
 def _platt(spark, sf):
@@ -51,7 +53,8 @@ query("n11_platt_on_stored_margins", _platt_sql())(_platt)
 
 
 def _isotonic(spark, sf):
-    rows = S(spark, sf).select("application_id", "label", r(F.col("probability"), 3).alias("score"))
+    rows = cut_lineage(S(spark, sf).select("application_id", "label", "probability"))
+    rows = cut_lineage(rows.select("application_id", "label", r(F.col("probability"), 3).alias("score")))
     fitted = CA.isotonic_fit(rows, "score")
     return rows.select("application_id", "label", "score", r(fitted(F.col("score"))).alias("probability"))
 

@@ -223,3 +223,11 @@ def test_rank_metrics_of_raw_scores(spark):
         assert auc[g] == u / (len(pos) * len(neg))
         for s in {s for s, _ in own}:
             assert points[g, s + 0.0] == (sum(p >= s for p in pos), sum(n >= s for n in neg))
+
+
+def test_auc_of_billions_of_rows(spark, monkeypatch):
+    """Counts of 4.4e9 positives and negatives; the product passes 64 bits."""
+    counts = spark.createDataFrame([(0.2, 1_100_000_000, 3_300_000_000), (0.7, 3_300_000_000, 1_100_000_000)],
+                                   "score double, pos long, neg long")
+    monkeypatch.setattr(CU, "score_counts", lambda *a, **k: counts)
+    assert CU.roc_auc(counts).first()[0] == pytest.approx(0.75 * 0.75 + 2 * 0.75 * 0.25 / 2)
