@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions.numeric import grid_mean
 from matchlake.operators.metrics import LABEL, PROB, ratio
+from matchlake.session import cut_lineage
 
 INF = float("inf")
 
@@ -83,8 +84,14 @@ def ranked_counts(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -
     """Counts per distinct score with tp / fp (counts at this score or above),
     group totals P / N, and the counts of the next lower score (null at the
     lowest). Exact for raw scores: rows are ranked inside score buckets only,
-    and a table with a row per bucket carries what lies above."""
-    c = score_counts(df, by, score, label).withColumn("_bucket", score_bucket(F.col("score").cast("double")))
+    and a table with a row per bucket carries what lies above. The counts are
+    written, so that the scored rows are read once."""
+    return ranked(score_counts(df, by, score, label), by)
+
+
+def ranked(counts: DataFrame, by=()) -> DataFrame:
+    """``ranked_counts`` of a table of (score, pos, neg) per group."""
+    c = cut_lineage(counts.withColumn("_bucket", score_bucket(F.col("score").cast("double"))))
     order = F.col("score").desc()
     per = c.groupBy(*by, "_bucket").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
                                         F.max_by(F.struct("pos", "neg"), F.struct("score")).alias("_top"))
@@ -113,6 +120,17 @@ def cumulative_counts(df: DataFrame, by=(), score: str = PROB, label: str = LABE
     return ranked_counts(df, by, score, label).drop("next")
 
 
+def _roc_sums() -> list[Column]:
+    wide = lambda col: col.cast("decimal(18,0)")
+    return [F.sum(wide(F.col("pos")) * wide(2 * (F.col("N") - F.col("fp")) + F.col("neg"))).alias("u2"),
+            F.sum("pos").alias("_p"), F.sum("neg").alias("_n")]
+
+
+def _roc_area() -> Column:
+    return F.when((F.col("_p") == 0) | (F.col("_n") == 0), F.lit(None).cast("double")).otherwise(
+        F.col("u2").cast("double") / (F.lit(2.0) * F.col("_p") * F.col("_n")))
+
+
 def roc_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
             name: str = "roc_auc") -> DataFrame:
     """Mann-Whitney AUC with ties counted half; null when a class is absent.
@@ -120,14 +138,7 @@ def roc_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
     Numerator and denominator are whole-number sums, so the value is exact; the
     products of counts are 38-digit decimals, which billions of rows do not overflow.
     """
-    c = cumulative_counts(df, by, score, label)
-    wide = lambda col: col.cast("decimal(18,0)")
-    agg = c.groupBy(*by).agg(
-        F.sum(wide(F.col("pos")) * wide(2 * (F.col("N") - F.col("fp")) + F.col("neg"))).alias("u2"),
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    auc = F.when((F.col("P") == 0) | (F.col("N") == 0), F.lit(None).cast("double")).otherwise(
-        F.col("u2").cast("double") / (F.lit(2.0) * F.col("P") * F.col("N")))
-    return agg.select(*by, auc.alias(name))
+    return cumulative_counts(df, by, score, label).groupBy(*by).agg(*_roc_sums()).select(*by, _roc_area().alias(name))
 
 
 def pr_points(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -> DataFrame:
@@ -146,17 +157,31 @@ def pr_points(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -> Da
     return pts.unionByName(anchor)
 
 
+def _step_area() -> Column:
+    """The area between a score's point and the one before it."""
+    tp, fp = F.col("tp"), F.col("fp")
+    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")  # at the score before
+    r0 = F.when(tp0 + fp0 == 0, F.lit(0.0)).otherwise(tp0 / F.col("P"))
+    p0 = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(ratio(tp0, tp0 + fp0))
+    return (tp / F.col("P") - r0) * (ratio(tp, tp + fp) + p0) / 2
+
+
 def pr_auc(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,
            name: str = "pr_auc") -> DataFrame:
     """D5 + E4: trapezoid over (recall, precision) in descending-score order,
     starting from the (0, 1) anchor."""
-    c = cumulative_counts(df, by, score, label)
-    tp0, fp0 = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")  # at the score before
-    pts = c.select(*by, (F.col("tp") / F.col("P")).alias("r"), ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("p"),
-                   F.when(tp0 + fp0 == 0, F.lit(0.0)).otherwise(tp0 / F.col("P")).alias("r0"),
-                   F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(ratio(tp0, tp0 + fp0)).alias("p0"))
-    return pts.groupBy(*by).agg(
-        F.sum((F.col("r") - F.col("r0")) * (F.col("p") + F.col("p0")) / 2).alias(name))
+    return cumulative_counts(df, by, score, label).groupBy(*by).agg(F.sum(_step_area()).alias(name))
+
+
+def rank_areas(df: DataFrame, by=(), score: str = PROB, label: str = LABEL) -> DataFrame:
+    """D4 and D5 from the same counts."""
+    return areas_of(score_counts(df, by, score, label), by)
+
+
+def areas_of(counts: DataFrame, by=()) -> DataFrame:
+    """D4 and D5 of a table of (score, pos, neg) per group."""
+    sums = ranked(counts, by).groupBy(*by).agg(*_roc_sums(), F.sum(_step_area()).alias("pr_auc"))
+    return sums.select(*by, _roc_area().alias("roc_auc"), "pr_auc")
 
 
 def roc_points(df: DataFrame, by=(), score: str = PROB, label: str = LABEL,

@@ -15,12 +15,21 @@ METRIC_COLS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 def binary_metrics(df: DataFrame, by=()) -> DataFrame:
     """D2 + D4 + D5 per group: the six-metric row of every fold / model."""
     rates = ME.binary_rates(df, by).select(*by, "accuracy", "precision", "recall", "f1")
-    auc = CU.roc_auc(df, by)
-    pr = CU.pr_auc(df, by)
+    areas = CU.rank_areas(df, by)
     if by:
-        return rates.join(auc, list(by)).join(pr, list(by))
-    return rates.select("*", auc.select("roc_auc").scalar().alias("roc_auc"),
-                        pr.select("pr_auc").scalar().alias("pr_auc"))
+        return rates.join(areas, list(by))
+    return rates.select("*", areas.select("roc_auc").scalar().alias("roc_auc"), areas.select("pr_auc").scalar().alias("pr_auc"))
+
+
+def metrics_of_counts(counts: DataFrame, by) -> DataFrame:
+    """The six metrics per group of a table of (group, score, prediction, pos, neg):
+    rows are counted once, and all metrics read the counts."""
+    y1, y0, p = F.col("pos"), F.col("neg"), F.col("prediction")
+    sums = {"tn": F.when(p == 0, y0), "fp": F.when(p == 1, y0), "fn": F.when(p == 0, y1), "tp": F.when(p == 1, y1)}
+    rates = counts.groupBy(*by).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in sums.items()])
+    rates = rates.select(*by, *[v.alias(k) for k, v in ME.rate_columns().items()])
+    per_score = counts.groupBy(*by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return rates.join(CU.areas_of(per_score, by), list(by))
 
 
 def fold_summary(folds: DataFrame, by=("model", "k")) -> DataFrame:

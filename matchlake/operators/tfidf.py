@@ -13,7 +13,7 @@ exactly the corpus statistics of the repeated rows without repeating work.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.text import clean, token_array
@@ -29,23 +29,33 @@ def term_counts(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFr
 def fit(docs: DataFrame, doc: str = "doc", text: str = "text", weight: str | None = None,
         max_features: int = 5000) -> DataFrame:
     """Vocabulary with idf: (term, idf). Bounded by ``max_features`` rows."""
-    tc = term_counts(docs, doc, text)
+    return fit_counts(term_counts(docs, doc, text), docs, doc, weight, max_features)
+
+
+def fit_counts(counts: DataFrame, docs: DataFrame, doc: str = "doc", weight: str | None = None,
+               max_features: int = 5000) -> DataFrame:
+    """The vocabulary from the ``term_counts`` of ``docs``."""
     if weight:
-        tc = tc.join(docs.select(doc, weight), doc)
+        counts = counts.join(docs.select(doc, weight), doc)
         w = F.col(weight)
         n = docs.select(F.sum(weight)).scalar()
     else:
         w = F.lit(1)
         n = docs.select(F.count(F.lit(1))).scalar()
-    stats = tc.groupBy("term").agg(F.sum(w * F.col("tf")).alias("cf"), F.sum(w).alias("df"))
+    stats = counts.groupBy("term").agg(F.sum(w * F.col("tf")).alias("cf"), F.sum(w).alias("df"))
     vocab = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     return vocab.select("term", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
 
 def transform(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
-    """L2-normalised postings (doc, term, w). The vocabulary is capped at
+    """L2-normalised postings (doc, term, w)."""
+    return transform_counts(term_counts(docs, doc, text), vocab, doc)
+
+
+def transform_counts(counts: DataFrame, vocab: DataFrame, doc: str = "doc") -> DataFrame:
+    """Postings from ``term_counts``. The vocabulary is capped at
     ``max_features`` rows, a proven bound, so it is broadcast."""
-    tc = term_counts(docs, doc, text).join(F.broadcast(vocab), "term")
+    tc = counts.join(F.broadcast(vocab), "term")
     raw = tc.select(doc, "term", (F.col("tf") * F.col("idf")).alias("w"))
     # One document's postings are bounded by its distinct terms, so the norm is
     # a window over the already doc-partitioned postings (no second join).
@@ -53,17 +63,26 @@ def transform(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "
     return raw.select(doc, "term", (F.col("w") / norm).alias("w"))
 
 
+def vectors(postings: DataFrame, doc: str = "doc") -> DataFrame:
+    """(doc, vector): a document's postings as one array of (term, w), bounded by its distinct terms."""
+    return postings.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("vector"))
+
+
+def vector_dot(a: Column, b: Column) -> Column:
+    """Dot product of two such arrays (null: no terms): both are short, so each
+    term of one is looked up in the other, and nothing is shuffled."""
+    hit = lambda t: F.aggregate(b, F.lit(0.0), lambda s, y: s + F.when(y["term"] == t["term"], y["w"]).otherwise(0.0))
+    return F.coalesce(F.aggregate(a, F.lit(0.0), lambda s, x: s + x["w"] * hit(x)), F.lit(0.0))
+
+
 def pair_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 name: str = "tfidf_similarity") -> DataFrame:
-    """H9: dot product of normalised postings per distinct (left, right) pair;
-    pairs without a shared term get 0. Work is linear in pairs x terms."""
-    lp = left.withColumnRenamed("doc", left_key).withColumnRenamed("w", "wl")
-    rp = right.withColumnRenamed("doc", right_key).withColumnRenamed("w", "wr")
-    distinct_pairs = pairs.select(left_key, right_key).distinct()
-    dots = (distinct_pairs.join(lp, left_key).join(rp, [right_key, "term"])
-            .groupBy(left_key, right_key).agg(F.sum(F.col("wl") * F.col("wr")).alias(name)))
-    return (distinct_pairs.join(dots, [left_key, right_key], "left")
-            .select(left_key, right_key, F.coalesce(F.col(name), F.lit(0.0)).alias(name)))
+    """H9: the pairs with the dot product of their normalised postings; pairs
+    without a shared term get 0. Two joins of one row per document; no row per pair and term."""
+    lv = vectors(left).select(F.col("doc").alias(left_key), F.col("vector").alias("_left"))
+    rv = vectors(right).select(F.col("doc").alias(right_key), F.col("vector").alias("_right"))
+    return pairs.join(lv, left_key, "left").join(rv, right_key, "left").select(
+        *pairs.columns, vector_dot(F.col("_left"), F.col("_right")).alias(name))
 
 
 def top_terms(postings: DataFrame, doc_weight: DataFrame | None = None, doc: str = "doc",

@@ -167,19 +167,16 @@ KS = (5, 10)
 
 
 def _fold_rows(spark, sf):
-    """Per (model, k, fold) metric rows for every k at once: the exact
-    stratified row number is computed once, each k's fold is (rn - 1) mod k,
-    and one grouped metric pass covers all (model, k, fold) groups."""
-    lm = long_models(spark, sf)
-    base = lm.filter(F.col("model") == list(MODELS)[0]).select("application_id", "label")
-    rn = SA.exact_row_number(base, "application_id", 42, ["label"]).select("application_id", "rn")
-    ks = F.array(*[F.lit(k) for k in KS])
-    folds = rn.select("application_id", "rn", F.explode(ks).alias("k")).select(
-        "application_id", "k", F.pmod(F.col("rn") - 1, F.col("k")).cast("int").alias("fold"))
-    # The scored (model, k, fold) table feeds three aggregations (rates, AUC,
-    # PR-AUC): materialise it once in the shared checkpoint folder.
-    scored = cut_lineage(lm.join(folds, "application_id"))
-    return EV.binary_metrics(scored, ["model", "k", "fold"])
+    """Metric rows per (model, k, fold) for every k at once. The row number
+    within its class is a column of the wide row, each k's fold is (rn - 1) mod k;
+    rows are counted at once per (model, k, fold, score, prediction), and only the counts go on."""
+    wide = SA.exact_row_number(multi(spark, sf), "application_id", 42, ["label"])
+    each = [F.struct(F.lit(m).alias("model"), F.lit(k).alias("k"), F.pmod(F.col("rn") - 1, F.lit(k)).cast("int").alias("fold"),
+                     F.col(f"p_{m}").alias("score"), F.col(f"y_{m}").alias("prediction")) for m in MODELS for k in KS]
+    y = F.col("label").cast("long")
+    counts = wide.select("label", F.inline(F.array(*each))).groupBy("model", "k", "fold", "score", "prediction").agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    return EV.metrics_of_counts(cut_lineage(counts), ["model", "k", "fold"])
 
 
 FOLDS_CTE = ("fm", " UNION ALL ".join(

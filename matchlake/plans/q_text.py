@@ -117,18 +117,20 @@ def apps(spark, sf):
 
 
 def tfidf_parts(spark, sf, a=None):
-    a = a if a is not None else apps(spark, sf)
+    """The applications, each resume's weight, the vocabulary, and the postings
+    of resumes and jobs. Each text is tokenised once, for fit and transform."""
+    a = a if a is not None else cut_lineage(apps(spark, sf))
     weights = a.groupBy(F.col("candidate_id").alias("doc")).agg(F.count(F.lit(1)).alias("weight"))
     rdocs = resumes(spark, sf).join(weights, "doc")
-    vocab = TF.fit(rdocs, weight="weight", max_features=5000)
+    counts = cut_lineage(TF.term_counts(rdocs))
+    vocab = cut_lineage(TF.fit_counts(counts, rdocs, weight="weight", max_features=5000))
     jdocs = jds(spark, sf).join(a.select(F.col("job_id").alias("doc")).distinct(), "doc")
-    return a, weights, vocab, TF.transform(rdocs, vocab), TF.transform(jdocs, vocab)
+    return a, weights, vocab, TF.transform_counts(counts, vocab), TF.transform(jdocs, vocab)
 
 
 def tfidf_similarity(spark, sf, a=None):
     a, _, _, rp, jp = tfidf_parts(spark, sf, a)
-    sims = TF.pair_cosine(a, rp, jp, "candidate_id", "job_id")
-    return a.join(sims, ["candidate_id", "job_id"])
+    return TF.pair_cosine(a, rp, jp, "candidate_id", "job_id")
 
 
 def embedding_similarity(spark, sf, a=None):
@@ -150,20 +152,37 @@ def skills(spark, sf, a=None):
 
 
 def nlp_features(spark, sf):
-    """The NLP feature row per application. The narrow application frame
-    (4 columns, behind the two modelling joins) feeds four branches, so it is
-    materialised once in the shared checkpoint folder."""
-    a = cut_lineage(apps(spark, sf))
-    e = embedding_similarity(spark, sf, a)
-    t = tfidf_similarity(spark, sf, a).select("application_id", "tfidf_similarity")
-    s = skills(spark, sf, a).select("application_id", "resume_skills", "jd_skills")
+    """The NLP feature row per application. What a candidate and a job bring
+    (TF-IDF vector, skills, embedding) is one row each; the narrow application
+    frame meets the two in one join each, and every feature is an expression."""
+    a, _, _, rp, jp = tfidf_parts(spark, sf)
+    e = table(spark, sf, "embeddings")
+    n = e.select(F.count(F.lit(1))).scalar()
+
+    def side(docs, postings, vec_id, prefix):
+        vector = e.select(F.col("vec_id").alias("_vec"), F.col("embedding").alias(f"{prefix}_e"))
+        return (docs.select("doc", TX.extract_skills(F.col("text")).alias(f"{prefix}_s"), vec_id.alias("_vec"))
+                .join(TF.vectors(postings).withColumnRenamed("vector", f"{prefix}_t"), "doc", "left")
+                .join(vector, "_vec", "left").drop("_vec"))
+
+    cand = side(resumes(spark, sf), rp, F.col("doc") % n, "r").withColumnRenamed("doc", "candidate_id")
+    job = side(jds(spark, sf), jp, (F.col("doc") * 7 + 3) % n, "j").withColumnRenamed("doc", "job_id")
+    rs, js = F.col("r_s"), F.col("j_s")
+    return a.join(cand, "candidate_id").join(job, "job_id").select(
+        "application_id", "is_good_match",
+        round_half_away(TX.cosine(F.col("r_e"), F.col("j_e")), 6).alias("embedding_similarity"),
+        round_half_away(TF.vector_dot(F.col("r_t"), F.col("j_t")), 6).alias("tfidf_similarity"),
+        TX.overlap_count(rs, js).alias("skill_overlap_count"),
+        TX.coverage(rs, js).alias("keyword_coverage_percentage"),
+        TX.missing_count(js, rs).alias("missing_required_skills"))
+
+
+def skill_features(spark, sf):
+    """G2, G3, H4 on the skills alone."""
     rs, js = F.col("resume_skills"), F.col("jd_skills")
-    return (e.join(t, "application_id").join(s, "application_id")
-             .select("application_id", "is_good_match", "embedding_similarity",
-                     round_half_away(F.col("tfidf_similarity"), 6).alias("tfidf_similarity"),
-                     TX.overlap_count(rs, js).alias("skill_overlap_count"),
-                     TX.coverage(rs, js).alias("keyword_coverage_percentage"),
-                     TX.missing_count(js, rs).alias("missing_required_skills")))
+    return skills(spark, sf).select("application_id", TX.overlap_count(rs, js).alias("skill_overlap_count"),
+                                    TX.missing_count(js, rs).alias("missing_required_skills"),
+                                    TX.coverage(rs, js).alias("keyword_coverage_percentage"))
 
 
 # ------------------------------------------------------------ registrations
@@ -195,11 +214,11 @@ query("h03_skills_applications", with_ctes(
     lambda s, d: skills(s, d).select("application_id", F.array_join("resume_skills", "|").alias("resume_skills"),
                                      F.array_join("jd_skills", "|").alias("jd_skills")))
 query("g02_skill_overlap", with_ctes("SELECT application_id, skill_overlap_count FROM nlp", TEXT_CTES))(
-    lambda s, d: nlp_features(s, d).select("application_id", "skill_overlap_count"))
+    lambda s, d: skill_features(s, d).select("application_id", "skill_overlap_count"))
 query("g03_missing_skills", with_ctes("SELECT application_id, missing_required_skills FROM nlp", TEXT_CTES))(
-    lambda s, d: nlp_features(s, d).select("application_id", "missing_required_skills"))
+    lambda s, d: skill_features(s, d).select("application_id", "missing_required_skills"))
 query("h04_keyword_coverage", with_ctes("SELECT application_id, keyword_coverage_percentage FROM nlp", TEXT_CTES))(
-    lambda s, d: nlp_features(s, d).select("application_id", "keyword_coverage_percentage"))
+    lambda s, d: skill_features(s, d).select("application_id", "keyword_coverage_percentage"))
 query("h08_tfidf_vocabulary", with_ctes("SELECT term, round(idf, 9) AS idf FROM vocab", TEXT_CTES))(
     lambda s, d: tfidf_parts(s, d)[2].select("term", r(F.col("idf")).alias("idf")))
 query("h08_tfidf_postings", with_ctes(
@@ -247,7 +266,7 @@ query("d24_skill_frequency", with_ctes(
 
 
 def _error_analysis(spark, sf):
-    f = nlp_features(spark, sf)
+    f = cut_lineage(embedding_similarity(spark, sf).select("is_good_match", "embedding_similarity"))
     med = percentiles(f, "embedding_similarity", [0.5]).select(F.col("q")[0]).scalar()
     pred = (F.col("embedding_similarity") > med).cast("int")
     y = F.col("is_good_match")
@@ -270,9 +289,12 @@ def _auc_sql(score):
 
 
 def _representation(spark, sf):
-    f = nlp_features(spark, sf).withColumnRenamed("is_good_match", "label")
+    a = cut_lineage(apps(spark, sf))
+    t = tfidf_similarity(spark, sf, a).withColumn("tfidf_similarity", round_half_away(F.col("tfidf_similarity"), 6))
+    f = embedding_similarity(spark, sf, a).withColumnRenamed("is_good_match", "label")
+    t = t.withColumnRenamed("is_good_match", "label")
     e = CU.roc_auc(f, score="embedding_similarity", name="embedding_auc")
-    t = CU.roc_auc(f, score="tfidf_similarity", name="tfidf_auc")
+    t = CU.roc_auc(t, score="tfidf_similarity", name="tfidf_auc")
     ea, ta = e.select("embedding_auc").scalar(), t.select("tfidf_auc").scalar()
     return spark.range(1).select(ea.alias("embedding_auc"), ta.alias("tfidf_auc"),
                                  F.when(ea > ta, "embedding").otherwise("tfidf").alias("best_representation"))
@@ -286,4 +308,4 @@ query("d27_similarity_histogram", with_ctes(
     """SELECT is_good_match, CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor((embedding_similarity - lo) / ((hi - lo) / 30)) AS INTEGER), 29) END AS bin,
         count(*) AS n FROM nlp, (SELECT min(embedding_similarity) AS lo, max(embedding_similarity) AS hi FROM nlp) GROUP BY ALL""",
     TEXT_CTES))(
-    lambda s, d: SI.histogram(nlp_features(s, d), "embedding_similarity", ["is_good_match"], 30))
+    lambda s, d: SI.histogram(embedding_similarity(s, d), "embedding_similarity", ["is_good_match"], 30))
