@@ -1,5 +1,5 @@
 """Segmentation: preparation, cluster quality, agreement, profiles, naming,
-MLlib K-Means / PCA (K1-K12, D21, D22, D28, H12, H13, M8, M9).
+PCA (K3-K12, D21, D22, D28, H12, H13, M8, M9); K-Means itself is in ``kmeans``.
 
 Scale design: every quality metric is computed from per-cluster statistics
 (k rows, k is a parameter) plus one map-side pass over the rows. The small
@@ -11,6 +11,8 @@ decomposes as n*|x|^2 - 2 x.S + Q (the exact Euclidean form needs all pairs).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,7 +140,7 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     return g.select(ari.alias("ari"))
 
 
-def normalized_mutual_info(df: DataFrame, a: str, b: str, max_labels: int = 100000) -> DataFrame:
+def normalized_mutual_info(df: DataFrame, a: str, b: str) -> DataFrame:
     """K8: MI / arithmetic mean of the two entropies."""
     ct = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("nij"))
     n = one_row(ct.agg(F.sum("nij").alias("n")))["n"]
@@ -146,8 +148,7 @@ def normalized_mutual_info(df: DataFrame, a: str, b: str, max_labels: int = 1000
     bj = ct.groupBy(b).agg(F.sum("nij").alias("bj"))
     ent = lambda t, c: one_row(t.agg((-F.sum(F.col(c) / n * F.log(F.col(c) / n))).alias("h")))["h"]
     ha, hb = ent(ai, "ai"), ent(bj, "bj")
-    # ka and kb are label counts (bounded), so the marginals are broadcast.
-    mi = (ct.join(F.broadcast(ai), a).join(F.broadcast(bj), b)
+    mi = (ct.join(ai, a).join(bj, b)
             .agg(F.sum(F.col("nij") / n * F.log(F.lit(n) * F.col("nij") / (F.col("ai") * F.col("bj")))).alias("mi")))
     nmi = F.lit(1.0) if (ha + hb) == 0 else F.col("mi") / F.lit((ha + hb) / 2)
     return mi.select(F.greatest(nmi, F.lit(0.0)).alias("nmi"))
@@ -190,11 +191,8 @@ def five_numbers(df: DataFrame, col: str, cluster: str = "cluster") -> DataFrame
         cluster, *[F.col("q")[i].alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
 
 
-# Naming thresholds (0-10 score scale) and names, in rule order.
-NAME_RULES = [("years_experience", ">", 4, "Senior Technical Experts"),
-              ("expected_salary_inr", ">", 1500000, "High-Value Candidates"),
-              ("python_ml", ">", (7, 6), "Specialized Data/ML Talent"),
-              ("years_experience", "<=", 2, "Junior Entry-Level Talent")]
+# The business names, in rule order, and the name of what no rule takes.
+NAMES = ["Senior Technical Experts", "High-Value Candidates", "Specialized Data/ML Talent", "Junior Entry-Level Talent"]
 DEFAULT_NAME = "Mid-Level Generalists"
 # Recommendation per name keyword, in rule order.
 RECOMMENDATIONS = [
@@ -210,10 +208,10 @@ def business_name(years: Column, salary: Column, python: Column, ml: Column,
                   senior_years: float = 4, high_salary: float = 1500000,
                   python_min: float = 7, ml_min: float = 6, junior_years: float = 2) -> Column:
     """Ordered rule on cluster means (thresholds are parameters)."""
-    return (F.when(years > senior_years, NAME_RULES[0][3])
-             .when(salary > high_salary, NAME_RULES[1][3])
-             .when((python > python_min) & (ml > ml_min), NAME_RULES[2][3])
-             .when(years <= junior_years, NAME_RULES[3][3])
+    return (F.when(years > senior_years, NAMES[0])
+             .when(salary > high_salary, NAMES[1])
+             .when((python > python_min) & (ml > ml_min), NAMES[2])
+             .when(years <= junior_years, NAMES[3])
              .otherwise(DEFAULT_NAME))
 
 
@@ -225,38 +223,43 @@ def recommendation(name: Column) -> Column:
     return expr.otherwise(DEFAULT_RECOMMENDATION)
 
 
-# ------------------------------------------------------------------ MLlib
-def kmeans_best(df: DataFrame, cols, k: int, seeds=(42,), max_iter: int = 50):
-    """K1: K-Means (k-means||) per seed, keep the least training cost."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    from matchlake.session import cut_lineage
-    # Iterative fits re-read their input many times: materialise it once in
-    # the shared checkpoint folder (disk, survives executor loss) instead of
-    # pinning it in executor memory for the rest of the session.
-    data = cut_lineage(VectorAssembler(inputCols=list(cols), outputCol="features").transform(df))
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, initMode="k-means||", maxIter=max_iter).fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best[0], data
-
-
-def pca_fit(df: DataFrame, cols, k: int | None = None, variance: float | None = 0.95):
-    """M8 / M9: MLlib PCA; with ``variance`` keep the fewest components whose
-    cumulative explained variance reaches it."""
+# ------------------------------------------------------------------ agreement of labellings
+def pair_agreement(counts: dict[tuple, int]) -> tuple[float, float]:
+    """(adjusted Rand index, normalised mutual information) of a contingency
+    table {(label, other label): rows}, for tables of k x k numbers."""
+    n = sum(counts.values())
+    rows, cols = {}, {}
+    for (a, b), c in counts.items():
+        rows[a], cols[b] = rows.get(a, 0) + c, cols.get(b, 0) + c
+    pairs = lambda values: sum(c * (c - 1) / 2 for c in values)
+    sa, sb, both = pairs(rows.values()), pairs(cols.values()), pairs(counts.values())
+    expected, most = sa * sb / (n * (n - 1) / 2) if n > 1 else 0.0, (sa + sb) / 2
+    ari = 1.0 if most == expected else (both - expected) / (most - expected)
+    entropy = lambda values: -sum(c / n * math.log(c / n) for c in values if c)
+    mutual = sum(c / n * math.log(n * c / (rows[a] * cols[b])) for (a, b), c in counts.items() if c)
+    half = (entropy(rows.values()) + entropy(cols.values())) / 2
+    return ari, 1.0 if half == 0 else min(1.0, max(0.0, mutual / half))
+
+
+# ------------------------------------------------------------------ PCA
+def pca_fit(df: DataFrame, cols, k: int | None = None, variance: float = 0.95) -> tuple[list[list[float]], list[float]]:
+    """M8 / M9: (loadings, explained variance) of the first ``k`` components, or of
+    the fewest that explain ``variance``. The largest loading of a component is
+    positive, so its sign does not depend on the solver."""
     from pyspark.ml.feature import PCA, VectorAssembler
     data = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df)
     full = PCA(k=len(cols), inputCol="features", outputCol="pca").fit(data)
-    ev = list(full.explainedVariance)
+    shares = list(full.explainedVariance)
     if k is None:
-        acc, k = 0.0, len(ev)
-        for i, v in enumerate(ev):
-            acc += v
-            if acc >= variance - 1e-12:
-                k = i + 1
-                break
-    model = PCA(k=k, inputCol="features", outputCol="pca").fit(data)
-    return model, data, ev[:k]
+        total = [sum(shares[:i + 1]) for i in range(len(shares))]
+        k = next((i + 1 for i, v in enumerate(total) if v >= variance - 1e-12), len(shares))
+    loadings = []
+    for c in full.pc.toArray().T[:k]:
+        largest = max(c, key=abs)
+        loadings.append([float(-v if largest < 0 else v) for v in c])
+    return loadings, [float(v) for v in shares[:k]]
+
+
+def pca_project(cols, loadings: list[list[float]]) -> list[Column]:
+    """The component scores of standardized columns."""
+    return [sum((num(w) * F.col(c) for w, c in zip(one, cols)), F.lit(0.0)) for one in loadings]

@@ -78,7 +78,8 @@ def fold_class_check(df: DataFrame, fold: str = "fold", label: str = "label") ->
 
 
 def balanced_weights(df: DataFrame, label: str = "label", name: str = "weight") -> DataFrame:
-    """M6: weight n / (2 * n_class), attached per row (2-row broadcast)."""
+    """M6: weight n / (2 * n_class), attached per row; labels
+    may be many, so the join has no hint."""
     n = df.select(F.count(F.lit(1))).scalar()
     w = df.groupBy(label).agg((n / (F.lit(2.0) * F.count(F.lit(1)))).alias(name))
-    return df.join(F.broadcast(w), label)
+    return df.join(w, label)

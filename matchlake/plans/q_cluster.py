@@ -1,11 +1,13 @@
 """Registered queries: segmentation quality, agreement, profiles, naming, and
-MLlib K-Means / PCA (K1-K12, D21, D22, D28, H12, H13, M7-M9)."""
+K-Means, PCA (K1-K12, D21, D22, D28, H12, H13, M7-M9)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from matchlake.operators import clustering as CL
+from matchlake.operators import kmeans as KM
+from matchlake.operators.small import small_rows
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.registry import query, r
 from matchlake.session import cut_lineage
@@ -18,8 +20,9 @@ K = 3
 
 def prepared(spark, sf):
     """Imputed, de-duplicated, standardized rows with a rule-based labelling
-    (years of experience mod k) and a second labelling for agreement checks."""
-    p = CL.prepare(modelling_table(spark, sf))
+    (years of experience mod k) and a second labelling for agreement checks;
+    written once, since a statistic reads them several times."""
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
     return p.select("*", (F.col("years_experience").cast("int") % K).alias("cluster"),
                     ((F.col("python_score") >= 50).cast("int") + (F.col("sql_score") >= 50).cast("int"))
                     .alias("skill_band"))
@@ -180,44 +183,55 @@ query("k10_choose_k", with_ctes(
                                    F.max("silhouette").alias("best_silhouette")))
 
 
-# ------------------------------------------------------------ MLlib (rows-only checks)
-def _kmeans(spark, sf, k=2, seeds=(42, 52, 62)):
-    p = CL.prepare(modelling_table(spark, sf))
-    model, data = CL.kmeans_best(p, Z, k, seeds)
-    return model.transform(data).select(*FEATS, F.col("prediction").alias("cluster"))
+# ------------------------------------------------------------ K-Means, PCA (rows-only checks)
+RESTARTS = {"k01": 20, "k02": 10, "k09": 10}
+
+
+def _points(spark, sf):
+    """The prepared rows with their vector, and the (h, x) table that K-Means reads."""
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)).withColumn("x", F.array(*Z)))
+    return p, KM.point_rows(p, Z)
+
+
+def _kmeans(spark, sf, k=2):
+    """The best of 20 restarts."""
+    p, rows = _points(spark, sf)
+    best = KM.best_of_restarts(rows, [k], RESTARTS["k01"])[k]
+    return p.select(*FEATS, KM.labels(F.col("x"), best.centers).alias("cluster"))
 
 
 query("k01_kmeans_best_of_seeds")(_kmeans)
 
 
 def _kmeans_sweep(spark, sf, ks=range(2, 11)):
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
-    rows = []
-    for k in ks:
-        model, data = CL.kmeans_best(p, Z, k, (42,))
-        pred = model.transform(data)
-        sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(pred)
-        rows.append(F.struct(F.lit(k).alias("k"), F.lit(float(model.summary.trainingCost)).alias("wcss"),
-                             F.lit(float(sil)).alias("silhouette")))
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """Cost and silhouette of the best of 10 restarts for every k, all 90 models in the same passes."""
+    p, rows = _points(spark, sf)
+    best = KM.best_of_restarts(rows, list(ks), RESTARTS["k02"])
+    lab = cut_lineage(p.select(*Z, *[KM.labels(F.col("x"), m.centers).alias(f"c{k}") for k, m in best.items()]))
+    out = [(k, m.cost, CL.silhouette_sq(lab, Z, f"c{k}").first()[0]) for k, m in sorted(best.items())]
+    return spark.createDataFrame(out, "k int, wcss double, silhouette double")
 
 
 query("k02_kmeans_k_sweep")(_kmeans_sweep)
 
 
 def _stability(spark, sf, k=2, seeds=(42, 52, 62, 72, 82)):
-    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
-    base_model, data = CL.kmeans_best(p, Z, k, (seeds[0],))
-    base = base_model.transform(data).select(*Z, F.col("prediction").alias("base"))
-    rows = []
-    for s in seeds[1:]:
-        m, _ = CL.kmeans_best(p, Z, k, (s,))
-        both = m.transform(data).select(*Z, F.col("prediction").alias("other")).join(base, Z)
-        ari = CL.adjusted_rand(both, "base", "other").select("ari").scalar()
-        nmi = CL.normalized_mutual_info(both, "base", "other").select("nmi").scalar()
-        rows.append(F.struct(F.lit(s).alias("seed"), ari.alias("ari"), nmi.alias("nmi")))
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """Agreement of other seeds' models (best of 10 restarts each) with the first
+    seed's, and the change of the silhouette; all labels are columns of one frame."""
+    p, rows = _points(spark, sf)
+    models = KM.fit_all(rows, [(k, s + 1000 * i) for s in seeds for i in range(RESTARTS["k09"])])
+    per = [models[i * RESTARTS["k09"]:(i + 1) * RESTARTS["k09"]] for i in range(len(seeds))]
+    best = [min(m, key=lambda v: v.cost) for m in per]
+    lab = cut_lineage(p.select(*Z, *[KM.labels(F.col("x"), m.centers).alias(f"s{s}") for s, m in zip(seeds, best)]))
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), F.col(f"s{s}").alias("other")) for s in seeds[1:]]))
+    pairs = lab.select(F.col(f"s{seeds[0]}").alias("base"), each.alias("v")).groupBy("v.seed", "base", "v.other").agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = {}
+    for r in small_rows(pairs, len(seeds) * k * k):
+        counts.setdefault(r["seed"], {})[r["base"], r["other"]] = r["n"]
+    silhouette = {s: CL.silhouette_sq(lab, Z, f"s{s}").first()[0] for s in seeds}
+    out = [(s, *CL.pair_agreement(counts[s]), silhouette[s], silhouette[s] - silhouette[seeds[0]]) for s in seeds[1:]]
+    return spark.createDataFrame(out, "seed int, ari double, nmi double, silhouette double, silhouette_change double")
 
 
 query("k09_stability_over_seeds")(_stability)
@@ -225,19 +239,17 @@ query("k09_stability_over_seeds")(_stability)
 
 def _pca95(spark, sf):
     p = CL.prepare(modelling_table(spark, sf))
-    model, data, ev = CL.pca_fit(p, Z, variance=0.95)
-    return spark.range(1).select(F.lit(len(ev)).alias("n_components"), F.lit(float(sum(ev))).alias("variance_retained"))
+    _, shares = CL.pca_fit(p, Z, variance=0.95)
+    return spark.range(1).select(F.lit(len(shares)).alias("n_components"), F.lit(sum(shares)).alias("variance_retained"))
 
 
 query("m08_pca_95_variance")(_pca95)
 
 
 def _pca2(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    p = CL.prepare(modelling_table(spark, sf))
-    model, data, _ = CL.pca_fit(p, Z, k=2)
-    return model.transform(data).select(*FEATS, vector_to_array("pca")[0].alias("pc1"),
-                                        vector_to_array("pca")[1].alias("pc2"))
+    p = cut_lineage(CL.prepare(modelling_table(spark, sf)))
+    loadings, _ = CL.pca_fit(p, Z, k=2)
+    return p.select(*FEATS, *[c.alias(f"pc{i + 1}") for i, c in enumerate(CL.pca_project(Z, loadings))])
 
 
 query("m09_pca_2d")(_pca2)

@@ -160,17 +160,19 @@ def nlp_features(spark, sf):
     n = e.select(F.count(F.lit(1))).scalar()
 
     def side(docs, postings, vec_id, prefix):
-        vector = e.select(F.col("vec_id").alias("_vec"), F.col("embedding").alias(f"{prefix}_e"))
+        vector = e.select(F.col("vec_id").alias("_vec"), F.col("embedding").alias(f"{prefix}_e"),
+                          TX.norm(F.col("embedding")).alias(f"{prefix}_n"))
         return (docs.select("doc", TX.extract_skills(F.col("text")).alias(f"{prefix}_s"), vec_id.alias("_vec"))
                 .join(TF.vectors(postings).withColumnRenamed("vector", f"{prefix}_t"), "doc", "left")
                 .join(vector, "_vec", "left").drop("_vec"))
 
     cand = side(resumes(spark, sf), rp, F.col("doc") % n, "r").withColumnRenamed("doc", "candidate_id")
     job = side(jds(spark, sf), jp, (F.col("doc") * 7 + 3) % n, "j").withColumnRenamed("doc", "job_id")
-    rs, js = F.col("r_s"), F.col("j_s")
+    rs, js, norms = F.col("r_s"), F.col("j_s"), F.col("r_n") * F.col("j_n")
     return a.join(cand, "candidate_id").join(job, "job_id").select(
         "application_id", "is_good_match",
-        round_half_away(TX.cosine(F.col("r_e"), F.col("j_e")), 6).alias("embedding_similarity"),
+        round_half_away(F.when(norms == 0, F.lit(0.0)).otherwise(TX.dot(F.col("r_e"), F.col("j_e")) / norms), 6)
+        .alias("embedding_similarity"),
         round_half_away(TF.vector_dot(F.col("r_t"), F.col("j_t")), 6).alias("tfidf_similarity"),
         TX.overlap_count(rs, js).alias("skill_overlap_count"),
         TX.coverage(rs, js).alias("keyword_coverage_percentage"),

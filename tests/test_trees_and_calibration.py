@@ -13,7 +13,9 @@ from matchlake.functions.features import MODEL_FEATURES, model_features
 from matchlake.operators import binned as BI
 from matchlake.operators import boosting as BO
 from matchlake.operators import calibration as CA
+from matchlake.operators import clustering as CL
 from matchlake.operators import forest as FO
+from matchlake.operators import kmeans as KM
 from matchlake.operators import knn
 from matchlake.operators import sampling as SA
 from matchlake.sources.adapter import modelling_table
@@ -250,3 +252,69 @@ def test_isotonic_does_not_depend_on_ranges(spark, monkeypatch):
         fitted(F.col("s")).alias("p")).collect()
     assert [r["p"] for r in got] == [pytest.approx(v) if v is not None else None for v in (
         shares[0], shares[-1], shares[3], (shares[3] + shares[4]) / 2, None)]
+
+
+# -- K-Means, PCA ----------------------------------------------------------
+
+
+def test_kmeans_models_are_fixed_points_and_reproducible(spark):
+    rng = random.Random(7)
+    points = [(rng.gauss(c, 0.3), rng.gauss(-c, 0.3)) for c in (0, 4, 9) for _ in range(60)]
+    rows = KM.point_rows(spark.createDataFrame(points, "a double, b double").repartition(4), ["a", "b"])
+    again = KM.point_rows(spark.createDataFrame(points[::-1], "a double, b double").repartition(3), ["a", "b"])
+    pairs = [(k, s) for k in (1, 2, 3, 5) for s in (1, 2, 3)]
+    models, other = KM.fit_all(rows, pairs, 0.0), KM.fit_all(again, pairs, 0.0)
+    x = np.array(points)
+    for m, o in zip(models, other):
+        assert np.array_equal(m.centers, o.centers) and m.cost == o.cost and len(m.centers) == m.k
+        d2 = ((x[:, None] - m.centers[None]) ** 2).sum(2)
+        assert m.cost == pytest.approx(d2.min(1).sum(), abs=1e-4)
+        for c in range(m.k):
+            assert m.centers[c] == pytest.approx(x[d2.argmin(1) == c].mean(0), abs=1e-6)
+    best = KM.best_of_restarts(rows, [3], 20)[3]
+    assert sorted(np.round(best.centers[:, 0])) == [0, 4, 9]
+    assert KM.fit_all(rows.limit(0), pairs) == []
+
+
+def test_plus_plus_draws_by_squared_distance(spark):
+    """Far points win the race as often as their squared distance says."""
+    rows = KM.point_rows(spark.createDataFrame([(0.0,), (1.0,), (3.0,)], "a double"), ["a"])
+    models = [KM.KMeans(2, s) for s in range(600)]
+    KM.seeded(rows, models)
+    from_zero = [m.centers[1, 0] for m in models if m.centers[0, 0] == 0.0]
+    assert 150 < len(from_zero) < 250
+    assert sum(v == 3.0 for v in from_zero) / len(from_zero) == pytest.approx(0.9, abs=0.07)
+
+
+def test_pair_agreement_equals_the_table_operators(spark):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 2), rng.randint(0, 1)) for _ in range(90)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    counts = {}
+    for r in rows:
+        counts[r] = counts.get(r, 0) + 1
+    ari, nmi = CL.pair_agreement(counts)
+    assert ari == pytest.approx(CL.adjusted_rand(df, "a", "b").first()[0])
+    assert nmi == pytest.approx(CL.normalized_mutual_info(df, "a", "b").first()[0])
+    assert CL.pair_agreement({(0, 1): 5, (1, 0): 4}) == (1.0, pytest.approx(1.0))
+
+
+def test_pca_signs_and_scores(spark):
+    rng = random.Random(9)
+    data = [(t := rng.gauss(0, 3), rng.gauss(0, 0.1) - 2 * t, rng.gauss(0, 1)) for _ in range(400)]
+    x = np.array(data) - np.mean(data, 0)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    loadings, shares = CL.pca_fit(df, ["a", "b", "c"], k=2)
+    assert all(max(one, key=abs) > 0 for one in loadings)
+    values = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    assert shares == pytest.approx((values / values.sum())[:2])
+    got = df.select(*[c.alias(f"p{i}") for i, c in enumerate(CL.pca_project(["a", "b", "c"], loadings))]).collect()
+    assert np.array([tuple(r) for r in got]) == pytest.approx(x @ np.array(loadings).T)
+
+
+def test_kmeans_queries_have_the_full_sizes(spark, sf):
+    sweep = Q["k02_kmeans_k_sweep"](spark, sf).orderBy("k").collect()
+    assert [r["k"] for r in sweep] == list(range(2, 11))
+    assert [r["wcss"] for r in sweep] == sorted((r["wcss"] for r in sweep), reverse=True)
+    stable = Q["k09_stability_over_seeds"](spark, sf).collect()
+    assert len(stable) == 4 and all(-1 <= r["silhouette_change"] <= 1 and 0 <= r["nmi"] <= 1 for r in stable)
