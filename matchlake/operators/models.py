@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -43,7 +43,6 @@ ESTIMATORS = {
                                            standardization=False, elasticNetParam=0.0, maxIter=100),
     "random_forest": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100,
                                                     maxDepth=8, seed=42),
-    "gbt": lambda: GBTClassifier(featuresCol="features", labelCol="label", maxIter=50, maxDepth=4, seed=42),
     "decision_tree": lambda: DecisionTreeClassifier(featuresCol="features", labelCol="label", maxDepth=6,
                                                     minInstancesPerNode=10, seed=42),
     "linear_svc": lambda: LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100),
@@ -107,11 +106,7 @@ class FoldFrames:
         return self.both.filter("is_val").select("label", "features")
 
     def fit(self, kind: str, **params):
-        """With a ``validationTol``, boosting stops once the held-out error falls by less."""
-        est = estimator(kind, self.n, **params)
-        if "validationTol" in params:
-            return est.setValidationIndicatorCol("is_val").fit(self.both)
-        return est.fit(self.both.filter("not is_val"))
+        return estimator(kind, self.n, **params).fit(self.both.filter("not is_val"))
 
 
 def fold_frames(x: DataFrame, held: Column) -> FoldFrames:
@@ -154,6 +149,26 @@ def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_metadata(spark, path: str, name: str, version: str, model: PipelineModel, features: list[str], rows: int, metrics: dict,
+                  dataset: str, seed: int) -> None:
+    """The metadata row of a saved pipeline, as JSON beside it."""
+    last = model.stages[-1]
+    params = {p.name: str(v) for p, v in last.extractParamMap().items()}
+    row = (name, version, dataset, rows, features, " -> ".join(type(s).__name__ for s in model.stages),
+           dict(sorted(params.items())), {k: float(v) for k, v in metrics.items()}, spark.version, seed)
+    spark.createDataFrame([row], METADATA).withColumn("saved_at", F.current_timestamp()).coalesce(1).write.mode(
+        "overwrite").json(f"{path}-metadata")
+
+
+METADATA = ("model_name string, model_version string, dataset_name string, n_training_samples long, "
+            "selected_features array<string>, model_type string, hyperparameters map<string,string>, "
+            "training_metrics map<string,double>, spark_version string, random_seed int")
+
+
+def load_metadata(spark, path: str) -> DataFrame:
+    return spark.read.schema(METADATA + ", saved_at timestamp").json(f"{path}-metadata")
+
+
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

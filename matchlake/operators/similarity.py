@@ -65,23 +65,5 @@ def encode(df: DataFrame, text_col: str, encoder_factory, dim: int, out: str = "
     return df.withColumn(out, _enc(F.col(text_col)))
 
 
-def hashed_encoder(dim: int = 64):
-    """A tiny deterministic encoder (feature hashing of words) usable as the
-    default ``encoder_factory`` in tests; real deployments plug in a model."""
-    import zlib
-
-    import numpy as np
-
-    def factory():
-        def run(texts):
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for i, t in enumerate(texts):
-                for w in t.lower().split():
-                    out[i, zlib.crc32(w.encode()) % dim] += 1.0
-            return out
-        return run
-    return factory
-
-
 def column_cosine(a: Column, b: Column) -> Column:
     return cosine(a, b)

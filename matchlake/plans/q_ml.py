@@ -18,21 +18,29 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from matchlake.functions import text as TX
 from matchlake.functions.features import MODEL_FEATURES, model_features
+from matchlake.functions.numeric import round_half_away
 from matchlake.operators import boosting as BO
 from matchlake.operators import calibration as CA
 
+from matchlake.operators import curves as CU
 from matchlake.operators import evaluation as EV
 from matchlake.operators import forest as FO
 from matchlake.operators import members as ME
+from matchlake.operators import metrics as MT
 from matchlake.operators import models as MO
 from matchlake.operators import sampling as SA
+from matchlake.operators import slices as SL
+from matchlake.operators import text_vectors as TV
 from matchlake.operators import tuning as TU
 from matchlake.operators.binned import binned_rows
-from matchlake.operators.small import one_row
+from matchlake.operators.small import num, one_row, small_rows
+from matchlake.plans import q_text as QT
 from matchlake.plans.registry import query
 from matchlake.session import cut_lineage, shared_path
 from matchlake.sources.adapter import modelling_table
+from matchlake.sources.tables import table
 
 KEY = "application_id"
 
@@ -352,6 +360,59 @@ def _choose_fitted(spark, sf):
 query("n14_fitted_calibration_choice")(_choose_fitted)
 
 
+def _release(spark, sf):
+    """One release on a fitted model: three-fold calibration by the better Brier
+    score, threshold of the best F1 on the calibration rows, then metrics, errors and
+    cost on the holdout, for all rows and on both sides of the median experience."""
+    rows = _fitted_margins(spark, sf, "logistic", 3, 5)
+    maps = {m: averaged(rows, m) for m in ("isotonic", "sigmoid")}
+    scored = cut_lineage(rows.where(F.col("code") >= CALIB).select(KEY, "code", "label", *[c.alias(m) for m, c in maps.items()]))
+    method, brier = choose_method(None, scored.where(F.col("code") == TEST), list(maps), F.col)
+    scored = scored.withColumnRenamed(method, "probability")
+    grid = CU.arange_grid(0.1, 0.9, 0.05)
+    threshold = one_row(CU.best_f1_threshold(CU.threshold_sweep(scored.where(F.col("code") == CALIB), grid)))["best_threshold"]
+    years = modelling_table(spark, sf).select(KEY, "years_experience")
+    test = cut_lineage(scored.where(F.col("code") == TEST).join(years, KEY).select(
+        "label", "probability", "years_experience", (F.col("probability") >= num(threshold)).cast("int").alias("prediction")))
+    both = MT.expected_cost(test).select("*", F.lit("all").alias("slice"), *[v.alias(k) for k, v in MT.rate_columns().items()])
+    parts = SL.segment_by_median(test, "years_experience").withColumn("expected_cost", F.lit(None).cast("double")) \
+        .withColumnRenamed("segment", "slice")
+    cols = ["slice", "tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1", "expected_cost"]
+    return both.select(*cols).unionByName(parts.select(*cols)).select(
+        "*", F.lit(method).alias("method"), num(threshold).alias("threshold"), num(brier[method]).alias("brier_score"))
+
+
+query("n16_release_flow")(_release)
+
+
+def _baseline_vs_tuned(spark, sf):
+    """D32 on fitted models: boosting with the library's defaults (100 rounds, step 0.3,
+    depth 6) and T8's tuned model on the holdout, and the tuned model's gain in AUC."""
+    tuned = _refit(spark, sf).withColumn("model", F.lit("tuned"))
+    rows = _trial_rows(spark, sf)
+    spec = BO.BoostSpec(rounds=100, step=0.3, max_depth=6, max_leaves=None, l2=1.0, min_child_weight=1.0, min_rows=1, held=(TEST,))
+    scores = BO.fit_boosting(rows, spec, len(MODEL_FEATURES)).scores(rows.where(F.col("fold") == TEST)).select(
+        F.col("y").alias("label"), "probability", (F.col("probability") >= 0.5).cast("int").alias("prediction"))
+    base = EV.binary_metrics(cut_lineage(scores)).withColumn("model", F.lit("baseline"))
+    both = cut_lineage(base.unionByName(tuned.select(*base.columns)))
+    auc = {r["model"]: r["roc_auc"] for r in small_rows(both, 2)}
+    return both.select("model", *EV.METRIC_COLS, F.when(F.col("model") == "tuned", num(auc["tuned"] - auc["baseline"])).alias("auc_gain"))
+
+
+query("d32_fitted_baseline_vs_tuned")(_baseline_vs_tuned)
+
+
+def _generalization(spark, sf):
+    """T10 on fitted models: the model with the best mean AUC over ten folds, its
+    spread, and the mean AUC of the nested forest search."""
+    report = EV.generalization_report(EV.fold_summary(_cv(spark, sf)))
+    nested = one_row(_nested(spark, sf).agg(F.avg("roc_auc").alias("m")))["m"]
+    return report.withColumn("nested_mean_auc", num(nested))
+
+
+query("t10_generalization_of_fitted_models")(_generalization)
+
+
 def _stacking_table(spark, sf):
     """N9 + N10: the best base model, soft voting and stacking on the holdout;
     the meta-model learns from out-of-fold scores of the four base models."""
@@ -381,28 +442,49 @@ def _roundtrip(spark, sf):
 query("a06_a07_model_save_load_roundtrip")(_roundtrip)
 
 
+def _metadata(spark, sf):
+    """A pipeline saved with its metadata row, read back."""
+    b = base(spark, sf)
+    train = b.filter(F.col("split") == "train")
+    m = MO.fit(train, "logistic")
+    path = shared_path(spark, f"models/logistic-{uuid.uuid4().hex[:12]}")
+    MO.save(m, path)
+    scored = MO.positive_probability(train, m).select("label", "probability", F.col("prediction").cast("int").alias("prediction"))
+    metrics = one_row(EV.binary_metrics(cut_lineage(scored))).asDict()
+    MO.save_metadata(spark, path, "match-logistic", "1.0", m, list(MODEL_FEATURES), train.count(), metrics, "modelling_table", 42)
+    return MO.load_metadata(spark, path).drop("saved_at")
+
+
+query("a06_model_metadata")(_metadata)
+
+
 def _text_classifier(spark, sf):
     """TF-IDF (5000 terms) + balanced multinomial logistic on the labelled
     documents (quality), scored on a stratified holdout."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, IDF, Normalizer, RegexTokenizer, StopWordsRemover
+    from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer,
+                                    StopWordsRemover)
+    from pyspark.ml.linalg import Vectors
     from matchlake.functions.text import STOP_WORDS
-    from matchlake.sources.tables import table
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").withColumnRenamed(
         "quality", "label")
     split = SA.stratified_holdout(docs, "doc_id", "label", 0.2, 42, "is_test")
     w, n = MO.with_balanced_weight(split.filter(~F.col("is_test")))
-    pipe = Pipeline(stages=[
+    words = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tok", pattern=r"\p{L}{2,}", gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="tok", outputCol="tok2", stopWords=STOP_WORDS),
-        CountVectorizer(inputCol="tok2", outputCol="tf", vocabSize=5000),
-        IDF(inputCol="tf", outputCol="tfidf"), Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+        CountVectorizer(inputCol="tok2", outputCol="tf", vocabSize=5000)]).fit(w)
+    counted = words.transform(w)
+    idf = IDF(inputCol="tf", outputCol="unused").fit(counted).idf.toArray() + 1.0  # smoothed, plus one
+    rest = Pipeline(stages=[
+        ElementwiseProduct(inputCol="tf", outputCol="tfidf", scalingVec=Vectors.dense(idf)),
+        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
         LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="multinomial",
                            regParam=1.0 / n)])
-    model = pipe.fit(w)
+    fitted = rest.fit(counted)
     from pyspark.ml.functions import vector_to_array
-    return model.transform(split.filter(F.col("is_test"))).select(
+    return fitted.transform(words.transform(split.filter(F.col("is_test")))).select(
         "doc_id", "label", F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("probability")[1].alias("probability"))
 
@@ -410,17 +492,40 @@ def _text_classifier(spark, sf):
 query("n22_text_classifier")(_text_classifier)
 
 
-# ------------------------------------------------------------ J3 / J4
+# ------------------------------------------------------------ J3, H10, D26 on trained vectors
 def _encode(spark, sf):
-    """The sentence-encoder plug-in path (iterator pandas UDF over Arrow
-    batches, model built once per worker) on whole documents; the default
-    encoder is a small feature-hashing stand-in."""
-    from matchlake.operators.similarity import encode, hashed_encoder
-    from matchlake.sources.tables import table
+    """Word vectors trained on all documents, and the vector of every document."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    out = encode(docs, "text", hashed_encoder(64), 64)
-    return out.select("doc_id", F.size("embedding").alias("dim"),
-                      F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("n_tokens_hashed"))
+    words = TV.train(docs)
+    return docs.select("doc_id", TV.text_vector(F.col("text"), words).alias("embedding"))
 
 
 query("j03_encoder_plugin_documents")(_encode)
+
+
+def trained_similarity(spark, sf):
+    """Applications with the cosine of their resume's and job's vectors, both
+    from word vectors trained on all resumes and jobs."""
+    a = cut_lineage(QT.apps(spark, sf))
+    resumes, jds = QT.resumes(spark, sf), QT.jds(spark, sf)
+    words = TV.train(resumes.select("text").unionByName(jds.select("text")))
+    rv = resumes.select(F.col("doc").alias("candidate_id"), TV.text_vector(F.col("text"), words).alias("rv"))
+    jv = jds.select(F.col("doc").alias("job_id"), TV.text_vector(F.col("text"), words).alias("jv"))
+    return a.join(rv, "candidate_id").join(jv, "job_id").select(
+        *a.columns, round_half_away(TX.dot(F.col("rv"), F.col("jv")), 6).alias("vector_similarity"))
+
+
+query("h10_trained_vector_similarity")(lambda s, d: trained_similarity(s, d).select(KEY, "vector_similarity"))
+
+
+def _representation(spark, sf):
+    """The AUC of trained vectors and of TF-IDF as matchers, and the better of the two."""
+    v = trained_similarity(spark, sf).withColumnRenamed("is_good_match", "label")
+    t = QT.tfidf_similarity(spark, sf).withColumnRenamed("is_good_match", "label")
+    va = one_row(CU.roc_auc(v, score="vector_similarity"))["roc_auc"]
+    ta = one_row(CU.roc_auc(t.withColumn("s", round_half_away(F.col("tfidf_similarity"), 6)), score="s"))["roc_auc"]
+    return spark.createDataFrame([(va, ta, "vectors" if va > ta else "tfidf")],
+                                 "vector_auc double, tfidf_auc double, best_representation string")
+
+
+query("d26_trained_vectors_vs_tfidf")(_representation)

@@ -96,30 +96,25 @@ def run_request_metrics(spark: SparkSession, sf_dir: str, window: str = "1 hour"
     return last.select("window_start", "window_end", "last.*")
 
 
-def run_posting_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings arrive as a stream. Of a batch, the smallest id of each URL
-    (C2) is stored unless a smaller one is already; the table is the smallest
-    id stored per URL, so it does not depend on the order of arrival."""
+def run_posting_ingest(spark: SparkSession, sf_dir: str, max_files: int = MAX_FILES) -> DataFrame:
+    """Postings arrive as a stream; the state is the smallest id's posting of
+    each URL (C2), kept by Spark's state store. A micro-batch reads its own rows
+    and their URLs' states, never the table, and writes the URLs whose posting it
+    changed; the table is the last state written per URL, whatever the order of arrival."""
     base = _run_dir(spark, "posting-ingest")
-    pages = _stream(spark, sf_dir, "pages")
+    pages = _stream(spark, sf_dir, "pages", max_files)
     pid = F.col("page_id")
     posts = pages.select(
         pid.alias("id"), F.regexp_replace("url", r"[?#].*$", "").alias("url"),
         F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
         epoch_ntz(F.lit(PUBLISHED_EPOCH_S) + (pid * PUBLISHED_MULT) % PUBLISHED_SPREAD_S).alias("published_at"))
-    _prepare(spark, f"{base}/table", posts.schema)
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        stored = (_parts(batch.sparkSession, f"{base}/table", posts.schema).where(F.col("epoch") < epoch)
-                  .groupBy("url").agg(F.min("id").alias("stored_id")))
-        fresh = (BO.first_per_key(batch, "url", "id").join(stored, "url", "left")
-                 .where(F.col("stored_id").isNull() | (F.col("id") < F.col("stored_id"))).select(*posts.columns))
-        _write_part(fresh, f"{base}/table", epoch)
-
-    q = (posts.writeStream.foreachBatch(upsert).option("checkpointLocation", f"{base}/ckpt")
-              .trigger(availableNow=True).start())
+    first = posts.groupBy("url").agg(F.min(F.struct("id", "title", "published_at")).alias("first")).select(
+        "first.id", "url", "first.title", "first.published_at")
+    _prepare(spark, f"{base}/table", first.schema)
+    q = (first.writeStream.outputMode("update").foreachBatch(lambda batch, epoch: _write_part(batch, f"{base}/table", epoch))
+              .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     _await(q)
-    return BO.first_per_key(_parts(spark, f"{base}/table", posts.schema).drop("epoch"), "url", "id")
+    return BO.first_per_key(_parts(spark, f"{base}/table", first.schema).drop("epoch"), "url", "id").select(*posts.columns)
 
 
 def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
