@@ -1,7 +1,12 @@
 """Mixing to target weights with soft domain membership.
 
-A naive Bayes classifier learned from the labelled table gives every document a
-posterior over domains. Documents get non-negative rates r so that the expected
+A classifier learned from the labelled table gives every document a posterior
+over domains. One half of the labelled ids (by md5) shows which words speak for
+``poor`` and for ``toxic``: those in at least ``LEAST_DOCS`` of the domain's documents and
+``LEAST_RATIO`` times as common there as elsewhere, the ``MOST_WORDS`` strongest. How
+many of them a whole text holds is a binned feature, beside its length, word
+length and shares of capitals, digits, marks and repeated words; the other half of the ids gives the
+naive Bayes probabilities of the bins. Documents get non-negative rates r so that the expected
 tokens of each domain, sum(r * tokens * posterior), come as near as possible to
 the targets: projected-gradient least squares with momentum, held towards rate
 1 by a small ridge. A document's gradient, in units of its own tokens, depends
@@ -31,12 +36,17 @@ from matchlake.operators.small import small_rows
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
-STEPS, RIDGE = 30, 0.02
+STEPS, RIDGE = 40, 0.002
+#: Bounds of the word lists that speak for a domain.
+LEAST_DOCS, LEAST_RATIO, MOST_WORDS = 5, 8.0, 1000
+MARKS = "!#$%&*+/<=>@^_`{|}~"
+SIGNS = ".,;:?()[]|*#$%&!"
+LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ" + SIGNS, "abcdefghijklmnopqrstuvwxyz" + " " * len(SIGNS))
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 #: Number of values of each binned feature.
-BINS = {"b_len": 16, "b_upper": 11, "b_mark": 11, "b_digit": 11, "b_word": 16}
+BINS = {"b_len": 16, "b_upper": 11, "b_mark": 11, "b_digit": 11, "b_word": 16, "b_poor": 11, "b_toxic": 6, "b_again": 21}
 
 
 def matches(text: Column, letters: str) -> Column:
@@ -44,22 +54,60 @@ def matches(text: Column, letters: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, letters, ""))
 
 
-def features(docs: DataFrame, keep: str = "doc_id", text: str = "text") -> DataFrame:
+def words_of(text: Column) -> Column:
+    """Words with small A-Z, without signs."""
+    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), *LETTERS), F.lit(f"({WORD})"), F.lit(1))
+
+
+def learning_half(doc_id: Column) -> Column:
+    """Whether a labelled id helps to choose words (else it helps to weigh the bins)."""
+    return F.substring(F.md5(doc_id.cast("string").cast("binary")), 1, 1) < "8"
+
+
+def evidence(docs: DataFrame, labels: DataFrame) -> dict[str, list[str]]:
+    """The words that speak for ``poor`` and for ``toxic``, at most ``MOST_WORDS`` each."""
+    marked = docs.select("doc_id", "text").join(domains_of(labels), "doc_id").where(learning_half(F.col("doc_id")))
+    counts = {r["domain"]: r["n"] for r in small_rows(marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")), len(DOMAINS))}
+    per = marked.select("domain", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word")).groupBy("word").agg(
+        *[F.count_if(F.col("domain") == d).alias(d) for d in DOMAINS])
+    per = written(per.where(F.greatest("poor", "toxic") >= LEAST_DOCS), "mix-words")
+    out = {}
+    for d in ("poor", "toxic"):
+        rest = sum((F.col(o) for o in DOMAINS if o != d), F.lit(0))
+        n, others = counts.get(d, 0), sum(c for o, c in counts.items() if o != d)
+        ratio = ((2 * F.col(d) + 1) * F.lit(float(others + 1))) / ((2 * rest + 1) * F.lit(float(n + 1)))
+        top = per.select("word", F.col(d).alias("n"), ratio.alias("ratio")).where((F.col("n") >= LEAST_DOCS) & (F.col("ratio") >= LEAST_RATIO))
+        out[d] = [r["word"] for r in small_rows(top.orderBy(F.col("ratio").desc(), "word").limit(MOST_WORDS), MOST_WORDS)]
+    return out
+
+
+def features(docs: DataFrame, speak: dict[str, list[str]], keep: str = "doc_id", text: str = "text") -> DataFrame:
     """``keep``, n_tokens and the binned features of each row, in integer steps."""
     body = F.coalesce(F.col(text), F.lit(""))
+    split = F.transform(F.array(words_of(body)), lambda words: F.struct(
+        F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("different"),
+        F.filter(words, lambda w: w.isin(speak["poor"] + speak["toxic"])).alias("found")))
+    split = F.transform(split, lambda s: F.struct(
+        s["n"].alias("n"), s["different"].alias("different"),
+        F.size(F.filter(s["found"], lambda w: w.isin(speak["poor"]))).alias("poor"),
+        F.size(F.filter(s["found"], lambda w: w.isin(speak["toxic"]))).alias("toxic")))
     words = F.length(F.regexp_replace(F.regexp_replace(body, WORD, "x"), BLANKS, ""))
     counted = docs.select(F.col(keep), words.cast("long").alias("n_tokens"),
                           F.length(body).cast("long").alias("chars"),
                           matches(body, "[A-Z]").cast("long").alias("upper"),
-                          matches(body, "[!|]").cast("long").alias("marks"),
-                          matches(body, "[0-9]").cast("long").alias("digits"))
+                          matches(body, f"[{MARKS}]").cast("long").alias("marks"),
+                          matches(body, "[0-9]").cast("long").alias("digits"),
+                          F.get(split, F.lit(0)).alias("said"))
     return counted.select(
         keep, "n_tokens",
         F.expr("cast(least(15, length(bin(n_tokens + 1)) - 1) as int) AS b_len"),
         F.expr("cast(least(10, (20 * upper) div (chars + 1)) as int) AS b_upper"),
         F.expr("cast(least(10, (40 * marks) div (chars + 1)) as int) AS b_mark"),
         F.expr("cast(least(10, (40 * digits) div (chars + 1)) as int) AS b_digit"),
-        F.expr("cast(least(15, chars div greatest(n_tokens, 1)) as int) AS b_word"))
+        F.expr("cast(least(15, chars div greatest(n_tokens, 1)) as int) AS b_word"),
+        F.expr("cast(least(10, (20 * said.poor) div (n_tokens + 1)) as int) AS b_poor"),
+        F.expr("cast(least(5, said.toxic) as int) AS b_toxic"),
+        F.expr("cast((20 * (said.n - said.different)) div (said.n + 1) as int) AS b_again"))
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
@@ -135,8 +183,9 @@ def momentum(k: int) -> float:
 
 
 def classifier(marked: DataFrame, labels: DataFrame) -> Mix:
-    """Naive Bayes with one added per bin, from the labelled documents."""
-    joined = marked.join(domains_of(labels), "doc_id").groupBy("domain", *BINS).agg(F.count(F.lit(1)).alias("n"))
+    """Naive Bayes with one added per bin, from the labelled documents that chose no words."""
+    weighed = domains_of(labels).where(~learning_half(F.col("doc_id")))
+    joined = marked.join(weighed, "doc_id").groupBy("domain", *BINS).agg(F.count(F.lit(1)).alias("n"))
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("bin")) for f in BINS])
     rows = small_rows(joined.select("domain", "n", F.explode(pairs).alias("x"))
                       .groupBy("domain", "x.feature", "x.bin").agg(F.sum("n").alias("n")),
@@ -170,7 +219,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     """doc_id, n_tokens, the posterior of each domain and the rate of every row.
     ``targets``: share of each domain in the expected tokens; their sum is as
     many tokens as the documents have."""
-    marked = written(features(docs), "mix-features")
+    marked = written(features(docs, evidence(docs, labels)), "mix-features")
     mix = fitted(marked, labels, targets)
     return marked.select("doc_id", "n_tokens", *mix.posterior()).withColumn("rate", mix.rate())
 
@@ -178,9 +227,10 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """The rows of ``docs`` with a rate over 0, with their rate (which replaces
     a column of that name)."""
-    mix = fitted(written(features(docs), "mix-features"), labels, targets)
+    speak = evidence(docs, labels)
+    mix = fitted(written(features(docs, speak), "mix-features"), labels, targets)
     row = F.struct(*[c for c in docs.columns if c != "rate"]).alias("_row")
-    marked = features(docs.select(row), "_row", "_row.text").select("_row", *mix.posterior())
+    marked = features(docs.select(row), speak, "_row", "_row.text").select("_row", *mix.posterior())
     # Not a filter: pushed down to the scan, it would work out features and rate once more.
     positive = F.filter(F.array(mix.rate()), lambda r: r > 0)
     return marked.select("_row", F.explode(positive).alias("rate")).select("_row.*", "rate")

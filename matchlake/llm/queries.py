@@ -76,24 +76,44 @@ def _sql_mixing() -> str:
     got = ", ".join(f"list_dot_product(list_transform(idx, lambda i: w[i] * y[i]), l_{x}) - {mixing.TARGETS[x] / _GOAL!r}"
                     f" AS e_{x}" for x in d)
     slope = " + ".join(f"e_{x} * l_{x}[i]" for x in d)
+    half = "substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8'"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{mixing.LETTERS[0]}', '{mixing.LETTERS[1]}'), '{_WORD}')"
+
+    def speaks(x: str) -> str:
+        n = f"(SELECT count(*) FILTER (domain = '{x}') FROM learn)"
+        rest = " + ".join(o for o in d if o != x)
+        ratio = f"((2 * {x} + 1) * CAST((SELECT count(*) FROM learn) - {n} + 1 AS DOUBLE)) / ((2 * ({rest}) + 1) * CAST({n} + 1 AS DOUBLE))"
+        return f"""say_{x} AS (SELECT word FROM (SELECT word, {x} AS n, {ratio} AS ratio FROM per_word)
+          WHERE n >= {mixing.LEAST_DOCS} AND ratio >= {mixing.LEAST_RATIO} ORDER BY ratio DESC, word LIMIT {mixing.MOST_WORDS})"""
+
     return f"""
-    WITH RECURSIVE counted AS (
-      SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n_tokens,
-             length(coalesce(text, '')) AS chars,
+    WITH RECURSIVE dom AS (
+      SELECT doc_id, CASE WHEN max(coalesce(toxic, 0)) = 1 THEN 'toxic'
+                          WHEN min(coalesce(quality, 1)) = 0 THEN 'poor' ELSE 'good' END AS domain
+      FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
+    learn AS (SELECT domain, list_distinct({words}) AS ws FROM documents JOIN dom USING (doc_id) WHERE {half}),
+    per_word AS (SELECT word, {", ".join(f"count(*) FILTER (domain = '{x}') AS {x}" for x in d)}
+                 FROM (SELECT domain, unnest(ws) AS word FROM learn) GROUP BY word),
+    {speaks("poor")}, {speaks("toxic")},
+    numbered AS (SELECT row_number() OVER () AS rid, doc_id, text, {words} AS ws FROM documents),
+    said AS (SELECT rid, count(p.word) AS poor, count(t.word) AS toxic FROM (SELECT rid, unnest(ws) AS word FROM numbered) w
+             LEFT JOIN say_poor p USING (word) LEFT JOIN say_toxic t USING (word) GROUP BY rid),
+    counted AS (
+      SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS n_tokens, length(coalesce(text, '')) AS chars,
+             len(ws) AS said_n, len(list_distinct(ws)) AS different,
              len(regexp_extract_all(coalesce(text, ''), '[A-Z]')) AS upper_n,
-             len(regexp_extract_all(coalesce(text, ''), '[!|]')) AS marks,
-             len(regexp_extract_all(coalesce(text, ''), '[0-9]')) AS digits
-      FROM documents),
+             len(regexp_extract_all(coalesce(text, ''), '[{mixing.MARKS}]')) AS marks,
+             len(regexp_extract_all(coalesce(text, ''), '[0-9]')) AS digits,
+             coalesce(poor, 0) AS poor, coalesce(toxic, 0) AS toxic
+      FROM numbered LEFT JOIN said USING (rid)),
     feats AS (
       SELECT doc_id, n_tokens, least(15, length(bin(n_tokens + 1)) - 1) AS b_len,
              least(10, (20 * upper_n) // (chars + 1)) AS b_upper, least(10, (40 * marks) // (chars + 1)) AS b_mark,
              least(10, (40 * digits) // (chars + 1)) AS b_digit,
-             least(15, chars // greatest(n_tokens, 1)) AS b_word FROM counted),
-    dom AS (
-      SELECT doc_id, CASE WHEN max(coalesce(toxic, 0)) = 1 THEN 'toxic'
-                          WHEN min(coalesce(quality, 1)) = 0 THEN 'poor' ELSE 'good' END AS domain
-      FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
-    lab AS (SELECT domain, {_BINS} FROM feats JOIN dom USING (doc_id)),
+             least(15, chars // greatest(n_tokens, 1)) AS b_word,
+             least(10, (20 * poor) // (n_tokens + 1)) AS b_poor, least(5, toxic) AS b_toxic,
+             (20 * (said_n - different)) // (said_n + 1) AS b_again FROM counted),
+    lab AS (SELECT domain, {_BINS} FROM feats JOIN dom USING (doc_id) WHERE NOT {half}),
     sizes AS (SELECT {', '.join(f"count(*) FILTER (domain = '{x}') AS n_{x}" for x in d)} FROM lab),
     cells AS (SELECT {_BINS}, sum(n_tokens) AS tokens FROM feats GROUP BY ALL),
     joint AS (SELECT c.*, {joint} FROM cells c, sizes),

@@ -486,6 +486,23 @@ def test_links_are_exact(spark, blocks):
 # -- mixing and the pipeline -----------------------------------------------
 
 
+def test_mixing_posteriors_on_held_out_labels(spark):
+    """The classifier reads words: accuracy, toxic recall and target shares on sf0.1."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rates = mixing.mixing_rates(docs, labels.where(~held)).persist()
+    shares = rates.agg(*[(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{d}")) / F.sum("n_tokens")).alias(d)
+                         for d in mixing.DOMAINS]).first()
+    assert all(abs(shares[d] - t) < 0.01 for d, t in mixing.TARGETS.items())
+    known = rates.join(mixing.domains_of(labels.where(held)), "doc_id").collect()
+    top = [(r["domain"], max(mixing.DOMAINS, key=lambda d: r[f"p_{d}"])) for r in known]
+    assert sum(a == b for a, b in top) / len(top) > 0.92
+    toxic = [b for a, b in top if a == "toxic"]
+    assert toxic.count("toxic") / len(toxic) > 0.8
+    rates.unpersist()
+
+
 def test_mixing_moves_towards_the_targets(spark, documents, labels):
     rows = mixing.mixing_rates(documents, labels).collect()
     total = sum(r["n_tokens"] for r in rows)
