@@ -16,20 +16,22 @@ copied item lies whole in one), and every passage is a query that retrieves
 A retrieved item counts as contamination if at least ``SIMILARITY`` of its
 five-word shingles occur in the passage, and at least ``PART_OVERLAP`` of the
 shingles of its question and of its answer, each. The question is the first two
-thirds of the item's words, the answer the rest.
-
-Words are lower-cased and cut at white space and ASCII punctuation. Items of
-fewer than five words are no evidence and are left out, as are null items;
-repeated items are found once per id. Null and empty texts hold no item.
-The index of a benchmark part goes to every task; a benchmark over
-``PART_BYTES`` is split into parts, each with the whole benchmark's document
-frequencies, and the texts are queried against every part in turn.
+thirds of the item's words, the answer the rest. An item of fewer than five words
+is one shingle, its whole word sequence (of one word: question and answer alike).
+
+Words are lower-cased and cut at white space and ASCII punctuation. Null items and
+items without words are left out; repeated items are found once per id. Null and
+empty texts hold no item. The index of a benchmark part goes to every task; a
+benchmark over ``PART_BYTES`` is split into parts, each with the whole benchmark's
+document frequencies. The texts are queried against one part after the other, each
+part's finds are written, and the driver holds one part at a time.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from matchlake.llm.batches import byte_parts, plain_words, text_slices
+from matchlake.llm.batches import byte_parts, plain_words, text_slices, written
 
 SHINGLE, SIMILARITY, PART_OVERLAP, THRESHOLD = 5, 0.8, 0.5, 0.6
 K1, B = 1.2, 0.75
@@ -57,7 +59,7 @@ class Index:
     count cover the whole benchmark."""
 
     def __init__(self, items: list[tuple[int, bytes]], frequency: dict[bytes, int], n_items: int, mean_words: float):
-        parsed = [(i, w) for i, t in items if len(w := plain_words(t)) >= SHINGLE]
+        parsed = [(i, w) for i, t in items if (w := plain_words(t))]
         parsed = sorted({(i, tuple(w)) for i, w in parsed})
         self.ids = [i for i, _ in parsed]
         self.longest = max((len(w) for _, w in parsed), default=SHINGLE)
@@ -65,8 +67,8 @@ class Index:
         rows: dict[bytes, list[tuple[int, float]]] = {}
         for number, (_, words) in enumerate(parsed):
             words = list(words)
-            cut = min(len(words) - 1, -(-2 * len(words) // 3))
-            self.parts.append((shingles(words), shingles(words[:cut]), shingles(words[cut:])))
+            cut = max(1, min(len(words) - 1, -(-2 * len(words) // 3)))
+            self.parts.append((shingles(words), shingles(words[:cut]), shingles(words[cut:] or words)))
             length = K1 * (1 - B + B * len(words) / mean_words)
             weight = {w: math.log(1 + (n_items - frequency[w] + 0.5) / (frequency[w] + 0.5))
                       * n * (K1 + 1) / (n + length) for w, n in Counter(words).items()}
@@ -200,8 +202,8 @@ def search_texts(texts: pa.Array, index: Index, threshold: float = THRESHOLD) ->
     return out
 
 
-def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
-    """The benchmark's index in parts of about ``part_bytes`` of text."""
+def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> Iterator[tuple[Index, int]]:
+    """(index, number of parts) of the benchmark's parts of about ``part_bytes`` of text, one at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text") \
         .where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -209,23 +211,21 @@ def indexes(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[Index]:
 
     @arrow_udf("array<string>")
     def split(texts: pa.Array) -> pa.Array:
-        return pa.array([[w.decode() for w in words] if len(words := plain_words(t)) >= SHINGLE else []
+        return pa.array([[w.decode() for w in plain_words(t)]
                          for _, _, part in text_slices(texts) for t in part], pa.list_(pa.string()))
 
     worded = items.withColumn("words", split("text")).where(F.size("words") > 0)
     n, mean = worded.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
     if not n:
-        return []
+        return
     frequency = worded.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("n"))
-    out = []
     for k in range(n_parts):
         part = worded.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == k)
         rows = [(r["item_id"], r["text"].encode()) for r in part.select("item_id", "text").toLocalIterator()]
         needed = part.select(F.explode("words").alias("word")).distinct()
         known = {r["word"].encode(): r["n"] for r in frequency.join(needed, "word").toLocalIterator()}
-        out.append(Index(rows, known, n, mean))
-    return out
+        yield Index(rows, known, n, mean), n_parts
 
 
 def found_items(text: Column | str, index: Index, threshold: float = THRESHOLD) -> Column:
@@ -242,15 +242,16 @@ def found_items(text: Column | str, index: Index, threshold: float = THRESHOLD)
     return searched(F.col(text) if isinstance(text, str) else text)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+                 part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, item_id, bm25_share, similarity, question_overlap,
     answer_overlap) of every text that holds an item."""
-    parts = indexes(benchmark)
     schema = docs.select("doc_id").schema
     out = None
-    for index in parts:
+    for index, parts in indexes(benchmark, part_bytes):
         hit = (docs.select("doc_id", F.explode(found_items("text", index, threshold)).alias("hit"))
                .select("doc_id", "hit.*"))
+        hit = written(hit, "decontamination-part") if parts > 1 else hit
         out = hit if out is None else out.unionByName(hit)
     if out is None:
         empty = docs.sparkSession.createDataFrame([], schema)
@@ -258,9 +259,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return out
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+                    part_bytes: int = PART_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged."""
     out = docs
-    for index in indexes(benchmark):
+    for index, parts in indexes(benchmark, part_bytes):
         out = out.where(F.size(found_items("text", index, threshold)) == 0)
+        out = written(out, "decontamination-part") if parts > 1 else out
     return out
