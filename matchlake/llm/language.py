@@ -7,7 +7,10 @@ with the largest one is predicted; the score is its posterior under equal
 priors. The piece probabilities come from expectation maximisation over the
 same lattice on a bounded sample of training texts per language.
 
-Words are lower-cased runs of letters behind the vocabulary's word mark, cut into parts of at most ``PART`` characters; a character that no
+Words are lower-cased runs of letters and their combining marks behind the
+vocabulary's word mark; pieces are all its lower-case pieces of such characters, of
+any length. Words of up to ``PART`` characters are worked out many at a time, longer
+ones in blocks that carry the recursion over (only the fit cuts them). A character that no
 piece covers is a piece of its own with a small fixed probability. A text that
 is null or has no letter is ``und`` with score 0, as is every text if nothing
 was learned. Ties go to the language that sorts first.
@@ -23,6 +26,8 @@ Rows are scored one by one; extra columns pass through.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,12 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from matchlake.llm.batches import id_remainder, text_slices
-from matchlake.operators.small import small_rows
 
 UNKNOWN = "und"
 MARK = "▁"
-PART, LONGEST = 32, 8
-PER_LANGUAGE, MAX_LANGUAGES, MAX_BYTES = 300, 500, 100_000
+PART, BLOCK = 32, 4096
+PER_LANGUAGE, MAX_BYTES = 300, 100_000
 ROUNDS, ALPHA = 4, 0.05
 #: Probability of a character outside the vocabulary, and the factor per
 #: character that keeps the recursion of a part within double range.
@@ -49,22 +53,47 @@ STRAY, LIFT = 1e-7, 100.0
 #: Least mean log probability a letter of a known text, and the letters that it takes to reject one.
 FLOOR, EVIDENCE = -3.5, 20
 CACHE = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+PLAIN_LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 
 
+@lru_cache(1)
+def marked_letters() -> tuple[re.Pattern, re.Pattern]:
+    """(any combining mark, runs that begin with a letter and hold letters and marks)."""
+    def ranges(wanted) -> str:
+        found, last = [], -2
+        for c in filter(wanted, range(sys.maxunicode + 1)):
+            if c == last + 1:
+                found[-1][1] = c
+            else:
+                found.append([c, c])
+            last = c
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
+
+    marks = ranges(lambda c: unicodedata.category(chr(c))[0] == "M")
+    letters = ranges(lambda c: chr(c).isalpha())
+    return re.compile(f"[{marks}]"), re.compile(f"[{letters}][{letters}{marks}]*")
+
+
+def is_letter_or_mark(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
 @lru_cache(2)
 def vocabulary(path: str) -> dict[str, int]:
-    """Lower-case pieces of at most ``LONGEST`` characters, numbered from 1
-    (0 stands for a stray character)."""
+    """Lower-case pieces, numbered from 1 (0 stands for a stray character)."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = {model.id_to_piece(i) for i in range(model.get_piece_size())
              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    kept = sorted(n for n in names if len(n) <= LONGEST and n == n.lower()
-                  and all(c == MARK or c.isalpha() for c in n))
+    kept = sorted(n for n in names if n == n.lower() and all(c == MARK or is_letter_or_mark(c) for c in n))
     return {n: i for i, n in enumerate(kept, 1)}
 
 
+@lru_cache(2)
+def longest_piece(path: str) -> int:
+    return max(map(len, vocabulary(path)), default=1)
+
+
 @lru_cache(2)
 def trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The vocabulary as a trie: sorted keys (node, character), the child of
@@ -80,15 +109,26 @@ def trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def words_in(text: str) -> list[str]:
-    """Marked, lower-cased words, cut into parts."""
-    found = LETTERS.findall(text.lower())
-    if not all(map(str.isalpha, found)):  # other numerals are no letters
-        found = [w for w in found if any(map(str.isalpha, w))]
-    if any(len(w) > PART for w in found):
-        return [MARK + w[i:i + PART] if i == 0 else w[i:i + PART] for w in found for i in range(0, len(w), PART)]
+    """Marked, lower-cased words."""
+    text = text.lower()
+    if text.isascii() or not marked_letters()[0].search(text):
+        found = PLAIN_LETTERS.findall(text)
+        if not all(map(str.isalpha, found)):  # other numerals are no letters
+            found = marked_letters()[1].findall(text)
+    else:
+        found = marked_letters()[1].findall(text)
     return [MARK + w for w in found]
 
 
+def cut_words(counts: Counter) -> Counter:
+    """Words longer than ``PART`` in parts: for the fit only."""
+    out: Counter[str] = Counter()
+    for word, n in counts.items():
+        for i in range(0, len(word), PART):
+            out[word[i:i + PART]] += n
+    return out
+
+
 class Lattice:
     """All pieces of many words of similar length: ``piece[i, n, w]`` is the
     piece of n + 1 characters at place i of word w (-1: none, 0: a stray)."""
@@ -99,10 +139,11 @@ class Lattice:
         self.size = int(self.length.max(initial=0))
         padded = np.array(words, f"U{max(1, self.size)}") if words else np.zeros(0, "U1")
         letters = padded.view(np.uint32).reshape(self.n, max(1, self.size)).T.astype(np.int64)
-        self.piece = np.full((self.size, LONGEST, self.n), -1, np.int64)
+        self.longest = min(longest_piece(path), max(1, self.size))
+        self.piece = np.full((self.size, self.longest, self.n), -1, np.int64)
         place, word = np.nonzero(letters[:self.size] > 0)
         node = np.zeros(len(place), np.int64)
-        for n in range(LONGEST):
+        for n in range(self.longest):
             key = node << 21 | letters[place + n, word]
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             hit = keys[at] == key
@@ -114,11 +155,13 @@ class Lattice:
             self.piece[place[full], n, word[full]] = piece[full]
             inside = place + n + 1 < self.size
             place, word, node = place[inside], word[inside], node[inside]
+        #: Whether any word has a piece of a length at a place: most long ones are not there.
+        self.present = (self.piece >= 0).any(2)
 
     def lift(self, probability: np.ndarray) -> list[np.ndarray]:
         """Probabilities times LIFT to the length, by length; the last row is for no piece."""
         padded = np.concatenate([probability, np.zeros((1, probability.shape[1]))])
-        return [padded * LIFT ** (n + 1) for n in range(LONGEST)]
+        return [padded * LIFT ** (n + 1) for n in range(self.longest)]
 
     def forward(self, lifted: list[np.ndarray]) -> np.ndarray:
         """Scaled sums over the segmentations of each word's first k
@@ -126,8 +169,9 @@ class Lattice:
         alpha = np.zeros((self.size + 1, self.n, lifted[0].shape[1]))
         alpha[0] = 1.0
         for k in range(1, self.size + 1):
-            for n in range(min(k, LONGEST)):
-                alpha[k] += alpha[k - n - 1] * lifted[n][self.piece[k - n - 1, n]]
+            for n in range(min(k, self.longest)):
+                if self.present[k - n - 1, n]:
+                    alpha[k] += alpha[k - n - 1] * lifted[n][self.piece[k - n - 1, n]]
         return alpha
 
     def log_sums(self, probability: np.ndarray) -> np.ndarray:
@@ -143,7 +187,9 @@ class Lattice:
         beta[self.length, index] = 1.0
         share, use = counts / alpha[self.length, index], np.zeros((len(probability) + 1, counts.shape[1]))
         for k in range(self.size - 1, -1, -1):
-            for n in range(min(self.size - k, LONGEST)):
+            for n in range(min(self.size - k, self.longest)):
+                if not self.present[k, n]:
+                    continue
                 onward = beta[k + n + 1] * lifted[n][self.piece[k, n]]
                 beta[k] += onward
                 mass = alpha[k] * onward * share
@@ -152,6 +198,32 @@ class Lattice:
         return use[:-1]
 
 
+def long_word_sums(word: str, probability: np.ndarray, path: str) -> np.ndarray:
+    """log probability of one long word in each language: the recursion runs
+    through blocks of places, carries the last sums over and keeps them in range."""
+    longest, done = longest_piece(path), 0
+    padded = np.concatenate([probability, np.zeros((1, probability.shape[1]))])
+    window = np.zeros((longest, probability.shape[1]))  # sums up to the last places, the latest first
+    window[0] = 1.0
+    scale = np.zeros(probability.shape[1])
+    while done < len(word):
+        # piece[i, n] ends behind place done + i: look it up where it begins.
+        first = max(0, done - longest + 1)
+        text = word[first:done + BLOCK]
+        begins = Lattice([text], path).piece[:, :, 0]
+        if begins.shape[1] < longest:
+            begins = np.pad(begins, ((0, 0), (0, longest - begins.shape[1])), constant_values=-1)
+        ends = np.arange(done - first, len(text))
+        at = ends[:, None] - np.arange(longest)[None]
+        piece = np.where(at >= 0, begins[np.maximum(at, 0), np.arange(longest)[None]], -1)
+        for row in padded[piece]:
+            total = (window * row).sum(0)
+            scale += np.log(total)
+            window = np.concatenate([np.ones((1, len(total))), window[:-1] / total])
+        done += len(ends)
+    return scale
+
+
 def lattices(words: list[str], path: str, step: int = 8000) -> Iterator[tuple[np.ndarray, Lattice]]:
     """(positions, lattice) of the words in runs of similar length."""
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
@@ -169,6 +241,7 @@ class PieceModel:
 
 def fit(counts: dict[str, Counter], path: str, rounds: int = ROUNDS) -> PieceModel:
     """Piece probabilities per language from word counts."""
+    counts = {x: cut_words(c) for x, c in counts.items()}
     languages = sorted(counts)
     size = len(vocabulary(path)) + 1
     words = sorted(set().union(*counts.values())) if counts else []
@@ -203,8 +276,11 @@ class WordScores:
             fresh = list(set(words))
         if fresh:
             new = np.empty((len(fresh), len(self.model.languages)))
-            for at, part in lattices(fresh, self.model.path):
-                new[at] = part.log_sums(self.model.probability)
+            short = np.array([i for i, w in enumerate(fresh) if len(w) <= PART + 1], np.int64)
+            for at, part in lattices([fresh[i] for i in short.tolist()], self.model.path):
+                new[short[at]] = part.log_sums(self.model.probability)
+            for i in set(range(len(fresh))) - set(short.tolist()):
+                new[i] = long_word_sums(fresh[i], self.model.probability, self.model.path)
             self.place.update(zip(fresh, range(len(self.rows), len(self.rows) + len(fresh)), strict=True))
             self.rows = np.concatenate([self.rows, new])
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
@@ -215,11 +291,12 @@ class WordScores:
 
 
 def parts_of(text: str, limit: int = 1 << 20) -> Iterator[str]:
-    """A long text in parts cut at white space (a part without any is cut anywhere)."""
+    """A long text in parts cut at white space (a stretch without any stays whole)."""
     at = 0
     while len(text) - at > limit:
         cut = max(text.rfind(c, at, at + limit) for c in " \n\t") + 1
-        cut = cut if cut > at else at + limit
+        if cut <= at:
+            cut = min((p for c in " \n\t" if (p := text.find(c, at + limit)) >= 0), default=len(text) - 1) + 1
         yield text[at:cut]
         at = cut
     yield text[at:]
@@ -276,21 +353,20 @@ def language(text: Column | str, model: PieceModel) -> Column:
 def sample_counts(docs: DataFrame, folds: int = 4, held: int = 2, per_language: int = PER_LANGUAGE,
                   max_bytes: int = MAX_BYTES) -> dict[str, Counter]:
     """Word counts per language over about ``per_language`` training texts of
-    each, drawn by a hash of id and text. Texts over ``max_bytes`` are not drawn."""
+    each, drawn by a hash of id and text; equal texts count once. Texts over
+    ``max_bytes`` are not drawn. Any number of languages is learned."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()
                         & (id_remainder("doc_id", folds) != held))
-    sizes = {r["lang"]: r["n"] for r in
-             small_rows(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), MAX_LANGUAGES)}
-    if not sizes:
-        return {}
-    rate = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
-    drawn = (usable.where((F.octet_length("text") <= max_bytes)
-                          & (F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(BUCKETS))
-                             < rate[F.col("lang")] * BUCKETS))
-             .select("lang", "text"))
-    counts: dict[str, Counter] = {k: Counter() for k in sizes}
-    for lang, text in drawn.limit(4 * per_language * len(sizes)).toLocalIterator():
-        counts[lang].update(words_in(text))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
+    drawn = (usable.where(F.octet_length("text") <= max_bytes).select("lang", "text", F.col("doc_id").alias("id"))
+             .join(sizes, "lang").where(F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(BUCKETS)) < share * BUCKETS)
+             .select("lang", "text").distinct())
+    counts: dict[str, Counter] = {}
+    for lang, text in drawn.toLocalIterator():
+        counts.setdefault(lang, Counter()).update(words_in(text))
+    for r in sizes.select("lang").toLocalIterator():  # a language without a drawn text is learned from none
+        counts.setdefault(r["lang"], Counter())
     return counts
 
 

@@ -256,7 +256,7 @@ def test_forward_sums_all_segmentations():
     def brute(word, j):
         return 1.0 if not word else sum(
             (model.probability[pieces[word[:k]], j] if word[:k] in pieces else language.STRAY if k == 1 else 0.0)
-            * brute(word[k:], j) for k in range(1, min(len(word), language.LONGEST) + 1))
+            * brute(word[k:], j) for k in range(1, min(len(word), language.longest_piece(queries.PIECES)) + 1))
 
     words = ["▁weather", "▁日本x", "▁q", "ander"]
     for at, part in language.lattices(words, queries.PIECES):
@@ -265,6 +265,43 @@ def test_forward_sums_all_segmentations():
             assert got[i] == pytest.approx([math.log(brute(words[w], j)) for j in range(2)])
 
 
+def test_long_words_carry_the_recursion_over(monkeypatch):
+    model = language.fit({"a": Counter(language.words_in("the other there weather international")),
+                          "b": Counter(language.words_in("das wetter der anderen"))}, queries.PIECES)
+    pieces = language.vocabulary(queries.PIECES)
+    longest = language.longest_piece(queries.PIECES)
+    assert longest == max(map(len, pieces)) > 8
+    word = "▁" + "internationalweathertheotherदेवनागरी" * 2
+    for j in range(2):
+        sums = [1.0]
+        for k in range(1, len(word) + 1):
+            sums.append(sum(sums[k - n] * (model.probability[pieces[word[k - n:k]], j] if word[k - n:k] in pieces
+                                           else language.STRAY if n == 1 else 0.0) for n in range(1, min(k, longest) + 1)))
+        for block in (language.BLOCK, 7):
+            monkeypatch.setattr(language, "BLOCK", block)
+            got = language.long_word_sums(word, model.probability, queries.PIECES)
+            assert got[j] == pytest.approx(math.log(sums[-1]), rel=1e-9)
+    scores = language.WordScores(model)
+    places = scores.add(["▁the", word, word])
+    assert scores.rows[places][1:] == pytest.approx(np.tile(got, (2, 1)))
+
+
+def test_words_keep_combining_marks():
+    assert language.words_in("Cafe\u0301 au lait x2y \u0301") == ["▁cafe\u0301", "▁au", "▁lait", "▁x", "▁y"]
+    assert language.words_in("हिन्दी भाषा") == ["▁हिन्दी", "▁भाषा"]
+    assert language.words_in("١٢ ⅷ ½ a_b") == ["▁a", "▁b"]
+    assert "".join(language.parts_of("x" * 50 + " y", 10)) == "x" * 50 + " y"
+    assert list(language.parts_of("x" * 50, 10)) == ["x" * 50, ""]
+
+
+def test_more_than_500_languages(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} and text {i}", f"l{i % 600}") for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = language.sample_counts(docs, per_language=2)
+    assert len(counts) == docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2) \
+        .select("lang").distinct().count() > 500
+
+
 def test_language_of_odd_tables_and_accuracy(spark, documents):
     rows = queries.QUERIES["op8_language"](spark, "/root/testdata/sf0.01").collect()
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
@@ -348,8 +385,23 @@ def test_decontamination_against_all_pairs(spark, documents):
     assert got == want and len({d for d, _ in want}) >= 7
     assert decontamination.clean_documents(docs, benchmark).count() == docs.count() - len({d for d, _ in want})
     assert decontamination.contaminated(docs, benchmark.where("false")).count() == 0
-    parts = decontamination.indexes(benchmark, part_bytes=4000)
-    assert len(parts) > 1 and sorted(i for p in parts for i in p.ids) == sorted(items)
+    parts = list(decontamination.indexes(benchmark, part_bytes=4000))
+    assert len(parts) > 1 and sorted(i for p, _ in parts for i in p.ids) == sorted(items)
+    assert {n for _, n in parts} == {len(parts)}
+    again = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, benchmark, part_bytes=4000).collect()}
+    assert again == want
+    assert decontamination.clean_documents(docs, benchmark, part_bytes=4000).count() == docs.count() - len({d for d, _ in want})
+
+
+def test_short_items_are_found_by_their_whole_sequence(spark):
+    items = [(1, "What is the capital?"), (2, "two words"), (3, "unique"), (4, ""), (5, None), (6, "!!!"), (7, "a b a b")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["What is the capital", "so: WHAT is the capital of it", "the capital is what", "two, words", "words two", "a unique one",
+             "b a b a", "x a b a b y", None, "", "uniquely two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert got == {(0, 1), (1, 1), (3, 2), (5, 3), (7, 7)}
+    assert sorted(r["doc_id"] for r in decontamination.clean_documents(docs, benchmark).collect()) == [2, 4, 6, 8, 9, 10]
 
 
 def test_wand_finds_what_full_scoring_finds():
