@@ -9,11 +9,19 @@ Everything is counted over all training texts:
 
 1. word counts: counted per task, summed by one shuffle;
 2. *atoms*: the end, the ``TOP_WORDS`` most frequent words one by one, and all
-   others pooled by a hash of their last three bytes, so every word, seen or
-   not, has an atom; atom bigrams are counted per task and summed;
-3. exchange clustering moves atoms between ``CLASSES`` classes while the class
-   bigram likelihood rises. Its input is the atom bigram matrix, whose size is
-   fixed by the parameters whatever the corpus.
+   others pooled by a hash of their last three bytes; atom bigrams are counted per
+   task and summed, and exchange clustering moves atoms between ``CLASSES``
+   classes while the class bigram likelihood rises. That gives the classes a start;
+3. *every other word* that occurs ``LEAST_COUNT`` times is then exchanged on its own:
+   how often each class comes before and after it is a Spark table (a row per word
+   slot and neighbour class), which grows with the vocabulary; each word goes to the
+   class with the largest gain in likelihood against the class bigram matrix, worked
+   out in tasks; all words of a round move at once;
+4. class bigrams and the classes' tokens are counted again with the final classes.
+
+The final class of a word is read from a table of 2^``SLOT_BITS`` slots by the word's
+hash, a fixed 16 MB on every worker: words that share a slot share a class (1 in 200
+of 80,000 words). Words in empty slots, rare or unseen, have their pool's class.
 
 Emissions are ``(c + 0.1) / (n + 0.1 * (v + 1))`` with the class's tokens n and
 distinct words v, transitions are smoothed towards the class unigram. The
@@ -33,10 +41,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -45,6 +54,7 @@ from matchlake.llm.batches import id_remainder, spark_size, text_slices, words_o
 
 FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
+LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 24, 16
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 END = b""
 
@@ -183,24 +193,165 @@ def exchange_classes(pairs: np.ndarray, classes: int = CLASSES, passes: int = PA
     return of
 
 
+def slots(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) >> (64 - SLOT_BITS) for w in words], np.int64)
+
+
 @dataclass
-class ClassModel:
+class ClassOf:
+    """The class of any word: of its own if it is the end or a top word, else
+    of its slot, else of its pool."""
+
     top: list[bytes]
-    of: np.ndarray          # class of each atom
+    of: np.ndarray  # class of each atom
+    table: np.ndarray | None = None  # class + 1 of each slot; 0: none
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        atom = AtomOf(self.top)
+        at = np.fromiter(map(atom.__getitem__, words), np.int64, len(words))
+        out = self.of[at]
+        if self.table is not None and len(words):
+            kept = self.table[slots(words)].astype(np.int64)
+            out = np.where((at >= atom.base) & (kept > 0), kept - 1, out)
+        return out
+
+
+def local_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """(distinct words, number of each token) of texts, an end before, between and behind them."""
+    known: dict[bytes, int] = {END: 0}
+    run = [0]
+    for text in texts:
+        run += [known.setdefault(w, len(known)) for w in words_of(text)]
+        run.append(0)
+    return list(known), np.array(run, np.int64)
+
+
+def class_pairs(training: DataFrame, classes: ClassOf) -> np.ndarray:
+    """The class bigram matrix of all texts."""
+    size, sent = int(classes.of.max()) + 1, training.sparkSession.sparkContext.broadcast(classes)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            for _, _, texts in text_slices(batch.column(0)):
+                words, run = local_words(texts)
+                of = sent.value(words)[run]
+                total += np.bincount(of[:-1] * size + of[1:], minlength=size * size)
+        met = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(met), pa.array(total[met])], names=["pair", "n"])
+
+    table = (training.select("text").mapInArrow(pairs, "pair long, n long").groupBy("pair")
+             .agg(F.sum("n").alias("n"))).toArrow()  # at most size * size rows
+    matrix = np.zeros(size * size, np.int64)
+    matrix[table["pair"].to_numpy()] = table["n"].to_numpy()
+    sent.destroy()
+    return matrix.reshape(size, size)
+
+
+def slot_bytes(rows: DataFrame, value: str) -> np.ndarray:
+    """The table of 2^SLOT_BITS bytes of (slot, value) rows, at most one a slot, fetched in packed blocks."""
+    @arrow_udf("binary")
+    def packed(cells: pa.Array) -> pa.Array:
+        out = []
+        for block in cells:
+            flat = np.zeros(1 << SLOT_BLOCK, np.uint8)
+            flat[block.values.field(0).to_numpy()] = block.values.field(1).to_numpy()
+            out.append(flat.tobytes())
+        return pa.array(out, pa.binary())
+
+    blocks = rows.groupBy(F.shiftright("slot", SLOT_BLOCK).alias("block")).agg(F.collect_list(F.struct(
+        F.col("slot").bitwiseAND((1 << SLOT_BLOCK) - 1).cast("int").alias("at"), F.col(value).cast("int").alias("v"))).alias("cells"))
+    table = np.zeros(1 << SLOT_BITS, np.uint8)
+    for r in blocks.select("block", packed("cells").alias("bytes")).toLocalIterator():
+        table[r["block"] << SLOT_BLOCK:(r["block"] + 1) << SLOT_BLOCK] = np.frombuffer(r["bytes"], np.uint8)
+    return table
+
+
+def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -> DataFrame:
+    """(slot, here, cells): of each wanted slot its words' class now and how often each
+    neighbour occurs: class c before as code c, class c behind as code classes + c."""
+    size = int(classes.of.max()) + 1
+    sent = training.sparkSession.sparkContext.broadcast((classes, wanted))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_word, marked = sent.value
+        top = set(of_word.top) | {END}
+        for batch in batches:
+            for _, _, texts in text_slices(batch.column(0), 8 << 20):
+                words, run = local_words(texts)
+                of, at = of_word(words), slots(words)
+                asked = (marked[at] > 0) & np.fromiter((w not in top for w in words), bool, len(words))
+                c, hit = of[run], np.flatnonzero(asked[run])  # never the first or last token: those are ends
+                code = np.concatenate([c[hit - 1], size + c[hit + 1]])
+                key = np.tile(at[run[hit]], 2) * (2 * size) + code
+                keys, n = np.unique(key, return_counts=True)
+                of_slot = np.zeros(1 << SLOT_BITS, np.uint8)
+                of_slot[at[asked]] = of[asked]
+                slot = keys // (2 * size)
+                yield pa.record_batch([pa.array(slot.astype(np.int32)), pa.array((keys % (2 * size)).astype(np.int16)),
+                                       pa.array(of_slot[slot].astype(np.int16)), pa.array(n.astype(np.int64))],
+                                      names=["slot", "code", "here", "n"])
+
+    parts = training.select("text").mapInArrow(counted, "slot int, code short, here short, n long")
+    # Dealt out by slot once: sums and lists need no other exchange. A slot has at most 2 * size cells.
+    sums = parts.repartition("slot").groupBy("slot", "code").agg(F.sum("n").alias("n"), F.max("here").alias("here"))
+    return sums.groupBy("slot").agg(F.max("here").alias("here"), F.collect_list(F.struct("code", "n")).alias("cells"))
+
+
+def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: int) -> int:
+    """The class to which a word of class ``here`` should go: ``out`` counts the
+    classes behind it, ``into`` those before it, ``table`` all class bigrams with it."""
+    t = table.astype(np.float64)
+    t[here] -= out
+    t[:, here] -= into
+    t = np.maximum(t, 0.0)
+    row, column = t.sum(1) + into, t.sum(0) + out
+    use, used = np.flatnonzero(out), np.flatnonzero(into)
+    gain = (xlogx(t[:, use] + out[use]) - xlogx(t[:, use])).sum(1) + (xlogx(t[used] + into[used, None]) - xlogx(t[used])).sum(0)
+    d = np.diagonal(t)
+    gain += xlogx(d + out + into) - xlogx(d + out) - xlogx(d + into) + xlogx(d)
+    gain -= xlogx(row + out.sum()) - xlogx(row) + xlogx(column + into.sum()) - xlogx(column)
+    best = int(gain.argmax())
+    return best if gain[best] > gain[here] + 1e-9 else here
+
+
+def refined(training: DataFrame, counts: DataFrame, classes: ClassOf) -> ClassOf:
+    """The classes after a round in which every frequent word is exchanged."""
+    size = int(classes.of.max()) + 1
+    table = class_pairs(training, classes)
+
+    @arrow_udf("int")
+    def slot(words: pa.Array) -> pa.Array:
+        return pa.array(slots(words.to_pylist()), pa.int32())
+
+    often = counts.where((F.col("n") > 0) & (F.octet_length("word") > 0)).groupBy(slot("word").alias("slot")).agg(
+        F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    wanted = slot_bytes(often.select("slot", F.lit(1).alias("v")), "v")
+
+    @arrow_udf("int")
+    def chosen(cells: pa.Array, here: pa.Array) -> pa.Array:
+        out = []
+        for row, now in zip(cells, here.to_pylist(), strict=True):
+            v = np.zeros(2 * size)
+            v[row.values.field(0).to_numpy()] = row.values.field(1).to_numpy()
+            out.append(best_class(table, v[size:], v[:size], now) + 1)
+        return pa.array(out, pa.int32())
+
+    moved = slot_neighbours(training, classes, wanted).select("slot", chosen("cells", "here").alias("v"))
+    return ClassOf(classes.top, classes.of, slot_bytes(moved, "v"))
+
+
+@dataclass
+class ClassModel:
+    of_word: ClassOf
     move: np.ndarray        # log10 P(class | class before)
     tokens: np.ndarray      # training tokens of each class
     words: np.ndarray       # distinct training words of each class
     n: int                  # training tokens
     v: int                  # distinct training tokens
-    atoms: AtomOf = field(default=None, repr=False)
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"atoms": None}
 
     def classes(self, words: list[bytes]) -> np.ndarray:
-        if self.atoms is None:
-            self.atoms = AtomOf(self.top)
-        return self.of[np.fromiter(map(self.atoms.__getitem__, words), np.int64, len(words))]
+        return self.of_word(words)
 
     def emission(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
         return np.log10((counts + ADD) / (self.tokens[classes] + ADD * (self.words[classes] + 1)))
@@ -209,10 +360,9 @@ class ClassModel:
         return np.log10((counts + ADD) / (self.n + ADD * (self.v + 1)))
 
 
-def transitions(pairs: np.ndarray, of: np.ndarray, pull: float = PULL) -> np.ndarray:
-    classes = int(of.max()) + 1
-    table = np.zeros((classes, classes))
-    np.add.at(table, (of[:, None], of[None, :]), pairs)
+def transitions(table: np.ndarray, pull: float = PULL) -> np.ndarray:
+    """log10 of the smoothed probability of a class after a class."""
+    classes = len(table)
     alone = (table.sum(0) + 1.0) / (table.sum() + classes)
     return np.log10((table + pull * alone) / (table.sum(1, keepdims=True) + pull))
 
@@ -223,21 +373,19 @@ def fitted(training: DataFrame, counts: DataFrame) -> ClassModel:
     top = [bytes(r["word"]) for r in counts.where(F.octet_length("word") > 0)
            .orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect()]
     pairs = atom_pairs(training, top)
-    of = exchange_classes(pairs)
-    move = transitions(pairs, of)
+    of_word = refined(training, counts, ClassOf(top, exchange_classes(pairs)))
+    move = transitions(class_pairs(training, of_word))
+    sent = training.sparkSession.sparkContext.broadcast(of_word)
 
     @arrow_udf("int")
-    def atom(words: pa.Array) -> pa.Array:
-        known = AtomOf(top)
-        return pa.array([known[w] for w in words.to_pylist()], pa.int32())
+    def class_of(words: pa.Array) -> pa.Array:
+        return pa.array(sent.value(words.to_pylist()), pa.int32())
 
     tokens, words = np.zeros(len(move)), np.zeros(len(move))
-    sums = counts.where("n > 0").groupBy(atom("word").alias("atom")).agg(F.sum("n").alias("n"),
-                                                                      F.count(F.lit(1)).alias("v"))
-    for row in sums.collect():  # a row per atom
-        tokens[of[row["atom"]]] += row["n"]
-        words[of[row["atom"]]] += row["v"]
-    return ClassModel(top, of, move, tokens, words, int(n), int(v))
+    sums = counts.where("n > 0").groupBy(class_of("word").alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
+    for row in sums.collect():  # a row per class
+        tokens[row["c"]], words[row["c"]] = row["n"], row["v"]
+    return ClassModel(of_word, move, tokens, words, int(n), int(v))
 
 
 # -- scoring ---------------------------------------------------------------
@@ -298,11 +446,15 @@ def perplexity(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     model = fitted(training, counts)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(-(-size // BLOCK_BYTES), min(spark_size(docs.sparkSession), 2 * docs.sparkSession.sparkContext.defaultParallelism))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    # Equal rows spread too: their place in the scan tells them apart, the same at every try.
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(blocks))) \
+        .repartition("block")
     asked = blocked.groupBy("block").applyInArrow(distinct_words, "block long, word binary")
     answered = asked.join(counts, "word", "left").select("block", "word", F.coalesce("n", F.lit(0)).alias("n"))
 
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
     def scored(texts: pa.Table, words: pa.Table) -> pa.Table:
-        return score_block(texts, words, model)
+        return score_block(texts, words, sent.value)
 
     return blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(scored, SCORES)

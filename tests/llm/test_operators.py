@@ -362,6 +362,65 @@ def test_language_model_counts_and_gain(spark, documents):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def brute_class_score(text, counts, model):
+    """log10 probability of a text, word by word."""
+    total, before = 0.0, model.classes([b""])[0]
+    for w in [*words_of(text), b""]:
+        c = model.classes([w])[0]
+        total += model.move[before, c] + math.log10((counts[w] + 0.1) / (model.tokens[c] + 0.1 * (model.words[c] + 1)))
+        before = c
+    return total
+
+
+def test_class_scores_equal_brute_force(spark, documents):
+    """Classes, transitions and emissions, counted again with plain loops."""
+    rows = documents.selectExpr("doc_id", "text", "crc32(cast(cast(doc_id AS string) AS binary)) % 10 = 0 AS held_out")
+    training = rows.where("not held_out")
+    counted = classlm.word_counts(training)
+    model = classlm.fitted(training, counted)
+    texts = [(r["text"] or "").encode() for r in training.collect()]
+    counts = Counter(w for t in texts for w in [*words_of(t), b""])
+    names = list(counts)
+    of = dict(zip(names, model.classes(names).tolist()))
+    k = len(model.move)
+    pairs, tokens, words = np.zeros((k, k)), np.zeros(k), np.zeros(k)
+    for t in texts:
+        run = [of[w] for w in [b"", *words_of(t), b""]]
+        for a, b in zip(run, run[1:]):
+            pairs[a, b] += 1
+    # Texts stand one behind the other: an end follows an end where a batch begins only.
+    assert model.move == pytest.approx(classlm.transitions(pairs))
+    for w, n in counts.items():
+        tokens[of[w]] += n
+        words[of[w]] += 1
+    assert (model.tokens == tokens).all() and (model.words == words).all()
+    often = [w for w in names if counts[w] >= classlm.LEAST_COUNT and w]
+    kept = model.of_word.table[classlm.slots(often)]
+    own = [w for w, v in zip(often, kept) if v or w in model.of_word.top]
+    assert len(own) == len(often)  # every word of the least count has an exchanged class
+    assert sum(counts[w] for w in often) / sum(counts.values()) > 0.5
+    got = {r["doc_id"]: r["score"] for r in classlm.perplexity(documents).collect()}
+    for r in rows.limit(40).collect():
+        assert got[r["doc_id"]] == pytest.approx(brute_class_score((r["text"] or "").encode(), counts, model))
+
+
+def test_best_class_has_the_largest_likelihood():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        atoms, classes = 12, 4
+        pairs = rng.integers(0, 9, (atoms, atoms))
+        np.fill_diagonal(pairs, 0)
+        of = np.append(np.arange(classes), rng.integers(0, classes, atoms - classes))
+        w = int(rng.integers(classes, atoms))
+        table = np.zeros((classes, classes))
+        np.add.at(table, (of[:, None], of[None, :]), pairs)
+        out = np.bincount(of, pairs[w], classes)
+        into = np.bincount(of, pairs[:, w], classes)
+        got = classlm.best_class(table, out, into, int(of[w]))
+        moved = [classlm.likelihood(pairs, np.where(np.arange(atoms) == w, c, of), classes) for c in range(classes)]
+        assert moved[got] == pytest.approx(max(moved))
+
+
 # -- decontamination -------------------------------------------------------
 
 
