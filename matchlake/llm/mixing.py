@@ -1,7 +1,8 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier learned from the labelled table gives every document a posterior
-over domains. One half of the labelled ids (by md5) shows which words speak for
+over domains. A sample of the labelled ids (``LABELLED`` a domain at most, by md5;
+one half of them all) shows which words speak for
 ``poor`` and for ``toxic``: those in at least ``LEAST_DOCS`` of the domain's documents and
 ``LEAST_RATIO`` times as common there as elsewhere, the ``MOST_WORDS`` strongest. How
 many of them a whole text holds is a binned feature, beside its length, word
@@ -39,6 +40,8 @@ TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 STEPS, RIDGE = 40, 0.002
 #: Bounds of the word lists that speak for a domain.
 LEAST_DOCS, LEAST_RATIO, MOST_WORDS = 5, 8.0, 1000
+#: Labelled ids of a domain that words are chosen from, about: a bound on the fit's sample.
+LABELLED = 10_000
 MARKS = "!#$%&*+/<=>@^_`{|}~"
 SIGNS = ".,;:?()[]|*#$%&!"
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ" + SIGNS, "abcdefghijklmnopqrstuvwxyz" + " " * len(SIGNS))
@@ -66,7 +69,13 @@ def learning_half(doc_id: Column) -> Column:
 
 def evidence(docs: DataFrame, labels: DataFrame) -> dict[str, list[str]]:
     """The words that speak for ``poor`` and for ``toxic``, at most ``MOST_WORDS`` each."""
-    marked = docs.select("doc_id", "text").join(domains_of(labels), "doc_id").where(learning_half(F.col("doc_id")))
+    known = domains_of(labels).where(learning_half(F.col("doc_id")))
+    sizes = {r["domain"]: r["n"] for r in small_rows(known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")), len(DOMAINS))}
+    share = F.coalesce(*[F.when(F.col("domain") == d, F.lit(min(1.0, LABELLED / n))) for d, n in sizes.items()], F.lit(0.0))
+    place = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 2, 6), 16, 10).cast("double")
+    # About LABELLED rows a domain by construction: far below any broadcast limit.
+    drawn = F.broadcast(known.where(place < share * F.lit(float(16 ** 6))))
+    marked = docs.select("doc_id", "text").join(drawn, "doc_id")
     counts = {r["domain"]: r["n"] for r in small_rows(marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")), len(DOMAINS))}
     per = marked.select("domain", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word")).groupBy("word").agg(
         *[F.count_if(F.col("domain") == d).alias(d) for d in DOMAINS])

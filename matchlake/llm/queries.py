@@ -91,7 +91,9 @@ def _sql_mixing() -> str:
       SELECT doc_id, CASE WHEN max(coalesce(toxic, 0)) = 1 THEN 'toxic'
                           WHEN min(coalesce(quality, 1)) = 0 THEN 'poor' ELSE 'good' END AS domain
       FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
-    learn AS (SELECT domain, list_distinct({words}) AS ws FROM documents JOIN dom USING (doc_id) WHERE {half}),
+    drawn AS (SELECT doc_id, domain FROM (SELECT *, count(*) OVER (PARTITION BY domain) AS n FROM dom WHERE {half})
+              WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 2, 6) AS BIGINT) < least(1.0, {mixing.LABELLED}.0 / n) * {16 ** 6}.0),
+    learn AS (SELECT domain, list_distinct({words}) AS ws FROM documents JOIN drawn USING (doc_id)),
     per_word AS (SELECT word, {", ".join(f"count(*) FILTER (domain = '{x}') AS {x}" for x in d)}
                  FROM (SELECT domain, unnest(ws) AS word FROM learn) GROUP BY word),
     {speaks("poor")}, {speaks("toxic")},
