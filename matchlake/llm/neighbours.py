@@ -17,7 +17,8 @@ smallest Euclidean distance, in which lists are built and chosen.
   centroid is at most ``1 + BOUNDARY`` times as far (``REPLICAS`` lists at most).
 * A query walks a proximity graph of the centroids held in memory, best first,
   many queries at a time, and visits every list it meets whose centroid is at
-  most ``1 + PRUNE`` times as far as the nearest one, ``LEAST`` at least.
+  most ``1 + PRUNE`` times as far as the nearest one, ``LEAST`` at least. If these
+  lists are home to too few points for an answer, it visits the next ones, too.
 
 Every point is indexed. Vectors that are null, zero, of another than the most
 common length, or hold a null or non-finite component take no part, nor do rows
@@ -49,10 +50,13 @@ SHARDS, SHARD_POINTS = 16, 1 << 16
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as array<float>) of the rows that take part."""
+    """(vec_id, embedding) of the rows that take part; floats stay floats, any
+    other numbers are doubles, so scores are those of the original vectors."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
     finite = (F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
               & F.exists("embedding", lambda x: x != 0))
-    good = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>"))
+    good = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind))
             .where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite))
     sizes = good.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")) \
         .orderBy(F.desc("n"), F.desc("d")).first()
@@ -115,6 +119,8 @@ class Centroids:
     centres: np.ndarray
     links: np.ndarray  # (k, degree): near centroids and a few far ones, filled up with itself
     radius2: float
+    sizes: np.ndarray | None = None  # points whose nearest list it is
+
 
     @staticmethod
     def build(x: np.ndarray, k: int, radius2: float) -> Centroids:
@@ -163,7 +169,13 @@ class Centroids:
         dist = self.walk(x, PRUNE)
         bound = (1 + PRUNE) * dist.min(1, keepdims=True)
         near = np.partition(dist, min(LEAST, dist.shape[1]) - 1, 1)[:, min(LEAST, dist.shape[1]) - 1:][:, :1]
-        return [np.flatnonzero(row).tolist() for row in (dist <= np.maximum(bound, near)) & np.isfinite(dist)]
+        chosen = (dist <= np.maximum(bound, near)) & np.isfinite(dist)
+        if self.sizes is not None:
+            for i in np.flatnonzero(chosen @ self.sizes < TOP + 1).tolist():
+                order = np.argsort(squared(x[i:i + 1], self.centres)[0], kind="stable")
+                enough = int(np.searchsorted(np.cumsum(self.sizes[order]), TOP + 1)) + 1
+                chosen[i, order[:enough]] = True
+        return [np.flatnonzero(row).tolist() for row in chosen]
 
 
 def fitted(stored: DataFrame, list_size: int = LIST_SIZE,
@@ -286,7 +298,13 @@ def nearest(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame
     named = asking.select(F.col("vec_id").alias("query_id"), "embedding", F.hex(F.xxhash64("embedding")).alias("query"))
     # Queries with one vector are asked once. The name is the vector's hash and the join below compares vectors.
     single = named.groupBy("embedding").agg(F.first("query").alias("query"))
-    home = placed(stored, index, shards, False).withColumn("part", F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int"))
+    home = written(placed(stored, index, shards, False).withColumn("part", F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int")),
+                   "homes")
+    # A point's home is counted once, in the shard that comes first; boundary copies add nothing.
+    first = home.groupBy("point").agg(F.min(F.struct("shard", F.col("lists")[0].alias("slot"))).alias("at"))
+    index.sizes = np.zeros(len(index.centres), np.int64)
+    for r in first.groupBy("at.shard", "at.slot").agg(F.count(F.lit(1)).alias("n")).toLocalIterator():  # a row per list
+        index.sizes[r["slot"] * shards + r["shard"]] = r["n"]
     visit = placed(single, index, shards, True).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
