@@ -40,7 +40,9 @@ from matchlake.llm.components import components
 WIDTH, BITS, SEED = 3, 2, 42
 #: The outer vantage point: any fixed 64 bits do.
 VANTAGE = 0x5D39_A6C4_1E87_72B3
-SHARD_TARGET = 4096
+#: Rows of a mean shard, about. Block distances are binomial, so the middle shards hold several
+#: times as many; small shards keep those small, too, and spread evenly over tasks.
+SHARD_TARGET = 256
 #: Blocks of the 64 bits, and about how many shards the block distances of random fingerprints fill.
 BLOCKINGS = ((2, 1 << 7), (4, 1 << 12), (6, 1 << 16), (8, 1 << 20), (12, 1 << 26), (16, 1 << 32))
 BRUTE = 1 << 20
@@ -217,5 +219,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, bits: int = BITS) -> DataFr
               .select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_key").alias("kept_key")).distinct())
     key = F.xxhash64(docs["text"])
     kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["kept_id"]) & (key == chosen["kept_key"]), "left_semi")
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*kept.columns))
-    return kept.withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy")
+    # The row rides along as one struct, so that no column of it can clash with the number.
+    order = Window.partitionBy("row.doc_id", F.xxhash64("row.text")).orderBy(F.xxhash64("row"))
+    numbered = kept.select(F.struct(*kept.columns).alias("row")).withColumn("copy", F.row_number().over(order))
+    return numbered.where("copy = 1").select("row.*")

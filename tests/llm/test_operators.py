@@ -508,9 +508,32 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.where("vec_id in (20, 33)")).count() == 1
 
 
+def test_neighbour_scores_of_doubles_and_short_lists(spark, monkeypatch):
+    """Doubles are not rounded to floats; a query in a corner of few points still gets 20."""
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 4)
+    monkeypatch.setattr(neighbours, "LEAST", 1)
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(3, 4)) * 0.01 + [9, 0, 0, 0], rng.normal(size=(300, 4)) * 0.01 - [9, 0, 0, 0],
+                        [[0.1, 0.1, 0.7, 0.3]]])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(table).collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert all(len(v) == 20 for v in got.values()) and len(got) == 16
+    assert dict(got[0])[1] == float((x[0] * x[1]).sum())
+
+
 # -- SimHash ---------------------------------------------------------------
 
 
+def test_near_duplicates_keep_every_column(spark):
+    rows = [(1, "one two three four", 5, 6), (1, "one two three four", 7, 6), (2, "One  two three four", 5, 6), (3, "else where", 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _copy int, copy int")
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def test_neighbour_queries_stream_past_a_part():
     rng = np.random.default_rng(0)
     kind = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("asks", pa.int32()), ("lists", pa.list_(pa.int32())),
