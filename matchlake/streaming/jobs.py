@@ -96,13 +96,13 @@ def run_request_metrics(spark: SparkSession, sf_dir: str, window: str = "1 hour"
     return last.select("window_start", "window_end", "last.*")
 
 
-def run_posting_ingest(spark: SparkSession, sf_dir: str, max_files: int = MAX_FILES) -> DataFrame:
+def run_posting_ingest(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """Postings arrive as a stream; the state is the smallest id's posting of
     each URL (C2), kept by Spark's state store. A micro-batch reads its own rows
     and their URLs' states, never the table, and writes the URLs whose posting it
     changed; the table is the last state written per URL, whatever the order of arrival."""
     base = _run_dir(spark, "posting-ingest")
-    pages = _stream(spark, sf_dir, "pages", max_files)
+    pages = _stream(spark, sf_dir, "pages", *([max_files] if max_files else []))
     pid = F.col("page_id")
     posts = pages.select(
         pid.alias("id"), F.regexp_replace("url", r"[?#].*$", "").alias("url"),
