@@ -38,6 +38,23 @@ query("u03_quarantine_stream", with_ctes(
     f"SELECT application_id, {_viol_sql()} AS violations FROM modelling WHERE {_viol_sql()} <> ''"))(
     lambda s, d: ST.run_continuous_scoring(s, d)[1])
 
+
+
+def damaged(rows):
+    """Stand-in for bad arrivals: some scores below 0, over 100 or not a number."""
+    i = F.col("application_id")
+    return rows.withColumn("python_score", F.when(i % 97 == 0, F.lit(101.5)).when(i % 89 == 0, F.lit(-1.0))
+                           .otherwise(F.col("python_score"))) \
+        .withColumn("sql_score", F.when(i % 83 == 0, F.lit(float("nan"))).otherwise(F.col("sql_score")))
+
+
+query("u03_quarantine_of_bad_arrivals", with_ctes(
+    f"SELECT application_id, {_viol_sql()} AS violations FROM damaged WHERE {_viol_sql()} <> ''",
+    [("damaged", """SELECT * REPLACE (
+        CASE WHEN application_id % 97 = 0 THEN 101.5 WHEN application_id % 89 = 0 THEN -1.0 ELSE python_score END AS python_score,
+        CASE WHEN application_id % 83 = 0 THEN 'NaN'::DOUBLE ELSE sql_score END AS sql_score) FROM modelling""")]))(
+    lambda s, d: ST.run_continuous_scoring(s, d, arrive=damaged)[1])
+
 # ------------------------------------------------------------ A1 / A3 round trip (V)
 CAND_SCHEMA = ("candidate_id long, name string, education_level string, years_experience int, location string, "
                "python_score double, sql_score double, ml_score double, javascript_score double, "

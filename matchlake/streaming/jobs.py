@@ -13,6 +13,7 @@ the same rows whatever the order and number of its files.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,10 +118,12 @@ def run_posting_ingest(spark: SparkSession, sf_dir: str, max_files: int | None =
     return BO.first_per_key(_parts(spark, f"{base}/table", first.schema).drop("epoch"), "url", "id").select(*posts.columns)
 
 
-def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float = 0.5,
+                           arrive: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Arriving applications joined to the static candidate/job tables,
     validated (B16), valid rows scored with the stateless stored-weight
-    scorer, invalid rows quarantined; returns (scored, quarantine)."""
+    scorer, invalid rows quarantined; returns (scored, quarantine).
+    ``arrive`` may change the joined rows before they are validated."""
     base = _run_dir(spark, "scoring")
     orders = _stream(spark, sf_dir, "orders")
     n_part = spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").count()
@@ -129,7 +132,7 @@ def run_continuous_scoring(spark: SparkSession, sf_dir: str, threshold: float =
     cand = AD.candidates(spark, sf_dir).withColumnRenamed("location", "location_student")
     job = AD.jobs(spark, sf_dir).withColumnRenamed("location", "location_job")
     rows = apps.join(cand, "candidate_id", "left").join(job, "job_id", "left")
-    checked = RU.validate_domain(rows)
+    checked = RU.validate_domain(arrive(rows) if arrive else rows)
 
     outputs = {"scored": lambda rows: score_linear(rows.filter(F.col("status") == "valid"), threshold=threshold,
                                                    keep=["application_id"]),
