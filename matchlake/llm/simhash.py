@@ -214,12 +214,16 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, bits: int = BITS) -> DataFr
     stays, that of the smallest doc_id (a row without id only if no row of its
     component has one)."""
     found = near_duplicates(docs, width, bits)
-    chosen = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
-              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best"))
-              .select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_key").alias("kept_key")).distinct())
-    key = F.xxhash64(docs["text"])
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["kept_id"]) & (key == chosen["kept_key"]), "left_semi")
-    # The row rides along as one struct, so that no column of it can clash with the number.
-    order = Window.partitionBy("row.doc_id", F.xxhash64("row.text")).orderBy(F.xxhash64("row"))
-    numbered = kept.select(F.struct(*kept.columns).alias("row")).withColumn("copy", F.row_number().over(order))
-    return numbered.where("copy = 1").select("row.*")
+    best = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("best"))
+            .select(F.col("best.doc_id").alias("kept_id"), F.col("best.text_key").alias("kept_key")).distinct())
+    # How many rows have that id and text is known on the narrow side; only rows that repeat are numbered.
+    rows = found.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    chosen = best.join(rows, F.col("kept_id").eqNullSafe(F.col("id")) & (F.col("kept_key") == F.col("key"))).select(
+        "kept_id", "kept_key", "copies")
+    # The row rides along as one struct, so that no column of it can clash with these names.
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    kept = whole.join(chosen, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
+    order = Window.partitionBy("id", "key").orderBy(F.xxhash64("row"))
+    repeated = kept.where("copies > 1").withColumn("copy", F.row_number().over(order)).where("copy = 1")
+    return kept.where("copies = 1").select("row.*").unionByName(repeated.select("row.*"))
