@@ -56,24 +56,25 @@ WALLS = frozenset("table ul ol dl td th article section div body html".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KINDS = {"p": 1, "li": 2, "dt": 2, "dd": 2, "td": 3, "th": 3, "blockquote": 5, "pre": 5} | dict.fromkeys(HEADINGS, 4)
 
-# What an element says about its text: NEVER shown, CHROME around an article (for all it holds), WEAK signs of
-# chrome (an article inside overrules them), CONTENT.
-PLAIN, CONTENT, HEADLINE, WEAK, CHROME, NEVER = range(6)
+# What an element says about its text: NEVER shown, CHROME around an article (for all it holds), a FORM (chrome,
+# but some pages are one form: an article inside overrules it) and WEAK signs of chrome, overruled too, CONTENT.
+PLAIN, CONTENT, HEADLINE, WEAK, FORM, CHROME, NEVER = range(7)
 TAG_SIDES = dict.fromkeys("noscript template svg canvas object audio video map".split(), NEVER) \
     | dict.fromkeys("nav footer aside menu dialog button select label fieldset legend search".split(), CHROME) \
-    | dict.fromkeys("form header".split(), WEAK) | dict.fromkeys("article main".split(), CONTENT)
+    | {"form": FORM, "header": WEAK} | dict.fromkeys("article main".split(), CONTENT)
 ROLE_SIDES = dict.fromkeys("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
                            "toolbar tablist form".split(), CHROME) | dict.fromkeys("main article".split(), CONTENT)
 WORD_SIDES = dict.fromkeys("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie
     cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup share sharing social sidebar
     widget widgets related recommended recommendations menu nav navbar navigation breadcrumb breadcrumbs footer pagination
-    pager comment comments reply replies respond disqus login toolbar copyright disclaimer teaser teasers skip""".split(),
-    CHROME) | dict.fromkeys("header masthead topbar meta byline form search tags".split(), WEAK) \
-    | dict.fromkeys("article post entry content story maincontent articlebody".split(), CONTENT)
+    pager comment comments reply replies respond disqus login toolbar copyright disclaimer teaser teasers skip notices
+    banners popups alert alerts paywall topnav subnav navlinks menubar aside adsbygoogle feedback""".split(),
+    CHROME) | dict.fromkeys("header masthead topbar meta byline tags".split(), WEAK) | dict.fromkeys("form search".split(), FORM) \
+    | dict.fromkeys("article post entry content story main maincontent articlebody prose".split(), CONTENT)
 LOOSE_WORDS = frozenset("with has no without wrapper container page layout outer".split())
 
 #: Costs of the sides; the learned odds stay within ODDS. A decided block outweighs its edges.
-COSTS = {PLAIN: 0.0, CONTENT: 5.0, WEAK: -4.0, CHROME: -7.0}
+COSTS = {PLAIN: 0.0, CONTENT: 5.0, WEAK: -4.0, FORM: -5.0, CHROME: -7.0}
 HEADLINE_COSTS, ODDS = (4.0, -2.0), 2.5
 NEAR, SAME = 0.9, 0.4  # edges between neighbours (over 1 + tree distance) and within a container
 UNIT = 1000  # capacities are whole thousandths
@@ -128,8 +129,8 @@ def inner_side(outer: int, own: int) -> int:
     """The side of an element's text, from that of the element around it."""
     if outer in (CHROME, NEVER) and own != NEVER or own == PLAIN:
         return outer
-    if own == WEAK and outer in (CONTENT, HEADLINE):
-        return HEADLINE
+    if outer in (CONTENT, HEADLINE) and own in (WEAK, FORM):
+        return HEADLINE if own == WEAK else CHROME
     return own
 
 
@@ -248,7 +249,7 @@ def learned(pages: DataFrame, text: str = "html") -> dict[tuple[int, int], float
             for _, _, rows in text_slices(batch.column(0)):
                 for raw in rows:
                     for b in read_page(raw.decode("utf-8", "replace")).blocks:
-                        if b.side in (CONTENT, CHROME, WEAK):
+                        if b.side in (CONTENT, CHROME, FORM, WEAK):
                             seen.update((i, int(v), b.side == CONTENT) for i, v in enumerate(looks(b)))
             yield pa.RecordBatch.from_pylist([{"feature": i, "bin": v, "content": c, "n": n} for (i, v, c), n in seen.items()],
                                              pa.schema([("feature", pa.int32()), ("bin", pa.int32()),

@@ -255,6 +255,19 @@ def test_full_page():
     assert text_of(FULL) == FULL_TEXT
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<form id=aspnet><nav>Menu</nav><main><p>Words of the text, all of them.</p></main></form>", "Words of the text, all of them."),
+    ("<article><p>One.</p><form><p>Sign up for our letter, get it all, every day.</p></form><p>Two.</p></article>", "One.\nTwo."),
+    ("<div id=main-content><p>One.</p></div><div class=userComments><p>Nice, thanks for it. Really.</p></div>", "One."),
+    ("<body class='sidebar comments'><div class='post comments-open'><p>Kept words, a few.</p></div><aside>No.</aside>", ""),
+    ("<main><div class='article with-sidebar'><p>Kept.</p></div><div class='sidebar'><p>No.</p></div></main>", "Kept."),
+    ("<div class=notice>We moved.</div><article class=post><p>A<sup>2</sup> b</p><p><br></p></article><div role=alert>No.</div>", "A2 b"),
+    ("<article>loose <em>text</em><div>block</div>tail</article>", "loose text\nblock\ntail"),
+    ("<article><h2>Head</h2><ul><li>a<ul><li>b</ul><li>c</ul><dl><dt>t<dd>d</dl></article>", "Head\na\nb\nc\nt\nd")])
+def test_page_forms(page, want):
+    assert text_of(page) == want
+
+
 def test_page_without_telling_elements(spark):
     """The learned looks and the cut find the text where no element names it."""
     rng = random.Random(4)
