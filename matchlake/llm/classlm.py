@@ -13,10 +13,10 @@ Everything is counted over all training texts:
    task and summed, and exchange clustering moves atoms between ``CLASSES``
    classes while the class bigram likelihood rises. That gives the classes a start;
 3. *every other word* that occurs ``LEAST_COUNT`` times is then exchanged on its own:
-   how often each class comes before and after it is a Spark table (a row per word
-   slot and neighbour class), which grows with the vocabulary; each word goes to the
-   class with the largest gain in likelihood against the class bigram matrix, worked
-   out in tasks; all words of a round move at once;
+   how often each class comes before and after it is a Spark table (a packed vector
+   per word slot, merged over ``FAN`` tasks at a time), which grows with the vocabulary;
+   each word goes to the class with the largest gain in likelihood against the class
+   bigram matrix, worked out in tasks; all words of a round move at once;
 4. class bigrams and the classes' tokens are counted again with the final classes.
 
 The final class of a word is read from a table of 2^``SLOT_BITS`` slots by the word's
@@ -39,22 +39,25 @@ counts are 0.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from matchlake.llm.batches import id_remainder, spark_size, text_slices, words_of, written
+from matchlake.llm.batches import SLICE_BYTES, id_remainder, slices, spark_size, written
 
 FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
 LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 24, 16
+#: Tasks whose vectors of a slot are merged at a time, and cells that a task holds before it hands them on.
+FAN, CELLS = 64, 4_000_000
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 END = b""
 
@@ -80,24 +83,46 @@ class AtomOf(dict):
 # -- counting --------------------------------------------------------------
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) of the texts of a task, flushed at a bounded number of words."""
-    counts: Counter = Counter()
+def text_parts(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The texts in slices of about ``limit`` bytes, nulls as empty."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    for a, b, _, _ in slices(texts, limit):
+        yield texts.slice(a, b - a).cast(pa.large_string()).fill_null("")
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, lower-cased, one behind the other; words of each text)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    solid = pc.not_equal(flat, "")
+    if not pc.all(solid).as_py():  # what white space at a text's ends leaves
+        kept = solid.to_numpy(zero_copy_only=False).astype(np.int64)
+        sums = np.append(0, np.cumsum(kept))
+        edges = np.append(0, np.cumsum(sizes))
+        sizes, flat = np.diff(sums[edges]), flat.filter(solid)
+    return flat, sizes
+
+
+def local_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """(distinct words, number of each token) of texts, an end (number 0) before, between and behind them."""
+    flat, sizes = split_words(texts)
+    coded = flat.dictionary_encode()
+    ids = coded.indices.to_numpy().astype(np.int64) + 1
+    ends = np.cumsum(sizes)
+    return [END, *coded.dictionary.cast(pa.large_binary()).to_pylist()], np.insert(ids, np.append(0, ends), 0)
 
-    def flushed() -> pa.RecordBatch:
-        out = pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                              names=["word", "n"])
-        counts.clear()
-        return out
 
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) of the texts of a task, slice by slice."""
     for batch in batches:
-        for a, b, texts in text_slices(batch.column(0)):
-            for text in texts:
-                counts.update(words_of(text))
-            counts[END] += b - a
-            if len(counts) > FLUSH:
-                yield flushed()
-    yield flushed()
+        for texts in text_parts(batch.column(0), 4 * SLICE_BYTES):
+            flat, sizes = split_words(texts)
+            counts = flat.value_counts()
+            words = pa.concat_arrays([counts.field("values").cast(pa.large_binary()), pa.array([END], pa.large_binary())])
+            n = np.append(counts.field("counts").to_numpy(), len(sizes))
+            yield pa.record_batch([words.cast(pa.binary()), pa.array(n)], names=["word", "n"])
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -113,12 +138,9 @@ def atom_pairs(training: DataFrame, top: list[bytes]) -> np.ndarray:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         atom, total = AtomOf(top), np.zeros(size * size, np.int64)
         for batch in batches:
-            for _, _, texts in text_slices(batch.column(0)):
-                run = [0]
-                for text in texts:
-                    run += map(atom.__getitem__, words_of(text))
-                    run.append(0)
-                ids = np.array(run, np.int64)
+            for texts in text_parts(batch.column(0)):
+                words, run = local_words(texts)
+                ids = np.fromiter(map(atom.__getitem__, words), np.int64, len(words))[run]
                 total += np.bincount(ids[:-1] * size + ids[1:], minlength=size * size)
         met = np.flatnonzero(total)
         yield pa.record_batch([pa.array(met), pa.array(total[met])], names=["pair", "n"])
@@ -216,16 +238,6 @@ class ClassOf:
         return out
 
 
-def local_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """(distinct words, number of each token) of texts, an end before, between and behind them."""
-    known: dict[bytes, int] = {END: 0}
-    run = [0]
-    for text in texts:
-        run += [known.setdefault(w, len(known)) for w in words_of(text)]
-        run.append(0)
-    return list(known), np.array(run, np.int64)
-
-
 def class_pairs(training: DataFrame, classes: ClassOf) -> np.ndarray:
     """The class bigram matrix of all texts."""
     size, sent = int(classes.of.max()) + 1, training.sparkSession.sparkContext.broadcast(classes)
@@ -233,7 +245,7 @@ def class_pairs(training: DataFrame, classes: ClassOf) -> np.ndarray:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
-            for _, _, texts in text_slices(batch.column(0)):
+            for texts in text_parts(batch.column(0)):
                 words, run = local_words(texts)
                 of = sent.value(words)[run]
                 total += np.bincount(of[:-1] * size + of[1:], minlength=size * size)
@@ -267,35 +279,80 @@ def slot_bytes(rows: DataFrame, value: str) -> np.ndarray:
     return table
 
 
+def packed_cells(keys: np.ndarray, n: np.ndarray, codes: int) -> tuple[np.ndarray, list[bytes]]:
+    """(slots, packed vector of each) of sorted keys ``slot * codes + code``: the
+    width of a count, the codes, the counts."""
+    slot, code = keys // codes, (keys % codes).astype(np.uint8)
+    first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, np.int64)
+    out = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(slot)]):
+        counts = n[a:b]
+        width = 1 if counts.max() < 256 else 2 if counts.max() < 65536 else 8
+        out.append(bytes([width]) + code[a:b].tobytes() + counts.astype(f"<u{width}").tobytes())
+    return slot[first], out
+
+
+def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray]:
+    width = cells[0]
+    size = (len(cells) - 1) // (1 + width)
+    return np.frombuffer(cells, np.uint8, size, 1), np.frombuffer(cells, f"<u{width}", size, 1 + size).astype(np.int64)
+
+
 def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -> DataFrame:
     """(slot, here, cells): of each wanted slot its words' class now and how often each
     neighbour occurs: class c before as code c, class c behind as code classes + c."""
-    size = int(classes.of.max()) + 1
+    codes = 2 * (int(classes.of.max()) + 1)
     sent = training.sparkSession.sparkContext.broadcast((classes, wanted))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word, marked = sent.value
         top = set(of_word.top) | {END}
+        keys, n, here = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << SLOT_BITS, np.uint8)
+        part = TaskContext.get().partitionId()
+
+        def handed() -> pa.RecordBatch:
+            slot, cells = packed_cells(keys, n, codes)
+            return pa.record_batch([pa.array(slot.astype(np.int32)), pa.array(np.full(len(slot), part, np.int32)),
+                                    pa.array(here[slot].astype(np.int16)), pa.array(cells, pa.binary())],
+                                   names=["slot", "part", "here", "cells"])
+
         for batch in batches:
-            for _, _, texts in text_slices(batch.column(0), 8 << 20):
+            for texts in text_parts(batch.column(0)):
                 words, run = local_words(texts)
                 of, at = of_word(words), slots(words)
                 asked = (marked[at] > 0) & np.fromiter((w not in top for w in words), bool, len(words))
+                here[at[asked]] = of[asked]
                 c, hit = of[run], np.flatnonzero(asked[run])  # never the first or last token: those are ends
-                code = np.concatenate([c[hit - 1], size + c[hit + 1]])
-                key = np.tile(at[run[hit]], 2) * (2 * size) + code
-                keys, n = np.unique(key, return_counts=True)
-                of_slot = np.zeros(1 << SLOT_BITS, np.uint8)
-                of_slot[at[asked]] = of[asked]
-                slot = keys // (2 * size)
-                yield pa.record_batch([pa.array(slot.astype(np.int32)), pa.array((keys % (2 * size)).astype(np.int16)),
-                                       pa.array(of_slot[slot].astype(np.int16)), pa.array(n.astype(np.int64))],
-                                      names=["slot", "code", "here", "n"])
-
-    parts = training.select("text").mapInArrow(counted, "slot int, code short, here short, n long")
-    # Dealt out by slot once: sums and lists need no other exchange. A slot has at most 2 * size cells.
-    sums = parts.repartition("slot").groupBy("slot", "code").agg(F.sum("n").alias("n"), F.max("here").alias("here"))
-    return sums.groupBy("slot").agg(F.max("here").alias("here"), F.collect_list(F.struct("code", "n")).alias("cells"))
+                code = np.concatenate([c[hit - 1], codes // 2 + c[hit + 1]])
+                met, often = np.unique(np.tile(at[run[hit]], 2) * codes + code, return_counts=True)
+                keys, where = np.unique(np.concatenate([keys, met]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n, often]), len(keys)).astype(np.int64)
+                if len(keys) > CELLS:
+                    yield handed()
+                    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        yield handed()
+
+    @arrow_udf("binary")
+    def merged(lists: pa.Array) -> pa.Array:
+        out = []
+        for row in lists:
+            total = np.zeros(codes, np.int64)
+            for cells in row.values.to_pylist():
+                code, n = unpacked(cells)
+                total[code] += n
+            code = np.flatnonzero(total)
+            out += packed_cells(code, total[code], codes)[1]
+        return pa.array(out, pa.binary())
+
+    parts = training.select("text").mapInArrow(counted, "slot int, part int, here short, cells binary")
+    tasks = training.rdd.getNumPartitions()
+    while True:  # a group has the vectors of FAN tasks at most, a few each
+        tasks = -(-tasks // FAN)
+        parts = parts.groupBy("slot", F.floor(F.col("part") / FAN).cast("int").alias("part")).agg(
+            F.max("here").alias("here"), F.collect_list("cells").alias("lists")).select(
+            "slot", "part", "here", merged("lists").alias("cells"))
+        if tasks <= 1:
+            return parts.drop("part")
 
 
 def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: int) -> int:
@@ -315,10 +372,13 @@ def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: int)
     return best if gain[best] > gain[here] + 1e-9 else here
 
 
-def refined(training: DataFrame, counts: DataFrame, classes: ClassOf) -> ClassOf:
-    """The classes after a round in which every frequent word is exchanged."""
+def refined(training: DataFrame, counts: DataFrame, classes: ClassOf, pairs: np.ndarray) -> ClassOf:
+    """The classes after a round in which every frequent word is exchanged;
+    ``pairs`` is the atom bigram matrix."""
     size = int(classes.of.max()) + 1
-    table = class_pairs(training, classes)
+    one = np.zeros((len(classes.of), size), np.int64)
+    one[np.arange(len(classes.of)), classes.of] = 1
+    table = one.T @ pairs @ one
 
     @arrow_udf("int")
     def slot(words: pa.Array) -> pa.Array:
@@ -331,9 +391,10 @@ def refined(training: DataFrame, counts: DataFrame, classes: ClassOf) -> ClassOf
     @arrow_udf("int")
     def chosen(cells: pa.Array, here: pa.Array) -> pa.Array:
         out = []
-        for row, now in zip(cells, here.to_pylist(), strict=True):
+        for row, now in zip(cells.to_pylist(), here.to_pylist(), strict=True):
             v = np.zeros(2 * size)
-            v[row.values.field(0).to_numpy()] = row.values.field(1).to_numpy()
+            code, n = unpacked(row)
+            v[code] = n
             out.append(best_class(table, v[size:], v[:size], now) + 1)
         return pa.array(out, pa.int32())
 
@@ -373,7 +434,7 @@ def fitted(training: DataFrame, counts: DataFrame) -> ClassModel:
     top = [bytes(r["word"]) for r in counts.where(F.octet_length("word") > 0)
            .orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect()]
     pairs = atom_pairs(training, top)
-    of_word = refined(training, counts, ClassOf(top, exchange_classes(pairs)))
+    of_word = refined(training, counts, ClassOf(top, exchange_classes(pairs)), pairs)
     move = transitions(class_pairs(training, of_word))
     sent = training.sparkSession.sparkContext.broadcast(of_word)
 
@@ -396,12 +457,11 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 def distinct_words(key: tuple, block: pa.Table) -> pa.Table:
     """(block, word) of every word of a block, the end included."""
-    met = {END}
-    for _, _, texts in text_slices(block["text"]):
-        for text in texts:
-            met.update(words_of(text))
-    return pa.table({"block": pa.array(np.full(len(met), key[0].as_py(), np.int64)),
-                     "word": pa.array(list(met), pa.binary())})
+    met = pa.array([], pa.large_string())
+    for texts in text_parts(block["text"]):
+        met = pc.unique(pa.concat_arrays([met, pc.unique(split_words(texts)[0])]))
+    words = pa.concat_arrays([met.cast(pa.large_binary()), pa.array([END], pa.large_binary())]).cast(pa.binary())
+    return pa.table({"block": pa.array(np.full(len(words), key[0].as_py(), np.int64)), "word": words})
 
 
 def score_block(block: pa.Table, counted: pa.Table, model: ClassModel) -> pa.Table:
@@ -412,27 +472,22 @@ def score_block(block: pa.Table, counted: pa.Table, model: ClassModel) -> pa.Tab
             [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)})
     words = counted["word"].to_pylist()
     counts = counted["n"].to_numpy().astype(np.float64)
-    place = {w: i for i, w in enumerate(words)}
     of = model.classes(words)
     base, emit, known = model.baseline(counts), model.emission(counts, of), counts > 0
-    end, n = place[END], len(block)
-    sizes = np.zeros(n, np.int64)
-    seen, low, high = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-    for a, b, texts in text_slices(block["text"]):
-        run: list[int] = []
-        for i, text in enumerate(texts, a):
-            before = len(run)
-            run += map(place.__getitem__, words_of(text))
-            run.append(end)
-            sizes[i] = len(run) - before
-        ids = np.array(run, np.int64)
-        first = np.cumsum(sizes[a:b]) - sizes[a:b]
+    end, listed = words.index(END), pa.array(words, pa.large_binary())
+    sums: list[list[np.ndarray]] = [[], [], [], []]
+    for texts in text_parts(block["text"]):
+        flat, n = split_words(texts)
+        ids = pc.index_in(flat.cast(pa.large_binary()), value_set=listed).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = np.insert(ids, np.cumsum(n), end)
+        first = np.cumsum(n + 1) - (n + 1)
         before = np.append(end, ids[:-1])  # a text follows an end
-        low[a:b] = np.add.reduceat(base[ids], first)
-        high[a:b] = np.add.reduceat(emit[ids] + model.move[of[before], of[ids]], first)
-        seen[a:b] = np.add.reduceat(known[ids].astype(np.int64), first)
+        for out, values in zip(sums, (np.ones(len(ids), np.int64), known[ids].astype(np.int64), base[ids],
+                                      emit[ids] + model.move[of[before], of[ids]]), strict=True):
+            out.append(np.add.reduceat(values, first))
+    sizes, seen, low, high = map(np.concatenate, sums)
     return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], "n_tokens": sizes, "n_known": seen,
-                     "train_tokens": np.full(n, model.n), "base_score": low, "score": high})
+                     "train_tokens": np.full(len(block), model.n), "base_score": low, "score": high})
 
 
 def perplexity(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
