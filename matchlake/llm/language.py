@@ -40,12 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from matchlake.llm.batches import id_remainder, text_slices
+from matchlake.llm.batches import id_remainder, text_slices, written
 
 UNKNOWN = "und"
 MARK = "▁"
 PART, BLOCK = 32, 4096
 PER_LANGUAGE, MAX_BYTES = 300, 100_000
+#: Up to so many languages, the table of their sizes goes to every task; beyond, it is joined.
+FEW_LANGUAGES = 20_000
 ROUNDS, ALPHA = 4, 0.05
 #: Probability of a character outside the vocabulary, and the factor per
 #: character that keeps the recursion of a part within double range.
@@ -357,10 +359,11 @@ def sample_counts(docs: DataFrame, folds: int = 4, held: int = 2, per_language:
     ``max_bytes`` are not drawn. Any number of languages is learned."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()
                         & (id_remainder("doc_id", folds) != held))
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = written(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    few = sizes.limit(FEW_LANGUAGES + 1).count() <= FEW_LANGUAGES
     share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
     drawn = (usable.where(F.octet_length("text") <= max_bytes).select("lang", "text", F.col("doc_id").alias("id"))
-             .join(sizes, "lang").where(F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(BUCKETS)) < share * BUCKETS)
+             .join(F.broadcast(sizes) if few else sizes, "lang").where(F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(BUCKETS)) < share * BUCKETS)
              .select("lang", "text").distinct())
     counts: dict[str, Counter] = {}
     for lang, text in drawn.toLocalIterator():
