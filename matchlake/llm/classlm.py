@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from matchlake.llm.batches import SLICE_BYTES, id_remainder, slices, spark_size, written
+from matchlake.llm.batches import LOWER, SLICE_BYTES, id_remainder, slices, spark_size, written
 
 FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
@@ -84,16 +84,16 @@ class AtomOf(dict):
 
 
 def text_parts(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """The texts in slices of about ``limit`` bytes, nulls as empty."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    for a, b, _, _ in slices(texts, limit):
-        yield texts.slice(a, b - a).cast(pa.large_string()).fill_null("")
+    """The lower-cased texts in slices of about ``limit`` bytes, nulls as empty.
+    Each slice is an array of its own: kernels have misread slices of larger arrays."""
+    for a, b, raw, offsets in slices(texts, limit):
+        yield pa.LargeStringArray.from_buffers(b - a, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)),
+                                               pa.py_buffer(raw.tobytes().translate(LOWER)))
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(words of all texts, lower-cased, one behind the other; words of each text)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    """(words of all texts, one behind the other; words of each text)."""
+    lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     solid = pc.not_equal(flat, "")

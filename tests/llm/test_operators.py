@@ -404,6 +404,23 @@ def test_class_scores_equal_brute_force(spark, documents):
         assert got[r["doc_id"]] == pytest.approx(brute_class_score((r["text"] or "").encode(), counts, model))
 
 
+def test_split_words_equal_plain_splits():
+    rng = random.Random(4)
+    texts = [None, "", "  ", " Ab c\x1fd\n\x0b\x0c\r\té \u00a0 x"] + [
+        " ".join(rng.choice(["One", "two,", "ÄÖ", "x\u2003y", "", "日本"]) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    for limit in (1 << 22, 700):
+        flat, sizes = [], []
+        for part in classlm.text_parts(pa.chunked_array([texts[:100], texts[100:]], pa.string()), limit):
+            words, n = classlm.split_words(part)
+            flat += words.cast(pa.large_binary()).to_pylist()
+            sizes += n.tolist()
+            known, run = classlm.local_words(part)
+            assert [known[i] for i in run if i] == words.cast(pa.large_binary()).to_pylist()
+            assert (run == 0).sum() == len(n) + 1
+        want = [words_of((t or "").encode()) for t in texts]
+        assert sizes == [len(w) for w in want] and flat == [w for ws in want for w in ws]
+
+
 def test_best_class_has_the_largest_likelihood():
     rng = np.random.default_rng(5)
     for _ in range(20):
