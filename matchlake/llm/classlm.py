@@ -93,6 +93,7 @@ def text_parts(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """(words of all texts, one behind the other; words of each text)."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between slices
     lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -117,7 +118,7 @@ def local_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of the texts of a task, slice by slice."""
     for batch in batches:
-        for texts in text_parts(batch.column(0), 4 * SLICE_BYTES):
+        for texts in text_parts(batch.column(0)):
             flat, sizes = split_words(texts)
             counts = flat.value_counts()
             words = pa.concat_arrays([counts.field("values").cast(pa.large_binary()), pa.array([END], pa.large_binary())])
@@ -355,21 +356,37 @@ def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -
             return parts.drop("part")
 
 
-def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: int) -> int:
-    """The class to which a word of class ``here`` should go: ``out`` counts the
-    classes behind it, ``into`` those before it, ``table`` all class bigrams with it."""
-    t = table.astype(np.float64)
-    t[here] -= out
-    t[:, here] -= into
-    t = np.maximum(t, 0.0)
-    row, column = t.sum(1) + into, t.sum(0) + out
-    use, used = np.flatnonzero(out), np.flatnonzero(into)
-    gain = (xlogx(t[:, use] + out[use]) - xlogx(t[:, use])).sum(1) + (xlogx(t[used] + into[used, None]) - xlogx(t[used])).sum(0)
-    d = np.diagonal(t)
+def best_classes(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: np.ndarray) -> np.ndarray:
+    """The class to which each of many words of classes ``here`` should go, each as
+    if it moved alone: row w of ``out`` counts the classes behind word w, of ``into``
+    those before it, ``table`` all class bigrams with it. Only classes that a word
+    meets enter its sums."""
+    t, words = table.astype(np.float64), np.arange(len(here))
+
+    def side(mine: np.ndarray, other: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+        """Sum over the classes c met of f(t[k, c] + mine[c]) - f(t[k, c]), without the word, for every k."""
+        w, c = np.nonzero(mine)
+        gain = np.zeros(mine.shape)
+        if len(w):
+            n = mine[w, c]
+            left = bigrams[:, c].T.copy()
+            left[np.arange(len(w)), here[w]] -= n
+            left -= np.where((c == here[w])[:, None], other[w], 0)
+            np.maximum(left, 0, out=left)
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            gain[w[first]] = np.add.reduceat(xlogx(left + n[:, None]) - xlogx(left), first)
+        return gain
+
+    gain = side(out, into, t) + side(into, out, t.T)
+    own = np.zeros(out.shape)
+    own[words, here] = 1.0
+    d = np.maximum(np.diagonal(t)[None] - own * (out + into), 0)
     gain += xlogx(d + out + into) - xlogx(d + out) - xlogx(d + into) + xlogx(d)
-    gain -= xlogx(row + out.sum()) - xlogx(row) + xlogx(column + into.sum()) - xlogx(column)
-    best = int(gain.argmax())
-    return best if gain[best] > gain[here] + 1e-9 else here
+    for total, edge in ((out.sum(1, keepdims=True), t.sum(1)), (into.sum(1, keepdims=True), t.sum(0))):
+        rest = np.maximum(edge[None] - own * total, 0)
+        gain -= xlogx(rest + total) - xlogx(rest)
+    best = gain.argmax(1)
+    return np.where(gain[words, best] > gain[words, here] + 1e-9, best, here)
 
 
 def refined(training: DataFrame, counts: DataFrame, classes: ClassOf, pairs: np.ndarray) -> ClassOf:
@@ -390,13 +407,14 @@ def refined(training: DataFrame, counts: DataFrame, classes: ClassOf, pairs: np.
 
     @arrow_udf("int")
     def chosen(cells: pa.Array, here: pa.Array) -> pa.Array:
-        out = []
-        for row, now in zip(cells.to_pylist(), here.to_pylist(), strict=True):
-            v = np.zeros(2 * size)
-            code, n = unpacked(row)
-            v[code] = n
-            out.append(best_class(table, v[size:], v[:size], now) + 1)
-        return pa.array(out, pa.int32())
+        rows, now, out = cells.to_pylist(), here.to_numpy().astype(np.int64), [np.zeros(0, np.int64)]
+        for a in range(0, len(rows), 512):
+            v = np.zeros((len(rows[a:a + 512]), 2 * size))
+            for i, row in enumerate(rows[a:a + 512]):
+                code, n = unpacked(row)
+                v[i, code] = n
+            out.append(best_classes(table, v[:, size:], v[:, :size], now[a:a + 512]) + 1)
+        return pa.array(np.concatenate(out).astype(np.int32))
 
     moved = slot_neighbours(training, classes, wanted).select("slot", chosen("cells", "here").alias("v"))
     return ClassOf(classes.top, classes.of, slot_bytes(moved, "v"))
