@@ -8,7 +8,6 @@ one's docs. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from matchlake.llm import decontamination, language, mixing, queries, simhash, toxicity
 from matchlake.llm.batches import written

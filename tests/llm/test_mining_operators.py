@@ -8,7 +8,6 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
