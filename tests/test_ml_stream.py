@@ -7,7 +7,6 @@ from __spark_entry__ import queries
 from matchlake.operators import curves as CU
 from matchlake.operators import models as MO
 from matchlake.operators import sampling as SA
-from matchlake.operators import tuning as TU
 from matchlake.session import ensure_checkpoint_dir
 from matchlake.sources.adapter import modelling_table
 from matchlake.streaming import jobs as ST
