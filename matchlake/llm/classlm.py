@@ -57,7 +57,7 @@ FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
 LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 24, 16
 #: Tasks whose vectors of a slot are merged at a time, and cells that a task holds before it hands them on.
-FAN, CELLS = 64, 4_000_000
+FAN, CELLS = 64, 800_000
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 END = b""
 
@@ -326,8 +326,10 @@ def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -
                 c, hit = of[run], np.flatnonzero(asked[run])  # never the first or last token: those are ends
                 code = np.concatenate([c[hit - 1], codes // 2 + c[hit + 1]])
                 met, often = np.unique(np.tile(at[run[hit]], 2) * codes + code, return_counts=True)
+                del words, run, of, at, c, hit, code
                 keys, where = np.unique(np.concatenate([keys, met]), return_inverse=True)
                 n = np.bincount(where, np.concatenate([n, often]), len(keys)).astype(np.int64)
+                del met, often, where
                 if len(keys) > CELLS:
                     yield handed()
                     keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
