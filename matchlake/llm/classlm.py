@@ -20,7 +20,7 @@ Everything is counted over all training texts:
 4. class bigrams and the classes' tokens are counted again with the final classes.
 
 The final class of a word is read from a table of 2^``SLOT_BITS`` slots by the word's
-hash, a fixed 16 MB on every worker: words that share a slot share a class (1 in 200
+hash, a fixed 4 MB on every worker: words that share a slot share a class (1 in 50
 of 80,000 words). Words in empty slots, rare or unseen, have their pool's class.
 
 Emissions are ``(c + 0.1) / (n + 0.1 * (v + 1))`` with the class's tokens n and
@@ -55,9 +55,9 @@ from matchlake.llm.batches import LOWER, SLICE_BYTES, id_remainder, slices, spar
 
 FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
-LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 24, 16
+LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 22, 16
 #: Tasks whose vectors of a slot are merged at a time, and cells that a task holds before it hands them on.
-FAN, CELLS = 64, 800_000
+FAN, CELLS = 64, 1_500_000
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 END = b""
 
@@ -230,12 +230,12 @@ class ClassOf:
     table: np.ndarray | None = None  # class + 1 of each slot; 0: none
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        atom = AtomOf(self.top)
-        at = np.fromiter(map(atom.__getitem__, words), np.int64, len(words))
+        fixed, base = {END: 0} | {w: i for i, w in enumerate(self.top, 1)}, 1 + len(self.top)
+        at = np.fromiter((fixed[w] if w in fixed else base + zlib.crc32(w[-3:]) % POOLS for w in words), np.int64, len(words))
         out = self.of[at]
         if self.table is not None and len(words):
             kept = self.table[slots(words)].astype(np.int64)
-            out = np.where((at >= atom.base) & (kept > 0), kept - 1, out)
+            out = np.where((at >= base) & (kept > 0), kept - 1, out)
         return out
 
 
@@ -327,9 +327,12 @@ def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -
                 code = np.concatenate([c[hit - 1], codes // 2 + c[hit + 1]])
                 met, often = np.unique(np.tile(at[run[hit]], 2) * codes + code, return_counts=True)
                 del words, run, of, at, c, hit, code
-                keys, where = np.unique(np.concatenate([keys, met]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([n, often]), len(keys)).astype(np.int64)
-                del met, often, where
+                keys, n = np.concatenate([keys, met]), np.concatenate([n, often])
+                order = np.argsort(keys, kind="stable")
+                keys, n = keys[order], n[order]
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
+                keys, n = keys[first], np.add.reduceat(n, first) if len(first) else n
+                del met, often, order, first
                 if len(keys) > CELLS:
                     yield handed()
                     keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -338,9 +341,12 @@ def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -
     @arrow_udf("binary")
     def merged(lists: pa.Array) -> pa.Array:
         out = []
-        for row in lists:
+        for row in lists.to_pylist():
+            if len(row) == 1:
+                out += row
+                continue
             total = np.zeros(codes, np.int64)
-            for cells in row.values.to_pylist():
+            for cells in row:
                 code, n = unpacked(cells)
                 total[code] += n
             code = np.flatnonzero(total)
