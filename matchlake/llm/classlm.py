@@ -56,8 +56,8 @@ from matchlake.llm.batches import LOWER, SLICE_BYTES, id_remainder, slices, spar
 FOLDS, ADD = 10, 0.1
 TOP_WORDS, POOLS, CLASSES, PASSES, PULL = 767, 256, 64, 8, 10.0
 LEAST_COUNT, SLOT_BITS, SLOT_BLOCK = 5, 22, 16
-#: Tasks whose vectors of a slot are merged at a time, and cells that a task holds before it hands them on.
-FAN, CELLS = 64, 1_500_000
+#: Tasks whose vectors of a slot are merged at a time.
+FAN = 64
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 END = b""
 
@@ -293,75 +293,70 @@ def packed_cells(keys: np.ndarray, n: np.ndarray, codes: int) -> tuple[np.ndarra
     return slot[first], out
 
 
-def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray]:
-    width = cells[0]
-    size = (len(cells) - 1) // (1 + width)
-    return np.frombuffer(cells, np.uint8, size, 1), np.frombuffer(cells, f"<u{width}", size, 1 + size).astype(np.int64)
+def summed_cells(lists: pa.Array, codes: int) -> np.ndarray:
+    """(rows, codes): the sums of the packed vectors of each row."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    flat = lists.flatten().cast(pa.large_binary())
+    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset:flat.offset + len(flat) + 1]
+    raw = np.frombuffer(flat.buffers()[2], np.uint8) if len(flat) else np.zeros(0, np.uint8)
+    out = np.zeros(len(lists) * codes)
+    width = raw[offsets[:-1]].astype(np.int64) if len(flat) else np.zeros(0, np.int64)
+    for w in np.unique(width).tolist():
+        hit = np.flatnonzero(width == w)
+        size = (offsets[hit + 1] - offsets[hit] - 1) // (1 + w)
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        code = raw[np.repeat(offsets[hit] + 1, size) + step]
+        at = np.repeat(offsets[hit] + 1 + size, size) + w * step
+        n = sum(raw[at + k].astype(np.int64) << (8 * k) for k in range(w))
+        out += np.bincount(np.repeat(row[hit], size) * codes + code, n, len(out))
+    return out.reshape(len(lists), codes)
 
 
 def slot_neighbours(training: DataFrame, classes: ClassOf, wanted: np.ndarray) -> DataFrame:
-    """(slot, here, cells): of each wanted slot its words' class now and how often each
-    neighbour occurs: class c before as code c, class c behind as code classes + c."""
+    """(slot, here, lists): of each wanted slot its words' class now and packed vectors of how
+    often each neighbour occurs: class c before as code c, class c behind as code classes + c."""
     codes = 2 * (int(classes.of.max()) + 1)
     sent = training.sparkSession.sparkContext.broadcast((classes, wanted))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word, marked = sent.value
         top = set(of_word.top) | {END}
-        keys, n, here = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1 << SLOT_BITS, np.uint8)
         part = TaskContext.get().partitionId()
-
-        def handed() -> pa.RecordBatch:
-            slot, cells = packed_cells(keys, n, codes)
-            return pa.record_batch([pa.array(slot.astype(np.int32)), pa.array(np.full(len(slot), part, np.int32)),
-                                    pa.array(here[slot].astype(np.int16)), pa.array(cells, pa.binary())],
-                                   names=["slot", "part", "here", "cells"])
-
         for batch in batches:
             for texts in text_parts(batch.column(0)):
                 words, run = local_words(texts)
                 of, at = of_word(words), slots(words)
-                asked = (marked[at] > 0) & np.fromiter((w not in top for w in words), bool, len(words))
-                here[at[asked]] = of[asked]
-                c, hit = of[run], np.flatnonzero(asked[run])  # never the first or last token: those are ends
-                code = np.concatenate([c[hit - 1], codes // 2 + c[hit + 1]])
-                met, often = np.unique(np.tile(at[run[hit]], 2) * codes + code, return_counts=True)
-                del words, run, of, at, c, hit, code
-                keys, n = np.concatenate([keys, met]), np.concatenate([n, often])
-                order = np.argsort(keys, kind="stable")
-                keys, n = keys[order], n[order]
-                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
-                keys, n = keys[first], np.add.reduceat(n, first) if len(first) else n
-                del met, often, order, first
-                if len(keys) > CELLS:
-                    yield handed()
-                    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        yield handed()
+                asked = np.flatnonzero((marked[at] > 0) & np.fromiter((w not in top for w in words), bool, len(words)))
+                slot, place = np.unique(at[asked], return_inverse=True)
+                here = np.zeros(len(slot), np.int16)
+                here[place] = of[asked]
+                local = np.full(len(words), -1)
+                local[asked] = place
+                c, hit = of[run], np.flatnonzero(local[run] >= 0)  # never the first or last token: those are ends
+                base = local[run[hit]] * codes
+                n = np.bincount(np.concatenate([base + c[hit - 1], base + codes // 2 + c[hit + 1]]), minlength=len(slot) * codes)
+                keys = np.flatnonzero(n)
+                _, cells = packed_cells(keys, n[keys], codes)
+                yield pa.record_batch([pa.array(slot.astype(np.int32)), pa.array(np.full(len(slot), part, np.int32)),
+                                       pa.array(here), pa.array(cells, pa.binary())], names=["slot", "part", "here", "cells"])
 
     @arrow_udf("binary")
     def merged(lists: pa.Array) -> pa.Array:
-        out = []
-        for row in lists.to_pylist():
-            if len(row) == 1:
-                out += row
-                continue
-            total = np.zeros(codes, np.int64)
-            for cells in row:
-                code, n = unpacked(cells)
-                total[code] += n
-            code = np.flatnonzero(total)
-            out += packed_cells(code, total[code], codes)[1]
-        return pa.array(out, pa.binary())
+        total = summed_cells(lists, codes).astype(np.int64).ravel()
+        keys = np.flatnonzero(total)
+        return pa.array(packed_cells(keys, total[keys], codes)[1], pa.binary())
 
     parts = training.select("text").mapInArrow(counted, "slot int, part int, here short, cells binary")
     tasks = training.rdd.getNumPartitions()
-    while True:  # a group has the vectors of FAN tasks at most, a few each
+    while True:  # a group has the vectors of FAN tasks at most, one of each slice
         tasks = -(-tasks // FAN)
         parts = parts.groupBy("slot", F.floor(F.col("part") / FAN).cast("int").alias("part")).agg(
-            F.max("here").alias("here"), F.collect_list("cells").alias("lists")).select(
-            "slot", "part", "here", merged("lists").alias("cells"))
+            F.max("here").alias("here"), F.collect_list("cells").alias("lists"))
         if tasks <= 1:
             return parts.drop("part")
+        parts = parts.select("slot", "part", "here", merged("lists").alias("cells"))
 
 
 def best_classes(table: np.ndarray, out: np.ndarray, into: np.ndarray, here: np.ndarray) -> np.ndarray:
@@ -414,17 +409,14 @@ def refined(training: DataFrame, counts: DataFrame, classes: ClassOf, pairs: np.
     wanted = slot_bytes(often.select("slot", F.lit(1).alias("v")), "v")
 
     @arrow_udf("int")
-    def chosen(cells: pa.Array, here: pa.Array) -> pa.Array:
-        rows, now, out = cells.to_pylist(), here.to_numpy().astype(np.int64), [np.zeros(0, np.int64)]
-        for a in range(0, len(rows), 512):
-            v = np.zeros((len(rows[a:a + 512]), 2 * size))
-            for i, row in enumerate(rows[a:a + 512]):
-                code, n = unpacked(row)
-                v[i, code] = n
+    def chosen(lists: pa.Array, here: pa.Array) -> pa.Array:
+        now, out = here.to_numpy().astype(np.int64), [np.zeros(0, np.int64)]
+        for a in range(0, len(now), 512):
+            v = summed_cells(lists.take(pa.array(np.arange(a, min(a + 512, len(now))))), 2 * size)
             out.append(best_classes(table, v[:, size:], v[:, :size], now[a:a + 512]) + 1)
         return pa.array(np.concatenate(out).astype(np.int32))
 
-    moved = slot_neighbours(training, classes, wanted).select("slot", chosen("cells", "here").alias("v"))
+    moved = slot_neighbours(training, classes, wanted).select("slot", chosen("lists", "here").alias("v"))
     return ClassOf(classes.top, classes.of, slot_bytes(moved, "v"))
 
 
