@@ -404,6 +404,22 @@ def test_class_scores_equal_brute_force(spark, documents):
         assert got[r["doc_id"]] == pytest.approx(brute_class_score((r["text"] or "").encode(), counts, model))
 
 
+def test_slot_vectors_merge_in_levels(spark, documents, monkeypatch):
+    """The neighbours of a slot are the same however many tasks are merged at a time."""
+    training = documents.select("text").repartition(7)
+    top = [b"the", b"of"]
+    classes = classlm.ClassOf(top, np.arange(1 + len(top) + classlm.POOLS) % 5)
+    wanted = np.ones(1 << classlm.SLOT_BITS, np.uint8)
+    seen = []
+    for fan in (2, 64):
+        monkeypatch.setattr(classlm, "FAN", fan)
+        table = classlm.slot_neighbours(training, classes, wanted).toArrow().sort_by("slot")
+        seen.append((table["slot"].to_pylist(), classlm.summed_cells(table["lists"], 10)))
+    assert seen[0][0] == seen[1][0] and (seen[0][1] == seen[1][1]).all()
+    words = Counter(w for r in documents.collect() for w in words_of((r["text"] or "").encode()) if w not in top)
+    assert seen[0][1].sum() == 2 * sum(words.values())
+
+
 def test_split_words_equal_plain_splits():
     rng = random.Random(4)
     texts = [None, "", "  ", " Ab c\x1fd\n\x0b\x0c\r\té \u00a0 x"] + [
