@@ -211,6 +211,29 @@ def test_knn_join_equals_brute_force(spark, monkeypatch, crowd):
     assert knn.knn_join(queries_.limit(0), "id", rows, "id", ["a", "b", "c"], 3).count() == 0
 
 
+def test_knn_multiplies_few_rows_and_is_exact(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = np.zeros(30_000, knn.stored(4))
+    data["x"], data["id"] = np.rint(rng.normal(size=(30_000, 4)) * 64) / 64, rng.permutation(30_000)
+    x = np.vstack([data["x"][:300], np.full((1, 4), 9.0)])
+    pairs, plain = [], knn.near_pairs
+    monkeypatch.setattr(knn, "near_pairs", lambda a, b, *rest: pairs.append(len(a) * len(b)) or plain(a, b, *rest))
+    best = knn.Leaves(data, 256).best(x, np.full(len(x), np.inf), 15)
+    assert sum(pairs) < 0.2 * len(x) * len(data)
+    d2 = knn.squared(x, data["x"])
+    for q, near in enumerate(best.lists().to_pylist()):
+        order = np.lexsort((data["id"], d2[q]))[:15]
+        assert [(h["d2"], h["id"]) for h in near] == list(zip(d2[q][order], data["id"][order]))
+
+
+def test_knn_queries_go_to_few_cells(spark):
+    rng = np.random.default_rng(6)
+    cuts = knn.Cuts(rng.normal(size=(2000, 3)), 32)
+    cells = cuts.place(rng.normal(size=(32_000, 3)))
+    assert sorted(set(cells)) == list(range(32)) and np.bincount(cells).max() < 3000
+    assert set(knn.Cuts(np.ones((50, 3)), 8).place(np.ones((5, 3)))) == {0}
+
+
 def test_knn_plan_has_no_cross_join(spark, sf):
     plan = Q["c04_knn_join"](spark, sf)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
