@@ -45,6 +45,26 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
+def _plain_dot(cols, values) -> Column:
+    """``_dot`` of columns with columns or numbers, written out (compiled, unlike functions over arrays)."""
+    total = F.lit(0.0)
+    for c, v in zip(cols, values):
+        total = total + F.col(c).cast("double") * (F.col(v).cast("double") if isinstance(v, str) else num(v))
+    return total
+
+
+def _own_sq(cols, stats: list[dict], cluster: str) -> Column:
+    """Squared distance of a row to its cluster's mean, written out."""
+    out = F.lit(None).cast("double")
+    for e in stats:
+        total = F.lit(0.0)
+        for c, m in zip(cols, e["mu"]):
+            step = F.col(c).cast("double") - num(m)
+            total = total + step * step
+        out = F.when(F.col(cluster) == F.lit(e["c"]), total).otherwise(out)
+    return out
+
+
 def centroids(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
     """Size and mean vector per cluster."""
     return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])
@@ -53,10 +73,9 @@ def centroids(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
 def cluster_stats(df: DataFrame, cols, cluster: str = "cluster", max_k: int = 1000) -> list[dict]:
     """Per-cluster size, coordinate sums, mean and sum of squared norms; one
     aggregate job, at most ``max_k`` rows brought back (checked)."""
-    x = _vec(cols)
     agg = df.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)],
-        F.sum(_dot(x, x)).alias("q"))
+        F.sum(_plain_dot(cols, cols)).alias("q"))
     out = []
     for r in sorted(small_rows(agg, max_k), key=lambda r: r[cluster]):
         sums = [r[f"s_{i}"] for i in range(len(cols))]
@@ -77,25 +96,45 @@ def _own(arr: Column, cluster: str) -> Column:
 
 def wcss(df: DataFrame, cols, cluster: str = "cluster", stats: list[dict] | None = None) -> DataFrame:
     """K3: within-cluster sum of squared distances to the centroid."""
-    arr = _stats_array(stats or cluster_stats(df, cols, cluster))
-    return df.select(_sq(_vec(cols), _own(arr, cluster)["mu"]).alias("d2")).agg(F.sum("d2").alias("wcss"))
+    return df.select(_own_sq(cols, stats or cluster_stats(df, cols, cluster), cluster).alias("d2")).agg(F.sum("d2").alias("wcss"))
 
 
-def silhouette_sq(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
+def silhouette_sq(df: DataFrame, cols, cluster: str = "cluster", stats: list[dict] | None = None) -> DataFrame:
     """K4 (squared Euclidean): mean over rows of (b - a) / max(a, b);
     a singleton cluster scores 0."""
-    arr = _stats_array(cluster_stats(df, cols, cluster))
-    x = _vec(cols)
-    xx = _dot(x, x)
-    tot = F.transform(arr, lambda e: F.struct(
-        e["c"].alias("c"), e["n"].alias("n"),
-        (e["n"] * xx - 2 * _dot(x, e["s"]) + e["q"]).alias("t")))
-    own = F.filter(tot, lambda e: e["c"] == F.col(cluster))[0]
-    others = F.transform(F.filter(tot, lambda e: e["c"] != F.col(cluster)), lambda e: e["t"] / e["n"])
-    a = F.when(own["n"] > 1, own["t"] / (own["n"] - 1))
-    b = F.array_min(others)
-    s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return df.select(s.alias("s")).agg(F.avg("s").alias("silhouette"))
+    return silhouette_rows(df, cols, cluster, stats or cluster_stats(df, cols, cluster)).agg(F.avg("s").alias("silhouette"))
+
+
+def silhouette_rows(df: DataFrame, cols, cluster: str, stats: list[dict], *keep: Column) -> DataFrame:
+    """Each row's silhouette ``s``, next to ``keep``. A row's sum of squared distances to a
+    cluster comes from the cluster's sums; one column for each cluster."""
+    kept = [c.alias(f"_k{i}") for i, c in enumerate(keep)]
+    x = df.select(F.col(cluster).alias("_c"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)],
+                  _plain_dot(cols, cols).alias("_xx"), *kept)
+    names = [f"_x{i}" for i in range(len(cols))]
+    totals = [(F.lit(e["n"]) * F.col("_xx") - 2 * _plain_dot(names, e["s"]) + num(e["q"])).alias(f"_t{j}") for j, e in enumerate(stats)]
+    wide = x.select("_c", *totals, *[f"_k{i}" for i in range(len(keep))])
+    none = F.lit(None).cast("double")
+    own, others, lone = [none], [none, none], F.lit(False)
+    for j, e in enumerate(stats):
+        same = F.col("_c") == F.lit(e["c"])
+        others.append(F.when(~same, F.col(f"_t{j}") / F.lit(e["n"])))
+        if e["n"] > 1:
+            own.append(F.when(same, F.col(f"_t{j}") / F.lit(e["n"] - 1)))
+        else:
+            lone = lone | same
+    a, b = F.coalesce(*own), F.least(*others)
+    far = wide.select(a.alias("_a"), b.alias("_b"), lone.alias("_lone"), *[f"_k{i}" for i in range(len(keep))])
+    s = F.when(F.col("_lone"), F.lit(0.0)).otherwise((F.col("_b") - F.col("_a")) / F.greatest("_a", "_b"))
+    return far.select(s.alias("s"), *[f"_k{i}" for i in range(len(keep))])
+
+
+def wcss_and_silhouette(df: DataFrame, cols, cluster: str = "cluster") -> tuple[float, float]:
+    """K3 and K4 in one pass after the clusters' sums."""
+    stats = cluster_stats(df, cols, cluster)
+    row = one_row(silhouette_rows(df, cols, cluster, stats, _own_sq(cols, stats, cluster)).agg(
+        F.sum("_k0").alias("wcss"), F.avg("s").alias("silhouette")))
+    return row["wcss"], row["silhouette"]
 
 
 def calinski_harabasz(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
@@ -111,9 +150,8 @@ def calinski_harabasz(df: DataFrame, cols, cluster: str = "cluster") -> DataFram
 def davies_bouldin(df: DataFrame, cols, cluster: str = "cluster") -> DataFrame:
     """K6: mean over clusters of the worst (s_i + s_j) / |mu_i - mu_j|."""
     st = cluster_stats(df, cols, cluster)
-    arr = _stats_array(st)
-    own = _own(arr, cluster)
-    scatter = (df.select(F.col(cluster), F.sqrt(_sq(_vec(cols), own["mu"])).alias("d"))
+    own = _own(_stats_array(st), cluster)
+    scatter = (df.select(F.col(cluster), F.sqrt(_own_sq(cols, st, cluster)).alias("d"))
                  .groupBy(cluster).agg(F.avg("d").alias("s")))
     sc = {r[cluster]: r["s"] for r in small_rows(scatter, len(st))}
     others = F.array(*[F.struct(F.lit(e["c"]).alias("c"), F.array(*[num(v) for v in e["mu"]]).alias("mu"),

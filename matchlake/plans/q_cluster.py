@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import clustering as CL
 from matchlake.operators import kmeans as KM
-from matchlake.operators.small import small_rows
+from matchlake.operators.small import num, small_rows
 from matchlake.plans.oracle_base import with_ctes
 from matchlake.plans.registry import query, r
 from matchlake.session import cut_lineage
@@ -155,9 +155,8 @@ def _sweep(spark, sf, ks=range(2, 11)):
     rows = []
     for k in ks:
         lab = p.select(*Z, (F.col("years_experience").cast("int") % k).alias("cluster"))
-        w = CL.wcss(lab, Z).select("wcss").scalar()
-        sil = CL.silhouette_sq(lab, Z).select("silhouette").scalar()
-        rows.append(F.struct(F.lit(k).alias("k"), r(w, 6).alias("wcss"), r(sil, 9).alias("silhouette")))
+        w, sil = CL.wcss_and_silhouette(lab, Z)
+        rows.append(F.struct(F.lit(k).alias("k"), r(num(w), 6).alias("wcss"), r(num(sil), 9).alias("silhouette")))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
