@@ -2,13 +2,16 @@
 
 Every pass over the rows serves all models: tasks assign each row to the nearest
 center of every model that still moves and add up whole-number coordinate sums, so one
-aggregate per iteration carries the sums of all models, and the driver holds centers
-only (models x k). Starting centers are k-means++: the next one is drawn with a
-probability proportional to the squared distance, as the row with the smallest
-``-log(u) / d2``, where u is a number from the row's hash; one aggregate per center.
+aggregate per iteration carries the sums of all models (a row per task and center), and
+the driver holds centers only (models x k). The costs are added up once, at the end.
+Starting centers are k-means++: the next one is drawn with a probability proportional to
+the squared distance, as the row with the smallest ``-log(u) / d2``, where u is a number
+from the row's hash; one aggregate per center.
 
-Sums and draws do not depend on partitions, so a seed gives the same models. A
-center without rows keeps its place. Ties go to the first center.
+Models with as many centers share one matrix product a chunk of rows; where its rounding
+could matter, distances by differences decide. Sums and draws do not depend on
+partitions, so a seed gives the same models. A center without rows keeps its place. Ties
+go to the first center.
 """
 
 from __future__ import annotations
@@ -21,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.binned import mixed, uniform
+from matchlake.operators.binned import mixed
 from matchlake.operators.knn import matrix
 from matchlake.operators.small import one_row, small_rows
 from matchlake.session import cut_lineage
 
 UNIT = 2.0 ** 24
 MOST_CENTERS = 100_000
+CHUNK = 1024  # rows whose distances to all centers are held at once
+SLACK = 1e-12  # of the squared lengths in a product: far more than its rounding
 
 
 @dataclass
@@ -60,27 +65,100 @@ def squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return out
 
 
+def products(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rounded squared distances (model, center, row) and a bound of their error for
+    each row, by one product with the (model, center, feature) centers."""
+    g, k, d = centers.shape
+    xx, cc = (x * x).sum(1), (centers * centers).sum(2)
+    d2 = (centers.reshape(g * k, d) @ x.T).reshape(g, k, len(x))
+    d2 *= -2
+    d2 += cc[:, :, None]
+    d2 += xx
+    return d2, SLACK * (xx + cc.max())
+
+
+def apart(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances of each row to its own (row, center, feature) centers, by differences like ``squares``."""
+    out = np.zeros(centers.shape[:2])
+    for f in range(x.shape[1]):
+        step = x[:, f, None] - centers[:, :, f]
+        out += step * step
+    return out
+
+
+def nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """(model, row): the number of the nearest center, the first if tied."""
+    d2, slack = products(x, centers)
+    best, second, at = d2[:, 0].copy(), np.full(d2[:, 0].shape, np.inf), np.zeros(d2[:, 0].shape, np.int64)
+    for j in range(1, d2.shape[1]):
+        np.copyto(at, j, where=d2[:, j] < best)
+        np.minimum(second, np.maximum(best, d2[:, j]), out=second)
+        np.minimum(best, d2[:, j], out=best)
+    model, row = np.nonzero(second - best <= 2 * slack)
+    if len(row):
+        at[model, row] = apart(x[row], centers[model]).argmin(1)
+    return at
+
+
+def by_size(models: list[tuple[int, np.ndarray]]) -> list[tuple[list[int], np.ndarray]]:
+    """(numbers, centers as (model, center, feature)) of the models with as many centers."""
+    groups: dict[int, list] = {}
+    for i, centers in models:
+        groups.setdefault(len(centers), []).append((i, centers))
+    return [([i for i, _ in g], np.stack([c for _, c in g])) for g in groups.values()]
+
+
+def row_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, coordinates) of the rows, ``CHUNK`` at most."""
+    for batch in batches:
+        x, h = matrix(batch.column(1)), batch.column(0).to_numpy().view(np.uint64)
+        for a in range(0, len(x), CHUNK):
+            yield h[a:a + CHUNK], x[a:a + CHUNK]
+
+
+def raced(h: np.ndarray, x: np.ndarray, salts: np.ndarray, centers: np.ndarray | None) -> list[tuple[float, list[float]]]:
+    """For each model, the least ``-log(u) / d2`` of the rows, and its row (the
+    smallest, if all lie on centers). ``1 - u <= -log(u)`` rules most rows out."""
+    u = (mixed(h[None] ^ salts[:, None]) >> np.uint64(11)) * 2.0 ** -53
+    if centers is None:
+        low = 1 - u
+    else:
+        d2, slack = products(x, centers)
+        with np.errstate(divide="ignore"):
+            low = (1 - u) / (np.maximum(d2.min(1), 0) + slack)
+
+    def exact(i: int, at: np.ndarray) -> np.ndarray:
+        d2 = np.ones(len(at)) if centers is None else squares(x[at], centers[i]).min(1)
+        with np.errstate(divide="ignore"):
+            return np.where(d2 > 0, -np.log(np.maximum(u[i, at], 1e-300)) / d2, np.inf)
+
+    out = []
+    for i, first in enumerate(low.argmin(1)):
+        bar = exact(i, np.array([first]))[0]
+        at = np.flatnonzero(low[i] <= bar * (1 + 1e-9))
+        race = exact(i, at)
+        best = at[race.argmin()] if np.isfinite(race.min()) else np.lexsort(x.T[::-1])[0]
+        out.append((float(race.min()), x[best].tolist()))
+    return out
+
+
 def seeded(rows: DataFrame, models: list[KMeans]) -> None:
     """k-means++ centers for all models, one pass for each further center."""
     most = max(m.k for m in models)
     for step in range(most):
-        now = [(i, m.seed, m.centers) for i, m in enumerate(models) if m.k > step]
+        now = [i for i, m in enumerate(models) if m.k > step]
+        seeds = mixed(np.array([models[i].seed * 1009 + step for i in now])) >> np.uint64(1)
+        salts, centers = mixed(seeds), np.stack([models[i].centers for i in now]) if step else None
 
         def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x, h = matrix(batch.column(1)), batch.column(0).to_numpy().view(np.uint64)
-                if not len(x):
-                    continue
-                out = []
-                for i, seed, centers in now:
-                    u = uniform(h, int(mixed(np.array([seed * 1009 + step]))[0] >> np.uint64(1)))
-                    d2 = np.ones(len(x)) if centers is None else squares(x, centers).min(1)
-                    with np.errstate(divide="ignore"):
-                        race = np.where(d2 > 0, -np.log(np.maximum(u, 1e-300)) / d2, np.inf)
-                    best = int(race.argmin())
-                    out.append((i, float(race[best]), x[best].tolist()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
-                    pa.int32(), pa.float64(), pa.list_(pa.float64())))], names=["model", "race", "x"])
+            best = None
+            for h, x in row_chunks(batches):
+                found = raced(h, x, salts, centers)
+                best = found if best is None else list(map(min, best, found))
+            if best is not None:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(now, pa.int32()), pa.array([r for r, _ in best], pa.float64()),
+                    pa.array([x for _, x in best], pa.list_(pa.float64()))], names=["model", "race", "x"])
 
         first = rows.mapInArrow(drawn, "model int, race double, x array<double>").groupBy("model").agg(
             F.min(F.struct("race", "x")).alias("best"))
@@ -90,51 +168,76 @@ def seeded(rows: DataFrame, models: list[KMeans]) -> None:
 
 
 def moved(rows: DataFrame, models: list[KMeans], shift: float) -> None:
-    """One iteration of every model that is not still: new centers, costs of the old ones."""
+    """One iteration of every model that is not still: new centers."""
     now = [(i, m.centers) for i, m in enumerate(models) if not m.still]
+    groups = by_size(now)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = matrix(batch.column(1))
-            if not len(x):
-                continue
-            whole = np.rint(x * UNIT)
-            out = {c: [] for c in ("model", "cluster", "n", "cost", "sums")}
-            for i, centers in now:
-                d2 = squares(x, centers)
-                at = d2.argmin(1)
-                k = len(centers)
-                sums = np.stack([np.bincount(at, whole[:, f], k) for f in range(x.shape[1])], 1).astype(np.int64)
-                out["model"] += [i] * k
-                out["cluster"] += range(k)
-                out["n"] += np.bincount(at, minlength=k).tolist()
-                out["cost"] += np.bincount(at, np.rint(d2.min(1) * UNIT), k).astype(np.int64).tolist()
-                out["sums"] += sums.tolist()
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), (
-                pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())))})
-
-    parts = rows.mapInArrow(summed, "model int, cluster int, n long, cost long, sums array<long>")
+        total = None
+        for _, x in row_chunks(batches):
+            # A sum of a chunk stays below 2^53, so the product adds whole numbers exactly.
+            whole = np.column_stack([np.rint(x * UNIT), np.ones(len(x))])
+            if total is None:
+                total = [np.zeros((c.shape[0] * c.shape[1], whole.shape[1]), np.int64) for _, c in groups]
+            for sums, (_, centers) in zip(total, groups):
+                g, k, _ = centers.shape
+                own = np.zeros((g * k, len(x)))
+                own[nearest(x, centers) + k * np.arange(g)[:, None], np.arange(len(x))] = 1
+                sums += (own @ whole).astype(np.int64)
+        for sums, (numbers, centers) in zip(total or [], groups):
+            g, k, _ = centers.shape
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(numbers, k).astype(np.int32)), pa.array(np.tile(np.arange(k, dtype=np.int32), g)),
+                pa.array(sums[:, -1]), pa.array(sums[:, :-1].tolist(), pa.list_(pa.int64()))], names=["model", "cluster", "n", "sums"])
+
+    parts = rows.mapInArrow(summed, "model int, cluster int, n long, sums array<long>")
     width = len(models[0].centers[0])
     totals = parts.groupBy("model", "cluster").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-        F.array(*[F.sum(F.col("sums")[f]) for f in range(width)]).alias("sums"))
-    cost: dict[int, float] = {}
+        F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[f]) for f in range(width)]).alias("sums"))
     after = {i: c.copy() for i, c in now}
-    size = {i: np.zeros(len(c)) for i, c in now}
     for r in small_rows(totals, MOST_CENTERS):
-        cost[r["model"]] = cost.get(r["model"], 0) + r["cost"]
-        size[r["model"]][r["cluster"]] = r["n"]
         if r["n"]:
             after[r["model"]][r["cluster"]] = np.array(r["sums"], float) / UNIT / r["n"]
     for i, centers in now:
         m = models[i]
-        m.cost, m.size = cost.get(i, 0) / UNIT, size[i]
         m.still = bool(((after[i] - centers) ** 2).sum() <= shift)
         m.iterations += 1
         if not m.still:
             m.centers = after[i]
 
 
+def priced(rows: DataFrame, models: list[KMeans]) -> None:
+    """The cost and the cluster sizes of every model."""
+    groups = by_size([(i, m.centers) for i, m in enumerate(models)])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros((c.shape[0] * c.shape[1], 2), np.int64) for _, c in groups]
+        for _, x in row_chunks(batches):
+            for sums, (_, centers) in zip(total, groups):
+                g, k, _ = centers.shape
+                at = nearest(x, centers)
+                for i in range(g):
+                    d2 = apart(x, centers[i][at[i]][:, None])[:, 0]
+                    sums[i * k:i * k + k, 0] += np.bincount(at[i], minlength=k)
+                    sums[i * k:i * k + k, 1] += np.bincount(at[i], np.rint(d2 * UNIT), k).astype(np.int64)
+        for sums, (numbers, centers) in zip(total, groups):
+            g, k, _ = centers.shape
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(numbers, k).astype(np.int32)), pa.array(np.tile(np.arange(k, dtype=np.int32), g)),
+                pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["model", "cluster", "n", "cost"])
+
+    totals = rows.mapInArrow(summed, "model int, cluster int, n long, cost long").groupBy("model", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"))
+    whole = [0] * len(models)
+    for m in models:
+        m.size = np.zeros(m.k)
+    for r in small_rows(totals, MOST_CENTERS):
+        models[r["model"]].size[r["cluster"]] = r["n"]
+        whole[r["model"]] += r["cost"]
+    for m, cost in zip(models, whole):
+        m.cost = cost / UNIT
+
+
 def fit_all(rows: DataFrame, pairs: list[tuple[int, int]], tolerance: float = 1e-4, most_iterations: int = 300) -> list[KMeans]:
     """A model for every (k, seed). A model is still once its centers move by no
     more than ``tolerance`` times the mean variance of a coordinate."""
@@ -148,6 +251,7 @@ def fit_all(rows: DataFrame, pairs: list[tuple[int, int]], tolerance: float = 1e
         if all(m.still for m in models):
             break
         moved(rows, models, tolerance * float(np.mean(spread)))
+    priced(rows, models)
     return models
 
 
@@ -166,8 +270,8 @@ def labels(x, centers: np.ndarray):
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf("int")
-    def nearest(xs: pa.Array) -> pa.Array:
+    def numbered(xs: pa.Array) -> pa.Array:
         rows = matrix(xs)
         return pa.array(squares(rows, centers).argmin(1).astype(np.int32) if len(rows) else np.zeros(0, np.int32))
 
-    return nearest(x)
+    return numbered(x)

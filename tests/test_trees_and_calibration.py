@@ -335,6 +335,54 @@ def test_pca_signs_and_scores(spark):
     assert np.array([tuple(r) for r in got]) == pytest.approx(x @ np.array(loadings).T)
 
 
+def test_kmeans_products_equal_differences():
+    rng = np.random.default_rng(3)
+    x = np.rint(rng.normal(size=(500, 3)) * 4) / 4 + 1000.0
+    centers = x[rng.integers(0, 500, (6, 7))]
+    centers[2, 3] = centers[2, 1]
+    at = KM.nearest(x, centers)
+    salts, h = np.arange(6, dtype=np.uint64) * 77, rng.integers(0, 2 ** 62, 500).astype(np.uint64)
+    for i, (race, row) in enumerate(KM.raced(h, x, salts, centers)):
+        d2 = KM.squares(x, centers[i])
+        assert np.array_equal(at[i], d2.argmin(1))
+        u = (KM.mixed(h ^ salts[i]) >> np.uint64(11)) * 2.0 ** -53
+        with np.errstate(divide="ignore"):
+            want = np.where(d2.min(1) > 0, -np.log(u) / d2.min(1), np.inf)
+        assert race == want.min() and row == x[want.argmin()].tolist()
+
+
+def test_kmeans_tasks_send_a_row_per_center(spark):
+    points = [(float(i % 97), float(i % 31)) for i in range(4000)]
+    rows = KM.point_rows(spark.createDataFrame(points, "a double, b double"), ["a", "b"]).coalesce(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        sent, plain = [], KM.small_rows
+        KM.small_rows = lambda df, most: sent.append(df._jdf.queryExecution()) or plain(df, most)
+        models = KM.fit_all(rows, [(3, 1), (3, 2)], most_iterations=2)
+    finally:
+        KM.small_rows = plain
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert all(m.size.sum() == 4000 for m in models) and len(sent) == 3 + 2 + 1
+
+
+def test_silhouette_is_written_out(spark):
+    from matchlake.operators import clustering as CL
+    rng = np.random.default_rng(4)
+    x, c = rng.normal(size=(60, 2)), np.append(rng.integers(0, 3, 59), 9)
+    df = spark.createDataFrame([(*map(float, p), int(k)) for p, k in zip(x, c)], "a double, b double, cluster int")
+    d2, want, cost = ((x[:, None] - x[None]) ** 2).sum(2), [], 0.0
+    for i in range(60):
+        mean = {k: d2[i, c == k].sum() / max((c == k).sum() - (k == c[i]), 1) for k in set(c)}
+        b = min(v for k, v in mean.items() if k != c[i])
+        want.append(0.0 if (c == c[i]).sum() == 1 else (b - mean[c[i]]) / max(b, mean[c[i]]))
+        cost += ((x[i] - x[c == c[i]].mean(0)) ** 2).sum()
+    out = CL.silhouette_sq(df, ["a", "b"])
+    assert out.first()[0] == pytest.approx(np.mean(want))
+    assert "lambda" not in out._jdf.queryExecution().toString()
+    assert CL.wcss_and_silhouette(df, ["a", "b"]) == (pytest.approx(cost), pytest.approx(np.mean(want)))
+
+
 def test_kmeans_queries_have_the_full_sizes(spark, sf):
     sweep = Q["k02_kmeans_k_sweep"](spark, sf).orderBy("k").collect()
     assert [r["k"] for r in sweep] == list(range(2, 11))
