@@ -11,6 +11,8 @@ the histogram of its rows, level by level to ``max_depth`` or, with
   rounds of that job; the driver prunes and stops between jobs.
 * Above it, each level is one aggregate: tasks count (node, feature, bin), Spark
   sums and picks each node's split, and the margins are written every ``KEEP`` rounds.
+  Best leaf first, a pass asks about all leaves that may come next, so it takes about
+  as many passes as the tree is deep. Rows lie in packed blocks with their margins.
 
 Gradients are whole numbers of 2^-30, so sums are exact and a seed gives the same
 trees either way, whatever the partitions.
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.binned import BINS, LOCAL_ROWS, Tree, dealt_to_groups, gathered, group_names, mixed, packed, uniform
+from matchlake.operators.binned import BINS, LOCAL_ROWS, Tree, dealt_to_groups, gathered, group_names, mixed, packed, record, uniform
 from matchlake.operators.curves import roc_auc
 from matchlake.operators.forest import summed_trees
 from matchlake.operators.small import one_row, small_rows
@@ -38,8 +40,9 @@ from matchlake.session import cut_lineage
 
 UNIT = 2.0 ** 30
 LEAST_GAIN = 1e-6
-KEEP = 20
+KEEP = 10
 MOST_NODES = 100_000
+PART_BLOCKS = 64  # blocks of rows a task reads
 
 
 @dataclass(frozen=True)
@@ -150,13 +153,50 @@ class Growing:
         return Tree(self.feature, self.bin, self.left, self.value)
 
 
+def wide_sides(found: np.ndarray, spec: BoostSpec) -> list[int]:
+    """The sides of a split that are large enough for two children."""
+    out = []
+    for side, (_, h, c) in enumerate((found[3:6], found[6:9] - found[3:6])):
+        if h / UNIT >= 2 * spec.min_child_weight and c >= 2 * max(spec.min_rows, 1):
+            out.append(side)
+    return out
+
+
+def grow_ahead(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
+    """The tree of ``grow``, best leaf first, in few questions. The known splits are
+    replayed; all leaves that the replay wants to go below are split in ``guess`` and
+    their children asked about at once, until the replay knows all it needs."""
+    guess, deepest = Growing(), math.inf if spec.max_depth is None else spec.max_depth
+    known, below = dict(enumerate(source.best(guess, [0], columns))), {}
+    while True:
+        tree, heap, leaves, wanted = Growing(), [], 1, []
+        if known:
+            tree.value[0] = float(spec.leaf_value(known[0][6] / UNIT, known[0][7] / UNIT))
+            heap = [(-known[0][0], 0, 0, 0)] if deepest > 0 else []
+        while heap and leaves < spec.max_leaves and -heap[0][0] > LEAST_GAIN:
+            _, node, depth, at = heapq.heappop(heap)
+            a = tree.split(node, known[at], spec)
+            leaves += 1
+            sides = wide_sides(known[at], spec)
+            if not sides or depth + 1 >= deepest or leaves >= spec.max_leaves:
+                continue
+            if at not in below:
+                wanted.append((at, sides))
+                continue
+            for side in sides:
+                heapq.heappush(heap, (-known[below[at] + side][0], a + side, depth + 1, below[at] + side))
+        if not wanted:
+            return tree.tree()
+        nodes = []
+        for at, sides in wanted:
+            below[at] = guess.split(at, known[at], spec)
+            nodes += [below[at] + side for side in sides]
+        known.update(zip(nodes, source.best(guess, nodes, columns)))
+
+
 def grow(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
     """The tree of a round. ``source.best(tree, nodes, columns)`` gives the best
     split of nodes; nodes too small for two children are not asked about."""
-    def wide(found: np.ndarray, side: int) -> bool:
-        _, h, c = found[3:6] if side == 0 else found[6:9] - found[3:6]
-        return h / UNIT >= 2 * spec.min_child_weight and c >= 2 * max(spec.min_rows, 1)
-
     tree = Growing()
     deepest = math.inf if spec.max_depth is None else spec.max_depth
     found = source.best(tree, [0], columns)
@@ -168,7 +208,7 @@ def grow(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
             if depth:
                 found = source.best(tree, nodes, columns)
             after = [(tree.split(n, s, spec), s) for n, s in zip(nodes, found) if s[0] > LEAST_GAIN]
-            nodes, depth = [n + side for n, s in after for side in (0, 1) if wide(s, side)], depth + 1
+            nodes, depth = [n + side for n, s in after for side in wide_sides(s, spec)], depth + 1
             source.moved(tree)
         return tree.tree()
     heap = [(-s[0], 0, 0, s) for s in found[:1]] if deepest > 0 else []
@@ -178,7 +218,7 @@ def grow(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
         a = tree.split(node, s, spec)
         source.moved(tree)
         leaves += 1
-        nodes = [a + side for side in (0, 1) if wide(s, side)]
+        nodes = [a + side for side in wide_sides(s, spec)]
         if nodes and depth + 1 < deepest and leaves < spec.max_leaves:
             for n, s in zip(nodes, source.best(tree, nodes, columns)):
                 heapq.heappush(heap, (-s[0], n, depth + 1, s))
@@ -293,46 +333,63 @@ def started(rows: DataFrame, units: list[int]) -> DataFrame:
 
 
 class SparkRows:
-    """The rows of a fit as a Spark table with margins; each question is one aggregate."""
+    """The rows of a fit as a Spark table of packed blocks with their margins; each
+    question is one aggregate."""
 
     def __init__(self, rows: DataFrame, spec: BoostSpec, features: int):
         held = F.col("fold").isin(list(spec.held)) if spec.held else F.lit(False)
-        n = one_row(rows.where(~held).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")))
-        self.base = base_margin(float(n["pos"]), float(n["n"]))
-        self.rows, self.spec, self.features = rows.withColumn("margin", F.lit(self.base)), spec, features
+        n = one_row(rows.agg(F.count_if(~held).alias("n"), F.coalesce(F.sum(F.when(~held, F.col("y"))), F.lit(0)).alias("pos"),
+                             F.count(F.lit(1)).alias("all")))
+        self.base = base = base_margin(float(n["pos"]), float(n["n"]))
+
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    data = packed(batch, features)
+                    yield block(data, np.full(len(data), base))
+
+        context = rows.sparkSession.sparkContext
+        parts = max(context.defaultParallelism, math.ceil(n["all"] / (10_000 * PART_BLOCKS)))
+        self.rows = cut_lineage(rows.select("h", "y", "fold", "x").mapInArrow(blocks, BLOCKS).repartition(parts))
+        self.spec, self.features, self.number = spec, features, 0
         self.recent: list[Tree] = []
-        self.number, self.held = 0, held
+
+    def reader(self):
+        """A function from batches to (records, margins after all rounds so far) of each block."""
+        kind, step, recent = record(self.features), self.spec.step, list(self.recent)
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for raw, old in zip(batch.column(0), batch.column(1)):
+                    data, margin = np.frombuffer(raw.as_buffer(), kind), np.frombuffer(old.as_buffer()).copy()
+                    for t in recent:
+                        margin += step * t.predict(data["x"])
+                    yield data, margin
+
+        return read
 
     def best(self, tree: Growing, nodes: list[int], columns: np.ndarray) -> np.ndarray:
-        spec, features, recent, number = self.spec, self.features, list(self.recent), self.number
+        spec, features, number, read = self.spec, self.features, self.number, self.reader()
         partial = tree.tree()
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = np.full(len(partial.left), -1)
             place[nodes] = np.arange(len(nodes))
-            for batch in batches:
-                data = packed(batch, features)
-                margin = batch.column(4).to_numpy().copy()
-                for t in recent:
-                    margin += spec.step * t.predict(data["x"])
-                g, h = whole_gradients(data["y"], margin)
+            total = np.zeros((len(nodes), features, BINS, 3), np.int64)
+            for data, margin in read(batches):
                 at = np.where(spec.trained(data, number), place[partial.leaves(data["x"])], -1)
                 hit = np.flatnonzero(at >= 0)
-                sums = histogram(data["x"][hit], g[hit], h[hit], at[hit], len(nodes)).reshape(-1, 3)
-                full = np.flatnonzero(sums[:, 2])
-                cells = [full // (features * BINS), full // BINS % features, full % BINS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int32)) for c in cells] + [pa.array(sums[full, i].astype(np.int64)) for i in range(3)],
-                    names=["node", "feature", "bin", "g", "h", "c"])
+                g, h = whole_gradients(data["y"][hit], margin[hit])
+                total += histogram(data["x"][hit], g, h, at[hit], len(nodes)).astype(np.int64)
+            full = np.flatnonzero(total[:, 0, :, 2].any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([total[i].tobytes() for i in full], pa.binary())],
+                                             names=["node", "sums"])
 
         def picked(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-            hist = np.zeros((1, features, BINS, 3))
-            hist[0, cells["feature"], cells["bin"]] = cells[["g", "h", "c"]].to_numpy(float)
+            hist = sum(np.frombuffer(raw, np.int64) for raw in cells["sums"]).reshape(1, features, BINS, 3).astype(float)
             return pd.DataFrame([[int(key[0]), best_of(hist, spec, columns)[0].tolist()]], columns=["node", "found"])
 
-        sums = self.rows.select("h", "y", "fold", "x", "margin").mapInArrow(
-            counted, "node int, feature int, bin int, g long, h long, c long").groupBy("node", "feature", "bin").agg(
-            *[F.sum(c).alias(c) for c in ("g", "h", "c")])
+        sums = self.rows.mapInArrow(counted, "node int, sums binary")
         found = small_rows(sums.groupBy("node").applyInPandas(picked, "node int, found array<double>"), MOST_NODES)
         out = np.full((len(nodes), 9), -np.inf)
         for r in found:
@@ -342,40 +399,45 @@ class SparkRows:
     def moved(self, tree: Growing) -> None:
         """The next question descends the tree as it is then."""
 
-    def with_margin(self) -> DataFrame:
-        """The rows with the margin after all rounds so far."""
-        features, step, recent = self.features, self.spec.step, list(self.recent)
-
-        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                margin = batch.column(5).to_numpy().copy()
-                data = packed(batch, features)
-                for t in recent:
-                    margin += step * t.predict(data["x"])
-                yield batch.set_column(5, "margin", pa.array(margin))
-
-        cols = self.rows.select("id", "h", "y", "fold", "x", "margin")
-        return cols.mapInArrow(added, cols.schema) if recent else cols
-
     def finish(self, tree: Tree) -> None:
         self.recent.append(tree)
         self.number += 1
         if len(self.recent) >= KEEP:
-            self.rows, self.recent = cut_lineage(self.with_margin()), []
+            read = self.reader()
+
+            def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for data, margin in read(batches):
+                    yield block(data, margin)
+
+            self.rows, self.recent = cut_lineage(self.rows.mapInArrow(added, BLOCKS)), []
 
     def validation_loss(self) -> float:
-        m, y = F.col("margin"), F.col("y")
-        away = F.when(y == 1, -m).otherwise(m)
-        loss = F.greatest(away, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m)))
-        row = one_row(self.with_margin().where(self.held).agg(F.avg(loss).alias("loss")))
-        return row["loss"] if row["loss"] is not None else 0.0
+        held, read = self.spec.held, self.reader()
+
+        def lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for data, margin in read(batches):
+                at = np.isin(data["fold"], held)
+                loss = log_loss(data["y"][at], margin[at]).sum()
+                yield pa.RecordBatch.from_arrays([pa.array([float(loss)]), pa.array([int(at.sum())])], names=["loss", "n"])
+
+        row = one_row(self.rows.mapInArrow(lost, "loss double, n long").agg(F.sum("loss").alias("loss"), F.sum("n").alias("n")))
+        return row["loss"] / row["n"] if row["n"] else 0.0
+
+
+BLOCKS = "data binary, margin binary"
+
+
+def block(data: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([data.tobytes()], pa.binary()), pa.array([margin.tobytes()], pa.binary())],
+                                      names=["data", "margin"])
 
 
 def fit_over_table(rows: DataFrame, spec: BoostSpec, features: int) -> tuple[DataFrame, list[float]]:
     """(trees, validation losses) of one fit, level by level over all rows."""
     source, trees, losses = SparkRows(rows, spec, features), [], []
     while source.number < spec.rounds and not is_over(losses, spec):
-        tree = grow(source, spec, spec.columns(source.number, features))
+        one_tree = grow if spec.max_leaves is None else grow_ahead
+        tree = one_tree(source, spec, spec.columns(source.number, features))
         trees.append((0, source.number, bytearray(tree.to_bytes())))
         source.finish(tree)
         if spec.held:

@@ -120,6 +120,29 @@ def test_boosting_does_not_depend_on_where_it_runs(rows, spec):
     assert local.losses == pytest.approx(table.losses, abs=1e-9)
 
 
+@pytest.mark.parametrize("limit", [{}, {"max_depth": 4}, {"max_leaves": 2}, {"min_rows": 300}])
+def test_best_leaf_first_needs_few_passes(limit):
+    rng = np.random.default_rng(8)
+    rows = np.zeros(4000, BO.record(5))
+    rows["x"], rows["h"] = rng.integers(0, 256, (4000, 5)), rng.integers(0, 2 ** 62, 4000)
+    rows["y"] = rng.random(4000) < 1 / (1 + np.exp(-(rows["x"][:, 0] / 40.0 - 3) * (rows["x"][:, 1] / 64.0 - 2)))
+    spec, asked = BO.BoostSpec(**limit), []
+
+    class Counted(BO.LocalRows):
+        def best(self, tree, nodes, columns):
+            asked.append(nodes)
+            self.node = tree.tree().leaves(self.used_x)
+            return super().best(tree, nodes, columns)
+
+    columns = np.arange(5)
+    plain = BO.grow(BO.LocalRows(rows, np.zeros(4000), spec, 0), spec, columns)
+    ahead = BO.grow_ahead(Counted(rows, np.zeros(4000), spec, 0), spec, columns)
+    assert plain.to_bytes() == ahead.to_bytes() and len(asked) <= 12
+    pure = rows.copy()
+    pure["y"] = 1
+    assert len(BO.grow_ahead(Counted(pure, np.full(4000, 30.0), spec, 0), spec, columns).left) == 1
+
+
 def test_boosting_resumes_where_it_stopped(rows):
     straight, all_trees = BO.advance(rows, BO.started(rows, [0]), [DEEP], [0], 9, 7)
     half, first = BO.advance(rows, BO.started(rows, [0]), [DEEP], [0], 4, 7)
