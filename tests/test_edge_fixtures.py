@@ -231,3 +231,34 @@ def test_auc_of_billions_of_rows(spark, monkeypatch):
                                    "score double, pos long, neg long")
     monkeypatch.setattr(CU, "score_counts", lambda *a, **k: counts)
     assert CU.roc_auc(counts).first()[0] == pytest.approx(0.75 * 0.75 + 2 * 0.75 * 0.25 / 2)
+
+
+def test_pair_cosine_products_and_odd_vectors(spark):
+    from matchlake.functions.text import cosine
+    from matchlake.operators import similarity as SI
+    odd = [(1, [1.5, -2.0, 0.1]), (2, [0.0, 0.0, 0.0]), (3, None), (4, [1.0, None, 2.0]), (5, [2.0, 1.0]), (6, []), (7, [0.3, 0.7, float("nan")]),
+           (8, [3.25, 1.0, 1e-3])]
+    v = spark.createDataFrame(odd, "vec_id long, embedding array<float>")
+    ids = [i for i, _ in odd] + [99, None]
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids], "l long, r long")
+    key = lambda rows: sorted(map(str, map(tuple, rows)))
+    left, right = v.select(F.col("vec_id").alias("l"), F.col("embedding").alias("x")), v.select(
+        F.col("vec_id").alias("r"), F.col("embedding").alias("y"))
+    want = pairs.join(left, "l", "left").join(right, "r", "left").select("l", "r", cosine(F.col("x"), F.col("y")).alias("similarity"))
+    got = SI.pair_cosine(pairs, v, "l", "r", decimals=None)
+    assert key(got.select("l", "r", "similarity").collect()) == key(want.collect())
+    assert got._jdf.queryExecution().executedPlan().toString().count("zip_with") <= 2  # norms only
+
+
+def test_histogram_works_out_its_values_once(spark):
+    from matchlake.operators import similarity as SI
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(i):
+        seen.add(1)
+        return float(i)
+
+    df = spark.range(100).select((F.col("id") % 2).alias("g"), value("id").alias("v"), F.lit("wide").alias("w"))
+    out = SI.histogram(df, "v", ["g"], 10).collect()
+    assert sorted(map(tuple, out)) == [(g, b, 5) for g in (0, 1) for b in range(10)] and seen.value == 100
