@@ -125,6 +125,22 @@ def grow(x: np.ndarray, y: np.ndarray, count: np.ndarray, spec: ForestSpec, seed
     return Tree(*(np.concatenate(v) for v in (feature, cut, left, value)))
 
 
+def stable_order(node: np.ndarray, bins: np.ndarray | None = None) -> np.ndarray:
+    """The stable order by (node, bin), in 16-bit digits: numpy sorts these by counting."""
+    order = np.arange(len(node)) if bins is None else np.argsort(bins, kind="stable")
+    top, shift = int(node.max()) if len(node) else 0, 0
+    while top >> shift:
+        order = order[np.argsort((node[order] >> shift).astype(np.uint16), kind="stable")]
+        shift += 16
+    return order
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, their first places) of sorted values."""
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return values[starts], starts
+
+
 def best_splits(x, w, wy, node, keys, seed, m, total, ones, may, min_leaf=1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(purity, feature, bin) of the best split of each node that may split."""
     n = len(keys)
@@ -133,17 +149,17 @@ def best_splits(x, w, wy, node, keys, seed, m, total, ones, may, min_leaf=1) ->
     if not live.any():
         return best, where, at_bin
     order = np.flatnonzero(live)
-    order = order[np.argsort(node[order], kind="stable")]
+    order = order[stable_order(node[order])]
     x, w, wy, node = x[order], w[order], wy[order], node[order]
-    present, starts = np.unique(node, return_index=True)
+    present, starts = runs(node)
     varies = np.zeros((n, x.shape[1]), bool)
     varies[present] = np.maximum.reduceat(x, starts, 0) > np.minimum.reduceat(x, starts, 0)
     chosen = drawn_features(keys, seed, varies, m)
     base, stops = node * BINS, np.append(starts[1:], len(x))
     for slot in range(chosen.shape[1]):
         f = chosen[:, slot]
-        key = base + x[np.arange(len(x)), f[node]]
-        by = np.argsort(key, kind="stable")
+        bins = x[np.arange(len(x)), f[node]]
+        key, by = base + bins, stable_order(node, bins)
         key, lw, lp = key[by], np.cumsum(w[by]), np.cumsum(wy[by])
         end = np.flatnonzero((key[1:] != key[:-1]) & (key[1:] // BINS == key[:-1] // BINS))
         at = np.searchsorted(present, key[end] // BINS)
@@ -154,10 +170,10 @@ def best_splits(x, w, wy, node, keys, seed, m, total, ones, may, min_leaf=1) ->
         first = starts[np.searchsorted(present, of)]
         score = purity(lw[end] - np.where(first > 0, lw[first - 1], 0), lp[end] - np.where(first > 0, lp[first - 1], 0),
                        total[of], ones[of])
-        group, begin = np.unique(of, return_index=True)
+        group, begin = runs(of)
         top = np.maximum.reduceat(score, begin)
         hit = np.flatnonzero(score == np.repeat(top, np.diff(np.append(begin, len(score)))))
-        _, one = np.unique(of[hit], return_index=True)
+        _, one = runs(of[hit])
         bins = key[end[hit[one]]] % BINS
         better = (top > best[group]) | ((top == best[group]) & (f[group] < where[group]))
         g = group[better]

@@ -120,6 +120,17 @@ def test_boosting_does_not_depend_on_where_it_runs(rows, spec):
     assert local.losses == pytest.approx(table.losses, abs=1e-9)
 
 
+def test_tree_order_is_by_node_and_bin():
+    rng = np.random.default_rng(9)
+    for nodes in (1, 300, 200_000):
+        node, bins = rng.integers(0, nodes, 5000), rng.integers(0, 256, 5000).astype(np.uint8)
+        assert np.array_equal(FO.stable_order(node, bins), np.argsort(node * 256 + bins, kind="stable"))
+        assert np.array_equal(FO.stable_order(node), np.argsort(node, kind="stable"))
+        for got, want in zip(FO.runs(np.sort(node)), np.unique(np.sort(node), return_index=True)):
+            assert np.array_equal(got, want)
+    assert not len(FO.stable_order(node[:0], bins[:0]))
+
+
 @pytest.mark.parametrize("limit", [{}, {"max_depth": 4}, {"max_leaves": 2}, {"min_rows": 300}])
 def test_best_leaf_first_needs_few_passes(limit):
     rng = np.random.default_rng(8)
