@@ -23,6 +23,7 @@ from matchlake.session import cut_lineage
 BINS = 256
 LOCAL_ROWS = 1 << 20
 ACCURACY = 50_000  # rank error of an edge: 1 in this many rows
+GROUP_NAMES: dict[int, list[int]] = {}
 
 
 def record(features: int) -> np.dtype:
@@ -76,10 +77,13 @@ def packed(batch: pa.RecordBatch, features: int) -> np.ndarray:
 
 def group_names(spark: SparkSession, groups: int) -> list[int]:
     """One number for each of ``groups`` tasks, such that hashing deals them to different partitions."""
+    if groups in GROUP_NAMES:  # they depend on Spark's hash only
+        return GROUP_NAMES[groups]
     at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(groups))
     rows = small_rows(spark.range(40 * groups).groupBy(at.alias("p")).agg(F.min("id").alias("id")), groups)
     found = [r["id"] for r in rows]
-    return found + [40 * groups + i for i in range(groups - len(found))]
+    GROUP_NAMES[groups] = found + [40 * groups + i for i in range(groups - len(found))]
+    return GROUP_NAMES[groups]
 
 
 def dealt_to_groups(rows: DataFrame, groups: list[int], features: int) -> DataFrame:
@@ -97,16 +101,22 @@ def gathered(blobs: Iterator[bytes], features: int) -> np.ndarray:
     """The records of a group in one order, however they were dealt out."""
     parts = [np.frombuffer(b, record(features)) for b in blobs]
     rows = np.concatenate(parts) if parts else np.zeros(0, record(features))
-    return rows[np.lexsort((*rows["x"].T, rows["y"], rows["h"]))]
+    rows = rows[np.argsort(rows["h"])]
+    if (rows["h"][1:] == rows["h"][:-1]).any():
+        rows = rows[np.lexsort((*rows["x"].T, rows["y"], rows["h"]))]
+    return rows
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A scrambled 64-bit number of each number (the finisher of a well-known generator)."""
     with np.errstate(over="ignore"):
         x = np.asarray(x).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def uniform(h: np.ndarray, seed: int) -> np.ndarray:

@@ -75,18 +75,30 @@ class BoostSpec:
     def trained(self, rows: np.ndarray, number: int) -> np.ndarray:
         """Which rows the tree of a round is fitted on."""
         use = ~np.isin(rows["fold"], self.held)
-        return use & (uniform(rows["h"], self.round_seed(number) ^ 1) < self.subsample) if self.subsample < 1 else use
+        return use & self.drawn(rows["h"], number) if self.subsample < 1 else use
+
+    def drawn(self, h: np.ndarray, number: int) -> np.ndarray:
+        """Which training rows, by their hashes, a round draws."""
+        return uniform(h, self.round_seed(number) ^ 1) < self.subsample
 
     def leaf_value(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
         return -np.sign(g) * np.maximum(np.abs(g) - self.l1, 0) / np.maximum(h + self.l2, 1e-16)
 
     def merit(self, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-        t = np.maximum(np.abs(g) - self.l1, 0)
-        return t * t / np.maximum(h + self.l2, 1e-16)
+        t = np.abs(g)
+        t -= self.l1
+        np.maximum(t, 0, out=t)
+        t *= t
+        weight = h + self.l2
+        t /= np.maximum(weight, 1e-16, out=weight)
+        return t
 
 
 def sigmoid(m: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(m, -500, 500)))
+    out = np.clip(m, -500, 500)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1.0
+    return np.divide(1.0, out, out=out)
 
 
 def whole_gradients(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,19 +124,38 @@ def histogram(x: np.ndarray, g: np.ndarray, h: np.ndarray, place: np.ndarray, n:
 
 def best_of(hist: np.ndarray, spec: BoostSpec, columns: np.ndarray) -> np.ndarray:
     """Per node: gain, feature, bin, then left and all sums of gradient, hessian, rows."""
-    total = hist[:, 0].sum(1)
-    left = hist[:, columns].cumsum(2)
-    gl, hl, cl = (left[..., i] for i in range(3))
-    g, h, c = (total[:, i][:, None, None] for i in range(3))
-    gr, hr, cr = g - gl, h - hl, c - cl
-    least = max(spec.min_rows, 1)
-    fits = (cl >= least) & (cr >= least) & (hl / UNIT >= spec.min_child_weight) & (hr / UNIT >= spec.min_child_weight)
-    gain = spec.merit(gl / UNIT, hl / UNIT) + spec.merit(gr / UNIT, hr / UNIT) - spec.merit(g / UNIT, h / UNIT)
-    gain = np.where(fits, gain, -np.inf).reshape(len(hist), -1)
-    at = gain.argmax(1)
-    row = np.arange(len(hist))
-    return np.column_stack([gain[row, at], columns[at // BINS], at % BINS,
-                            left.reshape(len(hist), -1, 3)[row, at], total])
+    sums = np.moveaxis(hist[:, columns], 3, 0).copy()
+    sums[:2] /= UNIT
+    return best_splits(sums, spec, columns)
+
+
+def best_splits(sums: np.ndarray, spec: BoostSpec, columns: np.ndarray) -> np.ndarray:
+    """``best_of`` (sum, node, column, bin) with gradients and hessians in units of 1, a
+    column at a time. Without numbers of rows, four hessians stand for the least number."""
+    kinds, total = len(sums), sums[:, :, 0].sum(2)
+    g, h = total[:2, :, None]
+    own, least, row = spec.merit(g, h), max(spec.min_rows, 1), np.arange(sums.shape[1])
+    out = np.empty((len(row), 9))
+    for i, column in enumerate(columns.tolist()):
+        left = sums[:, :, i].cumsum(2)
+        gl, hl = left[:2]
+        hr = h - hl
+        gain = spec.merit(gl, hl)
+        gain += spec.merit(g - gl, hr)
+        gain -= own
+        gain[(hl < spec.min_child_weight) | (hr < spec.min_child_weight)] = -np.inf
+        if kinds == 3:
+            gain[(left[2] < least) | (left[2] > total[2][:, None] - least)] = -np.inf
+        at = gain.argmax(1)
+        top = gain[row, at]
+        new = row if i == 0 else np.flatnonzero(top > out[:, 0])  # of equals, the first column
+        out[new, 0], out[new, 1], out[new, 2] = top[new], column, at[new]
+        out[new, 3:3 + kinds] = left[:, new, at[new]].T
+    out[:, 6:6 + kinds] = total.T
+    if kinds == 2:
+        out[:, [5, 8]] = 4 * out[:, [4, 7]]
+    out[:, [3, 4, 6, 7]] *= UNIT
+    return out
 
 
 # -- growing a tree from a source of split statistics ----------------------
@@ -149,6 +180,18 @@ class Growing:
             self.value.append(float(spec.leaf_value(g / UNIT, h / UNIT)))
         return a
 
+    def split_level(self, nodes: np.ndarray, found: np.ndarray, spec: BoostSpec) -> np.ndarray:
+        """``split`` of many nodes; the first child of each."""
+        first = len(self.left) + 2 * np.arange(len(nodes))
+        for node, f, b, a in zip(nodes.tolist(), found[:, 1].astype(int).tolist(), found[:, 2].astype(int).tolist(), first.tolist()):
+            self.feature[node], self.bin[node], self.left[node] = f, b, a
+        sides = np.stack([found[:, 3:5], found[:, 6:8] - found[:, 3:5]], 1).reshape(-1, 2) / UNIT
+        self.feature += [0] * len(sides)
+        self.bin += [BINS - 1] * len(sides)
+        self.left += (first[:, None] + np.arange(2)).ravel().tolist()
+        self.value += spec.leaf_value(sides[:, 0], sides[:, 1]).tolist()
+        return first
+
     def tree(self) -> Tree:
         return Tree(self.feature, self.bin, self.left, self.value)
 
@@ -162,6 +205,13 @@ def wide_sides(found: np.ndarray, spec: BoostSpec) -> list[int]:
     return out
 
 
+def wide_children(first: np.ndarray, found: np.ndarray, spec: BoostSpec) -> np.ndarray:
+    """``wide_sides`` of many splits, as nodes."""
+    h, c = (np.column_stack([found[:, i], found[:, i + 3] - found[:, i]]) for i in (4, 5))
+    wide = (h / UNIT >= 2 * spec.min_child_weight) & (c >= 2 * max(spec.min_rows, 1))
+    return (first[:, None] + np.arange(2))[wide]
+
+
 def grow_ahead(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
     """The tree of ``grow``, best leaf first, in few questions. The known splits are
     replayed; all leaves that the replay wants to go below are split in ``guess`` and
@@ -203,12 +253,14 @@ def grow(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
     if len(found):
         tree.value[0] = float(spec.leaf_value(found[0, 6] / UNIT, found[0, 7] / UNIT))
     if spec.max_leaves is None:
-        nodes, depth = [0], 0
-        while nodes and depth < deepest:
+        nodes, depth = np.zeros(len(found), int), 0
+        while len(nodes) and depth < deepest:
             if depth:
                 found = source.best(tree, nodes, columns)
-            after = [(tree.split(n, s, spec), s) for n, s in zip(nodes, found) if s[0] > LEAST_GAIN]
-            nodes, depth = [n + side for n, s in after for side in wide_sides(s, spec)], depth + 1
+            good = found[:, 0] > LEAST_GAIN
+            found = found[good]
+            first = tree.split_level(nodes[good], found, spec)
+            nodes, depth = wide_children(first, found, spec), depth + 1
             source.moved(tree)
         return tree.tree()
     heap = [(-s[0], 0, 0, s) for s in found[:1]] if deepest > 0 else []
@@ -225,28 +277,93 @@ def grow(source, spec: BoostSpec, columns: np.ndarray) -> Tree:
     return tree.tree()
 
 
-class LocalRows:
-    """The rows of a fit inside a task."""
+class Columns:
+    """The rows of a task, column by column, for all rounds of all its fits."""
 
-    def __init__(self, rows: np.ndarray, margin: np.ndarray, spec: BoostSpec, number: int):
-        self.x, self.spec = rows["x"], spec
-        self.use = np.flatnonzero(spec.trained(rows, number))
-        g, h = whole_gradients(rows["y"], margin)
-        self.g, self.h = g[self.use], h[self.use]
-        self.used_x = self.x[self.use]
-        self.node = np.zeros(len(self.use), np.int64)
+    def __init__(self, rows: np.ndarray):
+        self.x = np.ascontiguousarray(rows["x"])
+        self.by_feature = np.ascontiguousarray(self.x.T)
+        self.flat, self.width = self.x.ravel(), self.x.shape[1]
+        self.h, self.y = np.ascontiguousarray(rows["h"]), rows["y"].astype(float)
 
-    def best(self, tree: Growing, nodes: list[int], columns: np.ndarray) -> np.ndarray:
-        place = np.full(len(tree.left), -1)
-        place[nodes] = np.arange(len(nodes))
-        at = place[self.node]
-        hit = np.flatnonzero(at >= 0)
-        return best_of(histogram(self.used_x[hit], self.g[hit], self.h[hit], at[hit], len(nodes)), self.spec, columns)
+
+class LocalRows:
+    """The rows of a round inside a task, those of its tree first. Of two children
+    the one with fewer rows is counted; the other has the rest of their parent's sums,
+    which are whole numbers and therefore exact. All rows descend with the tree."""
+
+    def __init__(self, rows: np.ndarray, margin: np.ndarray, spec: BoostSpec, number: int, table: Columns | None = None,
+                 train: np.ndarray | None = None):
+        self.table, self.spec = table or Columns(rows), spec
+        train = np.flatnonzero(~np.isin(rows["fold"], spec.held)) if train is None else train
+        self.use = use = train[spec.drawn(self.table.h[train], number)] if spec.subsample < 1 else train
+        other = np.ones(len(rows), bool)
+        other[use] = False
+        self.order = np.concatenate([use, np.flatnonzero(other)])
+        self.weights = [v / UNIT for v in whole_gradients(self.table.y[use], margin[use])]
+        self.node = np.zeros(len(rows), np.int64)
+        self.cell = self.order * self.table.width
+        self.known: dict[int, np.ndarray] = {}
+
+    @property
+    def used_x(self) -> np.ndarray:
+        return self.table.x[self.use]
+
+    def sums(self, rows: np.ndarray | None, place: np.ndarray, n: int, columns: np.ndarray) -> np.ndarray:
+        """(sum, node, column, bin): gradient, hessian and number of the ``rows`` (None: all) of ``n`` nodes.
+        A row's hessian is at most 1/4, so the least weight of a child may imply the least number of rows;
+        then rows are not counted."""
+        at, weights = self.use if rows is None else self.use[rows], [w if rows is None else w[rows] for w in self.weights]
+        if max(self.spec.min_rows, 1) > 4 * self.spec.min_child_weight:
+            weights.append(None)
+        out, base = np.empty((len(weights), n, len(columns), BINS)), place * BINS
+        for i, f in enumerate(columns):
+            key = base + self.table.by_feature[f].take(at)
+            for kind, v in enumerate(weights):
+                out[kind, :, i] = np.bincount(key, v, n * BINS).reshape(n, BINS)
+        return out
+
+    def best(self, tree: Growing, nodes, columns: np.ndarray) -> np.ndarray:
+        nodes, left, node = np.asarray(nodes), np.array(tree.left), self.node[:len(self.use)]
+        inner = np.flatnonzero(left != np.arange(len(left)))
+        parent, other = np.full(len(left), -1), np.arange(len(left))
+        for side in (0, 1):
+            parent[left[inner] + side], other[left[inner] + side] = inner, left[inner] + 1 - side
+        size, twin = np.bincount(node, minlength=len(left)), other[nodes]
+        ranked = (size[nodes] > size[twin]) | ((size[nodes] == size[twin]) & (nodes > twin))
+        rest = np.flatnonzero(ranked & np.array([p in self.known for p in parent[nodes].tolist()], bool))
+        source = nodes.copy()
+        source[rest] = twin[rest]
+        counted = np.unique(source)
+        place = np.full(len(left), -1)
+        place[counted] = np.arange(len(counted))
+        at = place.take(node)
+        rows = None if len(left) == 1 else np.flatnonzero(at >= 0)
+        sums = self.sums(rows, at if rows is None else at[rows], len(counted), columns)[:, place[source]]
+        if len(rest):
+            whole = np.stack([self.known[p] for p in parent[nodes[rest]].tolist()], 1)
+            sums[:, rest] = np.subtract(whole, sums[:, rest], out=whole)
+        if self.spec.max_leaves is None:
+            self.known = {}  # the next level asks about children of this one only
+        self.known |= {n: sums[:, i] for i, n in enumerate(nodes.tolist())}
+        return best_splits(sums, self.spec, columns)
 
     def moved(self, tree: Growing) -> None:
-        left, feature, cut = np.array(tree.left), np.array(tree.feature), np.array(tree.bin)
-        n = self.node
-        self.node = left[n] + (self.used_x[np.arange(len(n)), feature[n]] > cut[n])
+        left, feature, cut = np.array(tree.left), np.array(tree.feature), np.array(tree.bin, np.uint8)
+        if self.spec.max_leaves is None:  # most rows move
+            right = self.table.flat.take(self.cell + feature.take(self.node)) > cut.take(self.node)
+            self.node = left.take(self.node) + right
+            return
+        after = left.take(self.node)
+        rows = np.flatnonzero(after != self.node)
+        node = self.node[rows]
+        self.node[rows] = after[rows] + (self.table.flat.take(self.cell[rows] + feature.take(node)) > cut.take(node))
+
+    def predictions(self, tree: Tree) -> np.ndarray:
+        """The value of each row's leaf, once the tree is grown."""
+        out = np.empty(len(self.node))
+        out[self.order] = tree.value.take(self.node)
+        return out
 
 
 def base_margin(positives: float, rows: float) -> float:
@@ -256,7 +373,7 @@ def base_margin(positives: float, rows: float) -> float:
 
 def area(y: np.ndarray, score: np.ndarray) -> float:
     """AUC with ties counted half; NaN without both labels."""
-    order = np.argsort(score, kind="stable")
+    order = np.argsort(score)
     y, score = y[order].astype(float), score[order]
     first = np.append(True, score[1:] != score[:-1])
     group = np.cumsum(first) - 1
@@ -282,7 +399,7 @@ STATE = "unit int, round int, margin binary, losses array<double>, aucs array<do
 
 
 def advance(rows: DataFrame, state: DataFrame, specs: list[BoostSpec], units: list[int], to: int, features: int,
-            groups: int = 48) -> tuple[DataFrame, DataFrame]:
+            groups: int = 64) -> tuple[DataFrame, DataFrame]:
     """Moves the live ``units`` on to round ``to``: (new state, trees of these
     rounds as (unit, round, nodes)), both written."""
     groups = max(1, min(groups, len(units)))
@@ -292,23 +409,25 @@ def advance(rows: DataFrame, state: DataFrame, specs: list[BoostSpec], units: li
 
     def moved(key: tuple, blobs: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         data = gathered(blobs["rows"], features)
-        out = []
+        table, out = Columns(data), []
         for s in states.to_dict("records"):
             began, spec = time.time(), specs[s["unit"]]
             train, y = ~np.isin(data["fold"], spec.held), data["y"]
+            in_training, held = np.flatnonzero(train), np.flatnonzero(~train)
             if s["margin"] is None:
                 margin = np.full(len(data), base_margin(float(y[train].sum()), float(train.sum())))
             else:
                 margin = np.frombuffer(s["margin"]).copy()
             losses, aucs, trees, number = list(s["losses"]), list(s["aucs"]), [], int(s["round"])
             while number < min(to, spec.rounds) and not is_over(losses, spec):
-                tree = grow(LocalRows(data, margin, spec, number), spec, spec.columns(number, features))
-                margin += spec.step * tree.predict(data["x"])
+                local = LocalRows(data, margin, spec, number, table, in_training)
+                tree = grow(local, spec, spec.columns(number, features))
+                margin += spec.step * local.predictions(tree)
                 trees.append(tree.to_bytes())
                 number += 1
                 if spec.held:
-                    losses.append(float(log_loss(y[~train], margin[~train]).mean()) if not train.all() else 0.0)
-                    aucs.append(area(y[~train], margin[~train]))
+                    losses.append(float(log_loss(y[held], margin[held]).mean()) if len(held) else 0.0)
+                    aucs.append(area(y[held], margin[held]))
             out.append({"unit": s["unit"], "round": number, "margin": margin.tobytes(), "losses": losses, "aucs": aucs,
                         "over": number >= spec.rounds or is_over(losses, spec),
                         "seconds": s["seconds"] + time.time() - began, "trees": trees})

@@ -154,6 +154,44 @@ def test_best_leaf_first_needs_few_passes(limit):
     assert len(BO.grow_ahead(Counted(pure, np.full(4000, 30.0), spec, 0), spec, columns).left) == 1
 
 
+@pytest.mark.parametrize("limit", [{"max_depth": 7, "max_leaves": None, "min_rows": 1, "min_child_weight": 2, "subsample": 0.7},
+                                   {"max_depth": 5, "max_leaves": None, "min_rows": 40, "column_share": 0.5}, {}])
+def test_rounds_count_the_smaller_children_only(limit):
+    rng = np.random.default_rng(3)
+    rows = np.zeros(3000, BO.record(4))
+    rows["x"], rows["h"], rows["fold"] = rng.integers(0, 90, (3000, 4)), rng.integers(0, 2 ** 62, 3000), rng.integers(0, 3, 3000)
+    rows["y"] = rng.random(3000) < 1 / (1 + np.exp(-(rows["x"][:, 0] / 20.0 - 2) * (rows["x"][:, 1] / 30.0 - 1)))
+    spec, margin, counted = BO.BoostSpec(held=(1,), l1=0.05, l2=0.5, **limit), rng.standard_normal(3000), []
+    use = np.flatnonzero(spec.trained(rows, 4))
+    g, h = BO.whole_gradients(rows["y"], margin)
+
+    class Plain:
+        """Every node's own sums, over all rows."""
+
+        def best(self, tree, nodes, columns):
+            at = tree.tree().leaves(rows["x"][use])
+            place = np.full(len(tree.left), -1)
+            place[nodes] = np.arange(len(nodes))
+            hit = use[place[at] >= 0]
+            found = BO.best_of(BO.histogram(rows["x"][hit], g[hit], h[hit], place[at][place[at] >= 0], len(nodes)), spec, columns)
+            return found
+
+        def moved(self, tree):
+            pass
+
+    class Counted(BO.LocalRows):
+        def sums(self, some, place, n, columns):
+            counted.append(len(place))
+            return super().sums(some, place, n, columns)
+
+    columns = spec.columns(4, 4)
+    local = Counted(rows, margin, spec, 4)
+    tree = BO.grow(local, spec, columns)
+    assert tree.to_bytes() == BO.grow(Plain(), spec, columns).to_bytes() and len(tree.left) > 20
+    assert np.array_equal(local.predictions(tree), tree.predict(rows["x"]))
+    assert counted[0] == len(use) and all(n <= len(use) / 2 for n in counted[1:])
+
+
 def test_boosting_resumes_where_it_stopped(rows):
     straight, all_trees = BO.advance(rows, BO.started(rows, [0]), [DEEP], [0], 9, 7)
     half, first = BO.advance(rows, BO.started(rows, [0]), [DEEP], [0], 4, 7)
