@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import models as MO
 from matchlake.operators.curves import roc_auc
+from matchlake.operators.margins import FoldRows
 from matchlake.operators.small import one_row, small_rows
 from matchlake.session import cut_lineage
 
@@ -109,26 +110,15 @@ def sample_params(space: dict, rng: random.Random) -> dict:
     return out
 
 
-def _search(x: DataFrame, kind: str, draws: list[dict], fold: str, metric: str) -> list[float]:
-    """Mean score over the folds of every draw; a fold's rows are prepared once
-    for all draws and scored in one pass."""
-    scores: dict[int, list[float]] = {i: [] for i in range(len(draws))}
-    for f in fold_ids(x, fold):
-        rows = MO.fold_frames(x, F.col(fold) == f)
-        models = dict(enumerate(pmap(lambda p: rows.fit(kind, **p), draws)))
-        for i, v in fold_scores(models, rows.val, metric).items():
-            scores[i].append(v)
-    return [float(statistics.fmean(v)) for v in scores.values()]
-
-
-def random_search(df: DataFrame, kind: str, space: dict, n_draws: int, fold: str = "fold",
-                  seed: int = 42, metric: str = "auc") -> DataFrame:
-    """Sampled parameter draws scored by mean CV metric (AUC or accuracy)."""
+def svc_search(df: DataFrame, space: dict, n_draws: int, fold: str = "fold", seed: int = 42) -> DataFrame:
+    """Sampled penalties of a linear margin machine scored by mean accuracy over
+    the folds; the models of all draws and folds are fitted together."""
     rng = random.Random(seed)
     draws = [sample_params(space, rng) for _ in range(n_draws)]
-    means = _search(search_frame(df, fold), kind, draws, fold, metric)
-    rows = [(i, json.dumps(p, sort_keys=True), v) for i, (p, v) in enumerate(zip(draws, means, strict=True))]
-    return df.sparkSession.createDataFrame(rows, "draw int, params string, mean_score double")
+    rows = FoldRows(search_frame(df, fold), fold)
+    found = rows.accuracies(rows.fit([p["regParam"] for p in draws]))
+    out = [(d, json.dumps(p, sort_keys=True), float(statistics.fmean(found[d, f] for f in rows.folds))) for d, p in enumerate(draws)]
+    return df.sparkSession.createDataFrame(out, "draw int, params string, mean_score double")
 
 
 # ---------------------------------------------------------------- stacking

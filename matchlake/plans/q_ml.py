@@ -266,8 +266,7 @@ def _refit(spark, rows):
 
 query("t08_refit_best_on_holdout")(lambda s, d: _refit(s, _trial_rows(s, d)))
 query("t09_svc_search_by_accuracy")(
-    lambda s, d: TU.random_search(base(s, d).filter(F.col("split") != "test"), "linear_svc", SVC_SPACE, 30,
-                                  metric="accuracy"))
+    lambda s, d: TU.svc_search(base(s, d).filter(F.col("split") != "test"), SVC_SPACE, 30))
 
 
 def _fitted_margins(spark, sf, kind, k, seed):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.operators import explain as EX
+from matchlake.operators import margins as MA
 from matchlake.operators import models as MO
 from matchlake.operators import sampling as SA
 from matchlake.operators import tuning as TU
@@ -64,3 +65,26 @@ def test_one_pass_scores_every_model_as_alone(folds, kind):
         alone = MO.positive_probability(rows.val, m, raw_for_svc=kind == "linear_svc")
         assert auc[t] == roc_auc(alone.select("label", "probability")).first()[0]
         assert accuracy[t] == alone.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+
+
+def test_margin_machines_together_as_mllib_alone(folds, monkeypatch):
+    rows, penalty = MA.FoldRows(folds, "fold"), [1e-4, 0.02, 0.7]
+    passes = []
+    monkeypatch.setattr(MA.FoldRows, "totals", lambda self, *a, plain=MA.FoldRows.totals: passes.append(1) or plain(self, *a))
+    models = rows.fit(penalty)
+    assert set(models) == {(d, f) for d in range(3) for f in range(3)} and len(passes) < 400
+    accuracy = rows.accuracies(models)
+    frames = MO.fold_frames(folds, F.col("fold") == 1)
+    alone = {d: frames.fit("linear_svc", regParam=p) for d, p in enumerate(penalty)}
+    for d, score in TU.fold_scores(alone, frames.val, "accuracy").items():
+        assert accuracy[d, 1] == pytest.approx(score, abs=0.01)
+    of_mllib = {}
+    for d, m in alone.items():  # weights of features scaled by the plain deviation, about the plain mean
+        w = m.coefficients.toArray() / frames.scaler.std.toArray()
+        base = m.intercept - w @ frames.scaler.mean.toArray()
+        of_mllib[d, 1] = np.append(w / rows.sides.scale[1], base + w @ rows.sides.mean[1])
+    theirs = rows.losses(of_mllib, penalty)
+    ours = rows.losses({(d, 1): models[d, 1] for d in range(3)}, penalty)
+    for d, m in alone.items():
+        assert theirs[d, 1][0] == pytest.approx(min(m.summary().objectiveHistory), rel=1e-3)  # the same objective
+        assert ours[d, 1][0] <= theirs[d, 1][0] * (1 + 1e-3)
