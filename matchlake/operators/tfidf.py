@@ -13,23 +13,45 @@ exactly the corpus statistics of the repeated rows without repeating work.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from matchlake.functions.text import clean, token_array
+from matchlake.operators.small import one_row, small_rows
+from matchlake.operators.text_vectors import word_ids
+
+RECORD = np.dtype([("term", "<i4"), ("w", "<f8")])
+PART_PAIRS = 200_000  # pairs a task of a join holds
 
 
 def term_counts(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     """(doc, term, tf) from raw text: clean, alphabetic tokens, >= 2 chars."""
-    toks = F.filter(token_array(clean(F.col(text))), lambda x: F.length(x) >= 2)
-    return (docs.select(doc, F.explode(toks).alias("term"))
+    return (docs.select(doc, F.explode(long_tokens(F.col(text))).alias("term"))
                 .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def long_tokens(text: Column) -> Column:
+    """Alphabetic tokens of at least two characters of a text."""
+    return F.filter(token_array(clean(text)), lambda x: F.length(x) >= 2)
+
+
 def fit(docs: DataFrame, doc: str = "doc", text: str = "text", weight: str | None = None,
         max_features: int = 5000) -> DataFrame:
-    """Vocabulary with idf: (term, idf). Bounded by ``max_features`` rows."""
-    return fit_counts(term_counts(docs, doc, text), docs, doc, weight, max_features)
+    """Vocabulary with idf: (term, idf). Bounded by ``max_features`` rows. Terms are
+    counted where the text is, so only a row per term and task is shuffled."""
+    w = F.col(weight) if weight else F.lit(1)
+    rows = docs.select(w.alias("weight"), long_tokens(F.col(text)).alias("tokens"))
+    term = lambda often, once: lambda t: F.struct(t.alias("term"), F.lit(often).alias("often"), F.lit(once).alias("once"))
+    each = F.concat(F.transform("tokens", term(1, 0)), F.transform(F.array_distinct("tokens"), term(0, 1)))
+    counts = rows.select("weight", F.explode(each).alias("t")).groupBy("t.term").agg(
+        F.sum(F.col("weight") * F.col("t.often")).alias("cf"), F.sum(F.col("weight") * F.col("t.once")).alias("df"))
+    return vocabulary(counts, docs.select(F.sum(w)).scalar(), max_features)
 
 
 def fit_counts(counts: DataFrame, docs: DataFrame, doc: str = "doc", weight: str | None = None,
@@ -43,6 +65,11 @@ def fit_counts(counts: DataFrame, docs: DataFrame, doc: str = "doc", weight: str
         w = F.lit(1)
         n = docs.select(F.count(F.lit(1))).scalar()
     stats = counts.groupBy("term").agg(F.sum(w * F.col("tf")).alias("cf"), F.sum(w).alias("df"))
+    return vocabulary(stats, n, max_features)
+
+
+def vocabulary(stats: DataFrame, n: Column, max_features: int) -> DataFrame:
+    """(term, idf) of the most frequent of (term, cf, df); ``n`` texts in all."""
     vocab = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     return vocab.select("term", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
@@ -75,14 +102,75 @@ def vector_dot(a: Column, b: Column) -> Column:
     return F.coalesce(F.aggregate(a, F.lit(0.0), lambda s, x: s + x["w"] * hit(x)), F.lit(0.0))
 
 
+def packed_vectors(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "text", max_features: int = 5000) -> DataFrame:
+    """(doc, vector): the normalised weights of ``transform`` as (term number, weight)
+    records, a few bytes a term, made where the text is. The vocabulary is bounded."""
+    rows = sorted(small_rows(vocab.select("term", "idf"), max_features), key=lambda r: r["term"])
+    terms, idf = [r["term"] for r in rows], np.array([r["idf"] for r in rows], float)
+
+    @arrow_udf("binary")
+    def packed(tokens: pa.Array) -> pa.Array:
+        at, ids = word_ids(tokens, pa.array(terms, pa.string()))
+        cell, tf = np.unique(at * max(len(terms), 1) + ids, return_counts=True)
+        at, out = cell // max(len(terms), 1), np.empty(len(cell), RECORD)
+        out["term"] = cell % max(len(terms), 1)
+        out["w"] = tf * idf[out["term"]]
+        norm = np.sqrt(np.bincount(at, out["w"] * out["w"], len(tokens)))
+        out["w"] /= norm[at]
+        ends = np.cumsum(np.bincount(at, minlength=len(tokens))) * RECORD.itemsize
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(offsets), pa.py_buffer(out.tobytes())])
+
+    return docs.select(doc, packed(long_tokens(F.col(text))).alias("vector"))
+
+
+def unpacked(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, record) of all terms of packed vectors, in order."""
+    raw = pc.fill_null(vectors.cast(pa.large_binary()), b"")
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    return np.repeat(np.arange(len(raw)), np.diff(offsets) // RECORD.itemsize), data.view(RECORD)
+
+
+def packed_dots(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Dot products of packed vectors (null: no terms), summed in the terms' order."""
+    if not len(a):
+        return pa.array([], pa.float64())
+    (x, left), (y, right) = unpacked(a), unpacked(b)
+    wide = np.int64(1) << 32
+    _, i, j = np.intersect1d(x * wide + left["term"], y * wide + right["term"], assume_unique=True, return_indices=True)
+    return pa.array(np.bincount(x[i], left["w"][i] * right["w"][j], len(a)))
+
+
+def meet(pairs: DataFrame, vectors: DataFrame, key: str, name: str, parts: int, heavy: list) -> DataFrame:
+    """The pairs with the vector of their ``key``, in so many parts that each holds few
+    pairs. The ``heavy`` keys are spread over all parts."""
+    spread = F.pmod(F.xxhash64(*[c for c in pairs.columns if not c.startswith("_")]), F.lit(parts)).cast("int")
+    hot = F.coalesce(F.col(key).isin(heavy), F.lit(False)) if heavy else F.lit(False)
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    right = vectors.select(F.col("doc").alias(key), F.col("vector").alias(name)).withColumn("_part", F.explode(copies))
+    left = pairs.withColumn("_part", F.when(hot, spread).otherwise(0))
+    return left.repartition(parts, key, "_part").join(right.repartition(parts, key, "_part"), [key, "_part"], "left").drop("_part")
+
+
 def pair_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                name: str = "tfidf_similarity") -> DataFrame:
-    """H9: the pairs with the dot product of their normalised postings; pairs
-    without a shared term get 0. Two joins of one row per document; no row per pair and term."""
-    lv = vectors(left).select(F.col("doc").alias(left_key), F.col("vector").alias("_left"))
-    rv = vectors(right).select(F.col("doc").alias(right_key), F.col("vector").alias("_right"))
-    return pairs.join(lv, left_key, "left").join(rv, right_key, "left").select(
-        *pairs.columns, vector_dot(F.col("_left"), F.col("_right")).alias(name))
+                name: str = "tfidf_similarity", part_pairs: int = PART_PAIRS) -> DataFrame:
+    """H9: the pairs with the dot product of their ``packed_vectors``; pairs
+    without a shared term get 0. Two joins of one packed row per document; no row per pair and
+    term. A task of a join holds some ``part_pairs`` pairs; ``pairs`` are read several times."""
+    n = one_row(pairs.agg(F.count(F.lit(1)).alias("n")))["n"]
+    parts = max(pairs.sparkSession.sparkContext.defaultParallelism, math.ceil(n / part_pairs))
+    both = pairs
+    for key, vectors, side in ((left_key, left, "_left"), (right_key, right, "_right")):
+        many = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_pairs)
+        heavy = [r[key] for r in small_rows(many, parts) if r[key] is not None]
+        both = meet(both, vectors, key, side, parts, heavy)
+
+    @arrow_udf("double")
+    def dots(a: pa.Array, b: pa.Array) -> pa.Array:
+        return packed_dots(a, b)
+
+    return both.select(*pairs.columns, dots(F.col("_left"), F.col("_right")).alias(name))
 
 
 def top_terms(postings: DataFrame, doc_weight: DataFrame | None = None, doc: str = "doc",

@@ -129,8 +129,12 @@ def tfidf_parts(spark, sf, a=None):
 
 
 def tfidf_similarity(spark, sf, a=None):
-    a, _, _, rp, jp = tfidf_parts(spark, sf, a)
-    return TF.pair_cosine(a, rp, jp, "candidate_id", "job_id")
+    """H9. ``a``, if given, is written; texts become packed vectors where they are made."""
+    a = a if a is not None else cut_lineage(apps(spark, sf))
+    weights = a.groupBy(F.col("candidate_id").alias("doc")).agg(F.count(F.lit(1)).alias("weight"))
+    vocab = cut_lineage(TF.fit(resumes(spark, sf).join(weights, "doc"), weight="weight", max_features=5000))
+    return TF.pair_cosine(a, TF.packed_vectors(resumes(spark, sf), vocab), TF.packed_vectors(jds(spark, sf), vocab),
+                          "candidate_id", "job_id")
 
 
 def embedding_similarity(spark, sf, a=None):

@@ -262,3 +262,30 @@ def test_histogram_works_out_its_values_once(spark):
     df = spark.range(100).select((F.col("id") % 2).alias("g"), value("id").alias("v"), F.lit("wide").alias("w"))
     out = SI.histogram(df, "v", ["g"], 10).collect()
     assert sorted(map(tuple, out)) == [(g, b, 5) for g in (0, 1) for b in range(10)] and seen.value == 100
+
+
+def test_packed_tfidf_equals_postings(spark):
+    from matchlake.operators import tfidf as TF
+
+    texts = [(1, "Deep learning, deep water and a cat"), (2, None), (3, "the of and"), (4, "water cat " * 400 + "zebra"), (5, "x unknown zz")]
+    docs = spark.createDataFrame(texts, "doc long, text string")
+    weights = spark.createDataFrame([(1, 3), (2, 1), (3, 2), (4, 1)], "doc long, weight long")
+    fitted = docs.join(weights, "doc")
+    vocab = TF.fit(fitted, weight="weight", max_features=6)
+    assert vocab.collect() == TF.fit_counts(TF.term_counts(docs), fitted, weight="weight", max_features=6).collect()
+    vectors = TF.packed_vectors(docs, vocab)
+    plain = {}
+    for r in TF.transform(docs, vocab).collect():
+        plain.setdefault(r["doc"], {})[r["term"]] = r["w"]
+    pairs = spark.createDataFrame([(i, l, r) for i, (l, r) in enumerate(
+        [(l, r) for l in (1, 2, 3, 4, 5, 6, None) for r in (1, 2, 4, 5)] + [(4, 1)] * 30)], "id long, l long, r long")
+    for part_pairs in (200_000, 7):  # with and without keys that are spread
+        got = TF.pair_cosine(pairs, vectors, vectors.repartition(3), "l", "r", part_pairs=part_pairs)
+        assert got.columns == ["id", "l", "r", "tfidf_similarity"]
+        rows = got.collect()
+        assert sorted(r["id"] for r in rows) == list(range(58))
+        for r in rows:
+            a, b = plain.get(r["l"], {}), plain.get(r["r"], {})
+            assert r["tfidf_similarity"] == pytest.approx(sum(w * b.get(t, 0.0) for t, w in a.items()), abs=1e-12)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "array<struct" not in plan and got.rdd.getNumPartitions() >= math.ceil(58 / 7)
