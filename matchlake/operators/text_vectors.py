@@ -33,6 +33,8 @@ from matchlake.operators.small import one_row, small_rows
 from matchlake.session import cut_lineage
 
 MAX_TERMS, WINDOW, DIM, ROUNDS, EXTRA = 5000, 5, 64, 3, 10
+PART_TOKENS = 1 << 19  # tokens whose pairs a task holds at a time
+VECTOR_TOKENS = 1 << 15  # tokens whose vectors it holds
 
 
 @dataclass
@@ -57,6 +59,36 @@ def word_ids(tokens: pa.Array, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]
     return at[ids >= 0], ids[ids >= 0].astype(np.int64)
 
 
+def light_parts(tokens: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:
+    """(first text, token lists) of stretches of at most ``most`` tokens, or of one text."""
+    if isinstance(tokens, pa.ChunkedArray):
+        tokens = tokens.combine_chunks()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield begin, tokens.slice(begin, stop - begin)
+        begin = stop
+
+
+def text_sums(at: np.ndarray, ids: np.ndarray, vectors: np.ndarray, texts: int, most: int) -> np.ndarray:
+    """The sum of each text's vectors, of at most ``most`` tokens at a time. Stretches end
+    where a text does or, in a longer text, every ``most`` tokens from its start, so the sums
+    do not depend on the texts beside it."""
+    out = np.zeros((texts, vectors.shape[1]))
+    ends = np.append(np.flatnonzero(at[1:] != at[:-1]) + 1, len(at))
+    begin = 0
+    while begin < len(at):
+        k = int(np.searchsorted(ends, begin + most, "right")) - 1
+        stop = int(ends[k]) if k >= 0 and ends[k] > begin else begin + most
+        part = at[begin:stop]
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        out[part[first]] += np.add.reduceat(vectors[ids[begin:stop]], first, 0)
+        begin = stop
+    return out
+
+
 def vocabulary(tokens: DataFrame, max_terms: int) -> tuple[list[str], np.ndarray]:
     """The most frequent terms (ties by term) with idf over the texts."""
     n = one_row(tokens.agg(F.count(F.lit(1)).alias("n")))["n"]
@@ -67,23 +99,32 @@ def vocabulary(tokens: DataFrame, max_terms: int) -> tuple[list[str], np.ndarray
     return [r["term"] for r in rows], np.array([np.log((1 + n) / (1 + r["df"])) + 1 for r in rows])
 
 
-def pair_counts(tokens: DataFrame, terms: list[str], window: int) -> DataFrame:
-    """(i, j, n): how often two terms stand within ``window`` known words of each other, both ways."""
+def counter(terms: list[str], window: int):
+    """A function from batches of token lists to (i, j, n), ``PART_TOKENS`` tokens at a time."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, size = pa.array(terms), len(terms)
         for batch in batches:
-            text, ids = word_ids(batch.column(0), known)
-            pairs = [np.zeros(0, np.int64)]
-            for step in range(1, window + 1):
-                same = text[step:] == text[:-step]
-                a, b = ids[:-step][same], ids[step:][same]
-                pairs += [a * size + b, b * size + a]
-            pair, n = np.unique(np.concatenate(pairs), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array((pair // max(size, 1)).astype(np.int32)),
-                                              pa.array((pair % max(size, 1)).astype(np.int32)), pa.array(n.astype(np.int64))],
-                                             names=["i", "j", "n"])
+            for _, part in light_parts(batch.column(0), PART_TOKENS):
+                text, ids = word_ids(part, known)
+                for begin in range(0, len(ids), PART_TOKENS):
+                    pairs = [np.zeros(0, np.int64)]
+                    for step in range(1, window + 1):
+                        stop = min(begin + PART_TOKENS, len(ids) - step)
+                        same = np.flatnonzero(text[begin + step:stop + step] == text[begin:stop]) + begin if stop > begin else pairs[0]
+                        a, b = ids[same], ids[same + step]
+                        pairs += [a * size + b, b * size + a]
+                    pair, n = np.unique(np.concatenate(pairs), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array((pair // max(size, 1)).astype(np.int32)),
+                                                      pa.array((pair % max(size, 1)).astype(np.int32)), pa.array(n.astype(np.int64))],
+                                                     names=["i", "j", "n"])
+
+    return counted
+
 
-    return tokens.select("tokens").mapInArrow(counted, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
+def pair_counts(tokens: DataFrame, terms: list[str], window: int) -> DataFrame:
+    """(i, j, n): how often two terms stand within ``window`` known words of each other, both ways."""
+    pairs = tokens.select("tokens").mapInArrow(counter(terms, window), "i int, j int, n long")
+    return pairs.groupBy("i", "j").agg(F.sum("n").alias("n"))
 
 
 def mutual_information(counts: DataFrame) -> DataFrame:
@@ -157,11 +198,10 @@ def text_vector(text: Column, words: WordVectors) -> Column:
 
     @arrow_udf("array<double>")
     def vectors(tokens: pa.Array) -> pa.Array:
-        at, ids = word_ids(tokens, pa.array(words.terms, pa.string()))
-        out = np.zeros((len(tokens), words.dim))
-        if len(ids):
-            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            out[at[first]] = np.add.reduceat(weighted[ids], first, 0)
+        known, out = pa.array(words.terms, pa.string()), np.zeros((len(tokens), words.dim))
+        for begin, part in light_parts(tokens, PART_TOKENS):
+            at, ids = word_ids(part, known)
+            out[begin:begin + len(part)] = text_sums(at, ids, weighted, len(part), VECTOR_TOKENS)
         length = np.sqrt((out * out).sum(1, keepdims=True))
         out = np.divide(out, length, out=np.zeros_like(out), where=length > 0)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * words.dim), pa.array(out.ravel()))

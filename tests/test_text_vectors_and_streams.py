@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,42 @@ def test_metadata_row(spark, sf):
     assert r["model_name"] == "match-logistic" and len(r["selected_features"]) == 7 and r["n_training_samples"] > 0
     assert r["model_type"].startswith("GapTransformer") and 0.5 < r["training_metrics"]["roc_auc"] <= 1
     assert r["hyperparameters"]["maxIter"] == "100"
+
+
+def test_long_batches_are_worked_off_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 6, n) for n in (0, 1, 3, 900, 2, 0, 40, 300, 7)]
+    terms, vectors = [f"w{i}" for i in range(6)], rng.standard_normal((6, 4))
+    tokens = pa.array([[terms[i] for i in t] for t in texts] + [None], pa.list_(pa.string()))
+    parts = list(TV.light_parts(tokens, 300))
+    assert [b for b, _ in parts] == [0, 3, 4, 7, 8] and pa.concat_arrays([p for _, p in parts]).equals(tokens)
+    at, ids = TV.word_ids(tokens, pa.array(terms))
+    seen = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, key):
+            seen.append(len(key))
+            return np.asarray(self)[key]
+
+    sums = TV.text_sums(at, ids, vectors.view(Watched), len(tokens), 100)
+    assert max(seen) <= 100 and np.allclose(sums, [vectors[t].sum(0) for t in texts] + [np.zeros(4)])
+    alone = TV.text_sums(np.zeros(900, int), texts[3], vectors, 1, 100)
+    assert np.array_equal(alone[0], sums[3])  # whatever texts stand beside it
+    df = spark.createDataFrame([(" ".join(terms[i] for i in t).split(),) for t in texts] + [(None,)], "tokens array<string>").coalesce(1)
+    whole = sorted(TV.pair_counts(df, terms, 5).collect())
+    part_tokens = TV.PART_TOKENS
+    plain = {}
+    for t in texts:
+        for a in range(len(t)):
+            for b in range(max(a - 5, 0), min(a + 6, len(t))):
+                if a != b:
+                    plain[int(t[a]), int(t[b])] = plain.get((int(t[a]), int(t[b])), 0) + 1
+    assert {(r["i"], r["j"]): r["n"] for r in whole} == plain and part_tokens <= 1 << 20
+    batch = pa.RecordBatch.from_arrays([tokens], names=["tokens"])
+    monkeypatch.setattr(TV, "PART_TOKENS", 64)
+    counted = {}
+    for out in TV.counter(terms, 5)(iter([batch])):
+        for i, j, n in zip(*(c.to_pylist() for c in out.columns)):
+            counted[i, j] = counted.get((i, j), 0) + n
+        assert sum(out.column(2).to_pylist()) <= 64 * 10
+    assert counted == plain
