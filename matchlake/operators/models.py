@@ -79,11 +79,11 @@ def _scaler() -> StandardScaler:
     return StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
 
 
-def pipeline(kind: str, n_weighted: float | None = None, features=MODEL_FEATURES, **params) -> Pipeline:
-    """GapTransformer -> VectorAssembler -> StandardScaler -> estimator."""
-    return Pipeline(stages=[GapTransformer(outputCols=list(features)),
-                            VectorAssembler(inputCols=list(features), outputCol="raw_features"),
-                            _scaler(), estimator(kind, n_weighted, **params)])
+def pipeline(kind: str, n_weighted: float | None = None, features=MODEL_FEATURES, gaps: bool = True, **params) -> Pipeline:
+    """GapTransformer -> VectorAssembler -> StandardScaler -> estimator. Without ``gaps``
+    the rows have been through the GapTransformer."""
+    return Pipeline(stages=([GapTransformer(outputCols=list(features))] if gaps else []) + [
+        VectorAssembler(inputCols=list(features), outputCol="raw_features"), _scaler(), estimator(kind, n_weighted, **params)])
 
 
 def assembled(df: DataFrame, keep: list[str], features=MODEL_FEATURES, label: str = "label") -> DataFrame:
@@ -133,11 +133,14 @@ def positive_probability(df: DataFrame, model, raw_for_svc: bool = False) -> Dat
     return out.withColumn("probability", F.lit(1.0) / (F.lit(1.0) + F.exp(-m)))
 
 
-def feature_importance(model: PipelineModel, features=MODEL_FEATURES):
-    """Tree importances or absolute coefficients, normalised to sum 1."""
-    est = model.stages[-1]
+def feature_importance(model, features=MODEL_FEATURES):
+    """Tree importances or absolute coefficients of a pipeline or of a
+    ``levelled.Forest``, normalised to sum 1."""
+    est = model.stages[-1] if hasattr(model, "stages") else model
     if hasattr(est, "featureImportances"):
         vals = list(est.featureImportances.toArray())
+    elif hasattr(est, "importances"):
+        vals = list(est.importances(len(features)))
     else:
         vals = [abs(v) for v in est.coefficients.toArray()]
     tot = sum(vals) or 1.0

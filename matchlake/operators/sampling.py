@@ -10,10 +10,14 @@ partitions are (stratum, bucket) -- uniform by construction of the hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from matchlake.operators.small import small_rows
+from matchlake.session import cut_lineage
+
 HEX_DIGITS = 4  # 16^4 = 65,536 ordered buckets
+CUT_DIGITS = 3  # buckets that a cut is looked up in
 
 
 def order_hash(id_col: str, seed) -> Column:
@@ -63,6 +67,44 @@ def kfold(df: DataFrame, id_col: str, k: int, seed=42, label: str | None = None,
     return rn.select(*df.columns, F.pmod(F.col("_rn") - 1, F.lit(k)).cast("int").alias(name))
 
 
+def last_of_share(df: DataFrame, id_col: str, seed, by: list[str], frac: float, max_strata: int = 1000) -> list[Row]:
+    """(``by``, _h, ``id_col``) of the last of the first round(frac * n) rows of each stratum
+    in (hash, id) order. Only the rows of the bucket that it lies in are put in order."""
+    h = order_hash(id_col, seed)
+    bucket = F.substring(h, 1, CUT_DIGITS)
+    t = df.select(*by, id_col, h.alias("_h"), bucket.alias("_b"))
+    w = Window.partitionBy(*by)
+    sizes = t.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n")).select(
+        "*", F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_to"),
+        F.round(F.lit(frac) * F.sum("_n").over(w)).cast("long").alias("_want"))
+    here = (F.col("_to") - F.col("_n") < F.col("_want")) & (F.col("_want") <= F.col("_to"))
+    wanted = F.lit(None).cast("long")
+    for r in small_rows(sizes.where(here).select(*by, "_b", (F.col("_want") - F.col("_to") + F.col("_n")).alias("_k")), max_strata):
+        same = F.col("_b") == r["_b"]
+        for b in by:
+            same = same & F.col(b).eqNullSafe(F.lit(r[b]))
+        wanted = F.when(same, r["_k"]).otherwise(wanted)
+    near = t.withColumn("_k", wanted).where("_k is not null")
+    ranked = near.withColumn("_rn", F.row_number().over(w.orderBy("_h", id_col)))
+    return small_rows(ranked.where("_rn = _k").select(*by, "_h", id_col), max_strata)
+
+
+def split_and_folds(df: DataFrame, id_col: str, label: str, k: int, seed=42, test_frac: float = 0.15,
+                    calib_frac: float = 0.1764) -> DataFrame:
+    """``three_way_split`` and ``kfold`` by one seed: test set and folds follow the same
+    order, so rows are dealt out and sorted once, and written; the calibration
+    rows are those up to a cut, found without sorting the rows again."""
+    rn = exact_row_number(df, id_col, seed, by=[label], name="_rn", size="_stratum_n")
+    first = cut_lineage(rn.select(*df.columns, (F.col("_rn") <= F.round(F.lit(test_frac) * F.col("_stratum_n"))).alias("_t"),
+                                  F.pmod(F.col("_rn") - 1, F.lit(k)).cast("int").alias("fold")))
+    calib, h = F.lit(False), order_hash(id_col, f"{seed}b")
+    for r in last_of_share(first.where(~F.col("_t")), id_col, f"{seed}b", [label], calib_frac):
+        upto = (h < r["_h"]) | ((h == r["_h"]) & (F.col(id_col) <= F.lit(r[id_col])))
+        calib = calib | (F.col(label).eqNullSafe(F.lit(r[label])) & upto)
+    split = F.when(F.col("_t"), "test").when(calib, "calib").otherwise("train").alias("split")
+    return first.select(*df.columns, split, "fold")
+
+
 def fold_class_check(df: DataFrame, fold: str = "fold", label: str = "label") -> DataFrame:
     """M5: both classes present in every fold (train and validation side)."""
     per = df.groupBy(fold).agg(F.count_distinct(label).alias("val_classes"),

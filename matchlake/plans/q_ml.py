@@ -27,6 +27,7 @@ from matchlake.operators import calibration as CA
 from matchlake.operators import curves as CU
 from matchlake.operators import evaluation as EV
 from matchlake.operators import forest as FO
+from matchlake.operators import levelled as LF
 from matchlake.operators import members as ME
 from matchlake.operators import metrics as MT
 from matchlake.operators import models as MO
@@ -47,10 +48,7 @@ KEY = "application_id"
 
 def base(spark, sf):
     """Modelling rows + label, three-way split (M2) and CV folds (M3)."""
-    m = modelling_table(spark, sf).withColumnRenamed("is_good_match", "label")
-    sp = SA.three_way_split(m, KEY, "label")
-    folded = SA.kfold(sp, KEY, 5, 42, "label")
-    return cut_lineage(folded)
+    return SA.split_and_folds(modelling_table(spark, sf).withColumnRenamed("is_good_match", "label"), KEY, "label", 5)
 
 
 def _holdout_scores(spark, sf, kind):
@@ -102,10 +100,13 @@ query("n16_batch_scoring")(_batch)
 
 
 def _importance(spark, sf):
-    b = base(spark, sf).filter(F.col("split") == "train")
-    rows = []
-    for kind in ("random_forest", "logistic"):
-        rows += [(kind, f, v) for f, v in MO.feature_importance(MO.fit(b, kind))]
+    """N17 on the rows of ``base`` with the gap features only, which are worked out once. The
+    forest is that of ``MO.ESTIMATORS``, grown level by level over packed rows."""
+    m = MO.GapTransformer().transform(modelling_table(spark, sf).withColumnRenamed("is_good_match", "label"))
+    rows = cut_lineage(m.select(KEY, "label", *MODEL_FEATURES))
+    b = cut_lineage(SA.split_and_folds(rows, KEY, "label", 5).filter(F.col("split") == "train").select(*rows.columns))
+    models = {"random_forest": LF.fit(b, KEY, "label", MODEL_FEATURES), "logistic": MO.fit(b, "logistic", gaps=False)}
+    rows = [(kind, f, v) for kind, m in models.items() for f, v in MO.feature_importance(m)]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
