@@ -14,6 +14,10 @@
 
 A text's vector is the idf-weighted mean of its words' vectors, with length 1 (all
 zeros without known words). Null texts are empty.
+
+Joins carry *packed* texts: the numbers of the known words in order, two bytes each
+(four in a vocabulary past 65,536), or the vector itself where that is no longer. A
+packed text gives the same vector, to the bit.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from matchlake.session import cut_lineage
 MAX_TERMS, WINDOW, DIM, ROUNDS, EXTRA = 5000, 5, 64, 3, 10
 PART_TOKENS = 1 << 19  # tokens whose pairs a task holds at a time
 VECTOR_TOKENS = 1 << 15  # tokens whose vectors it holds
+PART_PAIRS = 1 << 12  # pairs whose vectors it holds
 
 
 @dataclass
@@ -183,7 +188,11 @@ def token_rows(texts: DataFrame, text: str) -> DataFrame:
 
 def train(texts: DataFrame, text: str = "text", max_terms: int = MAX_TERMS, window: int = WINDOW, dim: int = DIM) -> WordVectors:
     """Word vectors of a corpus. ``max_terms`` x (``dim`` + 10) numbers bound what the driver holds."""
-    tokens = cut_lineage(token_rows(texts, text))
+    return train_tokens(cut_lineage(token_rows(texts, text)), max_terms, window, dim)
+
+
+def train_tokens(tokens: DataFrame, max_terms: int = MAX_TERMS, window: int = WINDOW, dim: int = DIM) -> WordVectors:
+    """``train`` on a written table of token lists."""
     terms, idf = vocabulary(tokens, max_terms)
     if not terms:
         return WordVectors([], np.zeros(0), np.zeros((0, dim)))
@@ -192,18 +201,84 @@ def train(texts: DataFrame, text: str = "text", max_terms: int = MAX_TERMS, wind
     return WordVectors(terms, idf, np.pad(found, ((0, 0), (0, dim - found.shape[1]))))
 
 
+def unit_vectors(tokens: pa.Array, known: pa.Array, weighted: np.ndarray) -> np.ndarray:
+    """(texts, dim): the vectors of token lists."""
+    out = np.zeros((len(tokens), weighted.shape[1]))
+    for begin, part in light_parts(tokens, PART_TOKENS):
+        at, ids = word_ids(part, known)
+        out[begin:begin + len(part)] = text_sums(at, ids, weighted, len(part), VECTOR_TOKENS)
+    return unit_length(out)
+
+
+def unit_length(out: np.ndarray) -> np.ndarray:
+    length = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, length, out=np.zeros_like(out), where=length > 0)
+
+
 def text_vector(text: Column, words: WordVectors) -> Column:
     """The vector of a text, an array of ``dim`` doubles."""
     weighted = words.vectors * words.idf[:, None]
 
     @arrow_udf("array<double>")
     def vectors(tokens: pa.Array) -> pa.Array:
-        known, out = pa.array(words.terms, pa.string()), np.zeros((len(tokens), words.dim))
-        for begin, part in light_parts(tokens, PART_TOKENS):
-            at, ids = word_ids(part, known)
-            out[begin:begin + len(part)] = text_sums(at, ids, weighted, len(part), VECTOR_TOKENS)
-        length = np.sqrt((out * out).sum(1, keepdims=True))
-        out = np.divide(out, length, out=np.zeros_like(out), where=length > 0)
+        out = unit_vectors(tokens, pa.array(words.terms, pa.string()), weighted)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * words.dim), pa.array(out.ravel()))
 
     return vectors(token_array(clean(text)))
+
+
+def number_type(words: WordVectors) -> np.dtype:
+    return np.dtype("<u2" if len(words.terms) <= 1 << 16 else "<u4")
+
+
+def packed_text(tokens: Column, words: WordVectors) -> Column:
+    """The packed text of a token list. ``dim`` doubles long: the vector; else shorter: word numbers."""
+    weighted, kind = words.vectors * words.idf[:, None], number_type(words)
+
+    @arrow_udf("binary")
+    def packed(lists: pa.Array) -> pa.Array:
+        known, out = pa.array(words.terms, pa.string()), []
+        for _, part in light_parts(lists, PART_TOKENS):
+            at, ids = word_ids(part, known)
+            ends = np.cumsum(np.bincount(at, minlength=len(part)))
+            raw, last = ids.astype(kind).tobytes(), 0
+            for i, end in enumerate((ends * kind.itemsize).tolist()):
+                whole = end - last >= words.dim * 8
+                out.append(unit_vectors(part.slice(i, 1), known, weighted).tobytes() if whole else raw[last:end])
+                last = end
+        return pa.array(out, pa.binary())
+
+    return packed(tokens)
+
+
+def packed_matrix(texts: pa.Array, weighted: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """(texts, dim): the vectors of packed texts."""
+    raw, dim = texts.to_pylist(), weighted.shape[1]
+    length = np.array([len(b) for b in raw], np.int64)
+    whole, out = length == dim * 8, np.zeros((len(raw), dim))
+    short = np.flatnonzero(~whole)
+    ids = np.frombuffer(b"".join(raw[i] for i in short), kind).astype(np.int64)
+    at = np.repeat(np.arange(len(short)), length[short] // kind.itemsize)
+    out[short] = unit_length(text_sums(at, ids, weighted, len(short), VECTOR_TOKENS))
+    if whole.any():
+        out[whole] = np.frombuffer(b"".join(raw[i] for i in np.flatnonzero(whole))).reshape(-1, dim)
+    return out
+
+
+def packed_dots(words: WordVectors):
+    """A function from two arrays of packed texts to the dot products of their vectors,
+    summed in the order of ``functions.text.dot``. A text that several pairs of a stretch share is unpacked once."""
+    weighted, kind = words.vectors * words.idf[:, None], number_type(words)
+
+    def dots(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = np.zeros(len(a))
+        for begin in range(0, len(a), PART_PAIRS):
+            x, y = (side.slice(begin, PART_PAIRS).dictionary_encode() for side in (a, b))
+            i, j = (side.indices.to_numpy() for side in (x, y))
+            left, right = (np.ascontiguousarray(packed_matrix(side.dictionary, weighted, kind).T) for side in (x, y))
+            part = out[begin:begin + PART_PAIRS]
+            for f in range(len(left)):
+                part += left[f][i] * right[f][j]
+        return pa.array(out)
+
+    return dots

@@ -38,15 +38,24 @@ def term_counts(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFr
 
 def long_tokens(text: Column) -> Column:
     """Alphabetic tokens of at least two characters of a text."""
-    return F.filter(token_array(clean(text)), lambda x: F.length(x) >= 2)
+    return long_of(token_array(clean(text)))
+
+
+def long_of(tokens: Column) -> Column:
+    return F.filter(tokens, lambda x: F.length(x) >= 2)
+
+
+def tokens_of(text: str, tokens: str | None) -> Column:
+    """``long_tokens`` of a text column, or of the column that holds all its tokens."""
+    return long_of(F.col(tokens)) if tokens else long_tokens(F.col(text))
 
 
 def fit(docs: DataFrame, doc: str = "doc", text: str = "text", weight: str | None = None,
-        max_features: int = 5000) -> DataFrame:
+        max_features: int = 5000, tokens: str | None = None) -> DataFrame:
     """Vocabulary with idf: (term, idf). Bounded by ``max_features`` rows. Terms are
     counted where the text is, so only a row per term and task is shuffled."""
     w = F.col(weight) if weight else F.lit(1)
-    rows = docs.select(w.alias("weight"), long_tokens(F.col(text)).alias("tokens"))
+    rows = docs.select(w.alias("weight"), tokens_of(text, tokens).alias("tokens"))
     term = lambda often, once: lambda t: F.struct(t.alias("term"), F.lit(often).alias("often"), F.lit(once).alias("once"))
     each = F.concat(F.transform("tokens", term(1, 0)), F.transform(F.array_distinct("tokens"), term(0, 1)))
     counts = rows.select("weight", F.explode(each).alias("t")).groupBy("t.term").agg(
@@ -102,7 +111,8 @@ def vector_dot(a: Column, b: Column) -> Column:
     return F.coalesce(F.aggregate(a, F.lit(0.0), lambda s, x: s + x["w"] * hit(x)), F.lit(0.0))
 
 
-def packed_vectors(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "text", max_features: int = 5000) -> DataFrame:
+def packed_vectors(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: str = "text", max_features: int = 5000,
+                   tokens: str | None = None) -> DataFrame:
     """(doc, vector): the normalised weights of ``transform`` as (term number, weight)
     records, a few bytes a term, made where the text is. The vocabulary is bounded."""
     rows = sorted(small_rows(vocab.select("term", "idf"), max_features), key=lambda r: r["term"])
@@ -121,7 +131,7 @@ def packed_vectors(docs: DataFrame, vocab: DataFrame, doc: str = "doc", text: st
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         return pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(offsets), pa.py_buffer(out.tobytes())])
 
-    return docs.select(doc, packed(long_tokens(F.col(text))).alias("vector"))
+    return docs.select(doc, packed(tokens_of(text, tokens)).alias("vector"))
 
 
 def unpacked(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +152,8 @@ def packed_dots(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.bincount(x[i], left["w"][i] * right["w"][j], len(a)))
 
 
-def meet(pairs: DataFrame, vectors: DataFrame, key: str, name: str, parts: int, heavy: list) -> DataFrame:
+def meet(pairs: DataFrame, vectors: DataFrame, key: str, name: str, parts: int, heavy: list,
+         how: str = "left") -> DataFrame:
     """The pairs with the vector of their ``key``, in so many parts that each holds few
     pairs. The ``heavy`` keys are spread over all parts."""
     spread = F.pmod(F.xxhash64(*[c for c in pairs.columns if not c.startswith("_")]), F.lit(parts)).cast("int")
@@ -150,25 +161,26 @@ def meet(pairs: DataFrame, vectors: DataFrame, key: str, name: str, parts: int,
     copies = F.when(hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     right = vectors.select(F.col("doc").alias(key), F.col("vector").alias(name)).withColumn("_part", F.explode(copies))
     left = pairs.withColumn("_part", F.when(hot, spread).otherwise(0))
-    return left.repartition(parts, key, "_part").join(right.repartition(parts, key, "_part"), [key, "_part"], "left").drop("_part")
+    return left.repartition(parts, key, "_part").join(right.repartition(parts, key, "_part"), [key, "_part"], how).drop("_part")
 
 
 def pair_cosine(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                name: str = "tfidf_similarity", part_pairs: int = PART_PAIRS) -> DataFrame:
+                name: str = "tfidf_similarity", part_pairs: int = PART_PAIRS, dot=packed_dots, how: str = "left") -> DataFrame:
     """H9: the pairs with the dot product of their ``packed_vectors``; pairs
     without a shared term get 0. Two joins of one packed row per document; no row per pair and
-    term. A task of a join holds some ``part_pairs`` pairs; ``pairs`` are read several times."""
+    term. A task of a join holds some ``part_pairs`` pairs; ``pairs`` are read several times.
+    Other packed vectors come with their own ``dot``; ``how``: inner drops pairs without a vector."""
     n = one_row(pairs.agg(F.count(F.lit(1)).alias("n")))["n"]
     parts = max(pairs.sparkSession.sparkContext.defaultParallelism, math.ceil(n / part_pairs))
     both = pairs
     for key, vectors, side in ((left_key, left, "_left"), (right_key, right, "_right")):
         many = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_pairs)
         heavy = [r[key] for r in small_rows(many, parts) if r[key] is not None]
-        both = meet(both, vectors, key, side, parts, heavy)
+        both = meet(both, vectors, key, side, parts, heavy, how)
 
     @arrow_udf("double")
     def dots(a: pa.Array, b: pa.Array) -> pa.Array:
-        return packed_dots(a, b)
+        return dot(a, b)
 
     return both.select(*pairs.columns, dots(F.col("_left"), F.col("_right")).alias(name))
 

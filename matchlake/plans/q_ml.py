@@ -34,6 +34,7 @@ from matchlake.operators import models as MO
 from matchlake.operators import sampling as SA
 from matchlake.operators import slices as SL
 from matchlake.operators import text_vectors as TV
+from matchlake.operators import tfidf as TF
 from matchlake.operators import tuning as TU
 from matchlake.operators.binned import binned_rows
 from matchlake.operators.small import num, one_row, small_rows
@@ -502,25 +503,27 @@ def _encode(spark, sf):
 query("j03_encoder_plugin_documents")(_encode)
 
 
-def trained_similarity(spark, sf):
+def trained_similarity(spark, sf, a=None, tokens=None):
     """Applications with the cosine of their resume's and job's vectors, both
-    from word vectors trained on all resumes and jobs."""
-    a = cut_lineage(QT.apps(spark, sf))
-    resumes, jds = QT.resumes(spark, sf), QT.jds(spark, sf)
-    words = TV.train(resumes.select("text").unionByName(jds.select("text")))
-    rv = resumes.select(F.col("doc").alias("candidate_id"), TV.text_vector(F.col("text"), words).alias("rv"))
-    jv = jds.select(F.col("doc").alias("job_id"), TV.text_vector(F.col("text"), words).alias("jv"))
-    return a.join(rv, "candidate_id").join(jv, "job_id").select(
-        *a.columns, round_half_away(TX.dot(F.col("rv"), F.col("jv")), 6).alias("vector_similarity"))
+    from word vectors trained on all resumes and jobs. The joins carry packed texts."""
+    a = a if a is not None else cut_lineage(QT.apps(spark, sf))
+    rtok, jtok = tokens or (QT.side_tokens(QT.resumes(spark, sf)), QT.side_tokens(QT.jds(spark, sf)))
+    words = TV.train_tokens(rtok.select("tokens").unionByName(jtok.select("tokens")))
+    rv, jv = (t.select("doc", TV.packed_text(F.col("tokens"), words).alias("vector")) for t in (rtok, jtok))
+    pairs = TF.pair_cosine(a, rv, jv, "candidate_id", "job_id", "vector_similarity", dot=TV.packed_dots(words), how="inner")
+    return pairs.withColumn("vector_similarity", round_half_away(F.col("vector_similarity"), 6))
 
 
 query("h10_trained_vector_similarity")(lambda s, d: trained_similarity(s, d).select(KEY, "vector_similarity"))
 
 
 def _representation(spark, sf):
-    """The AUC of trained vectors and of TF-IDF as matchers, and the better of the two."""
-    v = trained_similarity(spark, sf).withColumnRenamed("is_good_match", "label")
-    t = QT.tfidf_similarity(spark, sf).withColumnRenamed("is_good_match", "label")
+    """The AUC of trained vectors and of TF-IDF as matchers, and the better of the two.
+    Both read the same applications and tokens, written once."""
+    a = cut_lineage(QT.apps(spark, sf))
+    tokens = QT.side_tokens(QT.resumes(spark, sf)), QT.side_tokens(QT.jds(spark, sf))
+    v = trained_similarity(spark, sf, a, tokens).withColumnRenamed("is_good_match", "label")
+    t = QT.tfidf_similarity(spark, sf, a, tokens).withColumnRenamed("is_good_match", "label")
     va = one_row(CU.roc_auc(v, score="vector_similarity"))["roc_auc"]
     ta = one_row(CU.roc_auc(t.withColumn("s", round_half_away(F.col("tfidf_similarity"), 6)), score="s"))["roc_auc"]
     return spark.createDataFrame([(va, ta, "vectors" if va > ta else "tfidf")],

@@ -128,12 +128,21 @@ def tfidf_parts(spark, sf, a=None):
     return a, weights, vocab, TF.transform_counts(counts, vocab), TF.transform(jdocs, vocab)
 
 
-def tfidf_similarity(spark, sf, a=None):
-    """H9. ``a``, if given, is written; texts become packed vectors where they are made."""
+def side_tokens(docs):
+    """(doc, tokens) of resumes or jobs, written once; the texts are dealt out first, however few files hold them."""
+    dealt = docs.repartition(docs.sparkSession.sparkContext.defaultParallelism, "doc")
+    return cut_lineage(dealt.select("doc", TX.token_array(TX.clean(F.col("text"))).alias("tokens")))
+
+
+def tfidf_similarity(spark, sf, a=None, tokens=None):
+    """H9. ``a``, if given, is written; texts become packed vectors where they are made, or from
+    the ``side_tokens`` of resumes and jobs."""
     a = a if a is not None else cut_lineage(apps(spark, sf))
     weights = a.groupBy(F.col("candidate_id").alias("doc")).agg(F.count(F.lit(1)).alias("weight"))
-    vocab = cut_lineage(TF.fit(resumes(spark, sf).join(weights, "doc"), weight="weight", max_features=5000))
-    return TF.pair_cosine(a, TF.packed_vectors(resumes(spark, sf), vocab), TF.packed_vectors(jds(spark, sf), vocab),
+    rdocs, jdocs = tokens or (resumes(spark, sf), jds(spark, sf))
+    made = "tokens" if tokens else None
+    vocab = cut_lineage(TF.fit(rdocs.join(weights, "doc"), weight="weight", max_features=5000, tokens=made))
+    return TF.pair_cosine(a, TF.packed_vectors(rdocs, vocab, tokens=made), TF.packed_vectors(jdocs, vocab, tokens=made),
                           "candidate_id", "job_id")
 
 
