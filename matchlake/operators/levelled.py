@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.binned import bin_edges, mixed, record
+from matchlake.operators.binned import BINS, mixed, record
 from matchlake.operators.forest import DRAWN, child_keys, drawn_features, purity
 from matchlake.operators.small import one_row, small_rows
 from matchlake.session import cut_lineage
 
 TREES, DEPTH, CUTS = 100, 8, 32
+ACCURACY = 10_000  # rank error of a cut: 1 in this many rows
 BLOCK_ROWS = 1 << 15  # rows of a block
 PART_BLOCKS = 64  # blocks a task reads
 #: How often a row is drawn, for each 16 bits of its hash
@@ -69,14 +70,15 @@ class Forest:
 
 
 def cuts_of(df: DataFrame, features: list[str]) -> list[np.ndarray]:
-    """At most ``CUTS`` - 1 increasing cuts a feature: all values if they are few, else quantiles."""
-    step = 256 // CUTS
+    """At most ``CUTS`` - 1 increasing cuts a feature, all from one pass: the distinct ones of
+    255 quantiles if they are so few, else every eighth."""
+    shares = [i / BINS for i in range(1, BINS)]
+    row = one_row(df.agg(*[F.percentile_approx(F.col(f).cast("double"), shares, ACCURACY).alias(f) for f in features]))
     edges = []
-    for fine, f in zip(bin_edges(df, features), features):
-        if len(fine) >= CUTS:
-            shares = [i * step / 256 for i in range(1, CUTS)]
-            fine = np.unique(one_row(df.agg(F.percentile_approx(F.col(f).cast("double"), shares, 50_000).alias("q")))["q"])
-        edges.append(fine)
+    for f in features:
+        q = np.array(row[f] or [], float)
+        fine = np.unique(q)
+        edges.append(fine if len(fine) < CUTS else np.unique(q[BINS // CUTS - 1::BINS // CUTS]))
     return edges
 
 
