@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.operators.binned import BINS, LOCAL_ROWS, Tree, dealt_to_groups, gathered, group_names, mixed, packed, record, uniform
+from matchlake.operators import kernels as KE
+from matchlake.operators.binned import BINS, LOCAL_ROWS, Tree, area, dealt_to_groups, gathered, group_names, mixed, packed, record, uniform
 from matchlake.operators.curves import roc_auc
 from matchlake.operators.forest import summed_trees
 from matchlake.operators.small import one_row, small_rows
@@ -94,9 +96,24 @@ class BoostSpec:
         return t
 
 
+#: 1/12!, 1/11!, .., 1/2!, 1, 1
+SERIES = (2.08767569878681e-09, 2.505210838544172e-08, 2.755731922398589e-07, 2.7557319223985893e-06, 2.48015873015873e-05,
+          0.0001984126984126984, 0.001388888888888889, 0.008333333333333333, 0.041666666666666664, 0.16666666666666666, 0.5, 1.0, 1.0)
+
+
+def plain_exp(z: np.ndarray) -> np.ndarray:
+    """exp by plain arithmetic (relative error below 1e-15), which the kernels repeat bit by bit."""
+    k = np.rint(z * 1.4426950408889634)
+    r = (z - k * 0.693147180369123816490) - k * 1.90821492927058770002e-10
+    p = np.full(len(z), SERIES[0])
+    for c in SERIES[1:]:
+        p *= r
+        p += c
+    return np.ldexp(p, k.astype(np.int32))
+
+
 def sigmoid(m: np.ndarray) -> np.ndarray:
-    out = np.clip(m, -500, 500)
-    np.exp(np.negative(out, out=out), out=out)
+    out = plain_exp(-np.clip(m, -500, 500))
     out += 1.0
     return np.divide(1.0, out, out=out)
 
@@ -371,18 +388,6 @@ def base_margin(positives: float, rows: float) -> float:
     return math.log(positives / (rows - positives)) if 0 < positives < rows else 0.0
 
 
-def area(y: np.ndarray, score: np.ndarray) -> float:
-    """AUC with ties counted half; NaN without both labels."""
-    order = np.argsort(score)
-    y, score = y[order].astype(float), score[order]
-    first = np.append(True, score[1:] != score[:-1])
-    group = np.cumsum(first) - 1
-    pos, neg = np.bincount(group, y), np.bincount(group, 1 - y)
-    if not pos.sum() or not neg.sum():
-        return math.nan
-    return float((pos * (np.cumsum(neg) - neg / 2)).sum() / (pos.sum() * neg.sum()))
-
-
 def kept_rounds(losses: list[float]) -> int:
     """Rounds up to the least validation loss (the first, if tied)."""
     return int(np.argmin(losses)) + 1 if len(losses) else 0
@@ -393,7 +398,88 @@ def is_over(losses: list[float], spec: BoostSpec) -> bool:
     return bool(spec.patience) and done - kept_rounds(losses) >= spec.patience
 
 
-# -- many fits inside tasks ------------------------------------------------
+# -- many fits inside tasks, by kernels -------------------------------------
+
+FITS = "unit int, round int, over boolean, seconds double, losses array<double>, aucs array<double>"
+HEAD = 280  # bytes of a kernel's state before the rounds
+
+
+def kernel_params(spec: BoostSpec, features: int, base: float, to: int) -> bytes:
+    free = 1 << 40
+    return KE.numbers(features, spec.rounds, free if spec.max_depth is None else spec.max_depth, spec.max_leaves or 0, spec.min_rows,
+                      spec.patience, spec.seed, max(1, int(spec.column_share * features)), float(spec.step), float(spec.l1),
+                      float(spec.l2), float(spec.min_child_weight), float(spec.subsample), float(base), to)
+
+
+class KernelFits:
+    """Fits (``specs``) on the same rows that advance inside tasks, a task a fit. What goes from job to
+    job is their trees and losses; a task has the margins from the trees. Without
+    ``losses``, those of the held rows are not worked out."""
+
+    def __init__(self, rows: DataFrame, specs: list[BoostSpec], features: int, losses: bool = True):
+        counts = small_rows(rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")), 1000)
+        self.specs, self.features, self.losses = specs, features, losses
+        self.base = [base_margin(*(float(sum(r[c] for r in counts if r["fold"] not in s.held)) for c in ("pos", "n"))) for s in specs]
+        self.blob, self.state = KE.one_blob(rows, features), None
+
+    def started(self, unit: int) -> bytearray:
+        asked = int(bool(self.losses and self.specs[unit].held))
+        return bytearray(KE.marked(self.specs[unit].held) + struct.pack("<iiiid", 0, asked, 0, 0, 0.0))
+
+    def advance(self, units: list[int], to: int) -> dict[int, dict]:
+        """Moves the ``units`` on to round ``to``; their FITS values by unit."""
+        params = [bytearray(kernel_params(self.specs[u], self.features, self.base[u], to)) for u in units]
+        if self.state is None:
+            rows = KE.tasks(self.blob, [(u, p, self.started(u)) for u, p in zip(units, params)],
+                            "unit int, params binary, state binary")
+        else:
+            rows = KE.tasks(self.blob, list(zip(units, params)), "unit int, params binary").join(self.state, "unit").repartition(
+                len(units), "unit")
+        moved = KE.called("boost", F.col("rows"), F.col("params"), F.col("state"))
+        self.state = cut_lineage(rows.select("unit", moved.alias("state")))
+        return {r["unit"]: r.asDict() for r in small_rows(self.state.mapInArrow(fits_of, FITS), len(units))}
+
+    def trees(self) -> DataFrame:
+        """(unit, round, nodes) of all fits that advanced last."""
+        return self.state.mapInArrow(trees_of, "unit int, round int, nodes binary")
+
+
+def rounds_of(raw: memoryview) -> tuple[int, int]:
+    """The rounds of a state, and where its trees begin."""
+    rounds, asked = struct.unpack_from("<ii", raw, 256)
+    return rounds, HEAD + 16 * rounds * asked
+
+
+def fits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for unit, state in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = memoryview(state.as_buffer())
+            rounds, trees = rounds_of(raw)
+            over, _, seconds = struct.unpack_from("<iid", raw, 264)
+            curves = np.frombuffer(raw[HEAD:trees]).reshape(-1, 2)
+            out.append({"unit": unit, "round": rounds, "over": bool(over), "seconds": seconds, "losses": curves[:, 0].tolist(),
+                        "aucs": curves[:, 1].tolist()})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([
+            ("unit", pa.int32()), ("round", pa.int32()), ("over", pa.bool_()), ("seconds", pa.float64()),
+            ("losses", pa.list_(pa.float64())), ("aucs", pa.list_(pa.float64()))]))
+
+
+def trees_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for unit, state in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = memoryview(state.as_buffer())
+            rounds, at = rounds_of(raw)
+            nodes = []
+            for _ in range(rounds):
+                size = struct.unpack_from("<i", raw, at)[0]
+                nodes.append(bytes(raw[at + 4:at + 4 + size]))
+                at += 4 + size
+            yield pa.RecordBatch.from_arrays([pa.array([unit] * rounds, pa.int32()), pa.array(range(rounds), pa.int32()),
+                                              pa.array(nodes, pa.binary())], names=["unit", "round", "nodes"])
+
+
+# -- many fits inside tasks, without kernels ---------------------------------
 
 STATE = "unit int, round int, margin binary, losses array<double>, aucs array<double>, over boolean, seconds double"
 
@@ -589,16 +675,21 @@ class Boosted:
             "id", "y", (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("probability"))
 
 
-def fit_boosting(rows: DataFrame, spec: BoostSpec, features: int, local_rows: int = LOCAL_ROWS) -> Boosted:
+def fit_boosting(rows: DataFrame, spec: BoostSpec, features: int, local_rows: int | None = None) -> Boosted:
     """One model on ``binned_rows``; with ``patience``, it keeps the rounds up to
     the least loss of the ``held`` folds."""
     held = F.col("fold").isin(list(spec.held)) if spec.held else F.lit(False)
     n = one_row(rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~held).alias("train"),
                          F.coalesce(F.sum(F.when(~held, F.col("y"))), F.lit(0)).alias("pos")))
     base = base_margin(float(n["pos"]), float(n["train"]))
-    if n["n"] > local_rows:
+    kernels = KE.ready(rows.sparkSession)
+    if n["n"] > (local_rows or (KE.KERNEL_ROWS if kernels else LOCAL_ROWS)):
         trees, losses = fit_over_table(rows, spec, features)
         return Boosted(cut_lineage(trees), base, spec, losses, features)
+    if kernels:
+        fits = KernelFits(rows, [spec], features)
+        losses = fits.advance([0], spec.rounds)[0]["losses"]
+        return Boosted(fits.trees(), base, spec, losses, features)
     state, trees = advance(rows, started(rows, [0]), [spec], [0], spec.rounds, features)
     return Boosted(trees, base, spec, list(one_row(state.select("losses"))["losses"]), features)
 
@@ -617,21 +708,28 @@ def trial_search(rows: DataFrame, draws: list[BoostSpec], folds: list[int], feat
     specs = [BoostSpec(**{**d.__dict__, "held": (f,)}) for d in draws for f in folds]
     curves: dict[int, list[float]] = {}  # mean AUC by round of finished draws
     ledger = []
+    together = KernelFits(rows, specs, features) if KE.ready(rows.sparkSession) else None
     for begin in range(0, len(draws), wave):
         alive = list(range(begin, min(begin + wave, len(draws))))
-        state = started(rows, [t * len(folds) + i for t in alive for i in range(len(folds))])
+        if together:
+            together.state = None
+        else:
+            state = started(rows, [t * len(folds) + i for t in alive for i in range(len(folds))])
         known: dict[int, dict] = {}
         pruned: dict[int, int] = {}
         bars = {r: float(np.median([c[min(r, len(c)) - 1] for c in curves.values()]))
                 for r in range(warmup, max(d.rounds for d in draws) + 1)} if len(curves) >= startup else {}
-        for to in (*stops, max(d.rounds for d in draws)):
+        # Without bars nothing is pruned between jobs: one job runs the whole wave.
+        for to in (*(stops if bars else ()), max(d.rounds for d in draws)):
             units = [u for t in alive for u in range(t * len(folds), (t + 1) * len(folds))
                      if not known.get(u, {"over": False})["over"]]
             if not units:
                 break
-            state, _ = advance(rows, state, specs, units, to, features)
-            for r in small_rows(state.drop("margin"), len(units)):
-                known[r["unit"]] = r.asDict()
+            if together:
+                known |= together.advance(units, to)
+            else:
+                state, _ = advance(rows, state, specs, units, to, features)
+                known |= {r["unit"]: r.asDict() for r in small_rows(state.drop("margin"), len(units))}
             for t in list(alive):
                 curve = mean_curve([known[t * len(folds) + i]["aucs"] for i in range(len(folds))])
                 best = np.maximum.accumulate(curve)

@@ -9,6 +9,8 @@ with the Gini criterion over a random subset of the features at each node, to an
   feature, bin), Spark sums the counts and picks each node's split.
 * A node with fewer rows goes to one task, which grows the rest of its subtree.
   Trees whose root is that small are dealt to tasks in sets that share the rows.
+* ``kernels`` has the loops of a subtree; a search's trees are scored where they grow, so
+  neither trees nor scores of single trees are written.
 
 Sums are whole numbers and a node's feature subset comes from its path, so the
 trees do not depend on ``local_rows``, partitions or task order. The trees are a
@@ -26,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.operators import kernels as KE
 from matchlake.operators.binned import (
     BINS,
     LOCAL_ROWS,
     Tree,
+    area,
     dealt_to_groups,
     gathered,
     group_names,
@@ -43,6 +47,8 @@ from matchlake.session import cut_lineage
 
 CHUNK_BYTES = 64 << 20  # packed trees that a scoring pass holds
 MOST_BIG_NODES = 1_000_000
+SUBTREE_ROWS = 1 << 21  # rows of a big tree's node that a kernel finishes
+RUNS_PER_CORE = 12  # runs of trees that a core grows and scores
 #: P(a row is drawn at most k times), k = 0, 1, ...
 DRAWN = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880, 3628800)])
 
@@ -341,12 +347,71 @@ def finished(rows: DataFrame, specs: list[ForestSpec], tops: dict, m: int, featu
 # -- forests ---------------------------------------------------------------
 
 
+def fold_sizes(rows: DataFrame) -> dict[int, int]:
+    return {r["fold"]: r["n"] for r in small_rows(rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")), 1000)}
+
+
+def kernel_params(spec: ForestSpec, features: int, m: int, *rest: int) -> bytes:
+    return KE.numbers(features, m, min(spec.depth(), 1 << 40), spec.min_split, spec.min_leaf, spec.seed, int(spec.bootstrap),
+                      len(DRAWN), *map(float, DRAWN), *rest)
+
+
+def forest_votes(rows: DataFrame, specs: list[ForestSpec], scored: list[tuple[int, ...]], features: int,
+                 per_split: int | None = None) -> DataFrame:
+    """(forest, first, votes): sums over a run of trees, from number ``first`` on, of the rows of the forest's
+    ``scored`` folds in the blob's order, with their labels; by kernels."""
+    m = per_split or max(1, int(features ** 0.5))
+    most = -(-sum(s.trees for s in specs) // (RUNS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism))
+    runs = [(i, t, min(t + most, s.trees)) for i, s in enumerate(specs) for t in range(0, s.trees, most)]
+    units = [(i, t, bytearray(kernel_params(specs[i], features, m, t, to)), bytearray(KE.marked(specs[i].held) + KE.marked(scored[i])))
+             for i, t, to in sorted(runs, key=lambda r: r[1] - r[2])]  # long runs first
+    grown = KE.tasks(KE.one_blob(rows, features), units, "forest int, first int, params binary, folds binary")
+    return cut_lineage(grown.select("forest", "first", KE.called("votes", F.col("rows"), F.col("params"), F.col("folds")).alias("votes")))
+
+
+def summed_votes(runs: pd.DataFrame, trees: int) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, probabilities) of a forest's scored rows."""
+    total = 0.0
+    for raw in runs.sort_values("first")["votes"]:
+        n = len(raw) // 9
+        total, y = total + np.frombuffer(raw, np.float64, n), np.frombuffer(raw, np.uint8, n, 8 * n)
+    return y, total / trees
+
+
+def forest_ratings(rows: DataFrame, specs: list[ForestSpec], scored: list[tuple[int, ...]], features: int,
+                   per_split: int | None = None) -> DataFrame:
+    """(forest, y, probability) of forests trained on ``binned_rows``, for the rows of the folds ``scored[forest]``."""
+    if not by_kernels(rows):
+        trees = train_forests(rows, specs, features, per_split)
+        return forest_scores(rows, trees, specs, features, dict(enumerate(scored))).select("forest", "y", "probability")
+    trees = [s.trees for s in specs]
+
+    def rated(key: tuple, runs: pd.DataFrame) -> pd.DataFrame:
+        y, p = summed_votes(runs, trees[int(key[0])])
+        return pd.DataFrame({"forest": np.int32(key[0]), "y": y.astype(np.int32), "probability": p})
+
+    return forest_votes(rows, specs, scored, features, per_split).groupBy("forest").applyInPandas(
+        rated, "forest int, y int, probability double")
+
+
+def by_kernels(rows: DataFrame) -> bool:
+    """Whether whole trees grow and score in a task, by kernels."""
+    return KE.ready(rows.sparkSession) and sum(fold_sizes(rows).values()) <= KE.KERNEL_ROWS
+
+
 def train_forests(rows: DataFrame, specs: list[ForestSpec], features: int, per_split: int | None = None,
-                  local_rows: int = LOCAL_ROWS, sets: int = 48) -> DataFrame:
+                  local_rows: int | None = None, sets: int = 48) -> DataFrame:
     """(forest, tree, nodes): all trees of all forests on ``binned_rows``. A
     split looks at ``per_split`` features (the root of their number)."""
     m = per_split or max(1, int(features ** 0.5))
-    sizes = {r["fold"]: r["n"] for r in small_rows(rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")), 1000)}
+    sizes = fold_sizes(rows)
+    kernels = KE.ready(rows.sparkSession)
+    if kernels and sum(sizes.values()) <= (local_rows or KE.KERNEL_ROWS):
+        units = [(i, t, bytearray(kernel_params(s, features, m, t, 1, 0)), bytearray(KE.marked(s.held)))
+                 for i, s in enumerate(specs) for t in range(s.trees)]
+        grown = KE.tasks(KE.one_blob(rows, features), units, "forest int, tree int, params binary, held binary")
+        return cut_lineage(grown.select("forest", "tree", KE.called("grow", F.col("rows"), F.col("params"), F.col("held")).alias("nodes")))
+    local_rows = local_rows or (SUBTREE_ROWS if kernels else LOCAL_ROWS)
     tops = grow_tops(rows, specs, sizes, m, features, local_rows)
     whole = [(i, t) for i, s in enumerate(specs) for t in range(s.trees) if (i, t) not in tops]
     schema = "forest int, tree int, nodes binary"
@@ -435,6 +500,15 @@ def search_forests(rows: DataFrame, draws: list[dict], parts: list[tuple[tuple[i
     one scoring for all of them."""
     pairs = [(d, p) for d in range(len(draws)) for p in range(len(parts))]
     specs = [ForestSpec(held=parts[p][0], seed=seed, **draws[d]) for d, p in pairs]
+    if by_kernels(rows):
+        trees = [s.trees for s in specs]
+
+        def judged(key: tuple, runs: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"forest": np.int32(key[0]), "roc_auc": [area(*summed_votes(runs, trees[int(key[0])]))]})
+
+        votes = forest_votes(rows, specs, [parts[p][1] for _, p in pairs], features)
+        found = votes.groupBy("forest").applyInPandas(judged, "forest int, roc_auc double")
+        return {pairs[r["forest"]]: r["roc_auc"] for r in small_rows(found, len(pairs))}
     trees = train_forests(rows, specs, features)
     scores = forest_scores(rows, trees, specs, features, {i: parts[p][1] for i, (_, p) in enumerate(pairs)})
     found = small_rows(roc_auc(scores, ["forest"], label="y"), len(pairs))

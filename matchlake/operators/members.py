@@ -62,11 +62,12 @@ class Members:
     def sides(self, split: Split) -> tuple[DataFrame, DataFrame]:
         return self.rows.where(~F.col("code").isin(list(split.out))), self.rows.where(F.col("code").isin(list(split.scored)))
 
-    def scores(self, kinds: list[str], splits: list[Split]) -> DataFrame:
-        """(split, model, id, label, probability, prediction) of every kind on every split."""
+    def scores(self, kinds: list[str], splits: list[Split], ids: bool = True) -> DataFrame:
+        """(split, model, id, label, probability, prediction) of every kind on every split, or without id."""
         out = None
         for kind in kinds:
-            part = getattr(self, f"_{kind}")(splits).withColumn("model", F.lit(kind)).select(*COLUMNS)
+            one = self._forest_ratings if kind == "random_forest" and not ids else getattr(self, f"_{kind}")
+            part = one(splits).withColumn("model", F.lit(kind)).select(*[c for c in COLUMNS if ids or c != "id"])
             out = part if out is None else out.unionByName(part)
         return out
 
@@ -125,13 +126,24 @@ class Members:
     def _random_forest(self, splits: list[Split]) -> DataFrame:
         return self._forest({"trees": 100}, splits)
 
+    def _forest_ratings(self, splits: list[Split]) -> DataFrame:
+        specs = [FO.ForestSpec(held=s.out, trees=100) for s in splits]
+        found = FO.forest_ratings(self.binned, specs, [s.scored for s in splits], len(self.features))
+        return found.select(F.col("forest").alias("split"), F.col("y").alias("label"), "probability",
+                            (F.col("probability") > 0.5).cast("int").alias("prediction"))
+
     def _decision_tree(self, splits: list[Split]) -> DataFrame:
         return self._forest({"trees": 1, "max_depth": 6, "min_leaf": 10, "bootstrap": False}, splits, len(self.features))
 
     def _boosting(self, splits: list[Split]) -> DataFrame:
         specs = [BO.BoostSpec(held=s.out) for s in splits]
         units = list(range(len(splits)))
-        _, trees = BO.advance(self.binned, BO.started(self.binned, units), specs, units, specs[0].rounds, len(self.features))
+        if FO.by_kernels(self.binned):
+            fits = BO.KernelFits(self.binned, specs, len(self.features), losses=False)
+            fits.advance(units, specs[0].rounds)
+            trees = fits.trees()
+        else:
+            _, trees = BO.advance(self.binned, BO.started(self.binned, units), specs, units, specs[0].rounds, len(self.features))
         kept = trees.orderBy("unit", "round").select(F.col("unit").alias("forest"), "nodes")
         sums = BO.summed_trees(self.binned, kept, len(self.features), {i: s.scored for i, s in enumerate(splits)})
         counts = small_rows(self.rows.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")), 1000)
