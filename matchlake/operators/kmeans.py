@@ -8,7 +8,7 @@ Starting centers are k-means++: the next one is drawn with a probability proport
 the squared distance, as the row with the smallest ``-log(u) / d2``, where u is a number
 from the row's hash; one aggregate per center.
 
-Models with as many centers share one matrix product a chunk of rows; where its rounding
+Models with as many centers share one single-precision product a chunk of rows; where its rounding
 could matter, distances by differences decide. Sums and draws do not depend on
 partitions, so a seed gives the same models. A center without rows keeps its place. Ties
 go to the first center.
@@ -33,6 +33,8 @@ UNIT = 2.0 ** 24
 MOST_CENTERS = 100_000
 CHUNK = 1024  # rows whose distances to all centers are held at once
 SLACK = 1e-12  # of the squared lengths in a product: far more than its rounding
+SHORT_SLACK = 2.0 ** -22  # the same for a product of single-precision numbers, for each feature and four more
+SHORT_MOST = 1e30  # squared lengths that single precision holds
 
 
 @dataclass
@@ -70,11 +72,14 @@ def products(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
     each row, by one product with the (model, center, feature) centers."""
     g, k, d = centers.shape
     xx, cc = (x * x).sum(1), (centers * centers).sum(2)
-    d2 = (centers.reshape(g * k, d) @ x.T).reshape(g, k, len(x))
-    d2 *= -2
+    slack = SLACK * (xx + cc.max())
+    if max(xx.max(initial=0.0), cc.max()) < SHORT_MOST:  # half the bytes to go through
+        slack = SHORT_SLACK * (d + 4) * (xx + cc.max()) + 1e-30
+        centers, x, xx, cc = (v.astype(np.float32) for v in (centers, x, xx, cc))
+    d2 = ((-2 * centers).reshape(g * k, d) @ x.T).reshape(g, k, len(x))
     d2 += cc[:, :, None]
     d2 += xx
-    return d2, SLACK * (xx + cc.max())
+    return d2, slack
 
 
 def apart(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -89,7 +94,8 @@ def apart(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 def nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """(model, row): the number of the nearest center, the first if tied."""
     d2, slack = products(x, centers)
-    best, second, at = d2[:, 0].copy(), np.full(d2[:, 0].shape, np.inf), np.zeros(d2[:, 0].shape, np.int64)
+    best, second = d2[:, 0].copy(), np.full(d2[:, 0].shape, np.inf, d2.dtype)
+    at = np.zeros(d2[:, 0].shape, np.int16 if d2.shape[1] < 1 << 15 else np.int64)
     for j in range(1, d2.shape[1]):
         np.copyto(at, j, where=d2[:, j] < best)
         np.minimum(second, np.maximum(best, d2[:, j]), out=second)
@@ -181,8 +187,8 @@ def moved(rows: DataFrame, models: list[KMeans], shift: float) -> None:
                 total = [np.zeros((c.shape[0] * c.shape[1], whole.shape[1]), np.int64) for _, c in groups]
             for sums, (_, centers) in zip(total, groups):
                 g, k, _ = centers.shape
-                own = np.zeros((g * k, len(x)))
-                own[nearest(x, centers) + k * np.arange(g)[:, None], np.arange(len(x))] = 1
+                at = nearest(x, centers)
+                own = (at[:, None] == np.arange(k, dtype=at.dtype)[None, :, None]).reshape(g * k, len(x)).astype(float)
                 sums += (own @ whole).astype(np.int64)
         for sums, (numbers, centers) in zip(total or [], groups):
             g, k, _ = centers.shape
