@@ -47,6 +47,8 @@ from matchlake.session import cut_lineage
 
 CHUNK_BYTES = 64 << 20  # packed trees that a scoring pass holds
 MOST_BIG_NODES = 1_000_000
+PASS_NODES = 4096  # nodes whose sums a task holds, 43 kB each with seven features
+SENT_BYTES = 64 << 20  # rows of nodes that a task holds before it hands them on
 SUBTREE_ROWS = 1 << 21  # rows of a big tree's node that a kernel finishes
 RUNS_PER_CORE = 12  # runs of trees that a core grows and scores
 #: P(a row is drawn at most k times), k = 0, 1, ...
@@ -207,11 +209,8 @@ class Top:
         return Tree(self.feature, self.bin, self.left, self.value)
 
 
-def chosen_split(hist: pd.DataFrame, key: int, spec: ForestSpec, depth: int, seed: int, m: int, features: int) -> dict:
-    """The split of one node from its (feature, bin, w, p, c) sums."""
-    table = np.zeros((3, features, BINS))
-    for i, c in enumerate(("w", "p", "c")):
-        table[i, hist["feature"], hist["bin"]] = hist[c]
+def chosen_split(table: np.ndarray, key: int, spec: ForestSpec, depth: int, seed: int, m: int) -> dict:
+    """The split of one node from its (sum, feature, bin) sums of weights, weights of label 1 and rows."""
     w, p, c = table[:, 0].sum(1)
     out = {"w": w, "p": p, "feature": -1, "bin": 0, "lw": 0.0, "lp": 0.0, "lc": 0.0, "c": c}
     if not 0 < p < w or c < spec.min_split or depth >= spec.depth():
@@ -231,6 +230,60 @@ def chosen_split(hist: pd.DataFrame, key: int, spec: ForestSpec, depth: int, see
     return out
 
 
+def passes(now: dict) -> Iterator[dict]:
+    """Trees with ``PASS_NODES`` nodes to split in all, or a tree alone."""
+    some, nodes = {}, 0
+    for k, (tree, open_nodes, keys, depths) in now.items():
+        if some and nodes + len(open_nodes) > PASS_NODES:
+            yield some
+            some, nodes = {}, 0
+        some[k] = (tree, open_nodes, keys, depths)
+        nodes += len(open_nodes)
+    if some:
+        yield some
+
+
+def asked_splits(rows: DataFrame, now: dict, specs: list[ForestSpec], m: int, features: int) -> DataFrame:
+    """The split of every open node of the trees ``now``: a task adds up its rows, then hands on a row a node."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            data = packed(batch, features)
+            for k, (tree, open_nodes, _, _) in now.items():
+                n, place = len(open_nodes), np.full(len(tree.left), -1)
+                place[open_nodes] = np.arange(n)
+                count = specs[k[0]].counts(data, k[1])
+                at = np.where(count > 0, place[tree.leaves(data["x"])], -1)
+                hit = np.flatnonzero(at >= 0)
+                if not len(hit):
+                    continue
+                total = held.setdefault(k, np.zeros((n, 3, features, BINS), np.int32))
+                x, base, w = data["x"][hit], at[hit] * BINS, count[hit].astype(float)
+                for f in range(features):
+                    key = base + x[:, f]
+                    for i, v in enumerate((w, w * data["y"][hit], None)):
+                        total[:, i, f] += np.bincount(key, v, n * BINS).reshape(n, BINS).astype(np.int32)
+        for (i, t), total in held.items():
+            full = np.flatnonzero(total[:, 2, 0].any(1))
+            same = [pa.array(np.full(len(full), v, np.int32)) for v in (i, t)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(np.array(now[i, t][1], np.int32)[full]),
+                                              pa.array([total[j].tobytes() for j in full], pa.binary())],
+                                             names=["forest", "tree", "node", "sums"])
+
+    def picked(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        i, t, node = (int(v) for v in key)
+        _, _, keys, depths = now[i, t]
+        table = sum(np.frombuffer(raw, np.int32).astype(float) for raw in cells["sums"]).reshape(3, features, BINS)
+        return pd.DataFrame([{"forest": i, "tree": t, "node": node} | chosen_split(
+            table, keys[node], specs[i], depths[node], specs[i].tree_seed(t), m)])
+
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism  # what is handed on grows with the tasks, not with the rows
+    sums = rows.select("h", "y", "fold", "x").coalesce(tasks).mapInArrow(counted, "forest int, tree int, node int, sums binary")
+    return sums.groupBy("forest", "tree", "node").applyInPandas(
+        picked, "forest int, tree int, node int, w double, p double, feature int, bin int, lw double, lp double, "
+                "lc double, c double")
+
+
 def grow_tops(rows: DataFrame, specs: list[ForestSpec], sizes: dict[int, int], m: int, features: int,
               local_rows: int) -> dict[tuple[int, int], Top]:
     """The upper parts of the trees whose training rows do not fit a task."""
@@ -241,42 +294,12 @@ def grow_tops(rows: DataFrame, specs: list[ForestSpec], sizes: dict[int, int], m
     while any(t.open for t in tops.values()):
         now = {k: (t.tree(), t.open, t.key, t.depth) for k, t in tops.items() if t.open}
 
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                data = packed(batch, features)
-                for (i, t), (tree, open_nodes, _, _) in now.items():
-                    count = specs[i].counts(data, t)
-                    leaf = tree.leaves(data["x"])
-                    for node in open_nodes:
-                        at = np.flatnonzero((leaf == node) & (count > 0))
-                        if not len(at):
-                            continue
-                        w, y = count[at].astype(float), data["y"][at]
-                        key = (np.arange(features) * BINS + data["x"][at]).ravel()
-                        sums = [np.bincount(key, np.repeat(v, features), features * BINS) for v in (w, w * y, np.ones(len(at)))]
-                        hit = np.flatnonzero(sums[0])
-                        same = [np.full(len(hit), v, np.int32) for v in (i, t, node)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c) for c in (*same, (hit // BINS).astype(np.int32), (hit % BINS).astype(np.int32),
-                                                   *[s[hit].astype(np.int64) for s in sums])],
-                            names=["forest", "tree", "node", "feature", "bin", "w", "p", "c"])
-
-        sums = rows.select("h", "y", "fold", "x").mapInArrow(
-            counted, "forest int, tree int, node int, feature int, bin int, w long, p long, c long").groupBy(
-            "forest", "tree", "node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in ("w", "p", "c")])
-
-        def picked(key: tuple, hist: pd.DataFrame) -> pd.DataFrame:
-            i, t, node = (int(v) for v in key)
-            _, _, keys, depths = now[i, t]
-            return pd.DataFrame([{"forest": i, "tree": t, "node": node} | chosen_split(
-                hist, keys[node], specs[i], depths[node], specs[i].tree_seed(t), m, features)])
-
-        splits = sums.groupBy("forest", "tree", "node").applyInPandas(
-            picked, "forest int, tree int, node int, w double, p double, feature int, bin int, lw double, lp double, "
-                    "lc double, c double")
+        found = []
+        for some in passes(now):
+            found += small_rows(asked_splits(rows, some, specs, m, features), MOST_BIG_NODES)
         for t in tops.values():
             t.open = []
-        for r in sorted(small_rows(splits, MOST_BIG_NODES), key=lambda r: (r["forest"], r["tree"], r["node"])):
+        for r in sorted(found, key=lambda r: (r["forest"], r["tree"], r["node"])):
             top = tops[r["forest"], r["tree"]]
             top.value[r["node"]] = r["p"] / r["w"]
             if r["feature"] < 0:
@@ -301,14 +324,31 @@ def finished(rows: DataFrame, specs: list[ForestSpec], tops: dict, m: int, featu
     plain = {k: (t.tree(), t.small, t.key, t.depth) for k, t in tops.items()}
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[bytes]] = {}
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            keys = [pa.array([k[c] for k in held], pa.int32()) for c in range(3)]
+            return pa.RecordBatch.from_arrays([*keys, pa.array([b"".join(v) for v in held.values()], pa.binary())],
+                                              names=["forest", "tree", "node", "rows"])
+
         for batch in batches:
             data = packed(batch, features)
             for (i, t), (tree, small, _, _) in plain.items():
-                leaf = np.where(specs[i].counts(data, t) > 0, tree.leaves(data["x"]), -1)
-                hit = [n for n in small if (leaf == n).any()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i] * len(hit), pa.int32()), pa.array([t] * len(hit), pa.int32()), pa.array(hit, pa.int32()),
-                     pa.array([data[leaf == n].tobytes() for n in hit], pa.binary())], names=["forest", "tree", "node", "rows"])
+                place = np.zeros(len(tree.left), bool)
+                place[small] = True
+                leaf = tree.leaves(data["x"])
+                hit = np.flatnonzero((specs[i].counts(data, t) > 0) & place[leaf])
+                hit = hit[stable_order(leaf[hit])]
+                nodes, starts = runs(leaf[hit])
+                for node, some in zip(nodes.tolist(), np.split(data[hit], starts[1:])):
+                    held.setdefault((i, t, node), []).append(some.tobytes())
+                    size += some.nbytes
+                if size >= SENT_BYTES:
+                    yield out()
+                    held, size = {}, 0
+        if held:
+            yield out()
 
     def grown(key: tuple, blobs: pd.DataFrame) -> pd.DataFrame:
         i, t, node = (int(v) for v in key)
@@ -338,8 +378,16 @@ def finished(rows: DataFrame, specs: list[ForestSpec], tops: dict, m: int, featu
         tree = Tree(*(np.concatenate(a) for a in arrays))
         return pd.DataFrame({"forest": [i], "tree": [t], "nodes": [tree.to_bytes()]})
 
-    parts = rows.select("h", "y", "fold", "x").mapInArrow(sent, "forest int, tree int, node int, rows binary") \
-        .groupBy("forest", "tree", "node").applyInPandas(grown, "forest int, tree int, node int, nodes binary")
+    dealt = rows.select("h", "y", "fold", "x").mapInArrow(sent, "forest int, tree int, node int, rows binary").groupBy(
+        "forest", "tree", "node")
+    if KE.ready(rows.sparkSession):
+        nodes = [(i, t, n, bytearray(kernel_params(specs[i], features, m, t, keys[n] - (keys[n] >> 63 << 64), depths[n])),
+                  bytearray(KE.marked(specs[i].held))) for (i, t), (_, small, keys, depths) in plain.items() for n in small]
+        params = rows.sparkSession.createDataFrame(nodes, "forest int, tree int, node int, params binary, held binary")
+        parts = dealt.agg(F.collect_list("rows").alias("rows")).join(params, ["forest", "tree", "node"]).select(
+            "forest", "tree", "node", KE.called("grow", F.col("rows"), F.col("params"), F.col("held")).alias("nodes"))
+    else:
+        parts = dealt.applyInPandas(grown, "forest int, tree int, node int, nodes binary")
     every = rows.sparkSession.createDataFrame([(i, t, -1, None) for i, t in tops], parts.schema)
     return parts.unionByName(every).groupBy("forest", "tree").applyInPandas(hung, "forest int, tree int, nodes binary")
 

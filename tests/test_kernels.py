@@ -105,3 +105,23 @@ def test_search_ledgers_are_the_same_without_kernels(spark, table, monkeypatch):
     by_kernels = plain()
     monkeypatch.setenv("MATCHLAKE_KERNELS", "0")
     assert json.dumps(plain()) == json.dumps(by_kernels)
+
+
+def test_big_trees_are_the_same_in_parts(spark, table, monkeypatch):
+    rows = BI.binned_rows(table, "id", "label", [f"f{i}" for i in range(7)], "code")
+    specs = [FO.ForestSpec(trees=3, held=(0,)), FO.ForestSpec(trees=2, max_depth=6, min_leaf=3, held=(1,))]
+    trees = lambda df: {(r["forest"], r["tree"]): BI.Tree.from_bytes(bytes(r["nodes"])) for r in df.collect()}
+    whole = trees(FO.train_forests(rows, specs, 7))
+    monkeypatch.setattr(FO, "PASS_NODES", 3)
+    monkeypatch.setattr(FO, "SENT_BYTES", 2000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    handed = []
+    monkeypatch.setattr(FO, "passes", lambda now, plain=FO.passes: [handed.append(sum(len(v[1]) for v in p.values())) or p
+                                                                  for p in plain(now)])
+    try:
+        parts = trees(FO.train_forests(rows.coalesce(2), specs, 7, local_rows=300))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    x = np.stack([np.frombuffer(bytes(r["x"]), np.uint8) for r in rows.select("x").collect()])
+    assert whole.keys() == parts.keys() and len(handed) > 4
+    assert all(len(whole[k].left) == len(parts[k].left) and np.array_equal(whole[k].predict(x), parts[k].predict(x)) for k in whole)
