@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from matchlake.operators.binned import dealt_to_groups, gathered
 from matchlake.session import cut_lineage
 
-KERNEL_ROWS = 1 << 23
+KERNEL_ROWS = 1 << 22
 FUNCTIONS = {"matchlake_votes": "Votes", "matchlake_grow": "Grow", "matchlake_boost": "Boost"}
 READY: dict[tuple, bool] = {}
 

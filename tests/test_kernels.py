@@ -49,6 +49,7 @@ def test_forest_kernel_grows_the_same_trees(spark, features, spec):
     BO.BoostSpec(rounds=6, step=0.3, max_depth=5, max_leaves=None, l1=0.1, l2=1.0, min_child_weight=2, min_rows=1, subsample=0.7,
                  column_share=0.6, held=(0,))])
 def test_boosting_kernel_grows_the_same_trees(spark, spec):
+    assert KE.ready(spark)
     rows, margin, want, losses, aucs = packed_rows(3000, 7, 1), None, [], [], []
     held, y = np.isin(rows["fold"], spec.held), rows["y"]
     base = BO.base_margin(float(y[~held].sum()), float((~held).sum()))
@@ -125,3 +126,15 @@ def test_big_trees_are_the_same_in_parts(spark, table, monkeypatch):
     x = np.stack([np.frombuffer(bytes(r["x"]), np.uint8) for r in rows.select("x").collect()])
     assert whole.keys() == parts.keys() and len(handed) > 4
     assert all(len(whole[k].left) == len(parts[k].left) and np.array_equal(whole[k].predict(x), parts[k].predict(x)) for k in whole)
+
+
+def test_what_a_search_hands_on_does_not_grow_with_the_rows(spark, table):
+    rows = BI.binned_rows(table, "id", "label", [f"f{i}" for i in range(7)], "code")
+    sizes = []
+    assert KE.ready(spark)
+    for some in (rows.where("id % 4 = 0"), rows):
+        fits = BO.KernelFits(some, [BO.BoostSpec(rounds=9, max_depth=1, max_leaves=None, held=(0,))], 7)
+        fits.advance([0], 2)
+        assert fits.advance([0], 4)[0]["round"] == 4
+        sizes.append(fits.state.select(F.length("state")).first()[0])
+    assert sizes[0] == sizes[1] < 1000
